@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from . import sqltext as S
 from .fixtures import FIELD_COLUMNS, SEED, TEMPLATE_FIELDS
+from .queries import (ALNUM_MASKS, BAD_FORMATS, DATE_FORMATS, DATETIME_FORMATS, FLAG_TEXTS, MANIFEST_BASE)
+from ..functions.generators import FEMALE_HONORIFICS
+from ..sources.dictionaries import (COMPANY_ADJECTIVES, COMPANY_NOUNS, EMAIL_DOMAINS, EMAIL_SEPARATORS)
 
 _FIELD_TYPES = ["VARCHAR", "INTEGER", "VARCHAR", "INTEGER", "INTEGER", "INTEGER", "INTEGER"] + ["VARCHAR"] * 12
 
@@ -114,8 +117,304 @@ def generate_values() -> str:
     return f"WITH {_values_ctes()}\nSELECT doc_id, template_id, pos, field_name, kind, value, error FROM vals"
 
 
+
+def _list(items) -> str:
+    return "[" + ", ".join("NULL" if x is None else S.sql_str(x) for x in items) + "]"
+
+
+def _explode(items, idx: str, val: str) -> str:
+    """``(SELECT ...) AS t(idx, val)`` with 0-based positions, like posexplode."""
+    rows = ", ".join(f"({i}, {S.sql_str(x)})" for i, x in enumerate(items))
+    return f"(VALUES {rows}) AS lit({idx}, {val})"
+
+
+def gen_alphanum() -> str:
+    k = ("c.c_custkey", "m.mask_no")
+    return f"""SELECT c.c_custkey, m.mask_no, m.mask,
+  {S.alphanum('m.mask', SEED, *k)} AS value,
+  {S.alphanum('m.mask', SEED, *k, keep=True)} AS value_keep
+FROM customer c, {_explode(ALNUM_MASKS, 'mask_no', 'mask').replace('AS lit', 'AS m')}"""
+
+
+def gen_date() -> str:
+    return f"""SELECT o.o_orderkey, f.fmt_no, f.fmt, {S.date_value('f.fmt', SEED, 'o.o_orderkey', 'f.fmt_no')} AS value
+FROM orders o, {_explode(DATE_FORMATS, 'fmt_no', 'fmt').replace('AS lit', 'AS f')}"""
+
+
+def gen_datetime() -> str:
+    return f"""SELECT o.o_orderkey, f.fmt_no, f.fmt, {S.datetime_value('f.fmt', SEED, 'o.o_orderkey', 'f.fmt_no')} AS value
+FROM orders o, {_explode(DATETIME_FORMATS, 'fmt_no', 'fmt').replace('AS lit', 'AS f')}"""
+
+
+def split_errors() -> str:
+    ok = "regexp_full_match(split_part(f.fmt, ' ', 1), '(%[dmYyHMSIpBbAaj%]|[^%])*')"
+    return f"""SELECT o.o_orderkey, f.fmt_no, f.fmt, {S.date_value('f.fmt', SEED, 'o.o_orderkey', 'f.fmt_no')} AS value,
+  CASE WHEN NOT {ok} THEN 'V7_unsupported_date_format' END AS error,
+  CASE WHEN {ok} THEN 'good' ELSE 'rejected' END AS side
+FROM orders o, {_explode(BAD_FORMATS, 'fmt_no', 'fmt').replace('AS lit', 'AS f')}"""
+
+
+def gen_number() -> str:
+    return f"""SELECT o_orderkey, {S.sql_randint('10000', '99999', SEED, 'o_orderkey', "'int'")} AS value,
+  {S.sql_randint('0', 'CAST(floor(o_totalprice) AS BIGINT)', SEED, 'o_orderkey', "'range'")} AS value_range
+FROM orders"""
+
+
+def _decimal(lo: str, hi: str, key: str) -> str:
+    return f"round_even({S.sql_uniform(lo, hi, SEED, key, chr(39) + 'dec' + chr(39))}, 2)"
+
+
+def gen_decimal() -> str:
+    return f"SELECT o_orderkey, {_decimal('1000', '9999', 'o_orderkey')} AS value FROM orders"
+
+
+def gen_currency() -> str:
+    body = "format('{:,.2f}', abs(amount))"
+    sign = "CASE WHEN amount < 0 THEN '-' ELSE '' END"
+    return f"""WITH a AS (SELECT o_orderkey, {_decimal('-50000', '50000', 'o_orderkey')} AS amount FROM orders)
+SELECT o_orderkey, amount, {sign} || '$' || {body} AS usd, {sign} || {body} AS usd_plain,
+  {sign} || '$' || replace({body}, ',', '') AS usd_ungrouped FROM a"""
+
+
+def static_override() -> str:
+    return f"""WITH c AS (SELECT c_custkey, {S.alphanum_literal('nnnn', SEED, 'c_custkey')} AS generated,
+    CASE c_custkey % 4 WHEN 1 THEN 'X' WHEN 2 THEN c_mktsegment WHEN 3 THEN '' END AS static_value FROM customer)
+SELECT c_custkey, generated, static_value,
+  CASE WHEN static_value IS NOT NULL AND length(static_value) > 1 THEN static_value ELSE generated END AS value FROM c"""
+
+
+def field_kinds() -> str:
+    n = len(FLAG_TEXTS)
+    flags = _list(FLAG_TEXTS)
+    a, d, nm = S.truthy("is_alphanum"), S.truthy("is_date"), S.truthy("is_name")
+    return f"""WITH f AS (SELECT c_custkey, CASE WHEN c_custkey % 10 = 0 THEN 'checkbox' ELSE 'textbox' END AS type,
+    {flags}[c_custkey % {n} + 1] AS is_alphanum,
+    {flags}[CAST(floor(c_custkey / {n}) AS BIGINT) % {n} + 1] AS is_date,
+    {flags}[CAST(floor(c_custkey / {n * n}) AS BIGINT) % {n} + 1] AS is_name FROM customer),
+k AS (SELECT *, CASE WHEN {a} THEN 'alphanum' WHEN {d} THEN 'date' WHEN {nm} THEN 'name' END AS kind
+  FROM f WHERE type = 'textbox')
+SELECT c_custkey, type, is_alphanum, is_date, is_name, kind FROM k WHERE kind IS NOT NULL"""
+
+
+def sample_uniform() -> str:
+    u = S.sql_u01(SEED, "e.event_id", "'supplier'")
+    return f"""WITH d AS (SELECT s_suppkey, s_name, row_number() OVER (ORDER BY s_suppkey) - 1 AS idx,
+    COUNT(*) OVER () AS n FROM supplier)
+SELECT e.event_id, d.s_suppkey, d.s_name FROM events e LEFT JOIN d ON d.idx = CAST(floor({u} * d.n) AS BIGINT)"""
+
+
+def _weighted_cte(name: str, src: str, order: str = "word") -> str:
+    cum = f"SUM(weight) OVER (ORDER BY {order} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    return f"""{name} AS (SELECT *, CAST({cum} - weight AS DOUBLE) / CAST(SUM(weight) OVER () AS DOUBLE) AS lo,
+    CAST({cum} AS DOUBLE) / CAST(SUM(weight) OVER () AS DOUBLE) AS hi FROM ({src}))"""
+
+
+def sample_weighted() -> str:
+    u = S.sql_u01(SEED, "e.event_id", "'word'")
+    words = ("SELECT word, COUNT(*) AS weight FROM (SELECT unnest(string_split(p_name, ' ')) AS word FROM part) "
+             "WHERE word <> '' GROUP BY 1")
+    return f"""WITH {_weighted_cte('d', words)}
+SELECT e.event_id, d.word FROM events e LEFT JOIN d ON {u} >= d.lo AND {u} < d.hi"""
+
+
+def _customer_params_cte() -> str:
+    return """cp AS (SELECT c_custkey, c_name, c_nationkey,
+    CASE c_mktsegment WHEN 'HOUSEHOLD' THEN 'first_name' WHEN 'MACHINERY' THEN 'last_name' ELSE 'full' END AS name_type,
+    CASE c_nationkey % 3 WHEN 0 THEN 'male' WHEN 1 THEN 'female' ELSE 'x' END AS name_gender,
+    CASE WHEN c_acctbal < 1000 THEN 'True' ELSE 'False' END AS name_indian,
+    CASE WHEN c_nationkey % 4 = 0 THEN 'True' ELSE 'False' END AS name_suffix FROM customer)"""
+
+
+def gen_name() -> str:
+    joins, name, err = _name_sql("r", ("c_custkey",), "name_type", "name_gender", "name_indian", "name_suffix",
+                                 "TRUE")
+    return f"""WITH {_name_dict_ctes()},
+{_customer_params_cte()},
+rows AS (SELECT cp.*, {S.gender('cp.name_gender', SEED, 'cp.c_custkey')} AS g FROM cp)
+SELECT r.c_custkey, {name} AS name, {err} AS name_error FROM rows r {joins}"""
+
+
+def _address_cte() -> str:
+    return """book AS (SELECT s_suppkey,
+    CAST(s_suppkey AS VARCHAR) || ' ' || n_name || ' Road' AS address1,
+    CASE WHEN s_acctbal > 5000 THEN ' Apt ' || CAST(CAST(floor(s_acctbal) AS BIGINT) % 100 AS VARCHAR) ELSE '' END AS address2,
+    CASE WHEN s_nationkey % 5 = 0 THEN NULL ELSE 'City' || CAST(s_nationkey AS VARCHAR) END AS city,
+    r_name AS state, lpad(CAST(s_suppkey * 37 % 100000 AS VARCHAR), 5, '0') AS postal_code
+  FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
+bi AS (SELECT *, row_number() OVER (ORDER BY s_suppkey) - 1 AS idx, COUNT(*) OVER () AS n FROM book)"""
+
+
+def _address_rows(extra: str = "") -> str:
+    u = S.sql_u01(SEED, "c.c_custkey", "'address'")
+    return f"""WITH {_address_cte()},
+addr AS (SELECT c.c_custkey, c.c_name, bi.address1 || coalesce(bi.address2, '') AS address, bi.city, bi.state,
+    bi.postal_code FROM customer c LEFT JOIN bi ON bi.idx = CAST(floor({u} * bi.n) AS BIGINT))"""
+
+
+def gen_address() -> str:
+    return _address_rows() + "\nSELECT c_custkey, address, city, state, postal_code FROM addr"
+
+
+def gen_address_text() -> str:
+    tail = "CASE WHEN city IS NOT NULL THEN city || ', ' || state || ' ' || postal_code ELSE state || ' ' || postal_code END"
+    body = f"address || chr(10) || ({tail})"
+    return _address_rows() + (f"\nSELECT c_custkey, CASE WHEN c_name IS NOT NULL AND c_name <> '' "
+                              f"THEN c_name || chr(10) || {body} ELSE {body} END AS text FROM addr")
+
+
+def _pick2(a: str, b: str, u: str) -> str:
+    return f"CASE WHEN {S.sql_index('2', u)} = 0 THEN {a} ELSE {b} END"
+
+
+def gen_email() -> str:
+    k = "c.c_custkey"
+    uf, ul = S.sql_u01(SEED, k, "'email_first'"), S.sql_u01(SEED, k, "'email_last'")
+    n_letters = S.sql_randint("5", "10", SEED, "c_custkey", "'email_len'")
+    letters = S.alphanum(f"repeat('c', CAST({n_letters} AS INTEGER))", SEED, "c_custkey", "'email_letters'")
+    year = f"CAST({S.sql_randint('1900', '2030', SEED, 'c_custkey', chr(39) + 'email_year' + chr(39))} AS VARCHAR)"
+
+    def seg(i: int) -> str:
+        a = _pick2("letters", "efirst", S.sql_u01(SEED, "c_custkey", "'email_a'", str(i)))
+        sep = S.sql_choice(EMAIL_SEPARATORS, SEED, "c_custkey", "'email_sep'", str(i))
+        b = _pick2("elast", "year", S.sql_u01(SEED, "c_custkey", "'email_b'", str(i)))
+        return f"(({a}) || {sep} || ({b}))"
+
+    nseg = S.sql_randint("1", "2", SEED, "c_custkey", "'email_segs'")
+    dom = (f"CASE WHEN c_nationkey % 2 = 0 THEN {S.sql_choice(EMAIL_DOMAINS, SEED, 'c_custkey', chr(39) + 'email_domain' + chr(39))} "
+           f"ELSE 'gmail.com' END")
+    return f"""WITH {_name_dict_ctes()},
+base AS (SELECT c.c_custkey, c.c_nationkey, af.name AS efirst, li.name AS elast FROM customer c
+  LEFT JOIN anyfirst_i af ON {uf} >= af.lo AND {uf} < af.hi
+  LEFT JOIN last_i li ON {ul} >= li.lo AND {ul} < li.hi),
+parts AS (SELECT *, {letters} AS letters, {year} AS year FROM base)
+SELECT c_custkey, {seg(0)} || CASE WHEN {nseg} = 2 THEN {seg(1)} ELSE '' END || '@' || ({dom}) AS email FROM parts"""
+
+
+def gen_company() -> str:
+    k = "c.c_custkey"
+    form = S.sql_randint("1", "3", SEED, k, "'company_form'")
+    uf = S.sql_u01(SEED, k, "'company_first'")
+    adj = S.sql_choice(COMPANY_ADJECTIVES, SEED, k, "'company_adj'")
+    noun = S.sql_choice(COMPANY_NOUNS, SEED, k, "'company_noun'")
+    return f"""WITH {_name_dict_ctes()}
+SELECT c.c_custkey, CASE WHEN {form} = 1 THEN concat_ws(' ', {adj}, {noun})
+  WHEN {form} = 2 THEN concat_ws(' ', af.name, {noun}) ELSE concat_ws(' ', af.name, {adj}, {noun}) END AS company
+FROM customer c LEFT JOIN anyfirst_i af ON {form} <> 1 AND {uf} >= af.lo AND {uf} < af.hi"""
+
+
+def _records_cte() -> str:
+    return f"""{_values_ctes()},
+good AS (SELECT *, min(pos) OVER (PARTITION BY doc_id, field_name) AS first_pos,
+    max(pos) OVER (PARTITION BY doc_id, field_name) AS last_pos FROM vals WHERE error IS NULL),
+win AS (SELECT * FROM good WHERE pos = last_pos)"""
+
+
+def assemble_records() -> str:
+    return f"""WITH {_records_cte()}
+SELECT doc_id, template_id, CAST(COUNT(*) AS INTEGER) AS n_fields,
+  string_agg(field_name || '=' || value, ';' ORDER BY first_pos) AS record_kv FROM win GROUP BY doc_id, template_id"""
+
+
+def record_json() -> str:
+    return f"""WITH {_records_cte()}
+SELECT doc_id, '{{"textbox":{{' || string_agg(to_json(field_name) || ':' || to_json(value), ',' ORDER BY first_pos)
+  || '}}}}' AS json FROM win GROUP BY doc_id"""
+
+
+def parse_annotations() -> str:
+    tid = "'part_' || CAST(p_partkey AS VARCHAR)"
+    return f"""SELECT {tid} AS template_id, 0 AS pos, 'textbox' AS type,
+  CAST(trunc(p_retailprice) AS INTEGER) AS xmin, p_size AS ymin, CAST(trunc(p_retailprice + 100.0) AS INTEGER) AS xmax,
+  p_size + 20 AS ymax, CASE WHEN p_size > 40 THEN p_name ELSE p_brand END AS field_name,
+  CAST(p_size AS VARCHAR) AS max_length, CASE WHEN p_size % 2 = 0 THEN 'True' ELSE 'False' END AS is_alphanum,
+  CASE WHEN p_type = 'SMALL' THEN NULL ELSE 'nnn-nn' END AS mask, ' ' || p_type || ' ' AS static_value,
+  p_size * 20 AS width, p_size * 25 AS height FROM part
+UNION ALL
+SELECT {tid}, 1, 'checkbox', -1, 0, 10, 10, 'chk_' || CAST(p_partkey AS VARCHAR), NULL, NULL, NULL, NULL,
+  p_size * 20, p_size * 25 FROM part"""
+
+
+def validate_templates() -> str:
+    tid = "'cust_' || CAST(c_custkey AS VARCHAR)"
+    ok = "c_nationkey <> 7"
+    rows = [
+        ("-1", "NULL", "'V14_unparsable_xml'", "c_nationkey = 7"),
+        ("-1", "NULL", "'V9_size_missing'", f"{ok} AND c_nationkey = 3"),
+        ("-1", "NULL", "'V10_size_not_integer'", f"{ok} AND c_acctbal < 0"),
+        ("0", "'acct'", "'V9_box_not_number'", f"{ok} AND c_nationkey = 17"),
+        ("0", "'acct'", "'V1_alphanum_without_mask'", f"{ok} AND c_mktsegment = 'BUILDING'"),
+        ("0", "'acct'", "'V6_static_is_boolean'", f"{ok} AND c_nationkey = 5"),
+        ("0", "'acct'", "'V8_max_length_not_number'", f"{ok} AND c_nationkey = 9"),
+        ("1", "CASE WHEN c_nationkey = 11 THEN 'acct' ELSE 'holder' END", "'V5_required_key_missing'",
+         f"{ok} AND c_nationkey = 13"),
+        ("1", "CASE WHEN c_nationkey = 11 THEN 'acct' ELSE 'holder' END", "'V3_name_type_na'",
+         f"{ok} AND c_nationkey <> 13 AND c_mktsegment = 'FURNITURE'"),
+        ("1", "'acct'", "'V12_duplicate_field_name'", f"{ok} AND c_nationkey = 11"),
+        ("1", "CASE WHEN c_nationkey = 11 THEN 'acct' ELSE 'holder' END", "'V13_font_size_not_positive'",
+         f"{ok} AND c_mktsegment = 'AUTOMOBILE'"),
+    ]
+    parts = [f"SELECT {tid} AS template_id, CAST({p} AS INTEGER) AS pos, CAST({f} AS VARCHAR) AS field_name, "
+             f"{r} AS rule FROM customer WHERE {w}" for p, f, r, w in rows]
+    return "\nUNION ALL\n".join(parts)
+
+
+def _part_templates_cte() -> str:
+    return ("t AS (SELECT 'part_' || CAST(p_partkey AS VARCHAR) AS template_id, "
+            "replace(p_name, ' ', '_') || '.' || CAST(p_partkey AS VARCHAR) AS stem FROM part),"
+            "d AS (SELECT t.*, i AS doc_index, t.stem || '_' || CAST(i AS VARCHAR) AS doc_id FROM t, range(5) r(i))")
+
+
+def expand_documents() -> str:
+    return f"WITH {_part_templates_cte()} SELECT doc_id, template_id, doc_index FROM d"
+
+
+def manifest() -> str:
+    b = MANIFEST_BASE
+    return (f"WITH {_part_templates_cte()} SELECT doc_id, template_id, "
+            f"'{b}/jsons/' || doc_id || '.json' AS json_path, '{b}/pdfs/' || doc_id || '.pdf' AS pdf_path, "
+            f"'{b}/images/' || doc_id || '.png' AS image_path, '{b}/txts/' || doc_id || '.txt' AS txt_path FROM d")
+
+
+def pair_by_position() -> str:
+    return """WITH a AS (SELECT doc_id, row_number() OVER (ORDER BY source, doc_id) - 1 AS rank FROM documents),
+b AS (SELECT page_id, row_number() OVER (ORDER BY url, page_id) - 1 AS rank FROM pages)
+SELECT a.rank, a.doc_id, b.page_id FROM a JOIN b ON a.rank = b.rank"""
+
+
+def pair_by_stem_report() -> str:
+    return """SELECT coalesce(d.doc_id, l.doc_id) AS doc_id,
+  CASE WHEN d.doc_id IS NOT NULL AND l.doc_id IS NOT NULL THEN 'matched'
+       WHEN d.doc_id IS NOT NULL THEN 'left_only' ELSE 'right_only' END AS status
+FROM documents d FULL OUTER JOIN labels l ON d.doc_id = l.doc_id"""
+
+
 ORACLES = {
     "generate_values": generate_values,
+    "gen_alphanum": gen_alphanum,
+    "gen_date": gen_date,
+    "gen_datetime": gen_datetime,
+    "split_errors": split_errors,
+    "gen_number": gen_number,
+    "gen_decimal": gen_decimal,
+    "gen_currency": gen_currency,
+    "static_override": static_override,
+    "field_kinds": field_kinds,
+    "sample_uniform": sample_uniform,
+    "sample_weighted": sample_weighted,
+    "sample_weighted_range": sample_weighted,
+    "gen_name": gen_name,
+    "gen_address": gen_address,
+    "gen_address_text": gen_address_text,
+    "gen_email": gen_email,
+    "gen_company": gen_company,
+    "assemble_records": assemble_records,
+    "record_json": record_json,
+    "parse_annotations": parse_annotations,
+    "validate_templates": validate_templates,
+    "expand_documents": expand_documents,
+    "manifest": manifest,
+    "pair_by_position": pair_by_position,
+    "pair_by_stem_report": pair_by_stem_report,
 }
 
 

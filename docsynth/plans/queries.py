@@ -6,19 +6,376 @@ aliased columns; ``docsynth.plans.oracle`` holds the matching DuckDB SQL.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.values import generate_values
-from .fixtures import SEED, customer_documents, name_dictionaries, template_fields
+from ..functions.draws import randint, u01
+from ..functions.generators import alphanum, currency, gen_date, gen_decimal, gen_int, static_override
+from ..functions.generators import address_text as address_text_col
+from ..operators.expand import expand_documents, manifest
+from ..operators.pairing import pair_by_position, pair_by_stem
+from ..operators.persona import gen_address, gen_company, gen_email, gen_name
+from ..operators.records import assemble_records, record_json, record_kv
+from ..operators.sampling import sample_uniform, sample_weighted
+from ..operators.validate import validate_templates
+from ..operators.values import generate_values, split_errors, text_fields
+from ..sources.annotations import parse_annotations, stem, templates, typed_fields
+from .fixtures import SEED, cap, customer_documents, first_names_any, name_dictionaries, read, template_fields
 
+# Fixed values used by the queries (masks and formats exercised per row).
+ALNUM_MASKS = ["nnn-nn-nnnn", "CCcc nn", "Cnc-x#"]
+DATE_FORMATS = ["%d-%m-%Y", "%m/%d/%Y", "%B %d, %Y", "%Y%j", "%a %d %b %y"]
+DATETIME_FORMATS = ["%d-%m-%Y %H:%M:%S", "%Y-%m-%d %I:%M %p", "%A, %B %d %Y %H%%"]
+BAD_FORMATS = ["%d-%m-%Y", "%Q-%m", "%Y/%m/%d", "%d %Q", "%e-%m"]
+FLAG_TEXTS = ["True", "False", "false", "", None, "yes"]
+MANIFEST_BASE = "data"
 
-def q_generate_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+
+def _values(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = customer_documents(spark, sf_dir)
     first, last, indian = name_dictionaries(spark, sf_dir)
     return generate_values(docs, template_fields(spark), SEED, first, last, indian)
 
 
+def q_generate_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _values(spark, sf_dir)
+
+
+def _with_literal(df: DataFrame, items: list, idx_col: str, val_col: str) -> DataFrame:
+    """Each row repeated once per literal item (an explode, not a join)."""
+    arr = F.array(*[F.lit(x) for x in items])
+    return df.select("*", F.posexplode(arr).alias(idx_col, val_col))
+
+
+def q_gen_alphanum(spark, sf_dir):
+    c = read(spark, sf_dir, "customer").select("c_custkey")
+    c = _with_literal(c, ALNUM_MASKS, "mask_no", "mask")
+    k = [F.col("c_custkey"), F.col("mask_no")]
+    return c.select("c_custkey", "mask_no", "mask", alphanum(F.col("mask"), SEED, *k).alias("value"),
+                    alphanum(F.col("mask"), SEED, *k, literal="keep").alias("value_keep"))
+
+
+def q_gen_date(spark, sf_dir):
+    o = _with_literal(read(spark, sf_dir, "orders").select("o_orderkey"), DATE_FORMATS, "fmt_no", "fmt")
+    return o.select("o_orderkey", "fmt_no", "fmt",
+                    gen_date(F.col("fmt"), SEED, F.col("o_orderkey"), F.col("fmt_no")).alias("value"))
+
+
+def q_gen_datetime(spark, sf_dir):
+    o = _with_literal(read(spark, sf_dir, "orders").select("o_orderkey"), DATETIME_FORMATS, "fmt_no", "fmt")
+    return o.select("o_orderkey", "fmt_no", "fmt",
+                    gen_date(F.col("fmt"), SEED, F.col("o_orderkey"), F.col("fmt_no"), date_only=False)
+                    .alias("value"))
+
+
+def q_split_errors(spark, sf_dir):
+    """Dates with some unsupported formats: good and rejected rows, tagged."""
+    from ..functions.generators import date_format_error
+    o = _with_literal(read(spark, sf_dir, "orders").select("o_orderkey"), BAD_FORMATS, "fmt_no", "fmt")
+    o = o.select("o_orderkey", "fmt_no", "fmt",
+                 gen_date(F.col("fmt"), SEED, F.col("o_orderkey"), F.col("fmt_no")).alias("value"),
+                 F.when(date_format_error(F.col("fmt")), F.lit("V7_unsupported_date_format")).alias("error"))
+    good, bad = split_errors(o)
+    return good.withColumn("side", F.lit("good")).unionByName(bad.withColumn("side", F.lit("rejected")))
+
+
+def q_gen_number(spark, sf_dir):
+    o = read(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    k = F.col("o_orderkey")
+    return o.select("o_orderkey", gen_int(SEED, k, num_digits=5).alias("value"),
+                    randint(F.lit(0).cast("bigint"), F.floor(F.col("o_totalprice")).cast("bigint"), SEED, k, "range")
+                    .alias("value_range"))
+
+
+def q_gen_decimal(spark, sf_dir):
+    o = read(spark, sf_dir, "orders").select("o_orderkey")
+    return o.select("o_orderkey", gen_decimal(SEED, F.col("o_orderkey"), num_digits=2, decimal_places=2)
+                    .alias("value"))
+
+
+def q_gen_currency(spark, sf_dir):
+    o = read(spark, sf_dir, "orders").select("o_orderkey")
+    x = gen_decimal(SEED, F.col("o_orderkey"), start=-50000, end=50000, decimal_places=2)
+    o = o.select("o_orderkey", x.alias("amount"))
+    a = F.col("amount")
+    return o.select("o_orderkey", "amount", currency(a).alias("usd"),
+                    currency(a, symbol=False).alias("usd_plain"),
+                    currency(a, grouping=False).alias("usd_ungrouped"))
+
+
+def q_static_override(spark, sf_dir):
+    c = read(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+    static = (F.when(F.col("c_custkey") % 4 == 1, F.lit("X")).when(F.col("c_custkey") % 4 == 2, F.col("c_mktsegment"))
+              .when(F.col("c_custkey") % 4 == 3, F.lit("")))
+    c = c.select("c_custkey", alphanum("nnnn", SEED, F.col("c_custkey")).alias("generated"),
+                 static.alias("static_value"))
+    return c.select("*", static_override(F.col("generated"), F.col("static_value")).alias("value"))
+
+
+def _flag(i: Column) -> Column:
+    return F.element_at(F.array(*[F.lit(x) for x in FLAG_TEXTS]), (i % len(FLAG_TEXTS)).cast("int") + 1)
+
+
+def q_field_kinds(spark, sf_dir):
+    c = read(spark, sf_dir, "customer").select("c_custkey")
+    k = F.col("c_custkey")
+    n = len(FLAG_TEXTS)
+    f = c.select(F.col("c_custkey").cast("string").alias("template_id"), F.lit(0).alias("pos"),
+                 F.when(k % 10 == 0, F.lit("checkbox")).otherwise(F.lit("textbox")).alias("type"),
+                 _flag(k).alias("is_alphanum"), _flag(F.floor(k / n)).alias("is_date"),
+                 _flag(F.floor(k / (n * n))).alias("is_name"),
+                 F.lit("nn").alias("mask"), F.lit("%Y").alias("date_format"), F.lit("full").alias("name_type"),
+                 F.lit(None).cast("string").alias("static_value"))
+    t = text_fields(f)
+    return t.select(F.col("template_id").cast("bigint").alias("c_custkey"), "type", "is_alphanum", "is_date",
+                    "is_name", "kind")
+
+
+def q_sample_uniform(spark, sf_dir):
+    e = read(spark, sf_dir, "events").select("event_id")
+    s = read(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
+    return sample_uniform(e, s, u01(SEED, F.col("event_id"), "supplier"), ["s_suppkey"]) \
+        .select("event_id", "s_suppkey", "s_name")
+
+
+def _part_words(spark, sf_dir) -> DataFrame:
+    p = read(spark, sf_dir, "part").select("p_name")
+    w = p.select(F.explode(F.split(F.col("p_name"), " ")).alias("word")).filter(F.col("word") != "")
+    return w.groupBy("word").agg(F.count(F.lit(1)).cast("bigint").alias("weight"))
+
+
+def q_sample_weighted(spark, sf_dir):
+    e = read(spark, sf_dir, "events").select("event_id")
+    return sample_weighted(e, _part_words(spark, sf_dir), u01(SEED, F.col("event_id"), "word"), ["word"],
+                           "weight").select("event_id", "word")
+
+
+def q_sample_weighted_range(spark, sf_dir):
+    e = read(spark, sf_dir, "events").select("event_id")
+    return sample_weighted(e, _part_words(spark, sf_dir), u01(SEED, F.col("event_id"), "word"), ["word"],
+                           "weight", method="range").select("event_id", "word")
+
+
+def _customer_name_params(spark, sf_dir) -> DataFrame:
+    c = read(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+    return c.select(
+        "c_custkey", "c_name", "c_nationkey",
+        F.when(F.col("c_mktsegment") == "HOUSEHOLD", F.lit("first_name"))
+        .when(F.col("c_mktsegment") == "MACHINERY", F.lit("last_name")).otherwise(F.lit("full")).alias("name_type"),
+        F.when(F.col("c_nationkey") % 3 == 0, F.lit("male")).when(F.col("c_nationkey") % 3 == 1, F.lit("female"))
+        .otherwise(F.lit("x")).alias("name_gender"),
+        F.when(F.col("c_acctbal") < 1000, F.lit("True")).otherwise(F.lit("False")).alias("name_indian"),
+        F.when(F.col("c_nationkey") % 4 == 0, F.lit("True")).otherwise(F.lit("False")).alias("name_suffix"))
+
+
+def q_gen_name(spark, sf_dir):
+    first, last, indian = name_dictionaries(spark, sf_dir)
+    c = _customer_name_params(spark, sf_dir)
+    return gen_name(c, ["c_custkey"], SEED, first, last, indian).select("c_custkey", "name", "name_error")
+
+
+def address_book(spark, sf_dir) -> DataFrame:
+    """supplier x nation x region as an address set (no city for every fifth nation)."""
+    s = read(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey", "s_acctbal")
+    n = read(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    r = read(spark, sf_dir, "region").select("r_regionkey", "r_name")
+    j = s.join(F.broadcast(n), s.s_nationkey == n.n_nationkey).join(F.broadcast(r), n.n_regionkey == r.r_regionkey)
+    return j.select(
+        "s_suppkey",
+        F.concat(F.col("s_suppkey").cast("string"), F.lit(" "), F.col("n_name"), F.lit(" Road")).alias("address1"),
+        F.when(F.col("s_acctbal") > 5000, F.concat(F.lit(" Apt "), (F.floor(F.col("s_acctbal")) % 100).cast("string")))
+        .otherwise(F.lit("")).alias("address2"),
+        F.when(F.col("s_nationkey") % 5 == 0, F.lit(None).cast("string"))
+        .otherwise(F.concat(F.lit("City"), F.col("s_nationkey").cast("string"))).alias("city"),
+        F.col("r_name").alias("state"),
+        F.lpad(((F.col("s_suppkey") * 37) % 100000).cast("string"), 5, "0").alias("postalCode"))
+
+
+def q_gen_address(spark, sf_dir):
+    c = read(spark, sf_dir, "customer").select("c_custkey")
+    return gen_address(c, ["c_custkey"], SEED, address_book(spark, sf_dir), ["s_suppkey"]) \
+        .select("c_custkey", "address", "city", "state", "postal_code")
+
+
+def q_gen_address_text(spark, sf_dir):
+    c = read(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    a = gen_address(c, ["c_custkey"], SEED, address_book(spark, sf_dir), ["s_suppkey"])
+    return a.select("c_custkey", address_text_col(F.col("address"), F.col("city"), F.col("state"),
+                                                  F.col("postal_code"), F.col("c_name")).alias("text"))
+
+
+def q_gen_email(spark, sf_dir):
+    first, last, _ = name_dictionaries(spark, sf_dir)
+    c = read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    c = c.withColumn("random_domain", F.col("c_nationkey") % 2 == 0)
+    return gen_email(c, ["c_custkey"], SEED, first_names_any(first), last, "random_domain") \
+        .select("c_custkey", "email")
+
+
+def q_gen_company(spark, sf_dir):
+    first, _, _ = name_dictionaries(spark, sf_dir)
+    c = read(spark, sf_dir, "customer").select("c_custkey")
+    return gen_company(c, ["c_custkey"], SEED, first_names_any(first)).select("c_custkey", "company")
+
+
+def q_assemble_records(spark, sf_dir):
+    rec = assemble_records(_values(spark, sf_dir))
+    return rec.select("doc_id", "template_id", F.size("textbox").cast("int").alias("n_fields"),
+                      record_kv(F.col("textbox")).alias("record_kv"))
+
+
+def q_record_json(spark, sf_dir):
+    rec = assemble_records(_values(spark, sf_dir))
+    return rec.select("doc_id", record_json(F.col("textbox")).alias("json"))
+
+
+# ---- templates from XML ----
+
+def _xml_escape(c: Column) -> Column:
+    return F.regexp_replace(F.regexp_replace(F.regexp_replace(c, "&", "&amp;"), "<", "&lt;"), ">", "&gt;")
+
+
+def _tag(name: str, body: Column) -> Column:
+    return F.concat(F.lit(f"<{name}>"), body, F.lit(f"</{name}>"))
+
+
+def _attr(name: str, value: Column) -> Column:
+    return _tag("attribute", F.concat(_tag("name", F.lit(name)), _tag("value", _xml_escape(value))))
+
+
+def _box(xmin: Column, ymin: Column, xmax: Column, ymax: Column) -> Column:
+    return _tag("bndbox", F.concat(_tag("xmin", xmin), _tag("ymin", ymin), _tag("xmax", xmax), _tag("ymax", ymax)))
+
+
+def part_annotation_xml(spark, sf_dir) -> DataFrame:
+    """One VOC annotation per part: a text box (attributes in a wrapper, a
+    repeated field name when p_size > 40) and a check box (bare attributes)."""
+    p = read(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice")
+    s = F.col("p_size")
+    obj0 = _tag("object", F.concat(
+        _tag("name", F.lit("textbox")),
+        _box(F.col("p_retailprice").cast("string"), s.cast("string"),
+             (F.col("p_retailprice") + F.lit(100.0)).cast("string"), (s + 20).cast("string")),
+        _tag("attributes", F.concat(
+            _attr("1_field_name", F.col("p_brand")), _attr("2_max_length", s.cast("string")),
+            _attr("3_is_alphanum", F.when(s % 2 == 0, F.lit("True")).otherwise(F.lit("False"))),
+            _attr("alpha_num_placement", F.when(F.col("p_type") == "SMALL", F.lit("")).otherwise(F.lit("nnn-nn"))),
+            _attr("static_value", F.concat(F.lit(" "), F.col("p_type"), F.lit(" "))),
+            F.when(s > 40, _attr("1_field_name", F.col("p_name"))).otherwise(F.lit(""))))))
+    obj1 = _tag("object", F.concat(
+        _tag("name", F.lit("checkbox")),
+        _box(F.lit("-1.9"), F.lit("0"), F.lit("10.99"), F.lit("10")),
+        _attr("1_field_name", F.concat(F.lit("chk_"), F.col("p_partkey").cast("string")))))
+    xml = _tag("annotation", F.concat(
+        _tag("size", F.concat(_tag("width", (s * 20).cast("string")), _tag("height", (s * 25).cast("string")))),
+        obj0, obj1))
+    return p.select(F.concat(F.lit("part_"), F.col("p_partkey").cast("string")).alias("template_id"),
+                    xml.alias("xml"))
+
+
+def q_parse_annotations(spark, sf_dir):
+    parsed = parse_annotations(part_annotation_xml(spark, sf_dir))
+    t = templates(parsed).select("template_id", "width", "height")
+    f = typed_fields(parsed).select("template_id", "pos", "type", "xmin", "ymin", "xmax", "ymax", "field_name",
+                                    "max_length", "is_alphanum", "mask", "static_value")
+    return f.join(t, "template_id")
+
+
+def customer_annotation_xml(spark, sf_dir) -> DataFrame:
+    """One annotation per customer with defects injected from its columns."""
+    c = read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
+    nk, seg = F.col("c_nationkey"), F.col("c_mktsegment")
+    size = _tag("size", F.concat(
+        _tag("width", F.when(F.col("c_acctbal") < 0, F.lit("800.0")).otherwise(F.lit("800"))),
+        F.when(nk == 3, F.lit("")).otherwise(_tag("height", F.lit("1000")))))
+    obj0 = _tag("object", F.concat(
+        _tag("name", F.lit("textbox")),
+        _box(F.when(nk == 17, F.lit("abc")).otherwise(F.lit("40")), F.lit("60"), F.lit("240"), F.lit("80")),
+        _tag("attributes", F.concat(
+            _attr("1_field_name", F.lit("acct")),
+            _attr("2_max_length", F.when(nk == 9, F.lit("abc")).otherwise(F.lit("4"))),
+            _attr("3_is_alphanum", F.lit("True")),
+            _attr("alpha_num_placement", F.when(seg == "BUILDING", F.lit("")).otherwise(F.lit("nnnn"))),
+            _attr("static_value", F.when(nk == 5, F.lit("True")).otherwise(F.lit("")))))))
+    obj1 = _tag("object", F.concat(
+        _tag("name", F.lit("textbox")),
+        _box(F.lit("40"), F.lit("100"), F.lit("240"), F.when(seg == "AUTOMOBILE", F.lit("105")).otherwise(F.lit("130"))),
+        _tag("attributes", F.concat(
+            _attr("1_field_name", F.when(nk == 11, F.lit("acct")).otherwise(F.lit("holder"))),
+            _attr("2_max_length", F.lit("20")), _attr("3_is_alphanum", F.lit("False")),
+            _attr("4_is_date", F.lit("False")), _attr("5_is_name", F.lit("True")),
+            F.when(nk == 13, F.lit("")).otherwise(
+                _attr("name_type", F.when(seg == "FURNITURE", F.lit("n/a")).otherwise(F.lit("full")))),
+            _attr("name_gender", F.lit("")), _attr("static_value", F.lit(""))))))
+    xml = _tag("annotation", F.concat(size, obj0, obj1))
+    xml = F.when(nk == 7, F.substring(xml, 1, 60)).otherwise(xml)
+    return c.select(F.concat(F.lit("cust_"), F.col("c_custkey").cast("string")).alias("template_id"),
+                    xml.alias("xml"))
+
+
+def q_validate_templates(spark, sf_dir):
+    return validate_templates(parse_annotations(customer_annotation_xml(spark, sf_dir)))
+
+
+# ---- documents ----
+
+def part_templates(spark, sf_dir) -> DataFrame:
+    p = read(spark, sf_dir, "part").select("p_partkey", "p_name")
+    path = F.concat(F.lit("/forms/JPEGImages/"), F.regexp_replace(F.col("p_name"), " ", "_"), F.lit("."),
+                    F.col("p_partkey").cast("string"), F.lit(".jpg"))
+    return p.select(F.concat(F.lit("part_"), F.col("p_partkey").cast("string")).alias("template_id"),
+                    path.alias("image_path"))
+
+
+def q_expand_documents(spark, sf_dir):
+    t = part_templates(spark, sf_dir).withColumn("stem", stem(F.col("image_path")))
+    return expand_documents(t, 5, stem_col="stem").select("doc_id", "template_id", "doc_index")
+
+
+def q_manifest(spark, sf_dir):
+    t = part_templates(spark, sf_dir).withColumn("stem", stem(F.col("image_path")))
+    d = expand_documents(t, 5, stem_col="stem").select("doc_id", "template_id")
+    return manifest(d, MANIFEST_BASE)
+
+
+def q_pair_by_position(spark, sf_dir):
+    d = read(spark, sf_dir, "documents").select("doc_id", "source")
+    p = read(spark, sf_dir, "pages").select("page_id", "url")
+    return pair_by_position(d, p, ["source", "doc_id"], ["url", "page_id"]) \
+        .select("rank", "doc_id", "page_id")
+
+
+def q_pair_by_stem_report(spark, sf_dir):
+    d = read(spark, sf_dir, "documents").select("doc_id")
+    lab = read(spark, sf_dir, "labels").select("doc_id")
+    return pair_by_stem(d, lab, "doc_id")
+
+
 QUERIES = {
     "generate_values": q_generate_values,
+    "gen_alphanum": q_gen_alphanum,
+    "gen_date": q_gen_date,
+    "gen_datetime": q_gen_datetime,
+    "split_errors": q_split_errors,
+    "gen_number": q_gen_number,
+    "gen_decimal": q_gen_decimal,
+    "gen_currency": q_gen_currency,
+    "static_override": q_static_override,
+    "field_kinds": q_field_kinds,
+    "sample_uniform": q_sample_uniform,
+    "sample_weighted": q_sample_weighted,
+    "sample_weighted_range": q_sample_weighted_range,
+    "gen_name": q_gen_name,
+    "gen_address": q_gen_address,
+    "gen_address_text": q_gen_address_text,
+    "gen_email": q_gen_email,
+    "gen_company": q_gen_company,
+    "assemble_records": q_assemble_records,
+    "record_json": q_record_json,
+    "parse_annotations": q_parse_annotations,
+    "validate_templates": q_validate_templates,
+    "expand_documents": q_expand_documents,
+    "manifest": q_manifest,
+    "pair_by_position": q_pair_by_position,
+    "pair_by_stem_report": q_pair_by_stem_report,
 }
