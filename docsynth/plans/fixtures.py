@@ -50,6 +50,9 @@ TEMPLATE_FIELDS = [
     ("invoice", 4, "textbox", 250, 90, 450, 110, "reference", "8", T, Fa, Fa, "ccccnnnn", None, "n/a", Fa, None, Fa, "R-1"),
 ]
 
+# Template image sizes (pixels) of the two literal templates.
+TEMPLATE_SIZES = [("w2", 800, 1000), ("invoice", 600, 800)]
+
 # Helvetica advance widths per 1000 em for the printable ASCII
 # range (space to tilde, in code point order); other characters use 556.
 HELVETICA_WIDTHS = [
@@ -67,6 +70,10 @@ def template_fields(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(TEMPLATE_FIELDS, FIELD_SCHEMA)
 
 
+def template_sizes(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(TEMPLATE_SIZES, "template_id string, width int, height int")
+
+
 def font_metrics(spark: SparkSession) -> DataFrame:
     rows = [(chr(32 + i), int(w)) for i, w in enumerate(HELVETICA_WIDTHS)]
     return spark.createDataFrame(rows, "ch string, advance int")

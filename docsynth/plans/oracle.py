@@ -6,6 +6,8 @@ from . import sqltext as S
 from .fixtures import FIELD_COLUMNS, SEED, TEMPLATE_FIELDS
 from .queries import (ALNUM_MASKS, BAD_FORMATS, DATE_FORMATS, DATETIME_FORMATS, FLAG_TEXTS, MANIFEST_BASE)
 from ..functions.generators import FEMALE_HONORIFICS
+from ..operators.augplan import CATALOG, expected_rate, gate_threshold, member_interval
+from .fixtures import DEFAULT_ADVANCE, HELVETICA_WIDTHS, TEMPLATE_SIZES
 from ..sources.dictionaries import (COMPANY_ADJECTIVES, COMPANY_NOUNS, EMAIL_DOMAINS, EMAIL_SEPARATORS)
 
 _FIELD_TYPES = ["VARCHAR", "INTEGER", "VARCHAR", "INTEGER", "INTEGER", "INTEGER", "INTEGER"] + ["VARCHAR"] * 12
@@ -388,6 +390,186 @@ def pair_by_stem_report() -> str:
 FROM documents d FULL OUTER JOIN labels l ON d.doc_id = l.doc_id"""
 
 
+
+def _d(x) -> str:
+    return f"CAST('{float(x)!r}' AS DOUBLE)" if x is not None else "CAST(NULL AS DOUBLE)"
+
+
+def combine_boxes() -> str:
+    x0 = "CAST(l_linenumber AS DOUBLE) * 10.0::DOUBLE"
+    return f"""SELECT l_orderkey, min({x0}) AS x0, min(l_quantity) AS y0,
+  max({x0} + l_extendedprice / 1000.0::DOUBLE) AS x1, max(l_quantity + l_tax * 100.0::DOUBLE) AS y1
+FROM lineitem GROUP BY l_orderkey"""
+
+
+def _words_sql(glyphs: str, carry: str = "") -> str:
+    """Gaps-and-islands words over a glyph relation (doc_id, page, line, pos, ch, x0..y1)."""
+    c = f", {carry}" if carry else ""
+    return f"""gs AS (SELECT *, CASE WHEN ch IN (' ', chr(10)) THEN 1 ELSE 0 END AS sep FROM {glyphs}),
+gi AS (SELECT *, SUM(sep) OVER (PARTITION BY doc_id, page, line ORDER BY pos
+      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS island,
+    SUM(sep) OVER (PARTITION BY doc_id, page, line) AS nsep FROM gs),
+wd AS (SELECT doc_id, page, line, island{c}, string_agg(ch, '' ORDER BY pos) AS text,
+    min(x0) AS x0, min(y0) AS y0, max(x1) AS x1, max(y1) AS y1
+  FROM gi WHERE sep = 0 AND island < nsep GROUP BY doc_id, page, line, island{c}),
+words AS (SELECT *, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY page, line, island) - 1 AS BIGINT) AS word_no
+  FROM wd)"""
+
+
+def words_from_glyphs() -> str:
+    chars = "list_filter(string_split(ltext, ''), lambda c: c <> '')"
+    return f"""WITH ln AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS ltext,
+    generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line, len(string_split(text, chr(10))) AS nl
+  FROM documents),
+cs AS (SELECT doc_id, line, CASE WHEN line < nl - 1 THEN list_append({chars}, chr(10)) ELSE {chars} END AS cs FROM ln),
+g0 AS (SELECT doc_id, 1 AS page, line, unnest(cs) AS ch, generate_subscripts(cs, 1) - 1 AS pos FROM cs),
+glyphs AS (SELECT doc_id, page, line, pos, ch, CAST(pos AS DOUBLE) * 6.0::DOUBLE AS x0,
+    CAST(line AS DOUBLE) * 12.0::DOUBLE AS y0, CAST(pos AS DOUBLE) * 6.0::DOUBLE + 6.0::DOUBLE AS x1,
+    CAST(line AS DOUBLE) * 12.0::DOUBLE + 10.0::DOUBLE AS y1 FROM g0),
+{_words_sql('glyphs')}
+SELECT doc_id, page, line, word_no, text, x0, y0, x1, y1 FROM words"""
+
+
+def _widget_cols(xmin: str, ymin: str, xmax: str, ymax: str, width: str, height: str) -> dict[str, str]:
+    pw = f"(CAST({width} AS DOUBLE) * 72.0::DOUBLE / 100.0::DOUBLE)"
+    ph = f"(CAST({height} AS DOUBLE) * 72.0::DOUBLE / 100.0::DOUBLE)"
+    sw, sh = f"({pw} / CAST({width} AS DOUBLE))", f"({ph} / CAST({height} AS DOUBLE))"
+    x1, y1 = f"(CAST({xmin} AS DOUBLE) * {sh})", f"(CAST({ymin} AS DOUBLE) * {sw})"
+    x2, y2 = f"(CAST({xmax} AS DOUBLE) * {sh})", f"(CAST({ymax} AS DOUBLE) * {sw})"
+    by1, by2 = f"({ph} - {y2} - 1.0::DOUBLE)", f"({ph} - {y1} - 1.0::DOUBLE)"
+    h = f"({by2} - {by1})"
+    return {"x": x1, "y": by1, "w": f"({x2} - {x1})", "h": h,
+            "font_size": f"CAST(trunc({h} - 4.0::DOUBLE) AS INTEGER)"}
+
+
+def widgets() -> str:
+    w = _widget_cols("xmin", "ymin", "xmax", "ymax", "width", "height")
+    return f"""WITH f AS (SELECT 'part_' || CAST(p_partkey AS VARCHAR) AS template_id, 0 AS pos,
+    CASE WHEN p_size > 40 THEN p_name ELSE p_brand END AS name, CAST(p_size AS VARCHAR) AS max_length,
+    CAST(trunc(p_retailprice) AS INTEGER) AS xmin, p_size AS ymin, CAST(trunc(p_retailprice + 100.0) AS INTEGER) AS xmax,
+    p_size + 20 AS ymax, p_size * 20 AS width, p_size * 25 AS height FROM part)
+SELECT template_id, pos, name, 1 AS page_number, {w['x']} AS x, {w['y']} AS y, {w['w']} AS w, {w['h']} AS h,
+  TRY_CAST(max_length AS DOUBLE) AS max_length, 'Helvetica' AS font, {w['font_size']} AS font_size, -1 AS border_width
+FROM f"""
+
+
+def _glyph_ctes() -> str:
+    sizes = S.values_clause(TEMPLATE_SIZES, ["template_id", "width", "height"], ["VARCHAR", "INTEGER", "INTEGER"])
+    metrics = S.values_clause([(chr(32 + i), w) for i, w in enumerate(HELVETICA_WIDTHS)], ["ch", "advance"],
+                              ["VARCHAR", "INTEGER"])
+    w = _widget_cols("f.xmin", "f.ymin", "f.xmax", "f.ymax", "s.width", "s.height")
+    return f"""{_values_ctes()},
+sizes AS (SELECT * FROM {sizes}),
+metrics AS (SELECT * FROM {metrics}),
+wg AS (SELECT f.template_id, f.pos, {w['x']} AS x, {w['y']} AS y, {w['font_size']} AS font_size
+  FROM fields f JOIN sizes s ON f.template_id = s.template_id WHERE f.type = 'textbox'),
+gv AS (SELECT v.doc_id, v.template_id, v.pos AS line, w.x, w.y, w.font_size,
+    list_filter(string_split(v.value, ''), lambda c: c <> '') AS cs
+  FROM vals v JOIN wg w ON v.template_id = w.template_id AND v.pos = w.pos
+  WHERE v.error IS NULL AND v.value IS NOT NULL),
+g1 AS (SELECT doc_id, template_id, line, x, y, font_size, unnest(cs) AS ch, generate_subscripts(cs, 1) - 1 AS pos FROM gv),
+g2 AS (SELECT g1.*, coalesce(m.advance, {DEFAULT_ADVANCE}) AS adv FROM g1 LEFT JOIN metrics m ON m.ch = g1.ch),
+g3 AS (SELECT doc_id, template_id, line, x, y, font_size, pos, ch, adv,
+    coalesce(SUM(adv) OVER (PARTITION BY doc_id, line ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS b
+  FROM g2),
+nl AS (SELECT gv.doc_id, gv.template_id, gv.line, gv.x, gv.y, gv.font_size, len(gv.cs) AS pos, chr(10) AS ch, 0 AS adv,
+    coalesce(t.s, 0) AS b
+  FROM gv LEFT JOIN (SELECT doc_id, line, SUM(adv) AS s FROM g2 GROUP BY doc_id, line) t
+    ON gv.doc_id = t.doc_id AND gv.line = t.line),
+ga AS (SELECT * FROM g3 UNION ALL SELECT doc_id, template_id, line, x, y, font_size, pos, ch, adv, b FROM nl),
+glyphs AS (SELECT doc_id, template_id, 1 AS page, line, pos, ch,
+    x + CAST(font_size * b AS DOUBLE) / 1000.0::DOUBLE AS x0, y AS y0,
+    x + CAST(font_size * (b + adv) AS DOUBLE) / 1000.0::DOUBLE AS x1, y + CAST(font_size AS DOUBLE) AS y1 FROM ga)"""
+
+
+def layout_glyphs() -> str:
+    return f"WITH {_glyph_ctes()}\nSELECT doc_id, page, line, pos, ch, x0, y0, x1, y1 FROM glyphs"
+
+
+def form_words() -> str:
+    return (f"WITH {_glyph_ctes()},\n{_words_sql('glyphs', 'template_id')}\n"
+            "SELECT doc_id, line, word_no, text, x0, y0, x1, y1 FROM words")
+
+
+def _label_ctes() -> str:
+    heights = " ".join(f"WHEN '{t}' THEN {h * 2}" for t, _, h in TEMPLATE_SIZES)
+    return f"""{_glyph_ctes()},
+{_words_sql('glyphs', 'template_id')},
+lw AS (SELECT words.*, CAST(CASE template_id {heights} END AS DOUBLE) AS img_h,
+    x0 * 2.0::DOUBLE AS sx0, y0 * 2.0::DOUBLE AS sy0, x1 * 2.0::DOUBLE AS sx1, y1 * 2.0::DOUBLE AS sy1 FROM words),
+lf AS (SELECT *, CAST(trunc((sy1 - sy0) * 0.1::DOUBLE) AS INTEGER) AS shift FROM lw),
+lq AS (SELECT *, sx0 - 1 AS fx0, img_h - sy0 - shift AS fy0, sx1 + 1 AS fx1, img_h - sy1 - shift AS fy1 FROM lf)"""
+
+
+def _quad(x0: str, y0: str, x1: str, y1: str) -> list[str]:
+    a, b, c, d = (f"CAST(trunc({v}) AS INTEGER)" for v in (x0, y0, x1, y1))
+    return [a, b, c, b, c, d, a, d]
+
+
+def label_boxes() -> str:
+    qa, qr = _quad("fx0", "fy0", "fx1", "fy1"), _quad("x0", "y0", "x1", "y1")
+    cols_a = ", ".join(f"{q} AS q{i + 1}" for i, q in enumerate(qa))
+    cols_r = ", ".join(f"{q} AS q{i + 1}" for i, q in enumerate(qr))
+    return f"""WITH {_label_ctes()}
+SELECT doc_id, word_no, TRUE AS augment, {cols_a}, text FROM lq
+UNION ALL
+SELECT doc_id, word_no, FALSE AS augment, {cols_r}, text FROM lq"""
+
+
+def label_lines() -> str:
+    qa = _quad("fx0", "fy0", "fx1", "fy1")
+    parts = ", ".join(f"CAST({q} AS VARCHAR)" for q in qa)
+    return f"WITH {_label_ctes()}\nSELECT doc_id, word_no, concat_ws(',', {parts}, text) AS line FROM lq"
+
+
+def _catalog_values(probability: float = 0.5) -> str:
+    rows = []
+    for order, op in enumerate(CATALOG):
+        thr = gate_threshold(op, probability)
+        plo, phi = member_interval(op, probability) if op.group else (None, None)
+        grp = S.sql_str(op.group) if op.group else "NULL"
+        base = f"{order}, {S.sql_str(op.phase)}, {op.slot}, {S.sql_str(op.op)}, {grp}, {_d(thr)}, {_d(plo)}, {_d(phi)}"
+        for prm in (op.params or (None,)):
+            if prm is None:
+                rows.append(f"({base}, NULL, NULL, {_d(None)}, {_d(None)}, NULL, NULL)")
+                continue
+            ch = S.sql_str("|".join(prm.choices)) if prm.choices else "NULL"
+            fx = S.sql_str(prm.value) if prm.value is not None else "NULL"
+            rows.append(f"({base}, {S.sql_str(prm.name)}, {S.sql_str(prm.kind)}, {_d(prm.lo)}, {_d(prm.hi)}, {ch}, {fx})")
+    return ("(VALUES " + ", ".join(rows) +
+            ") AS c(ord, phase, slot, op, grp, thr, plo, phi, param, kind, lo, hi, choices, fixed)")
+
+
+def _plan_cte() -> str:
+    d = "o.o_orderkey"
+    ug, up = S.sql_u01(SEED, d, "'aug'", "c.grp", "'gate'"), S.sql_u01(SEED, d, "'aug'", "c.grp", "'pick'")
+    uo = S.sql_u01(SEED, d, "'aug'", "c.op", "'gate'")
+    active = f"CASE WHEN c.grp IS NULL THEN {uo} < c.thr ELSE {ug} < c.thr AND {up} >= c.plo AND {up} < c.phi END"
+    u = S.sql_u01(SEED, "o_orderkey", "'aug'", "op", "param")
+    n_ch = "len(string_split(choices, '|'))"
+    randint = f"CAST(CAST(lo AS BIGINT) + CAST(floor({u} * (CAST(hi AS BIGINT) - CAST(lo AS BIGINT) + 1)) AS BIGINT) AS DOUBLE)"
+    return f"""x AS (SELECT {d}, c.*, {active} AS active FROM orders o, {_catalog_values()}),
+plan AS (SELECT o_orderkey, CAST(dense_rank() OVER (PARTITION BY o_orderkey ORDER BY ord) AS INTEGER) AS step,
+    phase, slot, op, param,
+    CASE WHEN kind = 'range' THEN lo END AS lo, CASE WHEN kind = 'range' THEN hi END AS hi,
+    CASE kind WHEN 'uniform' THEN lo + {u} * (hi - lo) WHEN 'randint' THEN {randint} END AS value_num,
+    CASE kind WHEN 'choice' THEN string_split(choices, '|')[CAST(floor({u} * {n_ch}) AS INTEGER) + 1]
+      WHEN 'fixed' THEN fixed END AS value
+  FROM x WHERE active)"""
+
+
+def augmentation_plan() -> str:
+    return f"WITH {_plan_cte()}\nSELECT o_orderkey, step, phase, slot, op, param, lo, hi, value_num, value FROM plan"
+
+
+def plan_audit() -> str:
+    exp = ", ".join(f"({S.sql_str(o.op)}, {_d(expected_rate(o, 0.5))})" for o in CATALOG)
+    return f"""WITH {_plan_cte()},
+per_op AS (SELECT op, COUNT(DISTINCT o_orderkey) AS n FROM plan GROUP BY op)
+SELECT p.op, CAST(p.n AS BIGINT) AS n_active, CAST(p.n AS DOUBLE) / CAST((SELECT COUNT(*) FROM orders) AS DOUBLE) AS rate,
+  e.expected_rate FROM per_op p JOIN (VALUES {exp}) AS e(op, expected_rate) ON p.op = e.op"""
+
+
 ORACLES = {
     "generate_values": generate_values,
     "gen_alphanum": gen_alphanum,
@@ -415,6 +597,15 @@ ORACLES = {
     "manifest": manifest,
     "pair_by_position": pair_by_position,
     "pair_by_stem_report": pair_by_stem_report,
+    "combine_boxes": combine_boxes,
+    "words_from_glyphs": words_from_glyphs,
+    "widgets": widgets,
+    "layout_glyphs": layout_glyphs,
+    "form_words": form_words,
+    "label_boxes": label_boxes,
+    "label_lines": label_lines,
+    "augmentation_plan": augmentation_plan,
+    "plan_audit": plan_audit,
 }
 
 

@@ -20,7 +20,13 @@ from ..operators.sampling import sample_uniform, sample_weighted
 from ..operators.validate import validate_templates
 from ..operators.values import generate_values, split_errors, text_fields
 from ..sources.annotations import parse_annotations, stem, templates, typed_fields
-from .fixtures import SEED, cap, customer_documents, first_names_any, name_dictionaries, read, template_fields
+from ..operators.augplan import augmentation_plan, plan_audit
+from ..operators.labels import QUAD_COLS, label_boxes, label_lines
+from ..operators.layout import layout_glyphs, widgets
+from ..operators.words import combine_boxes, glyphs_from_text, words_from_glyphs
+from ..functions.geometry import DEFAULT_RENDER_FACTOR
+from .fixtures import (SEED, TEMPLATE_SIZES, cap, customer_documents, first_names_any, font_metrics,
+                       name_dictionaries, read, template_fields, template_sizes)
 
 # Fixed values used by the queries (masks and formats exercised per row).
 ALNUM_MASKS = ["nnn-nn-nnnn", "CCcc nn", "Cnc-x#"]
@@ -351,6 +357,75 @@ def q_pair_by_stem_report(spark, sf_dir):
     return pair_by_stem(d, lab, "doc_id")
 
 
+# ---- layout, words, labels ----
+
+def q_combine_boxes(spark, sf_dir):
+    li = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_tax")
+    x0 = F.col("l_linenumber").cast("double") * F.lit(10.0)
+    boxes = li.select("l_orderkey", x0.alias("bx0"), F.col("l_quantity").alias("by0"),
+                      (x0 + F.col("l_extendedprice") / F.lit(1000.0)).alias("bx1"),
+                      (F.col("l_quantity") + F.col("l_tax") * F.lit(100.0)).alias("by1"))
+    return combine_boxes(boxes, ["l_orderkey"], "bx0", "by0", "bx1", "by1")
+
+
+def q_words_from_glyphs(spark, sf_dir):
+    d = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return words_from_glyphs(glyphs_from_text(d)).select("doc_id", "page", "line", "word_no", "text",
+                                                         "x0", "y0", "x1", "y1")
+
+
+def q_widgets(spark, sf_dir):
+    parsed = parse_annotations(part_annotation_xml(spark, sf_dir))
+    return widgets(templates(parsed), typed_fields(parsed))
+
+
+def _template_widgets(spark) -> DataFrame:
+    return widgets(template_sizes(spark), template_fields(spark))
+
+
+def _glyphs(spark, sf_dir) -> DataFrame:
+    vals, _ = split_errors(_values(spark, sf_dir))
+    return layout_glyphs(vals, _template_widgets(spark), font_metrics(spark))
+
+
+def q_layout_glyphs(spark, sf_dir):
+    return _glyphs(spark, sf_dir).drop("template_id")
+
+
+def _image_height(factor: float = DEFAULT_RENDER_FACTOR) -> Column:
+    sizes = F.create_map(*[x for t, _, h in TEMPLATE_SIZES for x in (F.lit(t), F.lit(int(h * factor)))])
+    return sizes[F.col("template_id")]
+
+
+def _form_words(spark, sf_dir) -> DataFrame:
+    return words_from_glyphs(_glyphs(spark, sf_dir), carry=["template_id"])
+
+
+def q_form_words(spark, sf_dir):
+    return _form_words(spark, sf_dir).select("doc_id", "line", "word_no", "text", "x0", "y0", "x1", "y1")
+
+
+def q_label_boxes(spark, sf_dir):
+    w = _form_words(spark, sf_dir).withColumn("augment", F.explode(F.array(F.lit(True), F.lit(False))))
+    lb = label_boxes(w, _image_height(), F.col("augment"))
+    return lb.select("doc_id", "word_no", "augment", *QUAD_COLS, "text")
+
+
+def q_label_lines(spark, sf_dir):
+    lb = label_boxes(_form_words(spark, sf_dir), _image_height(), True)
+    return label_lines(lb)
+
+
+def q_augmentation_plan(spark, sf_dir):
+    o = read(spark, sf_dir, "orders").select("o_orderkey")
+    return augmentation_plan(o, 0.5, SEED, doc_col="o_orderkey")
+
+
+def q_plan_audit(spark, sf_dir):
+    o = read(spark, sf_dir, "orders").select("o_orderkey")
+    return plan_audit(augmentation_plan(o, 0.5, SEED, doc_col="o_orderkey"), o.count(), 0.5)
+
+
 QUERIES = {
     "generate_values": q_generate_values,
     "gen_alphanum": q_gen_alphanum,
@@ -378,4 +453,13 @@ QUERIES = {
     "manifest": q_manifest,
     "pair_by_position": q_pair_by_position,
     "pair_by_stem_report": q_pair_by_stem_report,
+    "combine_boxes": q_combine_boxes,
+    "words_from_glyphs": q_words_from_glyphs,
+    "widgets": q_widgets,
+    "layout_glyphs": q_layout_glyphs,
+    "form_words": q_form_words,
+    "label_boxes": q_label_boxes,
+    "label_lines": q_label_lines,
+    "augmentation_plan": q_augmentation_plan,
+    "plan_audit": q_plan_audit,
 }
