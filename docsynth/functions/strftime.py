@@ -34,17 +34,25 @@ class UnsupportedFormat(ValueError):
 
 def to_spark_pattern(fmt: str) -> str:
     """Translate a Python strftime format into a Spark datetime pattern."""
-    out = []
+    out, literal = [], []
+
+    def flush():
+        if literal:
+            out.append("'" + "".join(literal).replace("'", "''") + "'")
+            literal.clear()
+
     for tok in _TOKEN.findall(fmt):
         if tok == "%%":
-            out.append("'%'")
+            literal.append("%")
         elif tok.startswith("%"):
             key = tok[1:]
             if key not in DIRECTIVES:
                 raise UnsupportedFormat(f"unsupported strftime directive {tok!r} in {fmt!r}")
+            flush()
             out.append(DIRECTIVES[key])
         else:
-            out.append("'" + tok.replace("'", "''") + "'")
+            literal.append(tok)
+    flush()
     return "".join(out)
 
 

@@ -17,12 +17,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .ranking import global_rank, running_total
 
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+# A dictionary at most this long is ranked with plain windows (it is also
+# within the broadcast bound); a longer one uses the parallel offset method.
+SMALL_DICTIONARY_ROWS = 200_000
 MAX_BINS = 1 << 22
 
 
@@ -36,9 +39,14 @@ def _group_cols(by: Sequence[str] | None) -> list[str]:
 
 
 def index_dictionary(dictionary: DataFrame, order_cols: Sequence[str], by: Sequence[str] | None = None,
-                     idx_col: str = "_ds_idx", n_col: str = "_ds_n") -> DataFrame:
+                     idx_col: str = "_ds_idx", n_col: str = "_ds_n", n_rows: int | None = None) -> DataFrame:
     """Dense 0-based index of each row inside its group, plus the group size."""
     by = _group_cols(by)
+    n_rows = dictionary.count() if n_rows is None else n_rows
+    if n_rows <= SMALL_DICTIONARY_ROWS:
+        w = Window.partitionBy(*by).orderBy(*order_cols)
+        return (dictionary.withColumn(idx_col, (F.row_number().over(w) - 1).cast("bigint"))
+                .withColumn(n_col, F.count(F.lit(1)).over(Window.partitionBy(*by))))
     ranked = global_rank(dictionary, [*by, *order_cols], "_ds_g")
     groups = ranked.groupBy(*by).agg(F.min("_ds_g").alias("_ds_start"), F.count(F.lit(1)).alias(n_col)) \
         if by else ranked.agg(F.min("_ds_g").alias("_ds_start"), F.count(F.lit(1)).alias(n_col))
@@ -56,20 +64,20 @@ def sample_uniform(df: DataFrame, dictionary: DataFrame, u: Column, order_cols:
     (e.g. gender). ``u`` is a keyed draw in [0, 1).
     """
     by = _group_cols(by)
-    indexed = index_dictionary(dictionary, order_cols, by)
+    n_dict = dictionary.count()
+    indexed = index_dictionary(dictionary, order_cols, by, n_rows=n_dict)
     sizes = indexed.select(*by, "_ds_n").distinct() if by else indexed.select("_ds_n").distinct()
-    n_groups = sizes.count()
     rows = df.withColumn("_ds_u", u)
-    rows = rows.join(checked_broadcast(sizes, n_groups, max_broadcast_rows), by, "left") if by \
+    # at most one row per group, and groups <= dictionary rows
+    rows = rows.join(checked_broadcast(sizes, n_dict, max_broadcast_rows), by, "left") if by \
         else rows.crossJoin(F.broadcast(sizes))
     rows = rows.withColumn("_ds_idx", F.floor(F.col("_ds_u") * F.col("_ds_n")).cast("bigint")).drop("_ds_n")
-    n_dict = indexed.count()
     right = checked_broadcast(indexed.drop("_ds_n"), n_dict, max_broadcast_rows)
     return rows.join(right, [*by, "_ds_idx"], how).drop("_ds_idx", "_ds_u")
 
 
 def weighted_intervals(dictionary: DataFrame, order_cols: Sequence[str], weight_col: str,
-                       by: Sequence[str] | None = None) -> DataFrame:
+                       by: Sequence[str] | None = None, n_rows: int | None = None) -> DataFrame:
     """CDF interval [lo, hi) of each dictionary row inside its group.
 
     Weights are integers; cumulative weights are summed exactly as integers and
@@ -77,6 +85,16 @@ def weighted_intervals(dictionary: DataFrame, order_cols: Sequence[str], weight_
     """
     by = _group_cols(by)
     d = dictionary.filter(F.col(weight_col) > 0)
+    n_rows = d.count() if n_rows is None else n_rows
+    if n_rows <= SMALL_DICTIONARY_ROWS:
+        w = F.col(weight_col).cast("bigint")
+        run = Window.partitionBy(*by).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
+        whole = Window.partitionBy(*by).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding,
+                                                                         Window.unboundedFollowing)
+        d = d.select("*", F.sum(w).over(run).alias("_ds_cum"), F.sum(w).over(whole).alias("_ds_tot"))
+        total = F.col("_ds_tot").cast("double")
+        return (d.withColumn("lo", (F.col("_ds_cum") - w).cast("double") / total)
+                .withColumn("hi", F.col("_ds_cum").cast("double") / total).drop("_ds_cum", "_ds_tot"))
     cum = running_total(d, [*by, *order_cols], weight_col, "_ds_hi")
     cum = cum.withColumn("_ds_lo", F.col("_ds_hi") - F.col(weight_col).cast("bigint"))
     agg = [F.min("_ds_lo").alias("_ds_start"), F.sum(F.col(weight_col).cast("bigint")).alias("_ds_total")]
@@ -98,11 +116,13 @@ def sample_weighted(df: DataFrame, dictionary: DataFrame, u: Column, order_cols:
     filter; ``method='range'`` is the plain range join, kept for comparison.
     """
     by = _group_cols(by)
-    intervals = weighted_intervals(dictionary, order_cols, weight_col, by).drop(weight_col) \
-        if weight_col not in order_cols else weighted_intervals(dictionary, order_cols, weight_col, by)
+    n_int = dictionary.count()
+    intervals = weighted_intervals(dictionary, order_cols, weight_col, by, n_rows=n_int)
+    if weight_col not in order_cols:
+        intervals = intervals.drop(weight_col)
     rows = df.withColumn("_ds_u", u)
     if method == "range":
-        n = intervals.count()
+        n = n_int
         cond = [(F.col("_ds_u") >= F.col("lo")) & (F.col("_ds_u") < F.col("hi"))]
         right = checked_broadcast(intervals.withColumnsRenamed({c: f"_ds_by_{c}" for c in by}), n,
                                   max_broadcast_rows)
@@ -113,7 +133,6 @@ def sample_weighted(df: DataFrame, dictionary: DataFrame, u: Column, order_cols:
             cond_all = cond_all & c
         out = rows.join(right, cond_all, how)
         return out.drop("_ds_u", "lo", "hi", *[f"_ds_by_{c}" for c in by])
-    n_int = intervals.count()
     b = int(bins) if bins else max(1, min(MAX_BINS, n_int))
     bl = F.floor(F.col("lo") * F.lit(float(b))).cast("int")
     bh = F.least(F.floor(F.col("hi") * F.lit(float(b))).cast("int"), F.lit(b - 1))

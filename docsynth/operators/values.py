@@ -56,7 +56,7 @@ def generate_values(documents: DataFrame, fields: DataFrame, seed: int, first_na
     gets ``value`` null and the rule in ``error`` instead of ending the job.
     """
     tf = text_fields(fields)
-    n_fields = tf.count()
+    n_fields = fields.count()  # upper bound of the text-field rows
     spec = checked_broadcast(tf, n_fields, max_broadcast_fields)
     rows = documents.select("doc_id", "template_id").join(spec, "template_id")
     key = [F.col("doc_id"), F.col("pos")]

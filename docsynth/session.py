@@ -26,7 +26,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     default is only for tests and benches.
     """
     builder = SparkSession.builder.appName(app_name)
-    if master is None and not os.environ.get("SPARK_MASTER"):
+    if master is None and not _master_configured():
         master = "local[*]"
     if master:
         builder = builder.master(master)
@@ -41,6 +41,16 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     return spark
 
 
+def _master_configured() -> bool:
+    """True under spark-submit (or an active session), where the master is set."""
+    if SparkSession.getActiveSession() is not None or os.environ.get("SPARK_MASTER"):
+        return True
+    if os.environ.get("PYSPARK_GATEWAY_PORT"):
+        from pyspark import SparkConf
+        return SparkConf().contains("spark.master")
+    return False
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Make ``df.checkpoint()`` usable and return the directory.
 
