@@ -7,7 +7,7 @@ own probabilities (an unset probability counts as 1). Scalar parameters drawn
 per document get a keyed value; range parameters are passed on as (lo, hi);
 constants are written as text. Applying the ops to pixels is a renderer's job.
 
-The plan is one projection plus two explodes per document row: no join, no
+The plan is one projection and one explode per document row: no join, no
 shuffle.
 """
 
@@ -18,7 +18,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.draws import choice, randint, u01, uniform
+from ..functions.draws import u01
 
 PHASES = ("ink", "paper", "post")
 
@@ -152,27 +152,37 @@ def _active(op: Op, doc: Column, seed: int, probability: float) -> Column:
             & (pick >= F.lit(lo)) & (pick < F.lit(hi)))
 
 
-def _param_row(op: Op, prm: Param | None, doc: Column, seed: int) -> Column:
+def _op_structs(probability: float) -> Column:
+    """The catalog as a literal array: one struct per op with its gate
+    threshold, OneOf share and a nested array of parameter structs."""
     null_d, null_s = F.lit(None).cast("double"), F.lit(None).cast("string")
-    if prm is None:
-        return F.struct(null_s.alias("param"), null_d.alias("lo"), null_d.alias("hi"), null_d.alias("value_num"),
-                        null_s.alias("value"))
-    keys = (doc, "aug", op.op, prm.name)
-    lo = F.lit(float(prm.lo)) if prm.lo is not None else null_d
-    hi = F.lit(float(prm.hi)) if prm.hi is not None else null_d
-    num, txt = null_d, null_s
-    if prm.kind == "uniform":
-        num = uniform(prm.lo, prm.hi, seed, *keys)
-        lo, hi = null_d, null_d
-    elif prm.kind == "randint":
-        num = randint(int(prm.lo), int(prm.hi), seed, *keys).cast("double")
-        lo, hi = null_d, null_d
-    elif prm.kind == "choice":
-        txt = choice(list(prm.choices), seed, *keys)
-    elif prm.kind == "fixed":
-        txt = F.lit(prm.value)
-    return F.struct(F.lit(prm.name).alias("param"), lo.alias("lo"), hi.alias("hi"), num.alias("value_num"),
-                    txt.alias("value"))
+    ops = []
+    for order, op in enumerate(CATALOG):
+        plo, phi = member_interval(op, probability) if op.group else (None, None)
+        params = []
+        for prm in (op.params or (None,)):
+            params.append(F.struct(
+                (F.lit(prm.name) if prm else null_s).alias("param"),
+                (F.lit(prm.kind) if prm else null_s).alias("kind"),
+                (F.lit(float(prm.lo)) if prm and prm.lo is not None else null_d).alias("lo"),
+                (F.lit(float(prm.hi)) if prm and prm.hi is not None else null_d).alias("hi"),
+                F.array(*[F.lit(c) for c in (prm.choices if prm and prm.choices else ("",))]).alias("choices"),
+                (F.lit(prm.value) if prm and prm.value is not None else null_s).alias("fixed")))
+        ops.append(F.struct(
+            F.lit(order).alias("order"), F.lit(op.phase).alias("phase"), F.lit(op.slot).alias("slot"),
+            F.lit(op.op).alias("op"), (F.lit(op.group) if op.group else null_s).alias("grp"),
+            F.lit(gate_threshold(op, probability)).alias("thr"),
+            (F.lit(plo) if plo is not None else null_d).alias("plo"),
+            (F.lit(phi) if phi is not None else null_d).alias("phi"),
+            F.array(*params).alias("params")))
+    return F.array(*ops)
+
+
+def _is_active(o: Column, doc: Column, seed: int) -> Column:
+    own = u01(seed, doc, "aug", o["op"], "gate") < o["thr"]
+    pick = u01(seed, doc, "aug", o["grp"], "pick")
+    grouped = (u01(seed, doc, "aug", o["grp"], "gate") < o["thr"]) & (pick >= o["plo"]) & (pick < o["phi"])
+    return F.when(o["grp"].isNull(), own).otherwise(grouped)
 
 
 def augmentation_plan(docs: DataFrame, probability: float = 0.5, seed: int = 0,
@@ -180,21 +190,30 @@ def augmentation_plan(docs: DataFrame, probability: float = 0.5, seed: int = 0,
     """Rows ``(doc, step, phase, slot, op, param, lo, hi, value_num, value)``
     for the ops active in each document; ``step`` numbers the active ops in
     phase order (1-based); an op without parameters has one row with null
-    ``param``."""
+    ``param``.
+
+    Per document the literal op array is filtered by each op's gate (every
+    gate drawn once), the active ops are exploded with their position as the
+    step, then their parameters are exploded and drawn.
+    """
     doc = F.col(doc_col).cast("string")
-    ops = []
-    for order, op in enumerate(CATALOG):
-        rows = [_param_row(op, prm, doc, seed) for prm in op.params] or [_param_row(op, None, doc, seed)]
-        ops.append(F.struct(F.lit(order).alias("order"), F.lit(op.phase).alias("phase"),
-                            F.lit(op.slot).alias("slot"), F.lit(op.op).alias("op"),
-                            _active(op, doc, seed, probability).alias("active"), F.array(*rows).alias("params")))
-    active = F.filter(F.array(*ops), lambda o: o["active"])
+    active = F.filter(_op_structs(probability), lambda o: _is_active(o, doc, seed))
     d = docs.select(F.col(doc_col), F.posexplode(active).alias("_ds_step", "_ds_op"))
-    d = d.select(F.col(doc_col), (F.col("_ds_step") + 1).cast("int").alias("step"),
-                 F.col("_ds_op.phase").alias("phase"), F.col("_ds_op.slot").alias("slot"),
-                 F.col("_ds_op.op").alias("op"), F.explode(F.col("_ds_op.params")).alias("_ds_p"))
-    return d.select(doc_col, "step", "phase", "slot", "op", "_ds_p.param", "_ds_p.lo", "_ds_p.hi",
-                    "_ds_p.value_num", "_ds_p.value")
+    d = d.select(F.col(doc_col), (F.col("_ds_step") + 1).cast("int").alias("step"), F.col("_ds_op.phase"),
+                 F.col("_ds_op.slot"), F.col("_ds_op.op"), F.explode(F.col("_ds_op.params")).alias("_ds_p"))
+    c = F.col("_ds_p")
+    u = u01(seed, doc, "aug", F.col("op"), c["param"])
+    kind = c["kind"]
+    span = c["hi"] - c["lo"]
+    value_num = (F.when(kind == "uniform", c["lo"] + u * span)
+                 .when(kind == "randint", (c["lo"].cast("bigint")
+                                           + F.floor(u * (span.cast("bigint") + F.lit(1)))).cast("double")))
+    value = (F.when(kind == "choice", F.element_at(c["choices"], F.floor(u * F.size(c["choices"])).cast("int") + 1))
+             .when(kind == "fixed", c["fixed"]))
+    is_range = kind == "range"
+    return d.select(F.col(doc_col), "step", "phase", "slot", "op", c["param"].alias("param"),
+                    F.when(is_range, c["lo"]).alias("lo"), F.when(is_range, c["hi"]).alias("hi"),
+                    value_num.alias("value_num"), value.alias("value"))
 
 
 def plan_audit(plan: DataFrame, n_docs: int, probability: float = 0.5) -> DataFrame:

@@ -27,10 +27,26 @@ def pair_by_position(left: DataFrame, right: DataFrame, left_order: Sequence[str
 
 def pair_by_stem(left: DataFrame, right: DataFrame, key: str, status_col: str = "status") -> DataFrame:
     """Full outer join on ``key`` with ``matched`` / ``left_only`` /
-    ``right_only`` per key."""
-    l_ = left.select(F.col(key), F.lit(True).alias("_ds_l"))
-    r_ = right.select(F.col(key), F.lit(True).alias("_ds_r"))
+    ``right_only`` per distinct key. Keys are made distinct first (a
+    partially aggregated shuffle), so a repeated key never multiplies rows."""
+    l_ = left.select(F.col(key)).distinct().withColumn("_ds_l", F.lit(True))
+    r_ = right.select(F.col(key)).distinct().withColumn("_ds_r", F.lit(True))
     j = l_.join(r_, key, "full_outer")
     status = (F.when(F.col("_ds_l") & F.col("_ds_r"), F.lit("matched"))
               .when(F.col("_ds_l"), F.lit("left_only")).otherwise(F.lit("right_only")))
     return j.select(key, status.alias(status_col))
+
+
+def pairing_rules(left: DataFrame, right: DataFrame, left_order: Sequence[str], right_order: Sequence[str],
+                  id_col: str, rank_col: str = "rank") -> DataFrame:
+    """Rule rows (V11) for listing entries left without a partner when the two
+    sides have different lengths (the reference drops them silently)."""
+    a = global_rank(left.select(*left_order, F.col(id_col).alias("_ds_id")), left_order, rank_col)
+    b = global_rank(right.select(*right_order), right_order, rank_col).withColumn("_ds_r", F.lit(True))
+    lonely_left = a.join(b, rank_col, "left_anti").select(F.col("_ds_id").cast("string").alias("template_id"))
+    lonely_right = b.join(a.select(rank_col), rank_col, "left_anti").select(
+        F.concat(F.lit("unpaired:"), F.concat_ws("|", *[F.col(c).cast("string") for c in right_order]))
+        .alias("template_id"))
+    return lonely_left.unionByName(lonely_right).select(
+        "template_id", F.lit(-1).alias("pos"), F.lit(None).cast("string").alias("field_name"),
+        F.lit("V11_annotation_image_count_mismatch").alias("rule"))

@@ -26,7 +26,7 @@ from ..operators.augplan import augmentation_plan
 from ..operators.expand import expand_documents, manifest
 from ..operators.labels import label_boxes
 from ..operators.layout import layout_glyphs, widgets
-from ..operators.pairing import pair_by_position
+from ..operators.pairing import pair_by_position, pairing_rules
 from ..operators.records import assemble_records
 from ..operators.validate import validate_templates
 from ..operators.values import generate_values
@@ -49,18 +49,28 @@ class Dictionaries:
 def load_templates(spark: SparkSession, base: str) -> DataFrame:
     """Annotations paired with images by sorted position (the reference rule);
     ``template_id`` is the image file name without its last extension."""
-    ann = read_annotations(spark, f"{base.rstrip('/')}/Annotations/*.xml")
-    img = list_images(spark, f"{base.rstrip('/')}/JPEGImages/*")
+    ann, img = _listings(spark, base)
     paired = pair_by_position(ann, img, ["annotation_path"], ["image_path"])
     return paired.withColumn("template_id", stem(F.col("image_path")))
 
 
+def _listings(spark: SparkSession, base: str):
+    return (read_annotations(spark, f"{base.rstrip('/')}/Annotations/*.xml"),
+            list_images(spark, f"{base.rstrip('/')}/JPEGImages/*"))
+
+
+def unpaired_rules(spark: SparkSession, base: str) -> DataFrame:
+    """V11 rows for annotation or image files left without a partner."""
+    ann, img = _listings(spark, base)
+    return pairing_rules(ann, img, ["annotation_path"], ["image_path"], "annotation_path")
+
+
 def build_dataset(spark: SparkSession, base: str, out: str, num_files: int, dicts: Dictionaries,
                   seed: int = 0, augment: bool = True, probability: float = 0.5,
                   factor: float = DEFAULT_RENDER_FACTOR, mode: str = "overwrite") -> dict[str, str]:
     out = out.rstrip("/")
     parsed = load_templates(spark, base)
-    rules = validate_templates(parsed)
+    rules = validate_templates(parsed).unionByName(unpaired_rules(spark, base))
     write_table(rules, f"{out}/rejected_templates", mode)
     rules = spark.read.parquet(f"{out}/rejected_templates")
     blocking = rules.filter(~F.col("rule").isin(*WARNING_RULES)).select("template_id").distinct()

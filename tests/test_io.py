@@ -36,12 +36,13 @@ ANN = """<annotation>
 </annotation>"""
 
 
-def make_forms(root, widths):
+def make_forms(root, widths, n_images=None):
     os.makedirs(f"{root}/Annotations")
     os.makedirs(f"{root}/JPEGImages")
     for i, w in enumerate(widths):
         with open(f"{root}/Annotations/form{i}.xml", "w") as f:
             f.write(ANN.format(w=w))
+    for i in range(len(widths) if n_images is None else n_images):
         with open(f"{root}/JPEGImages/img{i}.v1.jpg", "wb") as f:
             f.write(b"\xff\xd8" + bytes(10))
 
@@ -71,6 +72,7 @@ def test_dataset_job_end_to_end(spark, tmpdir_path):
     paths = build_dataset(spark, base, out, 4, dictionaries(spark), seed=1, augment=True)
     rejected = spark.read.parquet(paths["rejected_templates"]).collect()
     assert {r.template_id for r in rejected} == {"img1.v1"}
+    assert {r.rule for r in rejected} == {"V10_size_not_integer"}
     recs = spark.read.text(paths["records"]).collect()
     assert len(recs) == 8
     rec = json.loads(recs[0].value)
@@ -80,3 +82,11 @@ def test_dataset_job_end_to_end(spark, tmpdir_path):
     assert all(len(r.line.split(",", 8)) == 9 for r in labels.collect())
     assert spark.read.parquet(paths["manifest"]).count() == 8
     assert spark.read.parquet(paths["augmentation_plan"]).select("doc_id").distinct().count() == 8
+
+
+def test_unpaired_files_are_reported(spark, tmpdir_path):
+    from docsynth.plans.dataset import unpaired_rules
+    make_forms(tmpdir_path, ["800", "800"], n_images=1)
+    rows = unpaired_rules(spark, tmpdir_path).collect()
+    assert len(rows) == 1 and rows[0].rule == "V11_annotation_image_count_mismatch"
+    assert rows[0].template_id.endswith("form1.xml")
