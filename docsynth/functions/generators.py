@@ -15,7 +15,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .draws import choice, pick_char, randint, u01, uniform
-from .strftime import date_part_of, strftime, strftime_error
+from .strftime import date_part_of, spark_pattern, strftime, strftime_error
 
 # Character classes of a mask (n digit, C upper case, c lower case).
 DIGITS = "0123456789"
@@ -80,16 +80,23 @@ def random_datetime(seed: int, *keys, start: str = DATE_START, end: str = DATE_E
 
 
 def gen_date(fmt, seed: int, *keys, date_only: bool = True,
-             start: str = DATE_START, end: str = DATE_END) -> Column:
+             start: str = DATE_START, end: str = DATE_END, pattern: Column | None = None) -> Column:
     """A drawn date rendered with a Python format.
 
     ``date_only`` (the reference's default) keeps the format up to the first
     space, as the reference does, and draws a calendar day; otherwise a
     timestamp to the second is drawn and the whole format is used.
+    ``pattern`` is the Spark pattern of the (cut) format when it was already
+    translated upstream (``date_pattern`` on the template dimension).
     """
     if date_only:
-        return strftime(random_date(seed, *keys, start=start, end=end), date_part_of(fmt))
-    return strftime(random_datetime(seed, *keys, start=start, end=end), fmt)
+        return strftime(random_date(seed, *keys, start=start, end=end), date_part_of(fmt), pattern)
+    return strftime(random_datetime(seed, *keys, start=start, end=end), fmt, pattern)
+
+
+def date_pattern(fmt: Column, date_only: bool = True) -> Column:
+    """Spark pattern of a format column (cut at the first space when date-only)."""
+    return spark_pattern(date_part_of(fmt) if date_only else fmt)
 
 
 def date_format_error(fmt: Column, date_only: bool = True) -> Column:

@@ -81,10 +81,42 @@ def strftime_error(fmt: Column) -> Column:
     return F.exists(_tokens(fmt), lambda t: t.startswith("%") & ~F.array_contains(allowed, t))
 
 
-def strftime(ts: Column, fmt) -> Column:
-    """Render ``ts`` (date or timestamp_ntz) with a Python strftime format."""
+SUPPORTED_REGEX = "^(%[" + "".join(DIRECTIVES) + "%]|[^%])*$"
+
+
+def spark_pattern(fmt: Column) -> Column:
+    """Column form of ``to_spark_pattern`` (null for unsupported formats).
+
+    Meant for the template dimension (one row per field), so the document
+    rows carry a ready Spark pattern: ``%%`` is parked as \\u0001, quotes in
+    literal text are doubled, every literal run (at the start or right after a
+    directive) is quoted, then each directive becomes its pattern letters.
+    """
+    s = F.regexp_replace(fmt, "%%", "\u0001")
+    s = F.regexp_replace(s, "'", "''")
+    s = F.regexp_replace(s, "(?:(?<=^)|(?<=%.))([^%]+)", "'$1'")
+    for key, pat in DIRECTIVES.items():
+        s = F.regexp_replace(s, "%" + key, pat)
+    s = F.regexp_replace(s, "\u0001", "%")
+    return F.when(fmt.rlike(SUPPORTED_REGEX), s)
+
+
+def format_with(ts: Column, pattern: Column) -> Column:
+    """``date_format`` with a per-row Spark pattern (formatters are cached)."""
+    return F.call_function("date_format", ts, pattern)
+
+
+def strftime(ts: Column, fmt, pattern: Column | None = None) -> Column:
+    """Render ``ts`` (date or timestamp_ntz) with a Python strftime format.
+
+    A literal format is translated once; with ``pattern`` (a column made by
+    ``spark_pattern`` upstream) one ``date_format`` per row is used; a bare
+    format column falls back to rendering token by token.
+    """
     if isinstance(fmt, str):
         return F.date_format(ts, to_spark_pattern(fmt))
+    if pattern is not None:
+        return F.when(pattern.isNotNull(), format_with(ts, pattern))
 
     def render(t: Column) -> Column:
         expr = F.when(t == "%%", F.lit("%"))

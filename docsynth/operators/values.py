@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.generators import alphanum, date_format_error, gen_date, static_override, truthy
+from ..functions.generators import alphanum, date_format_error, date_pattern, gen_date, static_override, truthy
 from .persona import gen_name
 from .sampling import DEFAULT_MAX_BROADCAST_ROWS, checked_broadcast
 
@@ -41,6 +41,7 @@ def text_fields(fields: DataFrame) -> DataFrame:
     f = fields.filter(F.col("type") == "textbox")
     f = f.withColumn("kind", field_kind(F.col("is_alphanum"), F.col("is_date"), F.col("is_name")))
     f = f.filter(F.col("kind").isNotNull())
+    f = f.withColumn("date_pattern", F.when(F.col("kind") == "date", date_pattern(F.col("date_format"))))
     return f.withColumn("error", field_error(F.col("kind"), F.col("mask"), F.col("date_format"),
                                              F.col("name_type"), F.col("static_value")))
 
@@ -65,7 +66,8 @@ def generate_values(documents: DataFrame, fields: DataFrame, seed: int, first_na
                     only_where=(F.col("kind") == "name") & F.col("error").isNull(), out_col="_ds_name",
                     error_col="_ds_name_err")
     generated = (F.when(F.col("kind") == "alphanum", alphanum(F.col("mask"), seed_, *key))
-                 .when(F.col("kind") == "date", gen_date(F.col("date_format"), seed_, *key))
+                 .when(F.col("kind") == "date", gen_date(F.col("date_format"), seed_, *key,
+                                                         pattern=F.col("date_pattern")))
                  .when(F.col("kind") == "name", F.col("_ds_name")))
     error = F.coalesce(F.col("error"), F.col("_ds_name_err"))
     value = F.when(error.isNull(), static_override(generated, F.col("static_value")))

@@ -25,6 +25,7 @@ from ..operators.labels import QUAD_COLS, label_boxes, label_lines
 from ..operators.layout import layout_glyphs, widgets
 from ..operators.words import combine_boxes, glyphs_from_text, words_from_glyphs
 from ..functions.geometry import DEFAULT_RENDER_FACTOR
+from ..functions.strftime import to_spark_pattern
 from .fixtures import (SEED, TEMPLATE_SIZES, cap, customer_documents, first_names_any, font_metrics,
                        name_dictionaries, read, template_fields, template_sizes)
 
@@ -61,17 +62,27 @@ def q_gen_alphanum(spark, sf_dir):
                     alphanum(F.col("mask"), SEED, *k, literal="keep").alias("value_keep"))
 
 
+def _with_formats(df: DataFrame, formats: list, date_only: bool) -> DataFrame:
+    """Each row once per literal format, with the format's Spark pattern
+    translated on the driver (the formats are literals)."""
+    pairs = [F.struct(F.lit(f).alias("fmt"),
+                      F.lit(to_spark_pattern(f.split(" ")[0] if date_only else f)).alias("pattern"))
+             for f in formats]
+    return df.select("*", F.posexplode(F.array(*pairs)).alias("fmt_no", "_ds_f"))
+
+
 def q_gen_date(spark, sf_dir):
-    o = _with_literal(read(spark, sf_dir, "orders").select("o_orderkey"), DATE_FORMATS, "fmt_no", "fmt")
-    return o.select("o_orderkey", "fmt_no", "fmt",
-                    gen_date(F.col("fmt"), SEED, F.col("o_orderkey"), F.col("fmt_no")).alias("value"))
+    o = _with_formats(read(spark, sf_dir, "orders").select("o_orderkey"), DATE_FORMATS, True)
+    return o.select("o_orderkey", "fmt_no", F.col("_ds_f.fmt").alias("fmt"),
+                    gen_date(F.col("_ds_f.fmt"), SEED, F.col("o_orderkey"), F.col("fmt_no"),
+                             pattern=F.col("_ds_f.pattern")).alias("value"))
 
 
 def q_gen_datetime(spark, sf_dir):
-    o = _with_literal(read(spark, sf_dir, "orders").select("o_orderkey"), DATETIME_FORMATS, "fmt_no", "fmt")
-    return o.select("o_orderkey", "fmt_no", "fmt",
-                    gen_date(F.col("fmt"), SEED, F.col("o_orderkey"), F.col("fmt_no"), date_only=False)
-                    .alias("value"))
+    o = _with_formats(read(spark, sf_dir, "orders").select("o_orderkey"), DATETIME_FORMATS, False)
+    return o.select("o_orderkey", "fmt_no", F.col("_ds_f.fmt").alias("fmt"),
+                    gen_date(F.col("_ds_f.fmt"), SEED, F.col("o_orderkey"), F.col("fmt_no"), date_only=False,
+                             pattern=F.col("_ds_f.pattern")).alias("value"))
 
 
 def q_split_errors(spark, sf_dir):

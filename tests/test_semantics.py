@@ -176,3 +176,20 @@ def test_draws_do_not_depend_on_partitioning(spark):
     us = [x[1] for x in a]
     assert 0 <= min(us) and max(us) < 1 and abs(sum(us) / len(us) - 0.5) < 0.02
     assert {x[2] for x in a} == {1, 2, 3, 4, 5, 6}
+
+
+def test_column_pattern_translation_matches_literal(spark):
+    from docsynth.functions.strftime import spark_pattern
+    fmts = ["%d-%m-%Y", "%m/%d/%Y", "%B %d, %Y", "%Y%j", "%a %d %b %y", "%%d%H's %%", "x%I:%M %p y", "%Q"]
+    df = spark.createDataFrame([(f,) for f in fmts], "f string")
+    got = {r.f: r.p for r in df.select("f", spark_pattern(F.col("f")).alias("p")).collect()}
+    for f in fmts:
+        try:
+            want = to_spark_pattern(f)
+        except UnsupportedFormat:
+            want = None
+        if want is None:
+            assert got[f] is None
+        else:
+            ts = F.lit("2022-11-07 09:05:03").cast("timestamp_ntz")
+            assert one(spark, F.date_format(ts, got[f])) == dt.datetime(2022, 11, 7, 9, 5, 3).strftime(f)
