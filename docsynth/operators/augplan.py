@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.draws import u01
+from .partitioning import spread_small_input
 
 PHASES = ("ink", "paper", "post")
 
@@ -198,7 +199,8 @@ def augmentation_plan(docs: DataFrame, probability: float = 0.5, seed: int = 0,
     """
     doc = F.col(doc_col).cast("string")
     active = F.filter(_op_structs(probability), lambda o: _is_active(o, doc, seed))
-    d = docs.select(F.col(doc_col), F.posexplode(active).alias("_ds_step", "_ds_op"))
+    d = spread_small_input(docs.select(doc_col), doc_col)
+    d = d.select(F.col(doc_col), F.posexplode(active).alias("_ds_step", "_ds_op"))
     d = d.select(F.col(doc_col), (F.col("_ds_step") + 1).cast("int").alias("step"), F.col("_ds_op.phase"),
                  F.col("_ds_op.slot"), F.col("_ds_op.op"), F.explode(F.col("_ds_op.params")).alias("_ds_p"))
     c = F.col("_ds_p")

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.generators import alphanum, date_format_error, date_pattern, gen_date, static_override, truthy
+from .partitioning import spread_small_input
 from .persona import gen_name
 from .sampling import DEFAULT_MAX_BROADCAST_ROWS, checked_broadcast
 
@@ -59,7 +60,8 @@ def generate_values(documents: DataFrame, fields: DataFrame, seed: int, first_na
     tf = text_fields(fields)
     n_fields = fields.count()  # upper bound of the text-field rows
     spec = checked_broadcast(tf, n_fields, max_broadcast_fields)
-    rows = documents.select("doc_id", "template_id").join(spec, "template_id")
+    docs = spread_small_input(documents.select("doc_id", "template_id"), "doc_id")
+    rows = docs.join(spec, "template_id")
     key = [F.col("doc_id"), F.col("pos")]
     seed_ = seed
     rows = gen_name(rows, ["doc_id", "pos"], seed_, first_names, last_names, indian_names,

@@ -13,6 +13,7 @@ from ..functions.draws import randint, u01
 from ..functions.generators import alphanum, currency, gen_date, gen_decimal, gen_int, static_override
 from ..functions.generators import address_text as address_text_col
 from ..operators.expand import expand_documents, manifest
+from ..operators.partitioning import spread_small_input
 from ..operators.pairing import pair_by_position, pair_by_stem
 from ..operators.persona import gen_address, gen_company, gen_email, gen_name
 from ..operators.records import assemble_records, record_json, record_kv
@@ -51,7 +52,7 @@ def q_generate_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _with_literal(df: DataFrame, items: list, idx_col: str, val_col: str) -> DataFrame:
     """Each row repeated once per literal item (an explode, not a join)."""
     arr = F.array(*[F.lit(x) for x in items])
-    return df.select("*", F.posexplode(arr).alias(idx_col, val_col))
+    return spread_small_input(df, df.columns[0]).select("*", F.posexplode(arr).alias(idx_col, val_col))
 
 
 def q_gen_alphanum(spark, sf_dir):
@@ -68,6 +69,7 @@ def _with_formats(df: DataFrame, formats: list, date_only: bool) -> DataFrame:
     pairs = [F.struct(F.lit(f).alias("fmt"),
                       F.lit(to_spark_pattern(f.split(" ")[0] if date_only else f)).alias("pattern"))
              for f in formats]
+    df = spread_small_input(df, df.columns[0])
     return df.select("*", F.posexplode(F.array(*pairs)).alias("fmt_no", "_ds_f"))
 
 
