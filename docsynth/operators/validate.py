@@ -13,8 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.generators import truthy
 from ..functions.strftime import date_part_of, strftime_error
-from ..sources.annotations import templates as template_table
-from ..sources.annotations import typed_fields
+from ..sources.annotations import size_int, typed_object_columns
 from .values import field_kind
 
 RULE_SCHEMA = "template_id string, pos int, field_name string, rule string"
@@ -32,24 +31,17 @@ def _is_number(v: Column) -> Column:
     return F.trim(v).rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$")
 
 
-def template_rules(parsed: DataFrame, id_col: str = "template_id", ann: str = "annotation") -> DataFrame:
-    t = template_table(parsed, id_col, ann)
-    dup = Window.partitionBy("template_id")
-    t = t.withColumn("_ds_copies", F.count(F.lit(1)).over(dup))
-    rules = _rules(
-        (F.col("xml_broken"), "V14_unparsable_xml"),
-        (~F.col("xml_broken") & (F.col("width_text").isNull() | F.col("height_text").isNull()), "V9_size_missing"),
+def _template_rule_list() -> list[tuple[Column, str]]:
+    broken = F.col("xml_broken")
+    return [
+        (broken, "V14_unparsable_xml"),
+        (~broken & (F.col("width_text").isNull() | F.col("height_text").isNull()), "V9_size_missing"),
         ((F.col("width_text").isNotNull() & F.col("width").isNull())
          | (F.col("height_text").isNotNull() & F.col("height").isNull()), "V10_size_not_integer"),
-        (F.col("_ds_copies") > 1, "V15_duplicate_template_id"),
-    )
-    return t.select("template_id", F.lit(-1).alias("pos"), F.lit(None).cast("string").alias("field_name"),
-                    F.explode(rules).alias("rule"))
+    ]
 
 
-def field_rules(fields: DataFrame, resolution: float = 100.0) -> DataFrame:
-    """Rules on typed fields (needs the ``attributes`` map and raw ``bndbox``)."""
-    f = fields.withColumn("kind", field_kind(F.col("is_alphanum"), F.col("is_date"), F.col("is_name")))
+def _field_rule_list(resolution: float) -> list[tuple[Column, str]]:
     text = F.col("type") == "textbox"
     a, d, n = truthy(F.col("is_alphanum")), truthy(F.col("is_date")), truthy(F.col("is_name"))
     box = F.col("bndbox")
@@ -64,9 +56,7 @@ def field_rules(fields: DataFrame, resolution: float = 100.0) -> DataFrame:
                | (~a & ~d & n & (~_has("name_type") | ~_has("name_gender") | ~_has("static_value"))))
     kind = F.col("kind")
     font_size = (F.col("ymax") - F.col("ymin")).cast("double") * F.lit(72.0 / resolution) - F.lit(4.0)
-    same_name = Window.partitionBy("template_id", "field_name")
-    f = f.withColumn("_ds_first", F.min(F.when(text & kind.isNotNull(), F.col("pos"))).over(same_name))
-    rules = _rules(
+    return [
         (box_missing, "V9_box_missing"),
         (box_nan, "V9_box_not_number"),
         (text & missing, "V5_required_key_missing"),
@@ -81,12 +71,51 @@ def field_rules(fields: DataFrame, resolution: float = 100.0) -> DataFrame:
          "V8_max_length_not_number"),
         (text & kind.isNotNull() & (F.col("pos") > F.col("_ds_first")), "V12_duplicate_field_name"),
         (text & ~box_missing & ~box_nan & (F.floor(font_size) <= 0), "V13_font_size_not_positive"),
-    )
-    return f.select("template_id", "pos", "field_name", F.explode(rules).alias("rule"))
+    ]
+
+
+def duplicate_template_rules(parsed: DataFrame, id_col: str = "template_id") -> DataFrame:
+    """V15: one row per copy of a template id used more than once. Reads only
+    the id column (a partially aggregated count), never the XML."""
+    dup = parsed.groupBy(F.col(id_col).alias("template_id")).agg(F.count(F.lit(1)).alias("_ds_n"))
+    dup = dup.filter(F.col("_ds_n") > 1)
+    return dup.select("template_id", F.lit(-1).alias("pos"), F.lit(None).cast("string").alias("field_name"),
+                      F.explode(F.array_repeat(F.lit("V15_duplicate_template_id"), F.col("_ds_n").cast("int")))
+                      .alias("rule"))
 
 
 def validate_templates(parsed: DataFrame, id_col: str = "template_id", ann: str = "annotation",
                        resolution: float = 100.0) -> DataFrame:
-    """All rule rows of the parsed annotations (template and field level)."""
-    return template_rules(parsed, id_col, ann).unionByName(
-        field_rules(typed_fields(parsed, id_col, ann), resolution))
+    """All rule rows ``(template_id, pos, field_name, rule)`` of the parsed
+    annotations; template-level rules have ``pos = -1``.
+
+    One pass: objects are exploded once (outer, so a template without objects
+    keeps a row), template rules are evaluated on each template's first row
+    and field rules on every object row, and rules are exploded. The only
+    shuffle is the duplicate-name window keyed by (template, field name), on
+    the template dimension; V15 comes from an id-only aggregation.
+    """
+    a = F.col(ann)
+    rows = parsed.select(
+        F.col(id_col).alias("template_id"),
+        size_int(a["size"]["width"]).alias("width"), size_int(a["size"]["height"]).alias("height"),
+        a["size"]["width"].alias("width_text"), a["size"]["height"].alias("height_text"),
+        a["_corrupt_record"].isNotNull().alias("xml_broken"),
+        F.posexplode_outer(a["object"]).alias("pos", "obj"))
+    rows = rows.select("*", *typed_object_columns(F.col("obj")))
+    rows = rows.withColumn("kind", field_kind(F.col("is_alphanum"), F.col("is_date"), F.col("is_name")))
+    text_kind = (F.col("type") == "textbox") & F.col("kind").isNotNull()
+    rows = rows.withColumn("_ds_first", F.min(F.when(text_kind, F.col("pos")))
+                           .over(Window.partitionBy("template_id", "field_name")))
+    first_row = F.col("pos").isNull() | (F.col("pos") == 0)
+    t_rules = _rules(*[(first_row & c, name) for c, name in _template_rule_list()])
+    f_rules = _rules(*[(F.col("obj").isNotNull() & c, name) for c, name in _field_rule_list(resolution)])
+    tagged = F.concat(F.transform(t_rules, lambda r: F.struct(F.lit(True).alias("t"), r.alias("rule"))),
+                      F.transform(f_rules, lambda r: F.struct(F.lit(False).alias("t"), r.alias("rule"))))
+    out = rows.select("template_id", "pos", "field_name", F.explode(tagged).alias("_ds_r"))
+    out = out.select("template_id",
+                     F.when(F.col("_ds_r.t"), F.lit(-1)).otherwise(F.col("pos")).cast("int").alias("pos"),
+                     F.when(F.col("_ds_r.t"), F.lit(None).cast("string")).otherwise(F.col("field_name"))
+                     .alias("field_name"),
+                     F.col("_ds_r.rule").alias("rule"))
+    return out.unionByName(duplicate_template_rules(parsed, id_col))

@@ -270,6 +270,7 @@ def part_annotation_xml(spark, sf_dir) -> DataFrame:
     """One VOC annotation per part: a text box (attributes in a wrapper, a
     repeated field name when p_size > 40) and a check box (bare attributes)."""
     p = read(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice")
+    p = spread_small_input(p, "p_partkey")
     s = F.col("p_size")
     obj0 = _tag("object", F.concat(
         _tag("name", F.lit("textbox")),
@@ -303,6 +304,7 @@ def q_parse_annotations(spark, sf_dir):
 def customer_annotation_xml(spark, sf_dir) -> DataFrame:
     """One annotation per customer with defects injected from its columns."""
     c = read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
+    c = spread_small_input(c, "c_custkey")
     nk, seg = F.col("c_nationkey"), F.col("c_mktsegment")
     size = _tag("size", F.concat(
         _tag("width", F.when(F.col("c_acctbal") < 0, F.lit("800.0")).otherwise(F.lit("800"))),

@@ -114,13 +114,19 @@ def fields_with_attributes(df: DataFrame, id_col: str = "template_id", ann: str
                     F.col("obj")["bndbox"].alias("bndbox"), attribute_map(F.col("obj")).alias("attributes"))
 
 
-def typed_fields(df: DataFrame, id_col: str = "template_id", ann: str = "annotation") -> DataFrame:
-    """The typed field table (FIXTURES §2 ``fields``) plus the raw attribute map."""
-    f = fields_with_attributes(df, id_col, ann)
-    box = F.col("bndbox")
-    cols = [F.col("template_id"), F.col("pos"), F.col("type"),
+def typed_object_columns(obj: Column) -> list[Column]:
+    """Typed columns of one ``<object>`` struct: type, integer box, the
+    attribute texts by name, the attribute map and the raw box."""
+    box = obj["bndbox"]
+    attrs = attribute_map(obj)
+    cols = [obj["name"].alias("type"),
             coord_int(box["xmin"]).alias("xmin"), coord_int(box["ymin"]).alias("ymin"),
             coord_int(box["xmax"]).alias("xmax"), coord_int(box["ymax"]).alias("ymax")]
-    cols += [F.col("attributes")[key].alias(name) for name, key in ATTRIBUTE_KEYS.items()]
-    cols += [F.col("attributes"), F.col("bndbox")]
-    return f.select(*cols)
+    cols += [attrs[key].alias(name) for name, key in ATTRIBUTE_KEYS.items()]
+    return cols + [attrs.alias("attributes"), box.alias("bndbox")]
+
+
+def typed_fields(df: DataFrame, id_col: str = "template_id", ann: str = "annotation") -> DataFrame:
+    """The typed field table (FIXTURES §2 ``fields``) plus the raw attribute map."""
+    o = df.select(F.col(id_col).alias("template_id"), F.posexplode(F.col(ann)["object"]).alias("pos", "obj"))
+    return o.select("template_id", "pos", *typed_object_columns(F.col("obj")))
