@@ -13,6 +13,8 @@ def spread_small_input(df: DataFrame, key: str) -> DataFrame:
     table) are returned unchanged, so nothing extra is shuffled at scale.
     Hash (not round-robin) partitioning keeps retries deterministic.
     """
+    if df.isStreaming:  # micro-batches are sized by the source's trigger options
+        return df
     slots = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= slots:
         return df

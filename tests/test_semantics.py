@@ -193,3 +193,14 @@ def test_column_pattern_translation_matches_literal(spark):
         else:
             ts = F.lit("2022-11-07 09:05:03").cast("timestamp_ntz")
             assert one(spark, F.date_format(ts, got[f])) == dt.datetime(2022, 11, 7, 9, 5, 3).strftime(f)
+
+
+def test_line_offsets_distributed_path_matches_window(spark, monkeypatch):
+    import docsynth.operators.words as W
+    rows = [(d, 1, ln, (d * 7 + ln) % 5) for d in range(6) for ln in range(9)]
+    per_line = spark.createDataFrame(rows, "doc_id int, page int, line int, _ds_n long")
+    small = {tuple(r) for r in W.line_offsets(per_line).collect()}
+    monkeypatch.setattr(W, "SMALL_LINE_TABLE", 0)
+    big = {tuple(r) for r in W.line_offsets(per_line).collect()}
+    assert small == big
+    assert (0, 1, 0, 0) in small and (0, 1, 1, 0) in small and (0, 1, 2, 1) in small
