@@ -29,6 +29,7 @@ HEADLINE = [
     "gen_alphanum",
     "validate_templates",
     "expand_documents",
+    "expand_hot_template",
     "pair_by_position",
 ]
 

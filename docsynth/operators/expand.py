@@ -37,8 +37,11 @@ def expand_documents(templates: DataFrame, num_files, id_col: str = "template_id
     n_chunks = int(stats["chunks"] or 0)
     n_templates = templates.count() if n_chunks else 0
     if n_chunks > n_templates:
-        # a hot template: spread its chunks over tasks (one chunk ~ docs_per_chunk rows)
-        t = t.repartition(max(1, n_chunks), id_col, "_ds_chunk")
+        # a hot template: about one chunk (~docs_per_chunk rows) per task.
+        # Range partitioning on the distinct (template, chunk) keys balances
+        # chunks across partitions (hashing n keys into n buckets would leave
+        # a third of them empty and double others).
+        t = t.repartitionByRange(max(1, n_chunks), id_col, "_ds_chunk")
     lo = F.col("_ds_chunk") * chunk
     hi = F.least(F.col("_ds_n"), lo + chunk) - 1
     out = t.withColumn("doc_index", F.explode(F.sequence(lo, hi)))

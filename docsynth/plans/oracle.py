@@ -370,6 +370,13 @@ def expand_documents() -> str:
     return f"WITH {_part_templates_cte()} SELECT doc_id, template_id, doc_index FROM d"
 
 
+def expand_hot_template() -> str:
+    return """WITH t AS (SELECT 'w2' AS template_id, (SELECT COUNT(*) FROM lineitem) AS n
+  UNION ALL SELECT 'invoice', (SELECT COUNT(*) FROM orders))
+SELECT t.template_id || '_' || CAST(r.i AS VARCHAR) AS doc_id, t.template_id, r.i AS doc_index
+FROM t, LATERAL (SELECT range AS i FROM range(t.n)) r"""
+
+
 def manifest() -> str:
     b = MANIFEST_BASE
     return (f"WITH {_part_templates_cte()} SELECT doc_id, template_id, "
@@ -595,6 +602,7 @@ ORACLES = {
     "validate_templates": validate_templates,
     "expand_documents": expand_documents,
     "manifest": manifest,
+    "expand_hot_template": expand_hot_template,
     "pair_by_position": pair_by_position,
     "pair_by_stem_report": pair_by_stem_report,
     "combine_boxes": combine_boxes,

@@ -353,6 +353,18 @@ def q_expand_documents(spark, sf_dir):
     return expand_documents(t, 5, stem_col="stem").select("doc_id", "template_id", "doc_index")
 
 
+def q_expand_hot_template(spark, sf_dir):
+    """Skewed expansion: the W-2 template gets one document per lineitem row and
+    the invoice template one per order, so one template holds most documents;
+    its index chunks are spread over tasks."""
+    n_li = read(spark, sf_dir, "lineitem").select("l_orderkey").count()
+    n_or = read(spark, sf_dir, "orders").select("o_orderkey").count()
+    t = template_sizes(spark).select("template_id", F.when(F.col("template_id") == "w2", F.lit(n_li))
+                                     .otherwise(F.lit(n_or)).alias("n_docs"))
+    d = expand_documents(t, "n_docs", docs_per_chunk=50_000)
+    return d.select("doc_id", "template_id", "doc_index")
+
+
 def q_manifest(spark, sf_dir):
     t = part_templates(spark, sf_dir).withColumn("stem", stem(F.col("image_path")))
     d = expand_documents(t, 5, stem_col="stem").select("doc_id", "template_id")
@@ -466,6 +478,7 @@ QUERIES = {
     "validate_templates": q_validate_templates,
     "expand_documents": q_expand_documents,
     "manifest": q_manifest,
+    "expand_hot_template": q_expand_hot_template,
     "pair_by_position": q_pair_by_position,
     "pair_by_stem_report": q_pair_by_stem_report,
     "combine_boxes": q_combine_boxes,

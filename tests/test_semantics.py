@@ -107,7 +107,8 @@ def test_hot_template_is_split_into_chunks(spark):
     d = expand_documents(t, 1000, docs_per_chunk=64)
     assert d.count() == 1000
     assert d.select("doc_index").distinct().count() == 1000
-    assert d.rdd.getNumPartitions() > 1
+    sizes = [n for n in d.rdd.glom().map(len).collect() if n]
+    assert len(sizes) == 16 and max(sizes) <= 64
 
 
 def test_stem_cuts_last_extension_only(spark):
