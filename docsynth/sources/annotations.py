@@ -71,14 +71,14 @@ def stem(path: Column) -> Column:
 
 def size_int(v: Column) -> Column:
     """``int(text)``: whole numbers only, null otherwise ('800.0' -> null)."""
-    return F.when(F.trim(v).rlike(r"^[+-]?\d+$"), F.trim(v).cast("long").cast("int"))
+    return F.when(F.trim(v).rlike(r"^[+-]?\d+$"), F.trim(v).try_cast("int"))
 
 
 def coord_int(v: Column) -> Column:
     """``int(float(text))``: parse as double, truncate toward zero."""
     d = F.trim(v).cast("string")
     num = F.when(d.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"), d.cast("double"))
-    return num.cast("int")
+    return num.try_cast("int")  # out of int range -> null (a V9 row), never an ANSI error
 
 
 def templates(df: DataFrame, id_col: str = "template_id", ann: str = "annotation") -> DataFrame:
