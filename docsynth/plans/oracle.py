@@ -426,10 +426,12 @@ words AS (SELECT *, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY page, l
 def words_from_glyphs() -> str:
     chars = "list_filter(string_split(ltext, ''), lambda c: c <> '')"
     return f"""WITH ln AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS ltext,
-    generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line, len(string_split(text, chr(10))) AS nl
+    CAST(generate_subscripts(string_split(text, chr(10)), 1) - 1 AS INTEGER) AS line,
+    len(string_split(text, chr(10))) AS nl
   FROM documents),
 cs AS (SELECT doc_id, line, CASE WHEN line < nl - 1 THEN list_append({chars}, chr(10)) ELSE {chars} END AS cs FROM ln),
-g0 AS (SELECT doc_id, 1 AS page, line, unnest(cs) AS ch, generate_subscripts(cs, 1) - 1 AS pos FROM cs),
+g0 AS (SELECT doc_id, 1 AS page, line, unnest(cs) AS ch, CAST(generate_subscripts(cs, 1) - 1 AS INTEGER) AS pos
+  FROM cs),
 glyphs AS (SELECT doc_id, page, line, pos, ch, CAST(pos AS DOUBLE) * 6.0::DOUBLE AS x0,
     CAST(line AS DOUBLE) * 12.0::DOUBLE AS y0, CAST(pos AS DOUBLE) * 6.0::DOUBLE + 6.0::DOUBLE AS x1,
     CAST(line AS DOUBLE) * 12.0::DOUBLE + 10.0::DOUBLE AS y1 FROM g0),
@@ -474,12 +476,14 @@ gv AS (SELECT v.doc_id, v.template_id, v.pos AS line, w.x, w.y, w.font_size,
     list_filter(string_split(v.value, ''), lambda c: c <> '') AS cs
   FROM vals v JOIN wg w ON v.template_id = w.template_id AND v.pos = w.pos
   WHERE v.error IS NULL AND v.value IS NOT NULL),
-g1 AS (SELECT doc_id, template_id, line, x, y, font_size, unnest(cs) AS ch, generate_subscripts(cs, 1) - 1 AS pos FROM gv),
+g1 AS (SELECT doc_id, template_id, line, x, y, font_size, unnest(cs) AS ch,
+    CAST(generate_subscripts(cs, 1) - 1 AS INTEGER) AS pos FROM gv),
 g2 AS (SELECT g1.*, coalesce(m.advance, {DEFAULT_ADVANCE}) AS adv FROM g1 LEFT JOIN metrics m ON m.ch = g1.ch),
 g3 AS (SELECT doc_id, template_id, line, x, y, font_size, pos, ch, adv,
     coalesce(SUM(adv) OVER (PARTITION BY doc_id, line ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS b
   FROM g2),
-nl AS (SELECT gv.doc_id, gv.template_id, gv.line, gv.x, gv.y, gv.font_size, len(gv.cs) AS pos, chr(10) AS ch, 0 AS adv,
+nl AS (SELECT gv.doc_id, gv.template_id, gv.line, gv.x, gv.y, gv.font_size, CAST(len(gv.cs) AS INTEGER) AS pos,
+    chr(10) AS ch, 0 AS adv,
     coalesce(t.s, 0) AS b
   FROM gv LEFT JOIN (SELECT doc_id, line, SUM(adv) AS s FROM g2 GROUP BY doc_id, line) t
     ON gv.doc_id = t.doc_id AND gv.line = t.line),
