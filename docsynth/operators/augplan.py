@@ -21,9 +21,6 @@ from pyspark.sql import functions as F
 from ..functions.draws import u01
 from .partitioning import spread_small_input
 
-PHASES = ("ink", "paper", "post")
-
-
 @dataclass(frozen=True)
 class Param:
     name: str

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -61,6 +59,3 @@ def manifest(documents: DataFrame, base_path: str, doc_col: str = "doc_id") -> D
             for name, (folder, ext) in ARTIFACTS.items()]
     return documents.select("*", *cols)
 
-
-def estimate_partitions(total_rows: int, rows_per_partition: int = 2_000_000) -> int:
-    return max(1, math.ceil(total_rows / rows_per_partition))

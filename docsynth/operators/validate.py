@@ -16,9 +16,6 @@ from ..functions.strftime import date_part_of, strftime_error
 from ..sources.annotations import size_int, typed_object_columns
 from .values import field_kind
 
-RULE_SCHEMA = "template_id string, pos int, field_name string, rule string"
-
-
 def _rules(*pairs: tuple[Column, str]) -> Column:
     return F.filter(F.array(*[F.when(c, F.lit(name)) for c, name in pairs]), lambda x: x.isNotNull())
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from . import sqltext as S
 from .fixtures import FIELD_COLUMNS, SEED, TEMPLATE_FIELDS
 from .queries import (ALNUM_MASKS, BAD_FORMATS, DATE_FORMATS, DATETIME_FORMATS, FLAG_TEXTS, MANIFEST_BASE)
-from ..functions.generators import FEMALE_HONORIFICS
 from ..operators.augplan import CATALOG, expected_rate, gate_threshold, member_interval
 from .fixtures import DEFAULT_ADVANCE, HELVETICA_WIDTHS, TEMPLATE_SIZES
 from ..sources.dictionaries import (COMPANY_ADJECTIVES, COMPANY_NOUNS, EMAIL_DOMAINS, EMAIL_SEPARATORS)

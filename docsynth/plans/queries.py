@@ -27,7 +27,7 @@ from ..operators.layout import layout_glyphs, widgets
 from ..operators.words import combine_boxes, glyphs_from_text, words_from_glyphs
 from ..functions.geometry import DEFAULT_RENDER_FACTOR
 from ..functions.strftime import to_spark_pattern
-from .fixtures import (SEED, TEMPLATE_SIZES, cap, customer_documents, first_names_any, font_metrics,
+from .fixtures import (SEED, TEMPLATE_SIZES, customer_documents, first_names_any, font_metrics,
                        name_dictionaries, read, template_fields, template_sizes)
 
 # Fixed values used by the queries (masks and formats exercised per row).

@@ -5,7 +5,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
-from tools.check_oracle import TABLES, digest
+from tools.check_oracle import TABLES, TYPE_MAP, digest
 
 ORACLES = E.oracle_sql()
 
@@ -36,6 +36,10 @@ def test_query_matches_oracle(spark, sf_small, con, name):
     dcols = [d[0] for d in res.description]
     drows = res.fetchall()
     assert sorted(df.columns) == sorted(dcols)
+    dtypes = {d[0]: str(d[1]).upper() for d in res.description}
+    for f in df.schema.fields:
+        t = f.dataType.simpleString()
+        assert TYPE_MAP.get(t, t) == dtypes[f.name], (f.name, t, dtypes[f.name])
     assert len(srows) == len(drows)
     hs, ls = digest(df.columns, srows)
     hd, ld = digest(dcols, drows)
