@@ -20,6 +20,7 @@ HEADLINE = [
     "generate_values",
     "assemble_records",
     "layout_glyphs",
+    "form_words",
     "label_lines",
     "words_from_glyphs",
     "sample_weighted",

@@ -87,3 +87,60 @@ def layout_glyphs(values: DataFrame, widget_spec: DataFrame, metrics: DataFrame,
     end = F.col("x") + (fs * (F.col("g.b") + F.col("g.a"))).cast("double") / F.lit(1000.0)
     return g.select("doc_id", "template_id", "page", "line", "pos", F.col("g.ch").alias("ch"), start.alias("x0"),
                     F.col("y").alias("y0"), end.alias("x1"), (F.col("y") + fs.cast("double")).alias("y1"))
+
+
+def layout_words(values: DataFrame, widget_spec: DataFrame, metrics: DataFrame,
+                 default_advance: int = DEFAULT_ADVANCE,
+                 max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """Words of the laid-out values, equal to
+    ``words_from_glyphs(layout_glyphs(...))`` without building glyph rows.
+
+    Per value (one line closed by a newline) the word runs between separators
+    are found in the array domain, with boxes from the same integer advance
+    sums as the glyphs (first glyph's left edge, last glyph's right edge).
+    Numbering across a document needs its lines together: one ``groupBy`` of
+    the value rows per document, whose size is the template's text-field
+    count, so no group grows with the data.
+    Output: doc_id, template_id, page, line, word_no, text, x0, y0, x1, y1.
+    """
+    n_w = widget_spec.count()
+    w = checked_broadcast(widget_spec.select("template_id", "pos", "x", "y", "font_size"), n_w, max_broadcast_rows)
+    v = values.filter(F.col("value").isNotNull()).select("doc_id", "template_id", "pos", "value").join(
+        w, ["template_id", "pos"])
+    adv_map = _advance_map(metrics)
+    chars = F.filter(F.split(F.col("value"), ""), lambda c: c != "")
+    v = v.withColumn("_ds_chars", chars)
+    adv = F.transform("_ds_chars", lambda c: F.coalesce(adv_map[c], F.lit(default_advance)).cast("bigint"))
+    v = v.withColumn("_ds_adv", adv)
+    # cum[i] = advance before glyph i, for i = 0..n (cum[n] = whole value)
+    cum = F.transform(F.sequence(F.lit(0), F.size("_ds_adv")),
+                      lambda i: F.aggregate(F.slice(F.col("_ds_adv"), 1, i), F.lit(0).cast("bigint"),
+                                            lambda acc, x: acc + x))
+    v = v.withColumn("_ds_cum", cum)
+    n = F.size("_ds_chars")
+    # separator positions, with the closing newline at n
+    seps = F.filter(F.sequence(F.lit(0), n),
+                    lambda i: (i == n) | F.element_at(F.col("_ds_chars"), i + 1).isin(" ", "\n"))
+    v = v.withColumn("_ds_seps", seps)
+    runs = F.transform("_ds_seps", lambda s, k: F.struct(
+        F.when(k == 0, F.lit(0)).otherwise(F.element_at(F.col("_ds_seps"), k) + 1).alias("start"), s.alias("end")))
+    runs = F.filter(runs, lambda r: r["end"] > r["start"])
+    fs = F.col("font_size").cast("bigint")
+
+    def word(r):
+        start, end = r["start"], r["end"]
+        x0 = F.col("x") + (fs * F.element_at(F.col("_ds_cum"), start + 1)).cast("double") / F.lit(1000.0)
+        x1 = F.col("x") + (fs * F.element_at(F.col("_ds_cum"), end + 1)).cast("double") / F.lit(1000.0)
+        return F.struct(F.array_join(F.slice(F.col("_ds_chars"), start + 1, end - start), "").alias("text"),
+                        x0.alias("x0"), x1.alias("x1"))
+
+    v = v.select("doc_id", "template_id", "pos", "y", "font_size", F.transform(runs, word).alias("_ds_words"))
+    per_doc = v.groupBy("doc_id", "template_id").agg(
+        F.array_sort(F.collect_list(F.struct("pos", "y", "font_size", "_ds_words"))).alias("_ds_lines"))
+    flat = F.flatten(F.transform("_ds_lines", lambda ln: F.transform(ln["_ds_words"], lambda wd: F.struct(
+        ln["pos"].alias("line"), wd["text"].alias("text"), wd["x0"].alias("x0"), ln["y"].alias("y0"),
+        wd["x1"].alias("x1"), (ln["y"] + ln["font_size"].cast("double")).alias("y1")))))
+    out = per_doc.select("doc_id", "template_id", F.posexplode(flat).alias("word_no", "_ds_w"))
+    return out.select("doc_id", "template_id", F.lit(1).alias("page"), F.col("_ds_w.line").alias("line"),
+                      F.col("word_no").cast("bigint").alias("word_no"), "_ds_w.text", "_ds_w.x0", "_ds_w.y0",
+                      "_ds_w.x1", "_ds_w.y1")

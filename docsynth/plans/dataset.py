@@ -25,12 +25,11 @@ from ..functions.geometry import DEFAULT_RENDER_FACTOR
 from ..operators.augplan import augmentation_plan
 from ..operators.expand import expand_documents, manifest
 from ..operators.labels import label_boxes
-from ..operators.layout import layout_glyphs, widgets
+from ..operators.layout import layout_words, widgets
 from ..operators.pairing import pair_by_position, pairing_rules
 from ..operators.records import assemble_records
 from ..operators.validate import validate_templates
 from ..operators.values import generate_values
-from ..operators.words import words_from_glyphs
 from ..sources.annotations import list_images, read_annotations, stem, templates, typed_fields
 from ..sources.writers import write_labels, write_records, write_table
 
@@ -85,8 +84,7 @@ def build_dataset(spark: SparkSession, base: str, out: str, num_files: int, dict
 
     write_records(assemble_records(values), f"{out}/records", mode)
 
-    glyphs = layout_glyphs(values.filter(F.col("error").isNull()), widgets(tpl, fields), dicts.font_metrics)
-    words = words_from_glyphs(glyphs, carry=["template_id"])
+    words = layout_words(values.filter(F.col("error").isNull()), widgets(tpl, fields), dicts.font_metrics)
     heights = F.broadcast(tpl.select("template_id", (F.col("height") * F.lit(factor)).alias("_img_h")))
     labels = label_boxes(words.join(heights, "template_id"), "_img_h", augment, factor)
     write_labels(labels, f"{out}/labels", mode)

@@ -613,6 +613,7 @@ ORACLES = {
     "widgets": widgets,
     "layout_glyphs": layout_glyphs,
     "form_words": form_words,
+    "form_words_from_glyphs": form_words,
     "label_boxes": label_boxes,
     "label_lines": label_lines,
     "augmentation_plan": augmentation_plan,

@@ -23,7 +23,7 @@ from ..operators.values import generate_values, split_errors, text_fields
 from ..sources.annotations import parse_annotations, stem, templates, typed_fields
 from ..operators.augplan import augmentation_plan, plan_audit
 from ..operators.labels import QUAD_COLS, label_boxes, label_lines
-from ..operators.layout import layout_glyphs, widgets
+from ..operators.layout import layout_glyphs, layout_words, widgets
 from ..operators.words import combine_boxes, glyphs_from_text, words_from_glyphs
 from ..functions.geometry import DEFAULT_RENDER_FACTOR
 from ..functions.strftime import to_spark_pattern
@@ -425,7 +425,15 @@ def _image_height(factor: float = DEFAULT_RENDER_FACTOR) -> Column:
 
 
 def _form_words(spark, sf_dir) -> DataFrame:
-    return words_from_glyphs(_glyphs(spark, sf_dir), carry=["template_id"])
+    vals, _ = split_errors(_values(spark, sf_dir))
+    return layout_words(vals, _template_widgets(spark), font_metrics(spark))
+
+
+def q_form_words_from_glyphs(spark, sf_dir):
+    """The same words through the generic glyph operator (glyph rows, one
+    shuffle by line); must equal ``form_words``."""
+    w = words_from_glyphs(_glyphs(spark, sf_dir), carry=["template_id"])
+    return w.select("doc_id", "line", "word_no", "text", "x0", "y0", "x1", "y1")
 
 
 def q_form_words(spark, sf_dir):
@@ -486,6 +494,7 @@ QUERIES = {
     "widgets": q_widgets,
     "layout_glyphs": q_layout_glyphs,
     "form_words": q_form_words,
+    "form_words_from_glyphs": q_form_words_from_glyphs,
     "label_boxes": q_label_boxes,
     "label_lines": q_label_lines,
     "augmentation_plan": q_augmentation_plan,
