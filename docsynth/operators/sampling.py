@@ -48,9 +48,11 @@ def index_dictionary(dictionary: DataFrame, order_cols: Sequence[str], by: Seque
         return (dictionary.withColumn(idx_col, (F.row_number().over(w) - 1).cast("bigint"))
                 .withColumn(n_col, F.count(F.lit(1)).over(Window.partitionBy(*by))))
     ranked = global_rank(dictionary, [*by, *order_cols], "_ds_g")
-    groups = ranked.groupBy(*by).agg(F.min("_ds_g").alias("_ds_start"), F.count(F.lit(1)).alias(n_col)) \
-        if by else ranked.agg(F.min("_ds_g").alias("_ds_start"), F.count(F.lit(1)).alias(n_col))
-    joined = ranked.join(F.broadcast(groups), by) if by else ranked.crossJoin(F.broadcast(groups))
+    if not by:  # one group: the global rank is the index, the size is known
+        return ranked.withColumnRenamed("_ds_g", idx_col).withColumn(n_col, F.lit(n_rows).cast("bigint"))
+    # one row per group, groups <= dictionary rows (checked bound)
+    groups = ranked.groupBy(*by).agg(F.min("_ds_g").alias("_ds_start"), F.count(F.lit(1)).alias(n_col))
+    joined = ranked.join(checked_broadcast(groups, n_rows), by)
     return joined.withColumn(idx_col, (F.col("_ds_g") - F.col("_ds_start")).cast("bigint")).drop("_ds_g", "_ds_start")
 
 
@@ -66,11 +68,13 @@ def sample_uniform(df: DataFrame, dictionary: DataFrame, u: Column, order_cols:
     by = _group_cols(by)
     n_dict = dictionary.count()
     indexed = index_dictionary(dictionary, order_cols, by, n_rows=n_dict)
-    sizes = indexed.select(*by, "_ds_n").distinct() if by else indexed.select("_ds_n").distinct()
     rows = df.withColumn("_ds_u", u)
-    # at most one row per group, and groups <= dictionary rows
-    rows = rows.join(checked_broadcast(sizes, n_dict, max_broadcast_rows), by, "left") if by \
-        else rows.crossJoin(F.broadcast(sizes))
+    if by:
+        # at most one row per group, and groups <= dictionary rows
+        sizes = indexed.select(*by, "_ds_n").distinct()
+        rows = rows.join(checked_broadcast(sizes, n_dict, max_broadcast_rows), by, "left")
+    else:
+        rows = rows.withColumn("_ds_n", F.lit(n_dict).cast("bigint"))
     rows = rows.withColumn("_ds_idx", F.floor(F.col("_ds_u") * F.col("_ds_n")).cast("bigint")).drop("_ds_n")
     right = checked_broadcast(indexed.drop("_ds_n"), n_dict, max_broadcast_rows)
     return rows.join(right, [*by, "_ds_idx"], how).drop("_ds_idx", "_ds_u")
@@ -98,8 +102,12 @@ def weighted_intervals(dictionary: DataFrame, order_cols: Sequence[str], weight_
     cum = running_total(d, [*by, *order_cols], weight_col, "_ds_hi")
     cum = cum.withColumn("_ds_lo", F.col("_ds_hi") - F.col(weight_col).cast("bigint"))
     agg = [F.min("_ds_lo").alias("_ds_start"), F.sum(F.col(weight_col).cast("bigint")).alias("_ds_total")]
-    groups = cum.groupBy(*by).agg(*agg) if by else cum.agg(*agg)
-    cum = cum.join(F.broadcast(groups), by) if by else cum.crossJoin(F.broadcast(groups))
+    if by:  # one row per group, groups <= dictionary rows (checked bound)
+        cum = cum.join(checked_broadcast(cum.groupBy(*by).agg(*agg), n_rows), by)
+    else:  # one group: its start and total are two scalars
+        tot = cum.agg(*agg).first()
+        cum = cum.withColumn("_ds_start", F.lit(int(tot["_ds_start"] or 0)).cast("bigint")) \
+                 .withColumn("_ds_total", F.lit(int(tot["_ds_total"] or 0)).cast("bigint"))
     total = F.col("_ds_total").cast("double")
     return (cum.withColumn("lo", (F.col("_ds_lo") - F.col("_ds_start")).cast("double") / total)
             .withColumn("hi", (F.col("_ds_hi") - F.col("_ds_start")).cast("double") / total)

@@ -89,3 +89,25 @@ def test_label_box_contains_its_glyphs(spark, sf_small):
     per_glyph = j.select("doc_id", "line", "pos").distinct().count()
     terminated = glyphs.count()
     assert per_glyph == terminated
+
+
+def test_large_dictionary_path_matches_small_path(spark, sf_small, monkeypatch):
+    import docsynth.operators.sampling as S
+    e = spark.read.parquet(f"{sf_small}/events.parquet").select("event_id")
+    words = (spark.read.parquet(f"{sf_small}/part.parquet")
+             .select(F.explode(F.split("p_name", " ")).alias("word")).groupBy("word").count()
+             .withColumnRenamed("count", "weight"))
+    sup = spark.read.parquet(f"{sf_small}/supplier.parquet").select("s_suppkey", "s_name")
+    named = sup.withColumn("g", F.when(F.col("s_suppkey") % 2 == 0, "a").otherwise("b"))
+    ev = e.withColumn("g", F.when(F.col("event_id") % 3 == 0, "a").otherwise("b"))
+    u = u01(4, F.col("event_id"))
+
+    def run(mb=S.DEFAULT_MAX_BROADCAST_ROWS):
+        return ({tuple(r) for r in S.sample_weighted(e, words, u, ["word"], "weight",
+                                                     max_broadcast_rows=mb).collect()},
+                {tuple(r) for r in S.sample_uniform(e, sup, u, ["s_suppkey"], max_broadcast_rows=mb).collect()},
+                {tuple(r) for r in S.sample_uniform(ev, named, u, ["s_suppkey"], by=["g"],
+                                                    max_broadcast_rows=mb).collect()})
+    small = run()
+    monkeypatch.setattr(S, "SMALL_DICTIONARY_ROWS", 0)  # distributed ranking
+    assert run(mb=0) == small                           # and shuffle joins instead of broadcasts
