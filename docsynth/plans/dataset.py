@@ -4,18 +4,19 @@ Input layout (as the reference expects): ``{base}/Annotations/*.xml`` and
 ``{base}/JPEGImages/*``, paired by sorted position. Output under ``out``:
 
 * ``rejected_templates``: rule rows of templates that fail validation;
-* ``values``: the long ground-truth table (doc, field, value);
+* ``values``: the long ground-truth table (doc, field, value), bucketed by doc;
 * ``records``: one JSON line per document (``{"doc_id", "textbox"}``);
 * ``labels``: label lines ``x1,y1,..,y4,text`` per word;
 * ``augmentation_plan`` (when ``augment``) and ``manifest``.
 
-The values table is written first and read back for records and labels, so
-the expensive generation runs once and later stages restart from files if an
-executor is lost.
+The values table is written first (bucketed by document) and read back for
+records and labels, so the generation runs once, later stages restart from
+files if an executor is lost, and neither per-document grouping shuffles.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -64,9 +65,28 @@ def unpaired_rules(spark: SparkSession, base: str) -> DataFrame:
     return pairing_rules(ann, img, ["annotation_path"], ["image_path"], "annotation_path")
 
 
+def _default_buckets(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+def write_bucketed_values(values: DataFrame, path: str, buckets: int, mode: str = "overwrite") -> DataFrame:
+    """Write the values table bucketed by ``doc_id`` (sorted by position) as an
+    external table at ``path`` and return the table.
+
+    Both later per-document groupings (records, word layout) then read
+    co-located buckets: the one shuffle is this write, not one per consumer.
+    The table is registered in the session catalog under a per-path name.
+    """
+    name = "docsynth_values_" + uuid.uuid5(uuid.NAMESPACE_URL, path).hex[:16]
+    (values.write.mode(mode).format("parquet").bucketBy(buckets, "doc_id").sortBy("doc_id", "pos")
+     .option("path", path).saveAsTable(name))
+    return values.sparkSession.table(name)
+
+
 def build_dataset(spark: SparkSession, base: str, out: str, num_files: int, dicts: Dictionaries,
                   seed: int = 0, augment: bool = True, probability: float = 0.5,
-                  factor: float = DEFAULT_RENDER_FACTOR, mode: str = "overwrite") -> dict[str, str]:
+                  factor: float = DEFAULT_RENDER_FACTOR, mode: str = "overwrite",
+                  buckets: int | None = None) -> dict[str, str]:
     out = out.rstrip("/")
     parsed = load_templates(spark, base)
     rules = validate_templates(parsed).unionByName(unpaired_rules(spark, base))
@@ -79,8 +99,7 @@ def build_dataset(spark: SparkSession, base: str, out: str, num_files: int, dict
 
     docs = expand_documents(tpl, num_files)
     values = generate_values(docs, fields, seed, dicts.first_names, dicts.last_names, dicts.indian_names)
-    write_table(values, f"{out}/values", mode, ("template_id",))
-    values = spark.read.parquet(f"{out}/values")
+    values = write_bucketed_values(values, f"{out}/values", buckets or _default_buckets(spark), mode)
 
     write_records(assemble_records(values), f"{out}/records", mode)
 

@@ -90,3 +90,20 @@ def test_unpaired_files_are_reported(spark, tmpdir_path):
     rows = unpaired_rules(spark, tmpdir_path).collect()
     assert len(rows) == 1 and rows[0].rule == "V11_annotation_image_count_mismatch"
     assert rows[0].template_id.endswith("form1.xml")
+
+
+def test_records_and_words_read_buckets_without_shuffle(spark, tmpdir_path):
+    from docsynth.operators.layout import layout_words, widgets
+    from docsynth.operators.records import assemble_records
+    from docsynth.plans.dataset import write_bucketed_values
+    from docsynth.plans.fixtures import template_fields, template_sizes
+    v = spark.createDataFrame([(f"d{i}", "w2", p, "f", "k", "ab cd", None) for i in range(20) for p in (0, 1)],
+                              "doc_id string, template_id string, pos int, field_name string, kind string, "
+                              "value string, error string")
+    t = write_bucketed_values(v, f"{tmpdir_path}/values", 4)
+    rec = assemble_records(t)
+    words = layout_words(t, widgets(template_sizes(spark), template_fields(spark)), font_metrics(spark))
+    for df in (rec, words):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange hashpartitioning(doc_id" not in plan, plan
+    assert rec.count() == 20 and words.count() == 80
