@@ -4,18 +4,28 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+# Inputs estimated below this many bytes are cheap to re-spread.
+SPREAD_MAX_BYTES = 512 * 1024 * 1024
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate of a plan (no job runs)."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
 
 def spread_small_input(df: DataFrame, key: str) -> DataFrame:
-    """Hash-spread an input that has fewer partitions than the cluster has
-    task slots, before a row-multiplying step (explode, document x field
-    join). A small file with one or a few row groups would otherwise run the
-    whole expansion on a few cores; inputs with enough partitions (any large
-    table) are returned unchanged, so nothing extra is shuffled at scale.
-    Hash (not round-robin) partitioning keeps retries deterministic.
+    """Hash-spread a small input over all task slots before a row-multiplying
+    step (explode, document x field join).
+
+    A small file with one or a few row groups would otherwise run the whole
+    expansion on a few cores. The decision uses the optimizer's size estimate
+    (nothing is executed): inputs estimated above ``SPREAD_MAX_BYTES`` -- any
+    large table, which has plenty of splits anyway -- are returned unchanged,
+    so nothing extra is shuffled at scale. Hash (not round-robin)
+    partitioning keeps retries deterministic; streams are left alone.
     """
-    if df.isStreaming:  # micro-batches are sized by the source's trigger options
+    if df.isStreaming:
         return df
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= slots:
+    if estimated_bytes(df) > SPREAD_MAX_BYTES:
         return df
-    return df.repartition(slots, key)
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key)
