@@ -38,6 +38,19 @@ def _group_cols(by: Sequence[str] | None) -> list[str]:
     return list(by or [])
 
 
+NULL_KEY_SALTS = 4096
+
+
+def _spread_null_key(key: Column, row_cols: Sequence[str], broadcast: bool) -> Column:
+    """Rows that need no lookup carry a null key. In a shuffle join all of them
+    would hash to one reducer, so they get a negative key (matching nothing)
+    spread by a hash of the row; with a broadcast join nulls cost nothing."""
+    if broadcast:
+        return key
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in row_cols]), F.lit(NULL_KEY_SALTS))
+    return F.coalesce(key, (F.lit(-1) - salt).cast("bigint"))
+
+
 def index_dictionary(dictionary: DataFrame, order_cols: Sequence[str], by: Sequence[str] | None = None,
                      idx_col: str = "_ds_idx", n_col: str = "_ds_n", n_rows: int | None = None) -> DataFrame:
     """Dense 0-based index of each row inside its group, plus the group size."""
@@ -75,7 +88,9 @@ def sample_uniform(df: DataFrame, dictionary: DataFrame, u: Column, order_cols:
         rows = rows.join(checked_broadcast(sizes, n_dict, max_broadcast_rows), by, "left")
     else:
         rows = rows.withColumn("_ds_n", F.lit(n_dict).cast("bigint"))
-    rows = rows.withColumn("_ds_idx", F.floor(F.col("_ds_u") * F.col("_ds_n")).cast("bigint")).drop("_ds_n")
+    is_bc = n_dict <= max_broadcast_rows
+    idx = F.floor(F.col("_ds_u") * F.col("_ds_n")).cast("bigint")
+    rows = rows.withColumn("_ds_idx", _spread_null_key(idx, df.columns, is_bc)).drop("_ds_n")
     right = checked_broadcast(indexed.drop("_ds_n"), n_dict, max_broadcast_rows)
     return rows.join(right, [*by, "_ds_idx"], how).drop("_ds_idx", "_ds_u")
 
@@ -145,8 +160,10 @@ def sample_weighted(df: DataFrame, dictionary: DataFrame, u: Column, order_cols:
     bl = F.floor(F.col("lo") * F.lit(float(b))).cast("int")
     bh = F.least(F.floor(F.col("hi") * F.lit(float(b))).cast("int"), F.lit(b - 1))
     exploded = intervals.withColumn("_ds_bin", F.explode(F.sequence(bl, F.greatest(bl, bh))))
-    right = checked_broadcast(exploded, n_int + b, max_broadcast_rows)
-    rows = rows.withColumn("_ds_bin", F.floor(F.col("_ds_u") * F.lit(float(b))).cast("int"))
+    right = checked_broadcast(exploded.withColumn("_ds_bin", F.col("_ds_bin").cast("bigint")), n_int + b,
+                              max_broadcast_rows)
+    bin_ = F.floor(F.col("_ds_u") * F.lit(float(b))).cast("bigint")
+    rows = rows.withColumn("_ds_bin", _spread_null_key(bin_, df.columns, n_int + b <= max_broadcast_rows))
     keyed = rows.join(right, [*by, "_ds_bin"], "left")
     hit = (F.col("_ds_u") >= F.col("lo")) & (F.col("_ds_u") < F.col("hi"))
     if how == "inner":

@@ -111,3 +111,17 @@ def test_large_dictionary_path_matches_small_path(spark, sf_small, monkeypatch):
     small = run()
     monkeypatch.setattr(S, "SMALL_DICTIONARY_ROWS", 0)  # distributed ranking
     assert run(mb=0) == small                           # and shuffle joins instead of broadcasts
+
+
+def test_rows_without_lookup_are_spread_in_shuffle_joins(spark):
+    from docsynth.operators.sampling import sample_weighted
+    d = spark.createDataFrame([("a", 1), ("b", 3)], "word string, weight long")
+    rows = spark.range(4000).withColumnRenamed("id", "k")
+    u = F.when(F.col("k") % 4 == 0, u01(3, F.col("k")))  # three quarters need no lookup
+    out = sample_weighted(rows, d, u, ["word"], "weight", max_broadcast_rows=0)
+    got = out.collect()
+    assert len(got) == 4000
+    assert sum(r.word is not None for r in got) == 1000
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning(_ds_bin" in plan  # a shuffle join (AQE may still broadcast at run time)
+    assert "coalesce(cast(FLOOR" in plan and "xxhash64" in plan   # null keys get a spread salt
