@@ -27,11 +27,13 @@ def assemble_records(values: DataFrame, doc_cols=("doc_id", "template_id"), out_
     return g.select(*doc_cols, rec.alias(out_col))
 
 
-def record_kv(record: Column, sep: str = ";") -> Column:
+def record_kv(record: Column | str, sep: str = ";") -> Column:
     """Flat ``key=value;..`` text of a record in its key order."""
+    record = F.col(record) if isinstance(record, str) else record
     return F.array_join(F.transform(F.map_entries(record), lambda x: F.concat(x["key"], F.lit("="), x["value"])), sep)
 
 
-def record_json(record: Column, root: str = "textbox") -> Column:
+def record_json(record: Column | str, root: str = "textbox") -> Column:
     """``{"textbox": {...}}`` as one JSON line (keys in field order)."""
+    record = F.col(record) if isinstance(record, str) else record
     return F.to_json(F.struct(record.alias(root)))

@@ -107,3 +107,16 @@ def test_records_and_words_read_buckets_without_shuffle(spark, tmpdir_path):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "Exchange hashpartitioning(doc_id" not in plan, plan
     assert rec.count() == 20 and words.count() == 80
+
+
+def test_per_document_label_text_files(spark, tmpdir_path):
+    from docsynth.sources.writers import write_labels
+    rows = [("d1", 1, 0, "a,b", 1, 2, 3, 2, 3, 4, 1, 4), ("d1", 1, 1, "c", 5, 6, 7, 6, 7, 8, 5, 8),
+            ("d2", 1, 0, "x", 0, 0, 1, 0, 1, 1, 0, 1)]
+    df = spark.createDataFrame(rows, "doc_id string, page int, word_no long, text string, "
+                                     "q1 int, q2 int, q3 int, q4 int, q5 int, q6 int, q7 int, q8 int")
+    out = f"{tmpdir_path}/labels"
+    write_labels(df, out, per_document=True)
+    d1 = [r.value for r in spark.read.text(f"{out}/doc_id=d1").collect()]
+    assert d1 == ["1,2,3,2,3,4,1,4,a,b", "5,6,7,6,7,8,5,8,c"]
+    assert d1[0].split(",", 8)[8] == "a,b"   # readers split on the first eight commas
