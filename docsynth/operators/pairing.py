@@ -26,15 +26,18 @@ def pair_by_position(left: DataFrame, right: DataFrame, left_order: Sequence[str
 
 
 def pair_by_stem(left: DataFrame, right: DataFrame, key: str, status_col: str = "status") -> DataFrame:
-    """Full outer join on ``key`` with ``matched`` / ``left_only`` /
-    ``right_only`` per distinct key. Keys are made distinct first (a
-    partially aggregated shuffle), so a repeated key never multiplies rows."""
-    l_ = left.select(F.col(key)).distinct().withColumn("_ds_l", F.lit(True))
-    r_ = right.select(F.col(key)).distinct().withColumn("_ds_r", F.lit(True))
-    j = l_.join(r_, key, "full_outer")
+    """``matched`` / ``left_only`` / ``right_only`` per distinct ``key``.
+
+    Both key lists are tagged and unioned, then one ``groupBy(key)`` with
+    partial (map-side) aggregation ORs the tags: a single shuffle, and a key
+    repeated millions of times is combined before it is shuffled.
+    """
+    tagged = (left.select(F.col(key), F.lit(True).alias("_ds_l"), F.lit(False).alias("_ds_r"))
+              .unionByName(right.select(F.col(key), F.lit(False).alias("_ds_l"), F.lit(True).alias("_ds_r"))))
+    g = tagged.groupBy(key).agg(F.bool_or("_ds_l").alias("_ds_l"), F.bool_or("_ds_r").alias("_ds_r"))
     status = (F.when(F.col("_ds_l") & F.col("_ds_r"), F.lit("matched"))
               .when(F.col("_ds_l"), F.lit("left_only")).otherwise(F.lit("right_only")))
-    return j.select(key, status.alias(status_col))
+    return g.select(key, status.alias(status_col))
 
 
 def pairing_rules(left: DataFrame, right: DataFrame, left_order: Sequence[str], right_order: Sequence[str],
