@@ -66,17 +66,25 @@ HELVETICA_WIDTHS = [
 DEFAULT_ADVANCE = 556
 
 
+def literal_frame(spark: SparkSession, rows: list, schema: str) -> DataFrame:
+    """A small literal table built in the JVM (an inline of literal structs,
+    folded into a local relation), not a Python RDD."""
+    fields = [f.strip().split(" ", 1) for f in schema.split(",")]
+    structs = [F.struct(*[F.lit(v).cast(t.strip()).alias(n.strip()) for (n, t), v in zip(fields, r)]) for r in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 def template_fields(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(TEMPLATE_FIELDS, FIELD_SCHEMA)
+    return literal_frame(spark, TEMPLATE_FIELDS, FIELD_SCHEMA)
 
 
 def template_sizes(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(TEMPLATE_SIZES, "template_id string, width int, height int")
+    return literal_frame(spark, TEMPLATE_SIZES, "template_id string, width int, height int")
 
 
 def font_metrics(spark: SparkSession) -> DataFrame:
     rows = [(chr(32 + i), int(w)) for i, w in enumerate(HELVETICA_WIDTHS)]
-    return spark.createDataFrame(rows, "ch string, advance int")
+    return literal_frame(spark, rows, "ch string, advance int")
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -34,8 +34,8 @@ COMPANY_NOUNS = [
 
 
 def word_list(spark: SparkSession, words: list[str], col: str = "word") -> DataFrame:
-    """A literal list as a one-column frame with its list position."""
-    return spark.createDataFrame([(i, w) for i, w in enumerate(words)], f"idx int, {col} string")
+    """A literal list as a frame with its list position (built in the JVM)."""
+    return spark.range(1).select(F.posexplode(F.array(*[F.lit(w) for w in words])).alias("idx", col))
 
 
 def weighted_words(df: DataFrame, text_col: str, out_col: str = "name",
