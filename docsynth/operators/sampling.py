@@ -136,7 +136,9 @@ def sample_weighted(df: DataFrame, dictionary: DataFrame, u: Column, order_cols:
     """Attach one dictionary row drawn with probability proportional to weight.
 
     ``method='binned'`` (default) is an equi-join on (group, bin) plus the range
-    filter; ``method='range'`` is the plain range join, kept for comparison.
+    filter: a hash join (broadcast when the exploded intervals are within the
+    bound, else a shuffle join on uniformly spread bins). ``method='range'`` is
+    the plain range join, a nested-loop join kept only for comparison.
     """
     by = _group_cols(by)
     n_int = dictionary.count()
@@ -145,16 +147,12 @@ def sample_weighted(df: DataFrame, dictionary: DataFrame, u: Column, order_cols:
         intervals = intervals.drop(weight_col)
     rows = df.withColumn("_ds_u", u)
     if method == "range":
-        n = n_int
-        cond = [(F.col("_ds_u") >= F.col("lo")) & (F.col("_ds_u") < F.col("hi"))]
-        right = checked_broadcast(intervals.withColumnsRenamed({c: f"_ds_by_{c}" for c in by}), n,
+        right = checked_broadcast(intervals.withColumnsRenamed({c: f"_ds_by_{c}" for c in by}), n_int,
                                   max_broadcast_rows)
+        cond = (F.col("_ds_u") >= F.col("lo")) & (F.col("_ds_u") < F.col("hi"))
         for c in by:
-            cond.append(rows[c] == right[f"_ds_by_{c}"])
-        cond_all = cond[0]
-        for c in cond[1:]:
-            cond_all = cond_all & c
-        out = rows.join(right, cond_all, how)
+            cond = cond & (rows[c] == right[f"_ds_by_{c}"])
+        out = rows.join(right, cond, how)
         return out.drop("_ds_u", "lo", "hi", *[f"_ds_by_{c}" for c in by])
     b = int(bins) if bins else max(1, min(MAX_BINS, n_int))
     bl = F.floor(F.col("lo") * F.lit(float(b))).cast("int")
