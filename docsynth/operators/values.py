@@ -63,12 +63,11 @@ def generate_values(documents: DataFrame, fields: DataFrame, seed: int, first_na
     docs = spread_small_input(documents.select("doc_id", "template_id"), "doc_id")
     rows = docs.join(spec, "template_id")
     key = [F.col("doc_id"), F.col("pos")]
-    seed_ = seed
-    rows = gen_name(rows, ["doc_id", "pos"], seed_, first_names, last_names, indian_names,
+    rows = gen_name(rows, ["doc_id", "pos"], seed, first_names, last_names, indian_names,
                     only_where=(F.col("kind") == "name") & F.col("error").isNull(), out_col="_ds_name",
                     error_col="_ds_name_err")
-    generated = (F.when(F.col("kind") == "alphanum", alphanum(F.col("mask"), seed_, *key))
-                 .when(F.col("kind") == "date", gen_date(F.col("date_format"), seed_, *key,
+    generated = (F.when(F.col("kind") == "alphanum", alphanum(F.col("mask"), seed, *key))
+                 .when(F.col("kind") == "date", gen_date(F.col("date_format"), seed, *key,
                                                          pattern=F.col("date_pattern")))
                  .when(F.col("kind") == "name", F.col("_ds_name")))
     error = F.coalesce(F.col("error"), F.col("_ds_name_err"))

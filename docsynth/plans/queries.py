@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.draws import randint, u01
-from ..functions.generators import alphanum, currency, gen_date, gen_decimal, gen_int, static_override
+from ..functions.generators import (alphanum, currency, date_format_error, gen_date, gen_decimal, gen_int,
+                                    static_override)
 from ..functions.generators import address_text as address_text_col
 from ..operators.expand import expand_documents, manifest
 from ..operators.partitioning import spread_small_input
@@ -89,7 +90,6 @@ def q_gen_datetime(spark, sf_dir):
 
 def q_split_errors(spark, sf_dir):
     """Dates with some unsupported formats: good and rejected rows, tagged."""
-    from ..functions.generators import date_format_error
     o = _with_literal(read(spark, sf_dir, "orders").select("o_orderkey"), BAD_FORMATS, "fmt_no", "fmt")
     o = o.select("o_orderkey", "fmt_no", "fmt",
                  gen_date(F.col("fmt"), SEED, F.col("o_orderkey"), F.col("fmt_no")).alias("value"),
