@@ -67,11 +67,12 @@ DEFAULT_ADVANCE = 556
 
 
 def literal_frame(spark: SparkSession, rows: list, schema: str) -> DataFrame:
-    """A small literal table built in the JVM (an inline of literal structs,
-    folded into a local relation), not a Python RDD."""
-    fields = [f.strip().split(" ", 1) for f in schema.split(",")]
-    structs = [F.struct(*[F.lit(v).cast(t.strip()).alias(n.strip()) for (n, t), v in zip(fields, r)]) for r in rows]
-    return spark.range(1).select(F.inline(F.array(*structs)))
+    """A small literal table. Built from a pandas frame, which Spark converts
+    with Arrow into a JVM-side relation (no Python workers at run time, and no
+    large literal expression tree to re-analyse on every plan step)."""
+    import pandas as pd
+    names = [f.strip().split(" ", 1)[0] for f in schema.split(",")]
+    return spark.createDataFrame(pd.DataFrame(rows, columns=names).astype(object), schema)
 
 
 def template_fields(spark: SparkSession) -> DataFrame:
