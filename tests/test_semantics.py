@@ -205,3 +205,28 @@ def test_line_offsets_distributed_path_matches_window(spark, monkeypatch):
     big = {tuple(r) for r in W.line_offsets(per_line).collect()}
     assert small == big
     assert (0, 1, 0, 0) in small and (0, 1, 1, 0) in small and (0, 1, 2, 1) in small
+
+
+def test_stem_pairing_counts_each_key_once(spark):
+    from docsynth.operators.pairing import pair_by_stem
+    left = spark.createDataFrame([("a",), ("a",), ("a",), ("b",)], "k string")
+    right = spark.createDataFrame([("a",), ("a",), ("c",)], "k string")
+    got = {(r.k, r.status) for r in pair_by_stem(left, right, "k").collect()}
+    assert got == {("a", "matched"), ("b", "left_only"), ("c", "right_only")}
+    assert pair_by_stem(left, right, "k").count() == 3
+
+
+def test_duplicate_template_and_field_rules(spark):
+    from docsynth.operators.validate import validate_templates
+    obj = ("<object><name>textbox</name><bndbox><xmin>1</xmin><ymin>1</ymin><xmax>50</xmax><ymax>40</ymax></bndbox>"
+           "<attributes><attribute><name>1_field_name</name><value>f</value></attribute>"
+           "<attribute><name>2_max_length</name><value>3</value></attribute>"
+           "<attribute><name>3_is_alphanum</name><value>True</value></attribute>"
+           "<attribute><name>alpha_num_placement</name><value>nn</value></attribute>"
+           "<attribute><name>static_value</name><value></value></attribute></attributes></object>")
+    xml = f"<annotation><size><width>10</width><height>10</height></size>{obj}{obj}</annotation>"
+    df = spark.createDataFrame([("t", xml), ("t", xml), ("u", xml)], "template_id string, xml string")
+    rules = [tuple(r) for r in validate_templates(parse_annotations(df)).collect()]
+    assert sorted(r for r in rules if r[3].startswith("V15")) == [("t", -1, None, "V15_duplicate_template_id")] * 2
+    assert ("u", 1, "f", "V12_duplicate_field_name") in rules
+    assert ("u", 0, "f", "V12_duplicate_field_name") not in rules
