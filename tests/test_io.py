@@ -120,3 +120,18 @@ def test_per_document_label_text_files(spark, tmpdir_path):
     d1 = [r.value for r in spark.read.text(f"{out}/doc_id=d1").collect()]
     assert d1 == ["1,2,3,2,3,4,1,4,a,b", "5,6,7,6,7,8,5,8,c"]
     assert d1[0].split(",", 8)[8] == "a,b"   # readers split on the first eight commas
+
+
+def test_command_line_job(spark, tmpdir_path):
+    from docsynth.__main__ import main
+    base, out = f"{tmpdir_path}/forms", f"{tmpdir_path}/out"
+    make_forms(base, ["800"])
+    d = dictionaries(spark)
+    paths = {}
+    for name in ("first_names", "last_names", "indian_names", "font_metrics"):
+        paths[name] = f"{tmpdir_path}/{name}"
+        getattr(d, name).write.parquet(paths[name])
+    main(["--base_path", base, "--out", out, "--num_files", "3", "--augment", "false", "--seed", "5",
+          *[x for k, v in paths.items() for x in (f"--{k}", v)]])
+    assert spark.read.text(f"{out}/records").count() == 3
+    assert not os.path.exists(f"{out}/augmentation_plan")
