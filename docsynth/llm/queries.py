@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fm_decontam, pii
+from . import fm_decontam, pii, sp_codec
 from .common import table
 
 
@@ -12,10 +12,14 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fm_decontam.digest(fm_decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sp_codec.digest(sp_codec.decode(sp_codec.encode(table(spark, sf_dir, "documents"))))
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.pii_spans(table(spark, sf_dir, "documents")))
 
 
-QUERIES = {f.__name__: f for f in (op2_decontaminate, op9_pii)}
+QUERIES = {f.__name__: f for f in (op2_decontaminate, op5_sentencepiece, op9_pii)}
 
 ORACLE_SQL: dict[str, str] = {}
