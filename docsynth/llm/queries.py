@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fm_decontam, pii, sp_codec
+from . import fm_decontam, pii, sp_codec, toxicity
 from .common import table
 
 
@@ -16,10 +16,15 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sp_codec.digest(sp_codec.decode(sp_codec.encode(table(spark, sf_dir, "documents"))))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.digest(toxicity.scored(docs, toxicity.train(docs, table(spark, sf_dir, "labels"))))
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.pii_spans(table(spark, sf_dir, "documents")))
 
 
-QUERIES = {f.__name__: f for f in (op2_decontaminate, op5_sentencepiece, op9_pii)}
+QUERIES = {f.__name__: f for f in (op2_decontaminate, op5_sentencepiece, op8_toxicity, op9_pii)}
 
 ORACLE_SQL: dict[str, str] = {}
