@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fm_decontam, pii, sp_codec, toxicity
+from . import fm_decontam, pii, setsketch, sp_codec, toxicity
 from .common import table
 
 
@@ -25,6 +25,10 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.pii_spans(table(spark, sf_dir, "documents")))
 
 
-QUERIES = {f.__name__: f for f in (op2_decontaminate, op5_sentencepiece, op8_toxicity, op9_pii)}
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setsketch.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op2_decontaminate, op5_sentencepiece, op8_toxicity, op9_pii, op10_near_duplicates)}
 
 ORACLE_SQL: dict[str, str] = {}
