@@ -33,9 +33,11 @@ from pyspark.sql import types as T
 
 from .common import map_columns
 
-SAMPLE_DOCS = 8000
+SAMPLE_DOCS = 5000
 SAMPLE_BYTES = 16384
-LANDMARKS = 64
+LANDMARKS = 96
+#: Candidates for landmarks, and how many like words are taken.
+CANDIDATES, FAMILY = 400, 12
 #: Order and decay of the subsequence kernel.
 ORDER, DECAY = 3, 0.6
 #: Share of a landmark's distinct characters that a word needs to be compared with it.
@@ -55,19 +57,21 @@ def _points(words: list[str], width: int) -> np.ndarray:
 
 def subsequence_kernel(s: np.ndarray, t: np.ndarray) -> np.ndarray:
     """Gap-weighted subsequence kernel of paired words: code points, pairs x characters."""
-    pairs, n = s.shape
-    m = t.shape[1]
-    same = s[:, :, None] == t[:, None, :]
-    prime = np.ones((pairs, n + 1, m + 1))
+    s, t = np.ascontiguousarray(s.T), np.ascontiguousarray(t.T)  # pairs side by side in memory
+    (n, pairs), m = s.shape, len(t)
+    same = (s[:, None, :] == t[None, :, :]).astype(np.float64)
+    prime = np.ones((n + 1, m + 1, pairs))
     for _ in range(ORDER - 1):
-        new = np.zeros((pairs, n + 1, m + 1))
+        new = np.zeros((n + 1, m + 1, pairs))
         for i in range(1, n + 1):
+            met = same[i - 1] * prime[i - 1, :m] * (DECAY * DECAY)
             second = np.zeros(pairs)
             for j in range(1, m + 1):
-                second = DECAY * second + np.where(same[:, i - 1, j - 1], DECAY * DECAY * prime[:, i - 1, j - 1], 0.0)
-                new[:, i, j] = DECAY * new[:, i - 1, j] + second
+                second = DECAY * second + met[j - 1]
+                new[i, j] = second
+            new[i] += DECAY * new[i - 1]
         prime = new
-    return DECAY * DECAY * (same * prime[:, :n, :m]).sum((1, 2))
+    return DECAY * DECAY * (same * prime[:n, :m]).sum((0, 1))
 
 
 def _bits(points: np.ndarray) -> np.ndarray:
@@ -169,23 +173,26 @@ class Model:
         return 1.0 / (1.0 + np.exp(-np.clip(design(features) @ self.curve, -500, 500)))
 
 
+#: Margins beyond which a document's tokens are counted.
+LEVELS = (-0.5, 0.0, 0.5)
+
+
 def design(features: np.ndarray) -> np.ndarray:
-    """Inputs of the logistic curve: bounded largest margin, tokens beyond 0 and their share."""
-    top, count, size = features.T
-    return np.stack([np.ones(len(top)), np.clip(top, -1.5, 1.5), np.log1p(count), count / np.maximum(size, 1)], 1)
+    """Inputs of the logistic curve: bounded largest margin, tokens beyond each level and their shares."""
+    top, size, counts = features[:, 0], np.maximum(features[:, 1], 1), features[:, 2:]
+    return np.hstack([np.ones((len(top), 1)), np.clip(top, -1.5, 1.5)[:, None], np.log1p(counts), np.sqrt(counts / size[:, None])])
 
 
 def document_features(margins: np.ndarray, lengths: np.ndarray, bias: float) -> np.ndarray:
-    """Largest margin, number of tokens with a positive one, number of tokens; per document."""
-    ends = np.cumsum(lengths)
-    out = np.zeros((len(lengths), 3))
-    out[:, 0] = bias
+    """Largest margin, number of tokens, number of tokens beyond each level; per document."""
+    out = np.zeros((len(lengths), 2 + len(LEVELS)))
+    out[:, 0], out[:, 1] = bias, lengths
     full = lengths > 0
     if len(margins):
-        starts = (ends - lengths)[full]
+        starts = (np.cumsum(lengths) - lengths)[full]
         out[full, 0] = np.maximum.reduceat(margins, starts)
-        out[full, 1] = np.add.reduceat((margins > 0).astype(float), starts)
-    out[:, 2] = lengths
+        for i, level in enumerate(LEVELS):
+            out[full, 2 + i] = np.add.reduceat((margins > level).astype(float), starts)
     return out
 
 
@@ -231,7 +238,13 @@ def choose_landmarks(docs: list[set], y: np.ndarray, n: int) -> list[str]:
             z = (np.log(p1) - np.log(p0)) / np.sqrt(1 / (a + 0.5) + 1 / (b + 0.5))
             if z > 2:
                 scored.append((-z, w))
-    return [w for _, w in sorted(scored)[:n]]
+    ranked = [w for _, w in sorted(scored)[:CANDIDATES]]
+    like = kernel_rows(ranked, ranked) > 0.7
+    taken: list[int] = []
+    for i in range(len(ranked)):  # a few of each family of like words
+        if len(taken) < n and like[i, taken].sum() < FAMILY:
+            taken.append(i)
+    return [ranked[i] for i in taken]
 
 
 def fit(texts: list[str | None], labels: list[int], n_landmarks: int = LANDMARKS) -> Model:
