@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fm_decontam, html_extract, pii, setsketch, sp_codec, toxicity
+from . import fm_decontam, html_extract, license_scan, pii, setsketch, sp_codec, toxicity
 from .common import table
 
 
@@ -16,6 +16,10 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sp_codec.digest(sp_codec.decode(sp_codec.encode(table(spark, sf_dir, "documents"))))
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.digest(license_scan.scan(table(spark, sf_dir, "documents")))
+
+
 def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.digest(html_extract.main_texts(table(spark, sf_dir, "pages")))
 
@@ -33,6 +37,6 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return setsketch.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_decontaminate, op5_sentencepiece, op7_html_extraction, op8_toxicity, op9_pii, op10_near_duplicates)}
+QUERIES = {f.__name__: f for f in (op2_decontaminate, op5_sentencepiece, op6_license_scan, op7_html_extraction, op8_toxicity, op9_pii, op10_near_duplicates)}
 
 ORACLE_SQL: dict[str, str] = {}
