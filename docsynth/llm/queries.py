@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fm_decontam, html_extract, license_scan, pii, setsketch, sp_codec, toxicity
+from . import fm_decontam, html_extract, license_scan, nn_descent, pii, setsketch, sp_codec, toxicity
 from .common import table
 
 
+def op1_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nn_descent.nearest(table(spark, sf_dir, "embeddings"), "vec_id % 50 = 0")
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fm_decontam.digest(fm_decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
@@ -37,6 +41,6 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return setsketch.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_decontaminate, op5_sentencepiece, op6_license_scan, op7_html_extraction, op8_toxicity, op9_pii, op10_near_duplicates)}
+QUERIES = {f.__name__: f for f in (op1_nearest_neighbours, op2_decontaminate, op5_sentencepiece, op6_license_scan, op7_html_extraction, op8_toxicity, op9_pii, op10_near_duplicates)}
 
 ORACLE_SQL: dict[str, str] = {}
