@@ -11,8 +11,9 @@ pairs far below the threshold, and the rest is confirmed on the full sets.
 
 Pairs are kept few without losing links: documents of equal sets are one class
 from the start; in each band bucket every class is first held against the
-bucket's smallest one; only classes that are then still in different components
-are held against each other. Components grow by smallest-label rounds over
+bucket's most central one (that with the most mates over all bands). Classes of
+buckets that then still hold several components are held against each other by
+an exact prefix filter on their rarest shingles. Components grow by smallest-label rounds over
 checkpoints. Only counts reach the driver.
 
 Defined results: null, empty and wordless texts have an empty set, no links and
@@ -25,12 +26,13 @@ null component; extra columns are left out of the result.
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import checkpointed, map_columns, tokens
+from .common import checkpointed, list_array, map_columns, tokens
 
 SHINGLE = 5
 #: Registers, registers of a band, base and shift of the grid (values fit 16 bits).
@@ -39,7 +41,7 @@ TOP = 65534
 #: Links: THRESHOLD[0] * intersection >= THRESHOLD[1] * union.
 THRESHOLD = (100, 75)
 #: Pairs whose estimate is so far below the threshold are not confirmed (over five standard deviations).
-MARGIN = 0.25
+MARGIN = 0.2
 #: Shingles sketched at a time in a task.
 SKETCH_ELEMENTS = 400_000
 
@@ -247,22 +249,16 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     bands = REGISTERS // BAND
     key = F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda i: F.xxhash64(F.substring("sketch", i * 2 * BAND + 1, F.lit(2 * BAND)), i))
     rows = classes.select(F.explode(key).alias("band"), "id", "n")
-    buckets = rows.groupBy("band").agg(F.min("id").alias("lead"), F.max("id").alias("last")).where("lead < last").select("band", "lead")
-    mates = checkpointed(rows.join(buckets, "band"))  # members of buckets of two and more classes
-    needed = mates.select("id").distinct()
-    sets = checkpointed(_full_sets(docs, needed, doc_id, text))
-    close = checkpointed(classes.join(needed, "id", "left_semi"))
-
-    star = mates.where("id != lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
+    shared_bands = rows.groupBy("band").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.count(F.lit(1)).alias("size")).where("lo < hi")
+    mates = checkpointed(rows.join(shared_bands.select("band", "size"), "band"))  # members of buckets of two and more classes
+    popular = mates.groupBy("id").agg(F.sum("size").alias("fame"))  # the most central of a group meets the most mates
+    sets = checkpointed(_full_sets(docs, popular.select("id"), doc_id, text))
+    close = checkpointed(classes.join(popular, "id"))
+
+    lead = mates.join(popular, "id").groupBy("band").agg(F.max(F.struct("fame", (-F.col("id")).alias("minus"))).alias("x")).select("band", (-F.col("x.minus")).alias("lead"))
+    star = mates.join(lead, "band").where("id != lead").select(F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b")).distinct()
     links = checkpointed(confirmed(estimated(star, close), sets))
-    first = components(links)
-    placed = checkpointed(mates.join(first, "id", "left").select("band", "id", "n", "lead", F.coalesce("component", "id").alias("component")))
-    open_bands = (placed.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("band"))
-    left = placed.where("id != lead").join(open_bands, "band")
-    a, b = (left.select("band", *[F.col(c).alias(f"{c}_{s}") for c in ("id", "n", "component")]) for s in "ab")
-    cross = (a.join(b, "band").where("component_a < component_b").where(_close_sizes(F.col("n_a"), F.col("n_b")))
-             .select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b")).distinct())
-    more = confirmed(estimated(cross, close), sets)
+    more = confirmed(rare_pairs(_open_classes(mates, links), sets), sets)
 
     members = filled.select("doc_id", "set_key").join(firsts, "set_key").select("doc_id", "id")
     shared = members.groupBy("doc_id").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("doc_id", "lo")
@@ -274,6 +270,44 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
+def _open_classes(mates: DataFrame, links: DataFrame) -> DataFrame:
+    """id, n and component of the classes in buckets that hold several components."""
+    placed = mates.join(components(links), "id", "left").select("band", "id", "n", F.coalesce("component", "id").alias("component"))
+    several = placed.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("band")
+    return checkpointed(placed.join(several, "band").select("id", "n", "component").distinct())
+
+
+def rare_pairs(classes: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) of different components that may be links, complete among ``classes``.
+
+    With shingles in a common order, rarest first, two linked sets share one of the
+    first n - ceil(t n) + 1 of each. Shingles of one class alone count for that
+    number but are not joined, so copies that differ by edits of their own meet
+    only if they are nearly alike."""
+
+    def run(batches):
+        for batch in batches:
+            found = [np.frombuffer(e, np.int64) for e in batch["elements"]]
+            yield {"shingle": list_array(np.concatenate([np.zeros(0, np.int64), *found]), np.array([len(f) for f in found], np.int64), pa.int64())}
+
+    wide = map_columns(sets.join(classes, "id").select("id", "n", "component", "elements"), run, ["elements"], [("shingle", T.ArrayType(T.LongType()))], keep=["id", "n", "component"])
+    rows = wide.select("id", "n", "component", F.explode("shingle").alias("shingle"))
+    common = (rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("df"), F.min("component").alias("lo"), F.max("component").alias("hi"))
+              .where("df > 1").select("shingle", "df", (F.col("lo") < F.col("hi")).alias("joins")))
+    listed = rows.join(common, "shingle").groupBy("id", "n", "component").agg(F.sort_array(F.collect_list(F.struct("df", "shingle", "joins"))).alias("s"))
+    least = F.ceil(F.col("n") * THRESHOLD[1] / THRESHOLD[0])
+    prefix = F.greatest(F.lit(0), F.col("n") - least + 1 - (F.col("n") - F.size("s"))).cast("int")
+    alone = F.col("n") - F.size("s")
+    heads = (listed.select("id", "n", "component", alone.alias("alone"), F.posexplode(F.slice("s", F.lit(1), prefix)).alias("i", "x")).where("x.joins")
+             .select("id", "n", "component", F.col("x.shingle").alias("shingle"), (F.col("alone") + F.col("i")).alias("before")))
+    x, y = (heads.select("shingle", *[F.col(c).alias(f"{c}_{k}") for c in ("id", "n", "component", "before")]) for k in "xy")
+    # at the first shared shingle, what is left of both sets holds the whole intersection
+    left = F.least(F.col("n_x") - F.col("before_x"), F.col("n_y") - F.col("before_y"))
+    enough = left * (THRESHOLD[0] + THRESHOLD[1]) >= THRESHOLD[1] * (F.col("n_x") + F.col("n_y"))
+    return (x.join(y, "shingle").where("component_x < component_y").where(enough)
+            .select(F.least("id_x", "id_y").alias("a"), F.greatest("id_x", "id_y").alias("b")).distinct())
+
+
 def _full_sets(docs: DataFrame, ids: DataFrame, doc_id: str, text: str) -> DataFrame:
     """id and elements (sorted 64-bit hashes, as bytes) of the documents with these ids."""
 
