@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chain_dedup, fm_decontam, html_extract, license_scan, nn_descent, pii, setsketch, sp_codec, toxicity
+from . import chain_dedup, fm_decontam, html_extract, license_scan, nn_descent, pii, setsketch, sp_codec, suffix_dedup, toxicity
 from .common import table
 
 
@@ -16,6 +16,10 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fm_decontam.digest(fm_decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digest(suffix_dedup.deduplicated(table(spark, sf_dir, "documents")))
+
+
 def op4_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chain_dedup.repeated_passages(table(spark, sf_dir, "documents"))
 
@@ -45,6 +49,6 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return setsketch.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_nearest_neighbours, op2_decontaminate, op4_repeated_passages, op5_sentencepiece, op6_license_scan, op7_html_extraction, op8_toxicity, op9_pii, op10_near_duplicates)}
+QUERIES = {f.__name__: f for f in (op1_nearest_neighbours, op2_decontaminate, op3_suffix_dedup, op4_repeated_passages, op5_sentencepiece, op6_license_scan, op7_html_extraction, op8_toxicity, op9_pii, op10_near_duplicates)}
 
 ORACLE_SQL: dict[str, str] = {}
