@@ -32,11 +32,11 @@ from pyspark.sql import types as T
 from .common import checkpointed, list_array, map_columns
 
 #: Neighbours of a node, rounds at most, and the share of changed entries that ends them.
-NEIGHBOURS, ROUNDS, SETTLED = 14, 6, 0.01
+NEIGHBOURS, ROUNDS, SETTLED = 40, 5, 0.05
 #: Random orders at the start, hyperplanes of each, nodes of a block.
 ORDERS, PLANES, BLOCK = 4, 32, 64
 #: Beam of a query, nodes it expands a hop, hops.
-BEAM, EXPAND, HOPS = 24, 6, 3
+BEAM, EXPAND, HOPS = 64, 16, 2
 SEED = 20240
 
 _EDGE = T.StructType([T.StructField("id", T.LongType()), T.StructField("nbr", T.LongType()), T.StructField("sim", T.FloatType()), T.StructField("new", T.BooleanType())])
@@ -180,8 +180,8 @@ def improved(lists: DataFrame, halves: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]):
         for whole in batches:
-            for at in range(0, whole.num_rows, 1024):
-                b = whole.slice(at, 1024)
+            for at in range(0, whole.num_rows, 512):
+                b = whole.slice(at, 512)
                 size = np.diff(b.column(0).offsets.to_numpy())
                 if not len(size):
                     continue
@@ -207,13 +207,18 @@ def improved(lists: DataFrame, halves: DataFrame) -> DataFrame:
     return groups.mapInArrow(run, _EDGE)
 
 
-def neighbour_graph(nodes: DataFrame) -> DataFrame:
-    """id, nbrs and sims of every node, by rounds of NN-descent."""
-    def half(batches):
+def half_vectors(nodes: DataFrame) -> DataFrame:
+    """id and half: the unit vector in half precision."""
+
+    def run(batches):
         for batch in batches:
             yield {"half": [u.astype(np.float16).tobytes() for u in (_unit(batch["vec"]) if batch["vec"] else ())]}
 
-    halves = checkpointed(map_columns(nodes.select("id", "vec"), half, ["vec"], [("half", T.BinaryType())], keep=["id"]))
+    return map_columns(nodes.select("id", "vec"), run, ["vec"], [("half", T.BinaryType())], keep=["id"])
+
+
+def neighbour_graph(nodes: DataFrame, halves: DataFrame) -> DataFrame:
+    """id, nbrs and sims of every node, by rounds of NN-descent."""
     lists = checkpointed(best_lists(first_edges(nodes), NEIGHBOURS))
     for _ in range(ROUNDS):
         old = edges_of(lists).withColumn("new", F.lit(False))
@@ -224,43 +229,42 @@ def neighbour_graph(nodes: DataFrame) -> DataFrame:
     return lists
 
 
-def search(nodes: DataFrame, lists: DataFrame, queries: DataFrame, k: int) -> DataFrame:
-    """qid, id and sim of the best nodes found for ``queries`` (qid, a node's id and its entry; vec).
+def search(halves: DataFrame, lists: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+    """qid and id of the best nodes found for ``queries`` (qid: the node a query starts at).
 
     Beams hold ``BEAM`` nodes; a hop joins the neighbours of the ``EXPAND`` best
     unexpanded nodes of every beam."""
     graph = lists.select(F.col("id").alias("at"), "nbrs")
+    asked = queries.join(halves, queries["qid"] == halves["id"]).select("qid", F.col("half").alias("q_half"))
 
-    def measured(pairs: DataFrame) -> DataFrame:
-        def run(batches):
-            for batch in batches:
-                a, b = (_unit(batch[c]) if batch[c] else np.zeros((0, 1)) for c in ("q_vec", "vec"))
-                yield {"sim": (a * b).sum(1).tolist()}
-
-        joined = pairs.join(queries.select("qid", F.col("vec").alias("q_vec")), "qid").join(nodes.select("id", "vec"), "id")
-        return map_columns(joined, run, ["q_vec", "vec"], [("sim", T.DoubleType())], keep=["qid", "id"])
+    def run(batches):
+        for batch in batches:
+            n = len(batch["half"])
+            yield {"sim": (_halves(batch["q_half"], n) * _halves(batch["half"], n)).sum(1).tolist() if n else []}
 
     rank = F.row_number().over(Window.partitionBy("qid").orderBy(F.desc("sim"), "id"))
-    beam = queries.select("qid", F.col("qid").alias("id"), F.lit(1.0).alias("sim"), F.lit(False).alias("done"))
+    beam = queries.select("qid", F.col("qid").alias("id"), F.lit(2.0).alias("sim"), F.lit(False).alias("done"))
     for _ in range(HOPS):
         waiting = F.sum(F.when(~F.col("done"), 1).otherwise(0)).over(Window.partitionBy("qid").orderBy(F.desc("sim"), "id"))
         beam = checkpointed(beam.withColumn("now", ~F.col("done") & (waiting <= EXPAND)))
         step = beam.where("now").join(graph, F.col("id") == F.col("at")).select("qid", F.explode("nbrs").alias("id")).distinct()
-        fresh = measured(step.join(beam.select("qid", "id"), ["qid", "id"], "left_anti")).withColumn("done", F.lit(False))
+        fresh = step.join(beam.select("qid", "id"), ["qid", "id"], "left_anti").join(halves, "id").join(asked, "qid")
+        fresh = map_columns(fresh, run, ["q_half", "half"], [("sim", T.DoubleType())], keep=["qid", "id"]).withColumn("done", F.lit(False))
         beam = (beam.select("qid", "id", "sim", (F.col("done") | F.col("now")).alias("done")).unionByName(fresh)
                 .withColumn("rank", rank).where(F.col("rank") <= max(BEAM, k)).drop("rank"))
-    return beam.select("qid", "id", "sim")
+    return beam.select("qid", "id")
 
 
 def nearest(table: DataFrame, is_query, k: int = 5, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
     """The k nearest found of every row that ``is_query`` (a condition on vec_id) holds for: query_id, rank, vec_id, score."""
     vecs = checkpointed(vectors(table, vec_id, embedding))
     nodes = checkpointed(nodes_of(vecs, k + 1))
-    lists = neighbour_graph(nodes)
+    halves = checkpointed(half_vectors(nodes))
+    lists = neighbour_graph(nodes, halves)
     asked = vecs.where(is_query).select(F.col("vec_id").alias("query_id"), "vec").distinct().join(nodes.select("vec", F.col("id").alias("qid")), "vec")
-    found = search(nodes, lists, asked.select("qid", "vec").distinct(), k + 1)
+    found = search(halves, lists, asked.select("qid").distinct(), k + 1)
     near = (asked.select("query_id", "qid", F.col("vec").alias("q_vec")).join(found.select("qid", "id"), "qid")
-            .join(nodes.select("id", "vec", F.explode("members").alias("vec_id"), ), "id").where("vec_id != query_id"))
+            .join(nodes.select("id", "vec", F.explode("members").alias("vec_id")), "id").where("vec_id != query_id"))
 
     def run(batches):
         for batch in batches:
