@@ -45,5 +45,5 @@ def to_image_rows(x0: Column, y0: Column, x1: Column, y1: Column, height: Column
 
 def quad(x0: Column, y0: Column, x1: Column, y1: Column) -> list[Column]:
     """Truncate to int and list the four corners: x1,y1,x2,y1,x2,y2,x1,y2."""
-    a, b, c, d = x0.cast("int"), y0.cast("int"), x1.cast("int"), y1.cast("int")
+    a, b, c, d = (v.try_cast("int") for v in (x0, y0, x1, y1))  # out of range: null
     return [a, b, c, b, c, d, a, d]

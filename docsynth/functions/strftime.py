@@ -56,14 +56,6 @@ def to_spark_pattern(fmt: str) -> str:
     return "".join(out)
 
 
-def is_supported(fmt: str) -> bool:
-    try:
-        to_spark_pattern(fmt)
-        return True
-    except UnsupportedFormat:
-        return False
-
-
 def date_part_of(fmt):
     """The reference's date-only rule: keep the format up to the first space."""
     if isinstance(fmt, Column):

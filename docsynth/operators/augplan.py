@@ -19,7 +19,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.draws import u01
-from .partitioning import spread_small_input
 
 @dataclass(frozen=True)
 class Param:
@@ -141,15 +140,6 @@ def gate_threshold(op: Op, probability: float) -> float:
     return op.group_p * probability if op.group else op_probability(op, probability)
 
 
-def _active(op: Op, doc: Column, seed: int, probability: float) -> Column:
-    if op.group is None:
-        return u01(seed, doc, "aug", op.op, "gate") < F.lit(gate_threshold(op, probability))
-    lo, hi = member_interval(op, probability)
-    pick = u01(seed, doc, "aug", op.group, "pick")
-    return ((u01(seed, doc, "aug", op.group, "gate") < F.lit(gate_threshold(op, probability)))
-            & (pick >= F.lit(lo)) & (pick < F.lit(hi)))
-
-
 def _op_structs(probability: float) -> Column:
     """The catalog as a literal array: one struct per op with its gate
     threshold, OneOf share and a nested array of parameter structs."""
@@ -196,8 +186,7 @@ def augmentation_plan(docs: DataFrame, probability: float = 0.5, seed: int = 0,
     """
     doc = F.col(doc_col).cast("string")
     active = F.filter(_op_structs(probability), lambda o: _is_active(o, doc, seed))
-    d = spread_small_input(docs.select(doc_col), doc_col)
-    d = d.select(F.col(doc_col), F.posexplode(active).alias("_ds_step", "_ds_op"))
+    d = docs.select(F.col(doc_col), F.posexplode(active).alias("_ds_step", "_ds_op"))
     d = d.select(F.col(doc_col), (F.col("_ds_step") + 1).cast("int").alias("step"), F.col("_ds_op.phase"),
                  F.col("_ds_op.slot"), F.col("_ds_op.op"), F.explode(F.col("_ds_op.params")).alias("_ds_p"))
     c = F.col("_ds_p")
@@ -226,7 +215,9 @@ def plan_audit(plan: DataFrame, n_docs: int, probability: float = 0.5) -> DataFr
     first_map = F.create_map(*[x for k, v in first.items() if v is not None for x in (F.lit(k), F.lit(v))])
     one_row = F.col("param").eqNullSafe(first_map[F.col("op")])
     counts = plan.filter(one_row).groupBy("op").agg(F.count(F.lit(1)).alias("n_active"))
-    exp = F.create_map(*[x for o in CATALOG for x in (F.lit(o.op), F.lit(expected_rate(o, probability)))])
-    return counts.select("op", F.col("n_active").cast("bigint").alias("n_active"),
-                         (F.col("n_active") / F.lit(int(n_docs))).alias("rate"),
-                         exp[F.col("op")].alias("expected_rate"))
+    ops = F.array(*[F.struct(F.lit(o.op).alias("op"), F.lit(expected_rate(o, probability)).alias("expected_rate"))
+                    for o in CATALOG])
+    catalog = plan.sparkSession.range(1).select(F.inline(ops))  # every op, also one that never fired
+    n = F.coalesce(F.col("n_active"), F.lit(0)).cast("bigint")
+    return catalog.join(counts, "op", "left").select(
+        "op", n.alias("n_active"), F.try_divide(n, F.lit(int(n_docs))).alias("rate"), "expected_rate")

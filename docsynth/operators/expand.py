@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.annotations import stem
-
 DEFAULT_DOCS_PER_CHUNK = 250_000
 
 # Artifact folders and extensions written per document.
@@ -19,10 +17,12 @@ def expand_documents(templates: DataFrame, num_files, id_col: str = "template_id
     """``num_files`` documents per template, indexes 0..n-1 (n <= 0 gives none).
 
     ``num_files`` is an int or a column name (per-template counts). Expansion
-    is two-level so one template with millions of documents is not one task:
-    each template first becomes ceil(n / docs_per_chunk) chunk rows, chunks are
-    spread by hash over tasks when any template has more than one chunk, then
-    each chunk explodes into its indexes. ``doc_id`` is ``{stem}_{index}``.
+    is two-level: each template first becomes ceil(n / docs_per_chunk) chunk
+    rows, which are spread over about (all documents / docs_per_chunk) tasks by
+    ranges of (template, chunk), then each chunk explodes into its indexes. So
+    neither one template with millions of documents nor a small file of many
+    templates is one task, and only chunk rows are shuffled, never documents.
+    ``doc_id`` is ``{stem}_{index}``.
     """
     n = F.col(num_files) if isinstance(num_files, str) else F.lit(int(num_files))
     t = templates.withColumn("_ds_n", n.cast("bigint")).filter(F.col("_ds_n") > 0)
@@ -31,27 +31,18 @@ def expand_documents(templates: DataFrame, num_files, id_col: str = "template_id
     chunk = F.lit(int(docs_per_chunk))
     t = t.withColumn("_ds_chunk", F.explode(F.sequence(F.lit(0).cast("bigint"),
                                                         F.ceil(F.col("_ds_n") / chunk).cast("bigint") - 1)))
-    stats = t.agg(F.count(F.lit(1)).alias("chunks"), F.sum(F.least(F.col("_ds_n"), chunk)).alias("docs")).first()
-    n_chunks = int(stats["chunks"] or 0)
-    n_templates = templates.count() if n_chunks else 0
-    if n_chunks > n_templates:
-        # a hot template: about one chunk (~docs_per_chunk rows) per task.
-        # Range partitioning on the distinct (template, chunk) keys balances
-        # chunks across partitions (hashing n keys into n buckets would leave
-        # a third of them empty and double others).
-        t = t.repartitionByRange(max(1, n_chunks), id_col, "_ds_chunk")
     lo = F.col("_ds_chunk") * chunk
     hi = F.least(F.col("_ds_n"), lo + chunk) - 1
+    # one aggregate over the template dimension; ranges of the distinct
+    # (template, chunk) keys balance chunks (hashing n keys into n buckets would
+    # leave a third of them empty and double others)
+    n_docs = t.agg(F.sum(hi - lo + 1)).first()[0] or 0
+    t = t.repartitionByRange(max(1, -(-int(n_docs) // int(docs_per_chunk))), id_col, "_ds_chunk")
     out = t.withColumn("doc_index", F.explode(F.sequence(lo, hi)))
     out = out.withColumn("doc_id", F.concat(F.col("_ds_stem"), F.lit("_"), F.col("doc_index").cast("string")))
     return out.drop("_ds_n", "_ds_chunk", "_ds_stem")
 
 
-def template_stem(image_path: Column) -> Column:
-    """Template name from its image path (last extension cut)."""
-    return stem(image_path)
-
-
 def manifest(documents: DataFrame, base_path: str, doc_col: str = "doc_id") -> DataFrame:
     """One row per document with its four artifact paths."""
     base = base_path.rstrip("/")

@@ -28,9 +28,10 @@ def widgets(templates: DataFrame, fields: DataFrame, resolution: float = DEFAULT
     t = templates.select("template_id", "width", "height")
     f = fields.filter(F.col("type") == "textbox").select("template_id", "pos", "field_name", "max_length",
                                                           "xmin", "ymin", "xmax", "ymax")
-    j = f.join(F.broadcast(t), "template_id")
+    j = f.join(t, "template_id")  # both sides are template dimensions; Spark picks the join by their sizes
     pw, ph = page_points(F.col("width"), resolution), page_points(F.col("height"), resolution)
-    scale_w, scale_h = pw / F.col("width").cast("double"), ph / F.col("height").cast("double")
+    scale_w, scale_h = (F.try_divide(pw, F.col("width").cast("double")),
+                        F.try_divide(ph, F.col("height").cast("double")))
     x1, y1, x2, y2 = scale_to_page(F.col("xmin").cast("double"), F.col("ymin").cast("double"),
                                    F.col("xmax").cast("double"), F.col("ymax").cast("double"),
                                    scale_w, scale_h, axes)
@@ -39,7 +40,7 @@ def widgets(templates: DataFrame, fields: DataFrame, resolution: float = DEFAULT
     return j.select("template_id", "pos", F.col("field_name").alias("name"), F.lit(1).alias("page_number"),
                     bx1.alias("x"), by1.alias("y"), (bx2 - bx1).alias("w"), h.alias("h"),
                     F.col("max_length").try_cast("double").alias("max_length"), F.lit(font).alias("font"),
-                    (h - F.lit(4.0)).cast("int").alias("font_size"), F.lit(-1).alias("border_width"))
+                    (h - F.lit(4.0)).try_cast("int").alias("font_size"), F.lit(-1).alias("border_width"))
 
 
 def _advance_map(metrics: DataFrame):
@@ -52,6 +53,29 @@ def _advance_map(metrics: DataFrame):
     return F.create_map(*[x for r in rows for x in (F.lit(r["ch"]), F.lit(int(r["advance"])))])
 
 
+# Elements summed together before the sums of such blocks are added up.
+SUM_BLOCK = 64
+
+
+def _prefix_sums(values):
+    """Sums before each element and of all, [0, v0, v0 + v1, ..]: within blocks of
+    ``SUM_BLOCK`` elements, then over the blocks, so the cost of a long array
+    grows far slower than with its square."""
+    zero = F.lit(0).cast("bigint")
+
+    def total(part):
+        return F.aggregate(part, zero, lambda acc, x: acc + x)
+
+    n = F.size(values)
+    starts = F.sequence(F.lit(0), F.floor(n / SUM_BLOCK).cast("int"))
+    blocks = F.transform(starts, lambda b: total(F.slice(values, b * SUM_BLOCK + 1, F.lit(SUM_BLOCK))))
+    upto = F.transform(starts, lambda b: total(F.slice(blocks, F.lit(1), b)))
+    inside = F.flatten(F.transform(starts, lambda b: F.transform(
+        F.sequence(F.lit(0), F.least(F.lit(SUM_BLOCK - 1), n - b * SUM_BLOCK)),
+        lambda i: F.element_at(upto, b + 1) + total(F.slice(values, b * SUM_BLOCK + 1, i)))))
+    return inside
+
+
 def layout_glyphs(values: DataFrame, widget_spec: DataFrame, metrics: DataFrame,
                   default_advance: int = DEFAULT_ADVANCE,
                   max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
@@ -73,12 +97,9 @@ def layout_glyphs(values: DataFrame, widget_spec: DataFrame, metrics: DataFrame,
     chars = F.filter(F.split(F.col("value"), ""), lambda c: c != "")
     v = v.withColumn("_ds_chars", chars)
     v = v.withColumn("_ds_adv", F.transform("_ds_chars", lambda c: F.coalesce(adv_map[c], F.lit(default_advance))))
-    before = F.transform("_ds_adv", lambda a, i: F.aggregate(F.slice(F.col("_ds_adv"), 1, i), F.lit(0).cast("bigint"),
-                                                             lambda acc, x: acc + x))
-    v = v.withColumn("_ds_before", before)
-    total = F.aggregate(F.col("_ds_adv"), F.lit(0).cast("bigint"), lambda acc, x: acc + x)
+    v = v.withColumn("_ds_cum", _prefix_sums(F.col("_ds_adv")))
     glyph = F.arrays_zip(F.concat(F.col("_ds_chars"), F.array(F.lit("\n"))).alias("ch"),
-                         F.concat(F.col("_ds_before"), F.array(total)).alias("b"),
+                         F.col("_ds_cum").alias("b"),
                          F.concat(F.col("_ds_adv"), F.array(F.lit(0))).alias("a"))
     g = v.select("doc_id", "template_id", F.lit(1).alias("page"), F.col("pos").alias("line"), "x", "y", "font_size",
                  F.posexplode(glyph).alias("pos", "g"))
@@ -113,10 +134,7 @@ def layout_words(values: DataFrame, widget_spec: DataFrame, metrics: DataFrame,
     adv = F.transform("_ds_chars", lambda c: F.coalesce(adv_map[c], F.lit(default_advance)).cast("bigint"))
     v = v.withColumn("_ds_adv", adv)
     # cum[i] = advance before glyph i, for i = 0..n (cum[n] = whole value)
-    cum = F.transform(F.sequence(F.lit(0), F.size("_ds_adv")),
-                      lambda i: F.aggregate(F.slice(F.col("_ds_adv"), 1, i), F.lit(0).cast("bigint"),
-                                            lambda acc, x: acc + x))
-    v = v.withColumn("_ds_cum", cum)
+    v = v.withColumn("_ds_cum", _prefix_sums(F.col("_ds_adv")))
     n = F.size("_ds_chars")
     # separator positions, with the closing newline at n
     seps = F.filter(F.sequence(F.lit(0), n),

@@ -1,31 +1,19 @@
-"""Partitioning helpers shared by the row-multiplying operators."""
+"""Partitioning helper for row-multiplying queries over small tables."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-# Inputs estimated below this many bytes are cheap to re-spread.
-SPREAD_MAX_BYTES = 512 * 1024 * 1024
 
+def spread(df: DataFrame, key: str, num_partitions: int | None = None) -> DataFrame:
+    """Hash-spread narrow rows by ``key`` before they are multiplied.
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of a plan (no job runs)."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def spread_small_input(df: DataFrame, key: str) -> DataFrame:
-    """Hash-spread a small input over all task slots before a row-multiplying
-    step (explode, document x field join).
-
-    A small file with one or a few row groups would otherwise run the whole
-    expansion on a few cores. The decision uses the optimizer's size estimate
-    (nothing is executed): inputs estimated above ``SPREAD_MAX_BYTES`` -- any
-    large table, which has plenty of splits anyway -- are returned unchanged,
-    so nothing extra is shuffled at scale. Hash (not round-robin)
-    partitioning keeps retries deterministic; streams are left alone.
+    For callers that know their input is a table of few splits; operators never
+    spread by themselves. ``num_partitions`` defaults to the session's shuffle
+    partitions. Hash partitioning keeps retries deterministic; streams are left
+    alone.
     """
     if df.isStreaming:
         return df
-    if estimated_bytes(df) > SPREAD_MAX_BYTES:
-        return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key)
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    return df.repartition(n, key)

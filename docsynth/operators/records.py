@@ -6,25 +6,31 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def assemble_records(values: DataFrame, doc_cols=("doc_id", "template_id"), out_col: str = "textbox") -> DataFrame:
+def assemble_records(values: DataFrame, doc_cols=("doc_id", "template_id"), out_col: str = "textbox",
+                     documents: DataFrame | None = None) -> DataFrame:
     """``groupBy(document)`` of the long values into ``map<field_name, value>``.
 
     Only rows without an error take part (split them off first). A field name
     used by several fields keeps the value of the last one and the position of
-    the first one, as successive dict assignments do. Group size is the field
-    count of one template, so no group grows with the data.
+    the first one, as successive dict assignments do; values without a field
+    name are left out. Group size is the field count of one template, so no group
+    grows with the data. With ``documents`` (their ``doc_cols``) every document
+    has a record, an empty one if none of its fields got a value.
     """
     good = values.filter(F.col("error").isNull()) if "error" in values.columns else values
+    good = good.filter(F.col("field_name").isNotNull())
     entries = F.array_sort(F.collect_list(F.struct("pos", "field_name", "value")))
     g = good.groupBy(*doc_cols).agg(entries.alias("_ds_e"))
     e = F.col("_ds_e")
-    winners = F.filter(e, lambda x: ~F.exists(e, lambda y: (y["field_name"] == x["field_name"]) &
-                                              (y["pos"] > x["pos"])))
-    ordered = F.array_sort(F.transform(winners, lambda x: F.struct(
-        F.element_at(F.filter(e, lambda y: y["field_name"] == x["field_name"]), 1)["pos"].alias("first_pos"),
-        x["field_name"].alias("key"), x["value"].alias("value"))))
-    rec = F.map_from_entries(F.transform(ordered, lambda x: F.struct(x["key"], x["value"])))
-    return g.select(*doc_cols, rec.alias(out_col))
+    names = F.array_distinct(F.transform(e, lambda x: x["field_name"]))  # in order of first use
+    rec = F.map_from_entries(F.transform(names, lambda n: F.struct(
+        n, F.element_at(F.filter(e, lambda x: x["field_name"] == n), -1)["value"])))
+    records = g.select(*doc_cols, rec.alias(out_col))
+    if documents is None:
+        return records
+    none = F.create_map().cast(records.schema[out_col].dataType)
+    return (documents.select(*doc_cols).join(records, list(doc_cols), "left")
+            .select(*doc_cols, F.coalesce(out_col, none).alias(out_col)))
 
 
 def record_kv(record: Column | str, sep: str = ";") -> Column:

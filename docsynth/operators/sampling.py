@@ -26,7 +26,6 @@ DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
 # A dictionary at most this long is ranked with plain windows (it is also
 # within the broadcast bound); a longer one uses the parallel offset method.
 SMALL_DICTIONARY_ROWS = 200_000
-MAX_BINS = 1 << 22
 
 
 def checked_broadcast(df: DataFrame, n_rows: int, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
@@ -154,14 +153,26 @@ def sample_weighted(df: DataFrame, dictionary: DataFrame, u: Column, order_cols:
             cond = cond & (rows[c] == right[f"_ds_by_{c}"])
         out = rows.join(right, cond, how)
         return out.drop("_ds_u", "lo", "hi", *[f"_ds_by_{c}" for c in by])
-    b = int(bins) if bins else max(1, min(MAX_BINS, n_int))
-    bl = F.floor(F.col("lo") * F.lit(float(b))).cast("int")
-    bh = F.least(F.floor(F.col("hi") * F.lit(float(b))).cast("int"), F.lit(b - 1))
-    exploded = intervals.withColumn("_ds_bin", F.explode(F.sequence(bl, F.greatest(bl, bh))))
-    right = checked_broadcast(exploded.withColumn("_ds_bin", F.col("_ds_bin").cast("bigint")), n_int + b,
-                              max_broadcast_rows)
-    bin_ = F.floor(F.col("_ds_u") * F.lit(float(b))).cast("bigint")
-    rows = rows.withColumn("_ds_bin", _spread_null_key(bin_, df.columns, n_int + b <= max_broadcast_rows))
+    # as many bins as the group has words (unless given): n intervals that cover
+    # [0, 1) once meet at most n + b bins, so the exploded side has at most 2 n rows
+    if bins:
+        intervals = intervals.withColumn("_ds_b", F.lit(int(bins)).cast("bigint"))
+    elif by:
+        intervals = intervals.withColumn("_ds_b", F.count(F.lit(1)).over(Window.partitionBy(*by)))
+    else:
+        intervals = intervals.withColumn("_ds_b", F.lit(max(1, n_int)).cast("bigint"))
+    if by:
+        sizes = intervals.select(*by, "_ds_b").distinct()  # at most one row per dictionary row
+        rows = rows.join(checked_broadcast(sizes, n_int, max_broadcast_rows), by, "left")
+    else:
+        rows = rows.withColumn("_ds_b", F.lit(int(bins) if bins else max(1, n_int)).cast("bigint"))
+    bl = F.floor(F.col("lo") * F.col("_ds_b").cast("double")).cast("bigint")
+    bh = F.least(F.floor(F.col("hi") * F.col("_ds_b").cast("double")).cast("bigint"), F.col("_ds_b") - 1)
+    exploded = intervals.withColumn("_ds_bin", F.explode(F.sequence(bl, F.greatest(bl, bh)))).drop("_ds_b")
+    n_exploded = 2 * n_int if not bins else n_int * (1 + int(bins))
+    right = checked_broadcast(exploded, n_exploded, max_broadcast_rows)
+    bin_ = F.floor(F.col("_ds_u") * F.col("_ds_b").cast("double")).cast("bigint")
+    rows = rows.withColumn("_ds_bin", _spread_null_key(bin_, df.columns, n_exploded <= max_broadcast_rows)).drop("_ds_b")
     keyed = rows.join(right, [*by, "_ds_bin"], "left")
     hit = (F.col("_ds_u") >= F.col("lo")) & (F.col("_ds_u") < F.col("hi"))
     if how == "inner":

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.generators import truthy
 from ..functions.strftime import date_part_of, strftime_error
-from ..sources.annotations import size_int, typed_object_columns
+from ..sources.annotations import size_int, strip, typed_object_columns
 from .values import field_kind
 
 def _rules(*pairs: tuple[Column, str]) -> Column:
@@ -25,7 +25,7 @@ def _has(key: str) -> Column:
 
 
 def _is_number(v: Column) -> Column:
-    return F.trim(v).rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$")
+    return strip(v).rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$")
 
 
 def _template_rule_list() -> list[tuple[Column, str]]:
@@ -35,6 +35,7 @@ def _template_rule_list() -> list[tuple[Column, str]]:
         (~broken & (F.col("width_text").isNull() | F.col("height_text").isNull()), "V9_size_missing"),
         ((F.col("width_text").isNotNull() & F.col("width").isNull())
          | (F.col("height_text").isNotNull() & F.col("height").isNull()), "V10_size_not_integer"),
+        ((F.col("width") <= 0) | (F.col("height") <= 0), "V17_size_not_positive"),
     ]
 
 
@@ -57,6 +58,7 @@ def _field_rule_list(resolution: float) -> list[tuple[Column, str]]:
         (box_missing, "V9_box_missing"),
         (box_nan, "V9_box_not_number"),
         (text & missing, "V5_required_key_missing"),
+        (text & kind.isNotNull() & _has("1_field_name") & F.col("field_name").isNull(), "V16_field_name_empty"),
         (text & (kind == "alphanum") & F.col("mask").isNull(), "V1_alphanum_without_mask"),
         (text & (kind == "date") & F.col("date_format").isNull(), "V2_date_without_format"),
         (text & (kind == "name") & (F.col("name_type") == "n/a"), "V3_name_type_na"),
@@ -66,7 +68,8 @@ def _field_rule_list(resolution: float) -> list[tuple[Column, str]]:
          & strftime_error(date_part_of(F.col("date_format"))), "V7_unsupported_date_format"),
         (text & (~_has("2_max_length") | F.col("max_length").isNull() | ~_is_number(F.col("max_length"))),
          "V8_max_length_not_number"),
-        (text & kind.isNotNull() & (F.col("pos") > F.col("_ds_first")), "V12_duplicate_field_name"),
+        (text & kind.isNotNull() & F.col("field_name").isNotNull() & (F.col("pos") > F.col("_ds_first")),
+         "V12_duplicate_field_name"),
         (text & ~box_missing & ~box_nan & (F.floor(font_size) <= 0), "V13_font_size_not_positive"),
     ]
 

@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.generators import alphanum, date_format_error, date_pattern, gen_date, static_override, truthy
-from .partitioning import spread_small_input
 from .persona import gen_name
 from .sampling import DEFAULT_MAX_BROADCAST_ROWS, checked_broadcast
 
@@ -27,9 +26,10 @@ def field_kind(is_alphanum: Column, is_date: Column, is_name: Column) -> Column:
 
 
 def field_error(kind: Column, mask: Column, date_format: Column, name_type: Column,
-                static_value: Column) -> Column:
+                static_value: Column, field_name: Column) -> Column:
     """First field-level rule broken by a typed field (null when none)."""
-    return (F.when((kind == "alphanum") & mask.isNull(), F.lit("V1_alphanum_without_mask"))
+    return (F.when(kind.isNotNull() & field_name.isNull(), F.lit("V16_field_name_empty"))
+            .when((kind == "alphanum") & mask.isNull(), F.lit("V1_alphanum_without_mask"))
             .when((kind == "date") & date_format.isNull(), F.lit("V2_date_without_format"))
             .when((kind == "name") & (name_type == "n/a"), F.lit("V3_name_type_na"))
             .when((kind == "alphanum") & (mask == ""), F.lit("V4_empty_mask"))
@@ -43,8 +43,9 @@ def text_fields(fields: DataFrame) -> DataFrame:
     f = f.withColumn("kind", field_kind(F.col("is_alphanum"), F.col("is_date"), F.col("is_name")))
     f = f.filter(F.col("kind").isNotNull())
     f = f.withColumn("date_pattern", F.when(F.col("kind") == "date", date_pattern(F.col("date_format"))))
+    name = F.col("field_name") if "field_name" in f.columns else F.lit("")
     return f.withColumn("error", field_error(F.col("kind"), F.col("mask"), F.col("date_format"),
-                                             F.col("name_type"), F.col("static_value")))
+                                             F.col("name_type"), F.col("static_value"), name))
 
 
 def generate_values(documents: DataFrame, fields: DataFrame, seed: int, first_names: DataFrame,
@@ -60,8 +61,7 @@ def generate_values(documents: DataFrame, fields: DataFrame, seed: int, first_na
     tf = text_fields(fields)
     n_fields = fields.count()  # upper bound of the text-field rows
     spec = checked_broadcast(tf, n_fields, max_broadcast_fields)
-    docs = spread_small_input(documents.select("doc_id", "template_id"), "doc_id")
-    rows = docs.join(spec, "template_id")
+    rows = documents.select("doc_id", "template_id").join(spec, "template_id")
     key = [F.col("doc_id"), F.col("pos")]
     rows = gen_name(rows, ["doc_id", "pos"], seed, first_names, last_names, indian_names,
                     only_where=(F.col("kind") == "name") & F.col("error").isNull(), out_col="_ds_name",

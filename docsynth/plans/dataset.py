@@ -69,16 +69,22 @@ def _default_buckets(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
+def _values_table(path: str) -> str:
+    return "docsynth_values_" + uuid.uuid5(uuid.NAMESPACE_URL, path).hex[:16]
+
+
 def write_bucketed_values(values: DataFrame, path: str, buckets: int, mode: str = "overwrite") -> DataFrame:
     """Write the values table bucketed by ``doc_id`` (sorted by position) as an
     external table at ``path`` and return the table.
 
     Both later per-document groupings (records, word layout) then read
     co-located buckets: the one shuffle is this write, not one per consumer.
-    The table is registered in the session catalog under a per-path name.
+    The table is registered in the session catalog under a per-path name, which
+    ``build_dataset`` drops at its end (the files stay).
     """
-    name = "docsynth_values_" + uuid.uuid5(uuid.NAMESPACE_URL, path).hex[:16]
-    (values.write.mode(mode).format("parquet").bucketBy(buckets, "doc_id").sortBy("doc_id", "pos")
+    name = _values_table(path)
+    # rows of a bucket meet in one task first: one file per bucket
+    (values.repartition(buckets, "doc_id").write.mode(mode).format("parquet").bucketBy(buckets, "doc_id").sortBy("doc_id", "pos")
      .option("path", path).saveAsTable(name))
     return values.sparkSession.table(name)
 
@@ -101,10 +107,10 @@ def build_dataset(spark: SparkSession, base: str, out: str, num_files: int, dict
     values = generate_values(docs, fields, seed, dicts.first_names, dicts.last_names, dicts.indian_names)
     values = write_bucketed_values(values, f"{out}/values", buckets or _default_buckets(spark), mode)
 
-    write_records(assemble_records(values), f"{out}/records", mode)
+    write_records(assemble_records(values, documents=docs), f"{out}/records", mode)
 
     words = layout_words(values.filter(F.col("error").isNull()), widgets(tpl, fields), dicts.font_metrics)
-    heights = F.broadcast(tpl.select("template_id", (F.col("height") * F.lit(factor)).alias("_img_h")))
+    heights = tpl.select("template_id", (F.col("height") * F.lit(factor)).alias("_img_h"))
     labels = label_boxes(words.join(heights, "template_id"), "_img_h", augment, factor)
     write_labels(labels, f"{out}/labels", mode)
 
@@ -114,4 +120,5 @@ def build_dataset(spark: SparkSession, base: str, out: str, num_files: int, dict
         write_table(augmentation_plan(docs, probability, seed), f"{out}/augmentation_plan", mode)
         outputs["augmentation_plan"] = f"{out}/augmentation_plan"
     write_table(manifest(docs.select("doc_id", "template_id"), out), f"{out}/manifest", mode)
+    spark.sql(f"DROP TABLE IF EXISTS {_values_table(f'{out}/values')}")
     return outputs

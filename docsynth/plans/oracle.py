@@ -376,6 +376,12 @@ SELECT t.template_id || '_' || CAST(r.i AS VARCHAR) AS doc_id, t.template_id, r.
 FROM t, LATERAL (SELECT range AS i FROM range(t.n)) r"""
 
 
+def expand_parts() -> str:
+    return """WITH t AS (SELECT 'part_' || CAST(p_partkey AS VARCHAR) AS template_id, p_size AS n FROM part)
+SELECT t.template_id || '_' || CAST(r.i AS VARCHAR) AS doc_id, t.template_id, r.i AS doc_index
+FROM t, LATERAL (SELECT range AS i FROM range(t.n)) r"""
+
+
 def manifest() -> str:
     b = MANIFEST_BASE
     return (f"WITH {_part_templates_cte()} SELECT doc_id, template_id, "
@@ -606,6 +612,7 @@ ORACLES = {
     "expand_documents": expand_documents,
     "manifest": manifest,
     "expand_hot_template": expand_hot_template,
+    "expand_parts": expand_parts,
     "pair_by_position": pair_by_position,
     "pair_by_stem_report": pair_by_stem_report,
     "combine_boxes": combine_boxes,

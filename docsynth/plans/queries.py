@@ -14,7 +14,7 @@ from ..functions.generators import (alphanum, currency, date_format_error, gen_d
                                     static_override)
 from ..functions.generators import address_text as address_text_col
 from ..operators.expand import expand_documents, manifest
-from ..operators.partitioning import spread_small_input
+from ..operators.partitioning import spread
 from ..operators.pairing import pair_by_position, pair_by_stem
 from ..operators.persona import gen_address, gen_company, gen_email, gen_name
 from ..operators.records import assemble_records, record_json, record_kv
@@ -41,7 +41,7 @@ MANIFEST_BASE = "data"
 
 
 def _values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = customer_documents(spark, sf_dir)
+    docs = spread(customer_documents(spark, sf_dir), "doc_id")
     first, last, indian = name_dictionaries(spark, sf_dir)
     return generate_values(docs, template_fields(spark), SEED, first, last, indian)
 
@@ -53,7 +53,7 @@ def q_generate_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _with_literal(df: DataFrame, items: list, idx_col: str, val_col: str) -> DataFrame:
     """Each row repeated once per literal item (an explode, not a join)."""
     arr = F.array(*[F.lit(x) for x in items])
-    return spread_small_input(df, df.columns[0]).select("*", F.posexplode(arr).alias(idx_col, val_col))
+    return spread(df, df.columns[0]).select("*", F.posexplode(arr).alias(idx_col, val_col))
 
 
 def q_gen_alphanum(spark, sf_dir):
@@ -70,7 +70,7 @@ def _with_formats(df: DataFrame, formats: list, date_only: bool) -> DataFrame:
     pairs = [F.struct(F.lit(f).alias("fmt"),
                       F.lit(to_spark_pattern(f.split(" ")[0] if date_only else f)).alias("pattern"))
              for f in formats]
-    df = spread_small_input(df, df.columns[0])
+    df = spread(df, df.columns[0])
     return df.select("*", F.posexplode(F.array(*pairs)).alias("fmt_no", "_ds_f"))
 
 
@@ -270,7 +270,7 @@ def part_annotation_xml(spark, sf_dir) -> DataFrame:
     """One VOC annotation per part: a text box (attributes in a wrapper, a
     repeated field name when p_size > 40) and a check box (bare attributes)."""
     p = read(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice")
-    p = spread_small_input(p, "p_partkey")
+    p = spread(p, "p_partkey")
     s = F.col("p_size")
     obj0 = _tag("object", F.concat(
         _tag("name", F.lit("textbox")),
@@ -304,7 +304,7 @@ def q_parse_annotations(spark, sf_dir):
 def customer_annotation_xml(spark, sf_dir) -> DataFrame:
     """One annotation per customer with defects injected from its columns."""
     c = read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
-    c = spread_small_input(c, "c_custkey")
+    c = spread(c, "c_custkey")
     nk, seg = F.col("c_nationkey"), F.col("c_mktsegment")
     size = _tag("size", F.concat(
         _tag("width", F.when(F.col("c_acctbal") < 0, F.lit("800.0")).otherwise(F.lit("800"))),
@@ -365,6 +365,13 @@ def q_expand_hot_template(spark, sf_dir):
     return d.select("doc_id", "template_id", "doc_index")
 
 
+def q_expand_parts(spark, sf_dir):
+    """Expansion of template rows with their own counts: p_size documents per part."""
+    t = read(spark, sf_dir, "part").select(F.concat(F.lit("part_"), F.col("p_partkey").cast("string")).alias("template_id"),
+                                           "p_size")
+    return expand_documents(t, "p_size", docs_per_chunk=1000).select("doc_id", "template_id", "doc_index")
+
+
 def q_manifest(spark, sf_dir):
     t = part_templates(spark, sf_dir).withColumn("stem", stem(F.col("image_path")))
     d = expand_documents(t, 5, stem_col="stem").select("doc_id", "template_id")
@@ -396,7 +403,7 @@ def q_combine_boxes(spark, sf_dir):
 
 
 def q_words_from_glyphs(spark, sf_dir):
-    d = read(spark, sf_dir, "documents").select("doc_id", "text")
+    d = spread(read(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
     return words_from_glyphs(glyphs_from_text(d)).select("doc_id", "page", "line", "word_no", "text",
                                                          "x0", "y0", "x1", "y1")
 
@@ -452,12 +459,12 @@ def q_label_lines(spark, sf_dir):
 
 
 def q_augmentation_plan(spark, sf_dir):
-    o = read(spark, sf_dir, "orders").select("o_orderkey")
+    o = spread(read(spark, sf_dir, "orders").select("o_orderkey"), "o_orderkey")
     return augmentation_plan(o, 0.5, SEED, doc_col="o_orderkey")
 
 
 def q_plan_audit(spark, sf_dir):
-    o = read(spark, sf_dir, "orders").select("o_orderkey")
+    o = spread(read(spark, sf_dir, "orders").select("o_orderkey"), "o_orderkey")
     return plan_audit(augmentation_plan(o, 0.5, SEED, doc_col="o_orderkey"), o.count(), 0.5)
 
 
@@ -487,6 +494,7 @@ QUERIES = {
     "expand_documents": q_expand_documents,
     "manifest": q_manifest,
     "expand_hot_template": q_expand_hot_template,
+    "expand_parts": q_expand_parts,
     "pair_by_position": q_pair_by_position,
     "pair_by_stem_report": q_pair_by_stem_report,
     "combine_boxes": q_combine_boxes,

@@ -48,7 +48,9 @@ def read_annotations(spark: SparkSession, path: str) -> DataFrame:
     raw = (spark.read.format("xml").option("rowTag", "annotation").options(**XML_OPTIONS)
            .schema(ANNOTATION_SCHEMA).load(path))
     cols = [c for c in raw.columns]
-    return raw.select(F.col("_metadata.file_path").alias("annotation_path"),
+    # the metadata path is URI-escaped; files pair in the order of plain paths
+    plain = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    return raw.select(plain.alias("annotation_path"),
                       F.struct(*[F.col(c) for c in cols]).alias("annotation"))
 
 
@@ -69,14 +71,19 @@ def stem(path: Column) -> Column:
     return F.when(s == "", b).otherwise(s)
 
 
+def strip(v: Column) -> Column:
+    """The text without white space (line breaks and tabs too) at its ends."""
+    return F.regexp_replace(v, r"^\s+|\s+$", "")
+
+
 def size_int(v: Column) -> Column:
     """``int(text)``: whole numbers only, null otherwise ('800.0' -> null)."""
-    return F.when(F.trim(v).rlike(r"^[+-]?\d+$"), F.trim(v).try_cast("int"))
+    return F.when(strip(v).rlike(r"^[+-]?\d+$"), strip(v).try_cast("int"))
 
 
 def coord_int(v: Column) -> Column:
     """``int(float(text))``: parse as double, truncate toward zero."""
-    d = F.trim(v).cast("string")
+    d = strip(v)
     num = F.when(d.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"), d.cast("double"))
     return num.try_cast("int")  # out of int range -> null (a V9 row), never an ANSI error
 
@@ -106,14 +113,6 @@ def attribute_map(obj: Column) -> Column:
                                                                     F.nullif(x["value"], F.lit("")).alias("value"))))
 
 
-def fields_with_attributes(df: DataFrame, id_col: str = "template_id", ann: str = "annotation") -> DataFrame:
-    """One row per ``<object>`` in document order (``pos``) with its box as
-    text and its attributes as a map."""
-    o = df.select(F.col(id_col).alias("template_id"), F.posexplode(F.col(ann)["object"]).alias("pos", "obj"))
-    return o.select("template_id", "pos", F.col("obj")["name"].alias("type"),
-                    F.col("obj")["bndbox"].alias("bndbox"), attribute_map(F.col("obj")).alias("attributes"))
-
-
 def typed_object_columns(obj: Column) -> list[Column]:
     """Typed columns of one ``<object>`` struct: type, integer box, the
     attribute texts by name, the attribute map and the raw box."""

@@ -33,24 +33,3 @@ COMPANY_NOUNS = [
 ]
 
 
-def word_list(spark: SparkSession, words: list[str], col: str = "word") -> DataFrame:
-    """A literal list as a frame with its list position (built in the JVM)."""
-    return spark.range(1).select(F.posexplode(F.array(*[F.lit(w) for w in words])).alias("idx", col))
-
-
-def weighted_words(df: DataFrame, text_col: str, out_col: str = "name",
-                   token: int | None = None, by: list[str] | None = None) -> DataFrame:
-    """Word-count dictionary from a text column: (by.., name, weight).
-
-    ``token`` picks one whitespace token (0-based) of each text instead of all
-    words. Words are title-cased so they read as names.
-    """
-    by = by or []
-    parts = F.split(F.trim(F.col(text_col)), r"\s+")
-    if token is None:
-        words = df.select(*by, F.explode(parts).alias("_w"))
-    else:
-        words = df.select(*by, F.element_at(parts, token + 1).alias("_w"))
-    words = words.filter(F.col("_w").isNotNull() & (F.col("_w") != ""))
-    return (words.groupBy(*by, F.initcap("_w").alias(out_col))
-            .agg(F.count(F.lit(1)).cast("bigint").alias("weight")))

@@ -11,20 +11,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.labels import label_line
-from ..operators.records import record_json
 
 
 def write_records(records: DataFrame, path: str, mode: str = "overwrite", record_col: str = "textbox") -> None:
     """One JSON line per document, ``{"doc_id": .., "textbox": {..}}``,
     partitioned by ``template_id``."""
     line = F.to_json(F.struct(F.col("doc_id"), F.col(record_col).alias("textbox")))
-    (records.select("template_id", line.alias("value"))
-     .write.mode(mode).partitionBy("template_id").text(path))
-
-
-def record_lines(records: DataFrame, record_col: str = "textbox") -> DataFrame:
-    """``(doc_id, json)`` with the reference's ``{"textbox": {...}}`` shape."""
-    return records.select("doc_id", record_json(F.col(record_col)).alias("json"))
+    # ranges of (template, document): a template's lines lie in few files, a hot
+    # template in many tasks
+    (records.select("template_id", "doc_id", line.alias("value")).repartitionByRange("template_id", "doc_id")
+     .select("template_id", "value").write.mode(mode).partitionBy("template_id").text(path))
 
 
 def write_labels(labels: DataFrame, path: str, mode: str = "overwrite", per_document: bool = False) -> None:
@@ -41,8 +37,9 @@ def write_labels(labels: DataFrame, path: str, mode: str = "overwrite", per_docu
          .select("doc_id", F.col("line").alias("value"))
          .write.mode(mode).partitionBy("doc_id").text(path))
     else:
-        w = lines.write.mode(mode)
-        if "template_id" in lines.columns:
+        by_template = "template_id" in lines.columns
+        w = (lines.repartitionByRange("template_id", "doc_id") if by_template else lines).write.mode(mode)
+        if by_template:
             w = w.partitionBy("template_id")
         w.parquet(path)
 

@@ -107,6 +107,29 @@ def test_records_and_words_read_buckets_without_shuffle(spark, tmpdir_path):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "Exchange hashpartitioning(doc_id" not in plan, plan
     assert rec.count() == 20 and words.count() == 80
+    import glob
+    assert len(glob.glob(f"{tmpdir_path}/values/*.parquet")) <= 4  # one file per bucket
+
+
+def test_files_with_odd_names_pair_in_plain_order(spark, tmpdir_path):
+    import os
+    from docsynth.plans.dataset import load_templates
+    names = ["a b", "a!b", "a%b", "a#b", "a+b", "ä", "z"]
+    for folder, ext in (("Annotations", ".xml"), ("JPEGImages", ".jpg")):
+        os.makedirs(f"{tmpdir_path}/{folder}")
+        for n in names:
+            with open(f"{tmpdir_path}/{folder}/{n}{ext}", "w") as f:
+                f.write("<annotation><size><width>1</width><height>1</height></size></annotation>")
+    got = {(os.path.basename(r.annotation_path), os.path.basename(r.image_path)) for r in load_templates(spark, tmpdir_path).collect()}
+    assert got == {(f"{n}.xml", f"{n}.jpg") for n in names}
+
+
+def test_partitioned_records_write_few_files(spark, tmpdir_path):
+    import glob
+    from docsynth.sources.writers import write_records
+    rec = spark.range(400).selectExpr("concat('d', id) doc_id", "concat('t', id % 5) template_id", "map('a', 'b') textbox").repartition(16)
+    write_records(rec, f"{tmpdir_path}/rec")
+    assert len(glob.glob(f"{tmpdir_path}/rec/*/*.txt")) <= 5 + 8  # templates plus range borders
 
 
 def test_per_document_label_text_files(spark, tmpdir_path):

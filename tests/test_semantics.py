@@ -196,15 +196,59 @@ def test_column_pattern_translation_matches_literal(spark):
             assert one(spark, F.date_format(ts, got[f])) == dt.datetime(2022, 11, 7, 9, 5, 3).strftime(f)
 
 
-def test_line_offsets_distributed_path_matches_window(spark, monkeypatch):
+def test_line_offsets_equal_a_running_sum_at_any_block_size(spark, monkeypatch):
     import docsynth.operators.words as W
-    rows = [(d, 1, ln, (d * 7 + ln) % 5) for d in range(6) for ln in range(9)]
+    rows = [(d, pg, ln, (d * 7 + ln + pg) % 5) for d in range(4) for pg in (1, 2) for ln in range(9)]
     per_line = spark.createDataFrame(rows, "doc_id int, page int, line int, _ds_n long")
-    small = {tuple(r) for r in W.line_offsets(per_line).collect()}
-    monkeypatch.setattr(W, "SMALL_LINE_TABLE", 0)
-    big = {tuple(r) for r in W.line_offsets(per_line).collect()}
-    assert small == big
-    assert (0, 1, 0, 0) in small and (0, 1, 1, 0) in small and (0, 1, 2, 1) in small
+    want, run = set(), {}
+    for d, pg, ln, n in rows:
+        want.add((d, pg, ln, run.get(d, 0)))
+        run[d] = run.get(d, 0) + n
+    for block in (1, 4, 4096):
+        monkeypatch.setattr(W, "LINE_BLOCK", block)
+        assert {tuple(r) for r in W.line_offsets(per_line).collect()} == want
+
+
+def test_expansion_spreads_chunks_and_never_shuffles_documents(spark):
+    t = spark.createDataFrame([(f"t{i}",) for i in range(40)], "template_id string")
+    d = expand_documents(t, 2500, docs_per_chunk=2500)
+    plan = d._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.index("Generate") < plan.index("Exchange")  # documents above the exchange
+    sizes = [r["count"] for r in d.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert sum(sizes) == 100_000 and len(sizes) >= 20 and max(sizes) <= 10_000
+
+
+def test_records_keep_documents_without_values_and_skip_nameless_fields(spark):
+    from docsynth.operators.records import assemble_records
+    v = spark.createDataFrame([("d1", "t", 0, "a", "1"), ("d1", "t", 1, "b", "2"), ("d1", "t", 2, "a", "3"), ("d1", "t", 3, None, "4")],
+                              "doc_id string, template_id string, pos int, field_name string, value string")
+    docs = spark.createDataFrame([("d1", "t"), ("d2", "t")], "doc_id string, template_id string")
+    got = {r.doc_id: r.textbox for r in assemble_records(v, documents=docs).collect()}
+    assert list(got["d1"].items()) == [("a", "3"), ("b", "2")] and got["d2"] == {}
+
+
+def test_empty_field_names_and_sizes_that_are_not_positive_are_rules(spark):
+    from docsynth.operators.layout import widgets
+    from docsynth.operators.validate import validate_templates
+    from docsynth.sources.annotations import parse_annotations, templates, typed_fields
+    attrs = "".join(f"<attribute><name>{n}</name><value>{v}</value></attribute>" for n, v in
+                    (("1_field_name", ""), ("2_max_length", "4"), ("3_is_alphanum", "True"), ("alpha_num_placement", "nn"), ("static_value", "")))
+    box = "<bndbox><xmin>1</xmin><ymin>1</ymin><xmax>3e9</xmax><ymax>50</ymax></bndbox>"
+    xml = f"<annotation><size><width>0</width><height>\n90\n</height></size><object><name>textbox</name>{box}<attributes>{attrs}</attributes></object></annotation>"
+    parsed = parse_annotations(spark.createDataFrame([("t", xml)], "template_id string, xml string"))
+    assert templates(parsed).first().height == 90  # white space around a size is cut
+    rules = {r.rule for r in validate_templates(parsed).collect()}
+    assert {"V16_field_name_empty", "V17_size_not_positive", "V9_box_not_number"} <= rules
+    assert widgets(templates(parsed), typed_fields(parsed)).count() == 1  # no division by zero
+
+
+def test_weighted_lookup_of_many_groups(spark):
+    from docsynth.operators.sampling import sample_weighted
+    words = spark.range(3000).selectExpr("id % 300 as grp", "id as word", "id % 7 + 1 as weight")
+    rows = spark.range(3000).selectExpr("id", "id % 300 as grp")
+    u = F.col("id") / 3000.0
+    a, b = (sample_weighted(rows, words, u, ["word"], "weight", by=["grp"], method=m) for m in ("binned", "range"))
+    assert {(r.id, r.word) for r in a.collect()} == {(r.id, r.word) for r in b.collect()}
 
 
 def test_stem_pairing_counts_each_key_once(spark):
