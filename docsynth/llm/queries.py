@@ -17,7 +17,7 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_dedup.digest(suffix_dedup.deduplicated(table(spark, sf_dir, "documents")))
+    return suffix_dedup.digest(suffix_dedup.deduplicated(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
 def op4_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:

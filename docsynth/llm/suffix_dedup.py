@@ -3,8 +3,8 @@
 A string of ``LENGTH`` bytes holds ``LENGTH - GRAM + 1`` byte grams; the least
 gram hash, its minimiser, is the same wherever the string stands. A document is
 cut into runs of string starts of equal minimiser. Minimisers that stand in one
-document only are left out first (their strings cannot repeat); the remaining
-runs meet by minimiser, and each task builds the suffix array of its runs'
+document only are left out first (their strings cannot repeat), and so are copies
+of a whole text (all their bytes go); the remaining runs meet by minimiser, and each task builds the suffix array of its runs'
 distinct texts with the difference-cover algorithm: sampled triples are sorted
 and named, names are sorted recursively, the other suffixes are sorted by the
 sample's ranks and merged. Adjacent prefixes of ``LENGTH`` bytes are compared;
@@ -71,6 +71,11 @@ def minimisers(data: bytes) -> np.ndarray:
     return _slide(gram_hashes(data), LENGTH - GRAM + 1, np.minimum)
 
 
+def _short(hashes: np.ndarray, bits: int) -> np.ndarray:
+    """The hashes' upper ``bits`` bits as long values."""
+    return (hashes >> np.uint64(64 - bits)).astype(np.int64)
+
+
 def _named(key: np.ndarray) -> tuple[np.ndarray, int]:
     """Ranks (from 1) of the keys among the distinct ones, and their number."""
     order = np.argsort(key, kind="stable")
@@ -150,33 +155,30 @@ def _runs(mask: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist()))
 
 
-_RUNS = T.StructType([T.StructField("gram", T.LongType()), T.StructField("doc_id", T.LongType()), T.StructField("part", T.LongType()),
-                      T.StructField("start", T.LongType()), T.StructField("run", T.BinaryType()), T.StructField("hot", T.BooleanType())])
-_SPANS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("part", T.LongType()), T.StructField("from_", T.LongType()), T.StructField("to", T.LongType())])
+_RUNS = T.StructType([T.StructField("gram", T.LongType()), T.StructField("doc_id", T.LongType()), T.StructField("part", T.IntegerType()),
+                      T.StructField("start", T.IntegerType()), T.StructField("run", T.BinaryType())])
+_SPANS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("part", T.IntegerType()), T.StructField("from_", T.LongType()), T.StructField("to", T.LongType())])
 
 
-def _cut(batches: Iterator[pa.RecordBatch]):
-    """Runs of starts of equal, repeated minimisers (input: doc_id, part, data, grams, hot)."""
-    for b in batches:
-        for at in range(0, b.num_rows, 256):
-            out = []
-            for doc, part, data, grams, hot in zip(*[b.column(i).slice(at, 256).to_pylist() for i in range(5)]):
-                value = minimisers(data).view(np.int64)
-                grams = np.array(grams, np.int64)
-                by = np.argsort(grams)
-                grams, hot = grams[by], np.array(hot, bool)[by]
-                place = np.minimum(np.searchsorted(grams, value), len(grams) - 1)
-                good = grams[place] == value
-                edge = np.flatnonzero(np.concatenate([[True], value[1:] != value[:-1]])) if len(value) else np.zeros(0, int)
-                ends = np.append(edge[1:], len(value))
-                for a, e in zip(edge.tolist(), ends.tolist()):
-                    if good[a]:
-                        if hot[place[a]]:
-                            out += [(int(value[a]), doc, part, i, data[i:i + LENGTH], True) for i in range(a, e)]
-                        else:
-                            out.append((int(value[a]), doc, part, a, data[a:e - 1 + LENGTH], False))
-            cols = list(zip(*out)) or [()] * 6
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.bool_()))], names=_RUNS.names)
+def _cut(bits: int, single: bool):
+    """Runs of starts of equal, wanted minimisers (input: doc_id, part, data, grams); ``single``: each start on its own."""
+
+    def run(batches: Iterator[pa.RecordBatch]):
+        for b in batches:
+            for at in range(0, b.num_rows, 256):
+                out = []
+                for doc, part, data, grams in zip(*[b.column(i).slice(at, 256).to_pylist() for i in range(4)]):
+                    value = _short(minimisers(data), bits)
+                    good = np.isin(value, np.array(grams, np.int64))
+                    edge = np.flatnonzero(np.concatenate([[True], value[1:] != value[:-1]])) if len(value) else np.zeros(0, int)
+                    ends = np.append(edge[1:], len(value))
+                    for a, e in zip(edge[good[edge]].tolist(), ends[good[edge]].tolist()):
+                        for x, y in ([(i, i + 1) for i in range(a, e)] if single else [(a, e)]):
+                            out.append((int(value[a]), doc, part, x, data[x:y - 1 + LENGTH]))
+                cols = list(zip(*out)) or [()] * 5
+                yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()))], names=_RUNS.names)
+
+    return run
 
 
 def _repeated(batches: Iterator[pa.RecordBatch]):
@@ -194,7 +196,7 @@ def _repeated(batches: Iterator[pa.RecordBatch]):
             for a, e in _runs(least[i] < doc):
                 out.append((doc, part, start + a, start + e - 1 + LENGTH))
         cols = list(zip(*out)) or [()] * 4
-        return pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in cols], names=_SPANS.names)
+        return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int64(), pa.int64()))], names=_SPANS.names)
 
     held: list[list] = [[], [], [], [], []]
     size = 0
@@ -234,46 +236,72 @@ def _merged_spans(spans: DataFrame) -> DataFrame:
 _REMOVED = T.ArrayType(T.StructType([T.StructField("start", T.LongType(), False), T.StructField("end", T.LongType(), False)]))
 
 
-def removed_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, part (hash of the text) and the removed spans of the documents that lose bytes."""
-    whole = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("data")).where(f"doc_id is not null and octet_length(data) >= {LENGTH}")
+def _whole(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text).cast("binary"), F.lit(b"")).alias("data")).where("doc_id is not null")
+
+
+def _part(data: str):
+    """Tells texts of one doc_id apart."""
+    return F.pmod(F.xxhash64(data), F.lit(1 << 20)).cast("int")
+
+
+def removed_spans(whole: DataFrame) -> DataFrame:
+    """doc_id, part (hash of the data) and the removed spans of the documents (doc_id, data) that lose bytes."""
+    # minimisers are kept to so many bits that one in about 64 meets another's by chance
+    n_bytes = whole.agg(F.sum(F.octet_length("data"))).first()[0] or 0
+    bits = min(63, max(16, int(n_bytes).bit_length() + 2))
 
     def grams(batches):
         for batch in batches:
-            found = [np.unique(minimisers(d)).view(np.int64) for d in batch["data"]]
+            found = [np.unique(_short(minimisers(d), bits)) for d in batch["data"]]
             yield {"gram": list_array(np.concatenate([np.zeros(0, np.int64), *found]), np.array([len(f) for f in found], np.int64), pa.int64())}
 
     rows = map_columns(whole, grams, ["data"], [("gram", T.ArrayType(T.LongType()))], keep=["doc_id"]).select(F.explode("gram").alias("gram"), "doc_id")
-    several = (rows.groupBy("gram").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count(F.lit(1)).alias("docs"))
-               .where("lo < hi").select("gram", (F.col("docs") > HOT_DOCS).alias("hot")))
-    wanted = rows.join(several, "gram").groupBy("doc_id").agg(F.collect_list("gram").alias("grams"), F.collect_list("hot").alias("hot"))  # one document's
-    runs = (whole.withColumn("part", F.xxhash64("data")).join(wanted, "doc_id").select("doc_id", "part", "data", "grams", "hot").mapInArrow(_cut, _RUNS))
-    met = runs.where("not hot").select("gram", "doc_id", "part", "start", "run").repartition("gram").sortWithinPartitions("gram").mapInArrow(_repeated, _SPANS)
-    single = runs.where("hot").withColumn("key", F.struct(F.xxhash64("run").alias("a"), F.xxhash64("run", F.lit(1)).alias("b"))).select("key", "doc_id", "part", "start")
-    first = single.groupBy("key").agg(F.min("doc_id").alias("first"))
-    alone = single.join(first, "key").where("doc_id > first").select("doc_id", "part", F.col("start").alias("from_"), (F.col("start") + LENGTH).alias("to"))
-    return _merged_spans(met.unionByName(alone))
+    several = rows.groupBy("gram").agg(F.count(F.lit(1)).alias("docs")).where("docs > 1")
+    first = whole.groupBy(F.xxhash64("data").alias("a"), F.xxhash64("data", F.lit(1)).alias("b")).agg(F.min("doc_id").alias("first"))
+    copies = (whole.select("doc_id", _part("data").alias("part"), F.xxhash64("data").alias("a"), F.xxhash64("data", F.lit(1)).alias("b"), F.octet_length("data").cast("long").alias("to"))
+              .join(first, ["a", "b"]).where((F.col("doc_id") > F.col("first")) & (F.col("to") >= LENGTH)).select("doc_id", "part", F.lit(0).cast("long").alias("from_"), "to"))
+
+    def runs(wanted: DataFrame, single: bool) -> DataFrame:
+        """Runs of the documents' wanted minimisers; copies of a whole text lose all of it and send none."""
+        listed = rows.join(wanted.select("gram"), "gram").groupBy("doc_id").agg(F.collect_list("gram").alias("grams"))  # one document's
+        copied = copies.groupBy("doc_id").agg(F.collect_set("part").alias("copied"))  # more than one only for repeated ids
+        met = whole.join(listed.join(copied, "doc_id", "left"), "doc_id").withColumn("part", _part("data"))
+        return met.where(~F.array_contains(F.coalesce("copied", F.array().cast("array<int>")), F.col("part"))).select("doc_id", "part", "data", "grams").mapInArrow(_cut(bits, single), _RUNS)
+
+    met = runs(several.where(F.col("docs") <= HOT_DOCS), False).repartition("gram").sortWithinPartitions("gram").mapInArrow(_repeated, _SPANS)
+    single = runs(several.where(F.col("docs") > HOT_DOCS), True).select(F.xxhash64("run").alias("a"), F.xxhash64("run", F.lit(1)).alias("b"), "doc_id", "part", "start")
+    least = single.groupBy("a", "b").agg(F.min("doc_id").alias("first"))
+    start = F.col("start").cast("long")
+    alone = single.join(least, ["a", "b"]).where("doc_id > first").select("doc_id", "part", start.alias("from_"), (start + LENGTH).alias("to"))
+    return _merged_spans(met.unionByName(alone).unionByName(copies))
 
 
 def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Documents with n_bytes, ``removed`` (maximal byte spans) and ``kept`` (the remaining bytes)."""
-    spans = removed_spans(docs, doc_id, text).withColumnsRenamed({"doc_id": "_doc", "part": "_part"})
+    spans = removed_spans(_whole(docs, doc_id, text))
+    extra = {f"_x{i}": c for i, c in enumerate(docs.columns) if c not in (doc_id, text, "n_bytes", "removed", "kept")}
     data = F.coalesce(F.col(text).cast("binary"), F.lit(b""))
-    whole = docs.drop("n_bytes", "removed", "kept").withColumns({"_data": data, "n_bytes": F.octet_length(data).cast("long")})
-    met = whole.join(spans, (whole[doc_id].cast("long") == spans["_doc"]) & (F.xxhash64("_data") == spans["_part"]), "left")
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), data.alias("data"), *[F.col(f"`{c}`").alias(x) for x, c in extra.items()])
+    by_id = spans.groupBy("doc_id").agg(F.collect_list(F.struct("part", "removed")).alias("spans"))  # one entry but for repeated ids
+    own = F.filter("spans", lambda x: x["part"] == _part("data"))
+    met = rows.where("doc_id is not null").join(by_id, "doc_id", "left").withColumn("removed", F.get(own, F.lit(0))["removed"]).drop("spans")
+    lost = rows.where("doc_id is null").withColumn("removed", F.lit(None).cast(_REMOVED))
+    met = met.unionByName(lost)
 
     def run(batches):
         for batch in batches:
             out = []
-            for d, spans in zip(batch["_data"], batch["removed"]):
+            for d, spans in zip(batch["data"], batch["removed"]):
                 at, kept = 0, []
                 for s in spans or ():
                     kept.append(d[at:s["start"]])
                     at = s["end"]
                 out.append(b"".join(kept) + d[at:])
-            yield {"kept": out, "removed": [s or [] for s in batch["removed"]]}
+            yield {"kept": out, "removed": [s or [] for s in batch["removed"]], "n_bytes": [len(d) for d in batch["data"]]}
 
-    return map_columns(met, run, ["_data", "removed"], [("removed", _REMOVED), ("kept", T.BinaryType())], keep=[c for c in whole.columns if c != "_data"])
+    done = map_columns(met, run, ["data", "removed"], [("removed", _REMOVED), ("kept", T.BinaryType()), ("n_bytes", T.LongType())], keep=["doc_id", "data", *extra])
+    return done.select(F.col("doc_id").alias(doc_id), F.col("data").cast("string").alias(text), *[F.col(x).alias(c) for x, c in extra.items()], "n_bytes", "removed", "kept")
 
 
 def digest(found: DataFrame) -> DataFrame:
