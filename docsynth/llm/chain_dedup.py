@@ -168,14 +168,19 @@ _SPANS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("sta
 
 
 def seed_rows(docs: DataFrame) -> DataFrame:
-    """seed, doc_id and place of every document's minimisers (docs: doc_id, text)."""
+    """seed, doc_id and place of every document's minimisers (docs: doc_id, text).
+
+    Seeds keep so many bits of their hash that few of different words meet (at
+    most one seed in 64); alignment tells those apart."""
+    n_bytes = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    shift = np.uint64(64 - min(63, max(16, int(n_bytes).bit_length() + 2)))
 
     def run(batches):
         for batch in batches:
             found = [seeds(word_hashes(t)) for t in batch["text"]]
             sizes = np.array([len(p) for _, p in found], np.int64)
             none = np.zeros(0, np.int64)
-            yield {"seed": list_array(np.concatenate([none, *[h.view(np.int64) for h, _ in found]]), sizes, pa.int64()),
+            yield {"seed": list_array(np.concatenate([none, *[(h >> shift).astype(np.int64) for h, _ in found]]), sizes, pa.int64()),
                    "place": list_array(np.concatenate([none, *[p for _, p in found]]), sizes, pa.int32())}
 
     rows = map_columns(docs, run, ["text"], [("seed", T.ArrayType(T.LongType())), ("place", T.ArrayType(T.IntegerType()))], keep=["doc_id"])
@@ -229,8 +234,9 @@ def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     links = placed.join(first, "seed").where("doc_id > partner_id")
     gathered = links.groupBy("doc_id").agg(F.collect_list(F.struct("place", "partner_id", "at")).alias("links"))  # a document's own seeds
     chained = whole.join(gathered, "doc_id").select("doc_id", "text", "links").mapInArrow(_chained, _CHAINS)
-    once = whole.select(F.col("doc_id").alias("partner_id"), "text")
-    spans = (chained.join(once, "partner_id").select("doc_id", "partner_id", "x", "y", "from_", "near", "text").mapInArrow(_aligned, _SPANS))
+    # the partners' texts come by doc_id, too: both joins read one shuffle of the texts
+    asked = chained.withColumnsRenamed({"doc_id": "asker", "partner_id": "doc_id"})
+    spans = asked.join(whole, "doc_id").select("asker", "doc_id", "x", "y", "from_", "near", "text").mapInArrow(_aligned, _SPANS)
     # a span inside another one with the same partner says nothing more
     longer = F.max("end_").over(Window.partitionBy("doc_id", "partner_id").orderBy("start", F.desc("end_"), "partner_start").rowsBetween(Window.unboundedPreceding, -1))
     spans = spans.distinct().withColumn("longer", longer).where("longer is null or longer < end_").drop("longer")
