@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 
 from .common import map_columns
 
-SAMPLE_DOCS = 5000
+SAMPLE_DOCS = 3000
 SAMPLE_BYTES = 16384
 LANDMARKS = 96
 #: Candidates for landmarks, and how many like words are taken.
@@ -45,6 +45,8 @@ SHARED = 0.8
 #: A longer token is read in overlapping windows of this many characters.
 TOKEN_CHARS = 48
 KEPT_TOKENS = 400_000
+#: Words whose kernel rows are held at a time.
+BLOCK_WORDS = 20_000
 FOLDS = 5
 
 _EDGE = " .,;:!?|*#&%$\"'()[]{}<>/\\-_=+~`"
@@ -163,8 +165,9 @@ class Model:
             words += cuts
             owner += [i] * len(cuts)
         out = np.full(len(tokens), self.bias)
-        if words:
-            np.maximum.at(out, np.array(owner), kernel_rows(words, self.landmarks) @ self.weights + self.bias)
+        for a in range(0, len(words), BLOCK_WORDS):
+            part = kernel_rows(words[a:a + BLOCK_WORDS], self.landmarks) @ self.weights + self.bias
+            np.maximum.at(out, np.array(owner[a:a + BLOCK_WORDS]), part)
         return out
 
     def score(self, features: np.ndarray) -> np.ndarray:
@@ -263,8 +266,14 @@ def fit(texts: list[str | None], labels: list[int], n_landmarks: int = LANDMARKS
     if not marks:
         return Model(constant=float(y.mean()))
     vocabulary = sorted({w for d in docs for w in d if ORDER <= len(w) <= TOKEN_CHARS})
-    at = {w: i for i, w in enumerate(vocabulary)}
-    rows = kernel_rows(vocabulary, marks)
+    at: dict[str, int] = {}  # words that are near any landmark; the others' rows are zero
+    blocks = []
+    for a in range(0, len(vocabulary), BLOCK_WORDS):
+        part = kernel_rows(vocabulary[a:a + BLOCK_WORDS], marks)
+        for i in np.flatnonzero(part.any(1)).tolist():
+            at[vocabulary[a + i]] = len(at)
+        blocks.append(part[part.any(1)])
+    rows = np.concatenate(blocks)
     # Nystroem: the landmark matrix's inverse root, small eigenvalues left out
     value, vector = np.linalg.eigh(kernel_rows(marks, marks))
     good = value > 1e-6
