@@ -45,6 +45,8 @@ SHARED = 0.8
 #: A longer token is read in overlapping windows of this many characters.
 TOKEN_CHARS = 48
 KEPT_TOKENS = 400_000
+#: Rows of an Arrow batch cut into tokens at a time.
+SLICE_ROWS = 1000
 #: Words whose kernel rows are held at a time.
 BLOCK_WORDS = 20_000
 FOLDS = 5
@@ -58,22 +60,24 @@ def _points(words: list[str], width: int) -> np.ndarray:
 
 
 def subsequence_kernel(s: np.ndarray, t: np.ndarray) -> np.ndarray:
-    """Gap-weighted subsequence kernel of paired words: code points, pairs x characters."""
+    """Gap-weighted subsequence kernel of paired words: code points, pairs x characters.
+
+    Each order's decayed double sum over earlier characters is a plain running sum
+    of terms divided by the decay of their place (all are positive)."""
     s, t = np.ascontiguousarray(s.T), np.ascontiguousarray(t.T)  # pairs side by side in memory
     (n, pairs), m = s.shape, len(t)
-    same = (s[:, None, :] == t[None, :, :]).astype(np.float64)
+    same = (s[:, None, :] == t[None, :, :]).astype(np.float64) * (DECAY * DECAY)
+    decay = DECAY ** (np.arange(n)[:, None, None] + np.arange(m)[None, :, None])
     prime = np.ones((n + 1, m + 1, pairs))
     for _ in range(ORDER - 1):
-        new = np.zeros((n + 1, m + 1, pairs))
-        for i in range(1, n + 1):
-            met = same[i - 1] * prime[i - 1, :m] * (DECAY * DECAY)
-            second = np.zeros(pairs)
-            for j in range(1, m + 1):
-                second = DECAY * second + met[j - 1]
-                new[i, j] = second
-            new[i] += DECAY * new[i - 1]
-        prime = new
-    return DECAY * DECAY * (same * prime[:n, :m]).sum((0, 1))
+        met = same * prime[:n, :m]
+        met /= decay
+        np.cumsum(met, axis=0, out=met)
+        np.cumsum(met, axis=1, out=met)
+        met *= decay
+        prime = np.zeros((n + 1, m + 1, pairs))
+        prime[1:, 1:] = met
+    return (same * prime[:n, :m]).sum((0, 1))
 
 
 def _bits(points: np.ndarray) -> np.ndarray:
@@ -117,7 +121,7 @@ def kernel_rows(words: list[str], landmarks: list[str]) -> np.ndarray:
             theirs = _points([landmarks[i] for i in marked], m)
             mark_bits = _bits(theirs)
             common = np.bitwise_count(bits[:, None] & mark_bits[None, :])
-            r, c = np.nonzero(common >= np.ceil(SHARED * np.bitwise_count(mark_bits))[None, :])
+            r, c = np.nonzero(common >= np.ceil(SHARED * np.bitwise_count(mark_bits)).astype(np.uint8)[None, :])
             near.append((theirs, marked, r, c))
         used = np.unique(np.concatenate([r for _, _, r, _ in near])) if near else np.zeros(0, int)
         per = max(1, 400_000 // (n * n))
@@ -334,8 +338,8 @@ def scored(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
             if model.curve is None:
                 yield {"score": [model.constant] * len(texts)}
                 continue
-            for a in range(0, len(texts), 500):
-                cut = [tokens_of(t) for t in texts[a:a + 500]]
+            for a in range(0, len(texts), SLICE_ROWS):
+                cut = [tokens_of(t) for t in texts[a:a + SLICE_ROWS]]
                 if len(known) > KEPT_TOKENS:
                     known = {}
                 fresh = list(dict.fromkeys(t for ts in cut for t in ts if t not in known))
