@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 from .common import list_array, map_columns
 
 #: Bytes of a repeated string, and of a gram.
-LENGTH, GRAM = 50, 16
+LENGTH, GRAM = 50, 20
 #: Documents from which on a minimiser's strings are grouped one by one.
 HOT_DOCS = 20_000
 #: Bytes of runs in one suffix array (whole minimisers).
@@ -58,7 +58,8 @@ def gram_hashes(data: bytes) -> np.ndarray:
     for o in range(min(8, n)):
         part = np.frombuffer(data, "<u8", (len(data) - o) // 8, o)
         eight[o::8] = part[:len(eight[o::8])]
-    h = (eight[:-8] * _C1) ^ (eight[8:] * _C2 + (eight[8:] >> np.uint64(31)))
+    a, b, c = eight[:-(GRAM - 8)], eight[8:len(eight) - (GRAM - 16)], eight[GRAM - 8:]  # the last eight bytes overlap
+    h = (a * _C1) ^ (b * _C2 + (c >> np.uint64(31))) ^ (c * _C3)
     h ^= h >> np.uint64(32)
     h *= _C3
     return h ^ (h >> np.uint64(29))
@@ -185,12 +186,20 @@ def _repeated(batches: Iterator[pa.RecordBatch]):
     """Removed byte spans of runs that come sorted by minimiser."""
 
     def solved(rows: list[list]) -> pa.RecordBatch:
-        _, docs, parts, starts, runs = rows
-        index = {r: i for i, r in enumerate(dict.fromkeys(runs))}
-        at = np.fromiter((index[r] for r in runs), np.int64, len(runs))
+        grams, docs, parts, starts, runs = rows
+        index = {r: i for i, r in enumerate(dict.fromkeys(zip(grams, runs)))}
+        at = np.fromiter((index[r] for r in zip(grams, runs)), np.int64, len(runs))
         owner = np.full(len(index), np.iinfo(np.int64).max)
         np.minimum.at(owner, at, np.array(docs))
-        least = smallest_owners(list(index), owner)
+        # texts that meet no other under their minimiser repeat as a whole; the others are sorted
+        of_gram = np.unique([g for g, _ in index], return_inverse=True)[1]
+        sole = np.bincount(of_gram)[of_gram] == 1
+        strings = [r for _, r in index]
+        least: list = [np.full(len(r) - LENGTH + 1, o) if one else None for r, o, one in zip(strings, owner.tolist(), sole.tolist())]
+        several = np.flatnonzero(~sole)
+        if len(several):
+            for i, found in zip(several.tolist(), smallest_owners([strings[i] for i in several], owner[several])):
+                least[i] = found
         out = []
         for i, doc, part, start in zip(at.tolist(), docs, parts, starts):
             for a, e in _runs(least[i] < doc):
@@ -257,6 +266,7 @@ def removed_spans(whole: DataFrame) -> DataFrame:
             yield {"gram": list_array(np.concatenate([np.zeros(0, np.int64), *found]), np.array([len(f) for f in found], np.int64), pa.int64())}
 
     rows = map_columns(whole, grams, ["data"], [("gram", T.ArrayType(T.LongType()))], keep=["doc_id"]).select(F.explode("gram").alias("gram"), "doc_id")
+    rows = rows.repartition("gram")  # counted and joined where they lie: (minimiser, id) rows are shuffled once
     several = rows.groupBy("gram").agg(F.count(F.lit(1)).alias("docs")).where("docs > 1")
     first = whole.groupBy(F.xxhash64("data").alias("a"), F.xxhash64("data", F.lit(1)).alias("b")).agg(F.min("doc_id").alias("first"))
     copies = (whole.select("doc_id", _part("data").alias("part"), F.xxhash64("data").alias("a"), F.xxhash64("data", F.lit(1)).alias("b"), F.octet_length("data").cast("long").alias("to"))
