@@ -65,7 +65,17 @@ def seeds(hashes: np.ndarray, k: int = K, window: int = WINDOW) -> tuple[np.ndar
         at = np.unique(np.lib.stride_tricks.sliding_window_view(value, w).argmin(1) + np.arange(n - w + 1))
     else:
         at = np.arange(n)
-    return value[at], at
+    # in repetitive text one seed value follows itself; every ``window``-th of such a run is kept
+    value = value[at]
+    new = np.ones(len(at), bool)
+    new[1:] = (value[1:] != value[:-1]) | (np.diff(at) > w)
+    start = np.maximum.accumulate(np.where(new, np.arange(len(at)), 0))
+    offset = at - at[start]
+    keep = new.copy()
+    keep[1:] |= (offset[1:] // max(w, 1)) > (offset[:-1] // max(w, 1))
+    keep[:-1] |= new[1:]
+    keep[-1:] = True
+    return value[keep], at[keep]
 
 
 def chains(x: np.ndarray, y: np.ndarray, score: float = SEED_SCORE, gap: float = GAP_COST) -> list[list[int]]:
