@@ -242,7 +242,7 @@ def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     first = (placed.groupBy("seed").agg(F.min(F.struct("doc_id", "place")).alias("first"), F.max("doc_id").alias("last"))
              .where("first.doc_id < last").select("seed", F.col("first.doc_id").alias("partner_id"), F.col("first.place").alias("at")))
     links = placed.join(first, "seed").where("doc_id > partner_id")
-    gathered = links.groupBy("doc_id").agg(F.collect_list(F.struct("place", "partner_id", "at")).alias("links"))  # a document's own seeds
+    gathered = links.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("place", "partner_id", "at"))).alias("links"))  # a document's own seeds
     chained = whole.join(gathered, "doc_id").select("doc_id", "text", "links").mapInArrow(_chained, _CHAINS)
     # the partners' texts come by doc_id, too: both joins read one shuffle of the texts
     asked = chained.withColumnsRenamed({"doc_id": "asker", "partner_id": "doc_id"})
