@@ -6,7 +6,8 @@ tied to its first place in the corpus (smallest doc_id, then position), which
 keeps links linear in the seeds: a passage of n documents gives n - 1 links.
 Per document and partner, seeds are chained in order of both texts with gap
 costs through a Fenwick tree of prefix maxima; chains are aligned on the words
-(between seeds, and outward past both ends) and kept from an identity of 0.75.
+(between seeds, and outward past both ends) and kept from an identity of 0.75;
+one below that is cut at its worst gap until its pieces reach it.
 A document's aligned spans that touch or overlap form regions; those of at
 least ``MIN_WORDS`` words are repeated passages.
 
@@ -153,20 +154,35 @@ def extend(a: np.ndarray, b: np.ndarray) -> tuple[int, int, int]:
     return best[1:]
 
 
-def align(xw: np.ndarray, yw: np.ndarray, x: np.ndarray, y: np.ndarray, k: int = K) -> tuple[int, int, int, int, int]:
-    """Spans in both word rows and equal words of a chain of seeds at x and y."""
-    ax, ay = int(x[0]), int(y[0])
-    left = extend(xw[:ax][::-1], yw[:ay][::-1])
-    equal, px, py = left[2], ax, ay
+def align(xw: np.ndarray, yw: np.ndarray, x: np.ndarray, y: np.ndarray, k: int = K) -> list[tuple[int, int, int, int, int]]:
+    """Spans in both word rows and equal words of the pieces of a chain of seeds at x and y that reach the identity.
+
+    A chain that does not reach it, with or without its extensions, is cut at its
+    worst gap, and both parts are judged anew, extended past their own ends."""
+    runs: list[list[int]] = []  # start and end in both rows of equal stretches
     for sx, sy in zip(x.tolist(), y.tolist()):
-        if sx >= px and sy >= py:
-            equal += common_words(xw[px:sx], yw[py:sy]) + k
-            px, py = sx + k, sy + k
-        elif sx - px == sy - py:  # overlaps the last seed on the same diagonal
-            equal += sx + k - px
-            px, py = sx + k, sy + k
-    right = extend(xw[px:], yw[py:])
-    return ax - left[0], px + right[0], ay - left[1], py + right[1], equal + right[2]
+        if not runs or (sx >= runs[-1][1] and sy >= runs[-1][3]):
+            runs.append([sx, sx + k, sy, sy + k])
+        elif sx - runs[-1][1] == sy - runs[-1][3]:  # overlaps the last seed on the same diagonal
+            runs[-1][1], runs[-1][3] = sx + k, sy + k
+    gaps = [(common_words(xw[a[1]:b[0]], yw[a[3]:b[2]]), max(b[0] - a[1], b[2] - a[3])) for a, b in zip(runs, runs[1:])]
+    loss = np.array([IDENTITY * size - equal for equal, size in gaps])
+    upto = np.cumsum([0, *(r[1] - r[0] for r in runs)])
+    between = np.cumsum([0, *(equal for equal, _ in gaps)])
+    out, waiting = [], [(0, len(runs))]
+    while waiting:
+        lo, hi = waiting.pop()
+        (ax, _, ay, _), (_, px, _, py) = runs[lo], runs[hi - 1]
+        equal = int(upto[hi] - upto[lo] + between[hi - 1] - between[lo])
+        left, right, none = extend(xw[:ax][::-1], yw[:ay][::-1]), extend(xw[px:], yw[py:]), (0, 0, 0)
+        tried = [(ax - a[0], px + b[0], ay - a[1], py + b[1], equal + a[2] + b[2]) for a in (left, none) for b in (right, none)]
+        good = [t for t in tried if t[4] >= IDENTITY * max(t[1] - t[0], t[3] - t[2])]
+        if good:
+            out.append(max(good, key=lambda t: t[1] - t[0]))
+        elif hi - lo > 1:
+            cut = lo + 1 + int(loss[lo:hi - 1].argmax())
+            waiting += [(cut, hi), (lo, cut)]
+    return out
 
 
 _CHAINS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("partner_id", T.LongType()),
@@ -217,7 +233,7 @@ def _chained(batches: Iterator[pa.RecordBatch]):
 
 
 def _aligned(batches: Iterator[pa.RecordBatch]):
-    """Spans of chains (joined with their partner's text) of sufficient identity."""
+    """Spans of the pieces of chains (joined with their partner's text) that reach the identity."""
     for b in batches:
         out, known = [], {}
         for doc, partner, x, y, a, near, text in zip(*[b.column(i).to_pylist() for i in range(7)]):
@@ -228,9 +244,7 @@ def _aligned(batches: Iterator[pa.RecordBatch]):
             yw = known[partner][c:int(y[-1]) + K + BESIDE]
             if y[-1] + K - c > len(yw):
                 continue  # another text of a repeated id
-            x0, x1, y0, y1, equal = align(xw, yw, x, y - c)
-            if equal >= IDENTITY * max(x1 - x0, y1 - y0):
-                out.append((doc, a + x0, a + x1, partner, c + y0, c + y1, equal))
+            out += [(doc, a + x0, a + x1, partner, c + y0, c + y1, equal) for x0, x1, y0, y1, equal in align(xw, yw, x, y - c)]
         cols = list(zip(*out)) or [()] * 7
         yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in cols], names=_SPANS.names)
 

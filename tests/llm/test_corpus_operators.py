@@ -155,6 +155,17 @@ def test_fuzzy_passages_are_found_and_clean_documents_left(spark, odd, empty):
     assert chain_dedup.repeated_passages(empty).count() == 0
 
 
+def test_passages_far_apart_and_blocks_between_are_pieces_of_their_own(spark):
+    rng = np.random.default_rng(14)
+    word = lambda n: ["".join(rng.choice(list("abcdefghij"), 6)) for _ in range(n)]
+    one, two, whole = word(60), word(60), word(120)
+    docs = {1: word(20) + one + word(100) + two + word(20), 2: word(30) + one + word(100) + two + word(30),  # two passages 100 words apart
+            3: word(20) + whole + word(20), 4: word(10) + whole[:60] + word(100) + whole[60:] + word(10)}  # a block inserted
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in docs.items()], "doc_id long, text string")
+    got = sorted((r.doc_id, r.start, r.end_, r.partner_id, r.partner_start, r.partner_end, r.identity) for r in chain_dedup.repeated_passages(df).collect())
+    assert got == [(2, 30, 90, 1, 20, 80, 1.0), (2, 190, 250, 1, 180, 240, 1.0), (4, 10, 70, 3, 20, 80, 1.0), (4, 170, 230, 3, 80, 140, 1.0)]
+
+
 def test_passage_query_covers_repeats_of_fifty_words(spark, sf, texts):
     found = {}
     for r in queries.op4_repeated_passages(spark, sf).collect():
