@@ -9,8 +9,11 @@ beam of the best nodes so far is widened by the neighbours of its best
 unexpanded ones, hop by hop, as joins of all queries at once. Candidates are
 ranked by the exact cosine of the original vectors in double precision.
 
-The graph uses half-precision vectors, K neighbours and at most as many reverse
-ones a node (a sample, as the method has it); every vector is a node of it.
+The graph uses unit vectors stored in single precision and brought back to
+length 1 in double precision, so that even near-equal vectors differ by their
+distance and not by rounding; a ``sim`` is the cosine less 1, which keeps small
+distances in single precision, too. A node has K neighbours and at most as many
+reverse ones (a sample, as the method has it); every vector is a node of it.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite
 components take no part, nor do rows without id and, where lengths differ,
@@ -73,8 +76,13 @@ def _unit(buffers: list[bytes]) -> np.ndarray:
     return m / np.linalg.norm(m, axis=1, keepdims=True)
 
 
-def _halves(buffers: list[bytes], rows: int) -> np.ndarray:
-    return np.frombuffer(b"".join(buffers), np.float16).reshape(rows, -1).astype(np.float32)
+def _singles(buffers: list[bytes]) -> list[bytes]:
+    return [u.astype(np.float32).tobytes() for u in _unit(buffers)] if buffers else []
+
+
+def _units(buffers: list[bytes], rows: int) -> np.ndarray:
+    m = np.frombuffer(b"".join(buffers), np.float32).reshape(rows, -1).astype(np.float64)
+    return m / np.linalg.norm(m, axis=1, keepdims=True)
 
 
 def _edge_batch(ids, nbrs, sims, new) -> pa.RecordBatch:
@@ -90,29 +98,29 @@ def first_edges(nodes: DataFrame) -> DataFrame:
             unit = _unit(batch["vec"]) if batch["vec"] else np.zeros((0, 1))
             planes = np.random.default_rng(SEED).standard_normal((ORDERS, unit.shape[1], PLANES))
             weight = 1 << np.arange(PLANES, dtype=np.int64)[::-1]
-            yield {"half": [u.astype(np.float16).tobytes() for u in unit],
+            yield {"unit": _singles(batch["vec"]),
                    "codes": [[int(c) for c in row] for row in np.stack([(unit @ p > 0) @ weight for p in planes], 1)]}
 
-    coded = map_columns(nodes.select("id", "vec"), codes, ["vec"], [("half", T.BinaryType()), ("codes", T.ArrayType(T.LongType()))], keep=["id"])
-    ordered = coded.select("id", "half", F.posexplode("codes").alias("tree", "code")).repartitionByRange("tree", "code", "id").sortWithinPartitions("tree", "code", "id")
+    coded = map_columns(nodes.select("id", "vec"), codes, ["vec"], [("unit", T.BinaryType()), ("codes", T.ArrayType(T.LongType()))], keep=["id"])
+    ordered = coded.select("id", "unit", F.posexplode("codes").alias("tree", "code")).repartitionByRange("tree", "code", "id").sortWithinPartitions("tree", "code", "id")
 
     def blocks(batches: Iterator[pa.RecordBatch]):
         for b in batches:
             ids, tree = b.column(0).to_numpy(), b.column(2).to_numpy()
-            halves = _halves(b.column(1).to_pylist(), len(ids)) if len(ids) else None
+            units = _units(b.column(1).to_pylist(), len(ids)) if len(ids) else None
             cut = [0, *(np.flatnonzero(np.diff(tree)) + 1), len(ids)]
             for lo, hi in zip(cut, cut[1:]):
                 for a in range(lo, hi, BLOCK):
                     rows = slice(max(lo, min(a, hi - BLOCK)), min(hi, a + BLOCK))
-                    sim = halves[rows] @ halves[rows].T
-                    np.fill_diagonal(sim, -2)
+                    sim = units[rows] @ units[rows].T - 1
+                    np.fill_diagonal(sim, -9)
                     n = len(sim)
                     k = min(NEIGHBOURS, n - 1)
                     if k:
                         top = np.argpartition(-sim, k - 1, axis=1)[:, :k]
                         yield _edge_batch(np.repeat(ids[rows], k), ids[rows][top.ravel()], np.take_along_axis(sim, top, 1).ravel(), True)
 
-    return ordered.select("id", "half", "tree").mapInArrow(blocks, _EDGE)
+    return ordered.select("id", "unit", "tree").mapInArrow(blocks, _EDGE)
 
 
 def _best(ids, nbrs, sims, new, k):
@@ -168,15 +176,15 @@ def edges_of(lists: DataFrame) -> DataFrame:
     return zipped.select("id", F.col("e.nbrs").alias("nbr"), F.col("e.sims").alias("sim"), F.col("e.new").alias("new"))
 
 
-def improved(lists: DataFrame, halves: DataFrame) -> DataFrame:
+def improved(lists: DataFrame, units: DataFrame) -> DataFrame:
     """Edges that neighbours of neighbours offer: one local join at every node."""
     edges = edges_of(lists)
     reverse = edges_of(best_lists(edges.select(F.col("nbr").alias("id"), F.col("id").alias("nbr"), "sim", "new"), NEIGHBOURS))
     around = edges.unionByName(reverse).groupBy("id", "nbr").agg(F.max("new").alias("new"))
-    floor = F.when(F.size("sims") >= NEIGHBOURS, F.element_at("sims", -1)).otherwise(F.lit(-2.0)).cast("float")
-    members = halves.join(lists.select("id", floor.alias("floor")), "id").select(F.col("id").alias("nbr"), "half", "floor")
-    groups = (around.join(members, "nbr").groupBy("id").agg(F.collect_list(F.struct("nbr", "new", "floor", "half")).alias("m"))  # at most 2 K entries
-              .select("m.nbr", "m.new", "m.floor", "m.half"))
+    floor = F.when(F.size("sims") >= NEIGHBOURS, F.element_at("sims", -1)).otherwise(F.lit(-9.0)).cast("float")
+    members = units.join(lists.select("id", floor.alias("floor")), "id").select(F.col("id").alias("nbr"), "unit", "floor")
+    groups = (around.join(members, "nbr").groupBy("id").agg(F.collect_list(F.struct("nbr", "new", "floor", "unit")).alias("m"))  # at most 2 K entries
+              .select("m.nbr", "m.new", "m.floor", "m.unit"))
 
     def run(batches: Iterator[pa.RecordBatch]):
         for whole in batches:
@@ -196,10 +204,10 @@ def improved(lists: DataFrame, halves: DataFrame) -> DataFrame:
                     return out
 
                 ids, new, floor = (padded(flat[0].to_numpy(), -1), padded(flat[1].to_numpy(zero_copy_only=False), False), padded(flat[2].to_numpy(), 9.0))
-                half = _halves(flat[3].to_pylist(), len(r))
-                cube = np.zeros((rows, width, half.shape[1]), np.float32)
-                cube[r, c] = half
-                sim = cube @ cube.transpose(0, 2, 1)
+                unit = _units(flat[3].to_pylist(), len(r))
+                cube = np.zeros((rows, width, unit.shape[1]))
+                cube[r, c] = unit
+                sim = (cube @ cube.transpose(0, 2, 1) - 1).astype(np.float32)
                 good = (sim > floor[:, :, None]) & (new[:, :, None] | new[:, None, :]) & (ids[:, None, :] >= 0) & (ids[:, :, None] != ids[:, None, :])
                 x, y, z = np.nonzero(good)
                 yield _edge_batch(ids[x, y], ids[x, z], sim[x, y, z], True)
@@ -207,40 +215,40 @@ def improved(lists: DataFrame, halves: DataFrame) -> DataFrame:
     return groups.mapInArrow(run, _EDGE)
 
 
-def half_vectors(nodes: DataFrame) -> DataFrame:
-    """id and half: the unit vector in half precision."""
+def unit_vectors(nodes: DataFrame) -> DataFrame:
+    """id and unit: the unit vector in single precision."""
 
     def run(batches):
         for batch in batches:
-            yield {"half": [u.astype(np.float16).tobytes() for u in (_unit(batch["vec"]) if batch["vec"] else ())]}
+            yield {"unit": _singles(batch["vec"])}
 
-    return map_columns(nodes.select("id", "vec"), run, ["vec"], [("half", T.BinaryType())], keep=["id"])
+    return map_columns(nodes.select("id", "vec"), run, ["vec"], [("unit", T.BinaryType())], keep=["id"])
 
 
-def neighbour_graph(nodes: DataFrame, halves: DataFrame) -> DataFrame:
+def neighbour_graph(nodes: DataFrame, units: DataFrame) -> DataFrame:
     """id, nbrs and sims of every node, by rounds of NN-descent."""
     lists = checkpointed(best_lists(first_edges(nodes), NEIGHBOURS))
     for _ in range(ROUNDS):
         old = edges_of(lists).withColumn("new", F.lit(False))
-        lists = checkpointed(best_lists(old.unionByName(improved(lists, halves)), NEIGHBOURS))
+        lists = checkpointed(best_lists(old.unionByName(improved(lists, units)), NEIGHBOURS))
         size, fresh = lists.agg(F.sum(F.size("nbrs")), F.sum(F.size(F.filter("new", lambda x: x)))).first()
         if not size or fresh <= SETTLED * size:
             break
     return lists
 
 
-def search(halves: DataFrame, lists: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+def search(units: DataFrame, lists: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     """qid and id of the best nodes found for ``queries`` (qid: the node a query starts at).
 
     Beams hold ``BEAM`` nodes; a hop joins the neighbours of the ``EXPAND`` best
     unexpanded nodes of every beam."""
     graph = lists.select(F.col("id").alias("at"), "nbrs")
-    asked = queries.join(halves, queries["qid"] == halves["id"]).select("qid", F.col("half").alias("q_half"))
+    asked = queries.join(units, queries["qid"] == units["id"]).select("qid", F.col("unit").alias("q_unit"))
 
     def run(batches):
         for batch in batches:
-            n = len(batch["half"])
-            yield {"sim": (_halves(batch["q_half"], n) * _halves(batch["half"], n)).sum(1).tolist() if n else []}
+            n = len(batch["unit"])
+            yield {"sim": ((_units(batch["q_unit"], n) * _units(batch["unit"], n)).sum(1) - 1).tolist() if n else []}
 
     rank = F.row_number().over(Window.partitionBy("qid").orderBy(F.desc("sim"), "id"))
     beam = queries.select("qid", F.col("qid").alias("id"), F.lit(2.0).alias("sim"), F.lit(False).alias("done"))
@@ -248,8 +256,8 @@ def search(halves: DataFrame, lists: DataFrame, queries: DataFrame, k: int) -> D
         waiting = F.sum(F.when(~F.col("done"), 1).otherwise(0)).over(Window.partitionBy("qid").orderBy(F.desc("sim"), "id"))
         beam = checkpointed(beam.withColumn("now", ~F.col("done") & (waiting <= EXPAND)))
         step = beam.where("now").join(graph, F.col("id") == F.col("at")).select("qid", F.explode("nbrs").alias("id")).distinct()
-        fresh = step.join(beam.select("qid", "id"), ["qid", "id"], "left_anti").join(halves, "id").join(asked, "qid")
-        fresh = map_columns(fresh, run, ["q_half", "half"], [("sim", T.DoubleType())], keep=["qid", "id"]).withColumn("done", F.lit(False))
+        fresh = step.join(beam.select("qid", "id"), ["qid", "id"], "left_anti").join(units, "id").join(asked, "qid")
+        fresh = map_columns(fresh, run, ["q_unit", "unit"], [("sim", T.DoubleType())], keep=["qid", "id"]).withColumn("done", F.lit(False))
         beam = (beam.select("qid", "id", "sim", (F.col("done") | F.col("now")).alias("done")).unionByName(fresh)
                 .withColumn("rank", rank).where(F.col("rank") <= max(BEAM, k)).drop("rank"))
     return beam.select("qid", "id")
@@ -259,10 +267,10 @@ def nearest(table: DataFrame, is_query, k: int = 5, vec_id: str = "vec_id", embe
     """The k nearest found of every row that ``is_query`` (a condition on vec_id) holds for: query_id, rank, vec_id, score."""
     vecs = checkpointed(vectors(table, vec_id, embedding))
     nodes = checkpointed(nodes_of(vecs, k + 1))
-    halves = checkpointed(half_vectors(nodes))
-    lists = neighbour_graph(nodes, halves)
+    units = checkpointed(unit_vectors(nodes))
+    lists = neighbour_graph(nodes, units)
     asked = vecs.where(is_query).select(F.col("vec_id").alias("query_id"), "vec").distinct().join(nodes.select("vec", F.col("id").alias("qid")), "vec")
-    found = search(halves, lists, asked.select("qid").distinct(), k + 1)
+    found = search(units, lists, asked.select("qid").distinct(), k + 1)
     near = (asked.select("query_id", "qid", F.col("vec").alias("q_vec")).join(found.select("qid", "id"), "qid")
             .join(nodes.select("id", "vec", F.explode("members").alias("vec_id")), "id").where("vec_id != query_id"))
 

@@ -42,6 +42,27 @@ def test_recall_of_the_query(spark, sf):
     assert hits >= 0.9 * 5 * len(asked)
 
 
+def recall(spark, vectors):
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors)]
+    got = {}
+    for r in nn_descent.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), "vec_id % 50 = 0").collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    hits = 0
+    asked = range(0, len(unit), 50)
+    for q in asked:
+        far = ((unit - unit[q]) ** 2).sum(1)
+        far[q] = 9
+        hits += len(got[q] & set(np.argsort(far)[:5].tolist()))
+    return hits / (5 * len(asked))
+
+
+def test_recall_among_thousands_of_near_equal_vectors(spark):
+    rng = np.random.default_rng(12)
+    centre = rng.standard_normal(64)
+    assert recall(spark, centre + 0.003 * rng.standard_normal((3000, 64))) >= 0.9
+
+
 def test_copies_ties_and_odd_vectors(spark):
     rng = np.random.default_rng(0)
     rows = [(i, [1.0, 2.0, 3.0]) for i in range(0, 300)]  # copies
