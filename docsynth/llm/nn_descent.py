@@ -6,7 +6,8 @@ neighbours follow: every node's forward and (sampled) reverse neighbours are
 joined with their vectors and held against each other, what improves a member's
 list is sent to it, until few lists change. Queries walk the graph greedily: a
 beam of the best nodes so far is widened by the neighbours of its best
-unexpanded ones, hop by hop, as joins of all queries at once. Candidates are
+unexpanded ones, hop by hop, as joins of all queries at once, until no beam holds
+an unexpanded node. Candidates are
 ranked by the exact cosine of the original vectors in double precision.
 
 The graph uses unit vectors stored in single precision and brought back to
@@ -34,12 +35,12 @@ from pyspark.sql import types as T
 
 from .common import checkpointed, list_array, map_columns
 
-#: Neighbours of a node, rounds at most, and the share of changed entries that ends them.
-NEIGHBOURS, ROUNDS, SETTLED = 40, 5, 0.05
+#: Neighbours of a node, and the share of changed entries that ends the rounds.
+NEIGHBOURS, SETTLED = 40, 0.001
 #: Random orders at the start, hyperplanes of each, nodes of a block.
 ORDERS, PLANES, BLOCK = 4, 32, 64
-#: Beam of a query, nodes it expands a hop, hops.
-BEAM, EXPAND, HOPS = 64, 16, 2
+#: Beam of a query, nodes it expands a hop.
+BEAM, EXPAND = 64, 16
 SEED = 20240
 
 _EDGE = T.StructType([T.StructField("id", T.LongType()), T.StructField("nbr", T.LongType()), T.StructField("sim", T.FloatType()), T.StructField("new", T.BooleanType())])
@@ -180,7 +181,9 @@ def improved(lists: DataFrame, units: DataFrame) -> DataFrame:
     """Edges that neighbours of neighbours offer: one local join at every node."""
     edges = edges_of(lists)
     reverse = edges_of(best_lists(edges.select(F.col("nbr").alias("id"), F.col("id").alias("nbr"), "sim", "new"), NEIGHBOURS))
-    around = edges.unionByName(reverse).groupBy("id", "nbr").agg(F.max("new").alias("new"))
+    around = edges.unionByName(reverse).repartition("id").groupBy("id", "nbr").agg(F.max("new").alias("new"))
+    # a node without a new member has nothing to offer
+    around = around.withColumn("any", F.max("new").over(Window.partitionBy("id"))).where("any").drop("any")
     floor = F.when(F.size("sims") >= NEIGHBOURS, F.element_at("sims", -1)).otherwise(F.lit(-9.0)).cast("float")
     members = units.join(lists.select("id", floor.alias("floor")), "id").select(F.col("id").alias("nbr"), "unit", "floor")
     groups = (around.join(members, "nbr").groupBy("id").agg(F.collect_list(F.struct("nbr", "new", "floor", "unit")).alias("m"))  # at most 2 K entries
@@ -228,20 +231,19 @@ def unit_vectors(nodes: DataFrame) -> DataFrame:
 def neighbour_graph(nodes: DataFrame, units: DataFrame) -> DataFrame:
     """id, nbrs and sims of every node, by rounds of NN-descent."""
     lists = checkpointed(best_lists(first_edges(nodes), NEIGHBOURS))
-    for _ in range(ROUNDS):
+    while True:
         old = edges_of(lists).withColumn("new", F.lit(False))
         lists = checkpointed(best_lists(old.unionByName(improved(lists, units)), NEIGHBOURS))
         size, fresh = lists.agg(F.sum(F.size("nbrs")), F.sum(F.size(F.filter("new", lambda x: x)))).first()
         if not size or fresh <= SETTLED * size:
-            break
-    return lists
+            return lists
 
 
 def search(units: DataFrame, lists: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     """qid and id of the best nodes found for ``queries`` (qid: the node a query starts at).
 
     Beams hold ``BEAM`` nodes; a hop joins the neighbours of the ``EXPAND`` best
-    unexpanded nodes of every beam."""
+    unexpanded nodes of every beam that has any, and the last one finds none."""
     graph = lists.select(F.col("id").alias("at"), "nbrs")
     asked = queries.join(units, queries["qid"] == units["id"]).select("qid", F.col("unit").alias("q_unit"))
 
@@ -252,15 +254,16 @@ def search(units: DataFrame, lists: DataFrame, queries: DataFrame, k: int) -> Da
 
     rank = F.row_number().over(Window.partitionBy("qid").orderBy(F.desc("sim"), "id"))
     beam = queries.select("qid", F.col("qid").alias("id"), F.lit(2.0).alias("sim"), F.lit(False).alias("done"))
-    for _ in range(HOPS):
+    while True:
         waiting = F.sum(F.when(~F.col("done"), 1).otherwise(0)).over(Window.partitionBy("qid").orderBy(F.desc("sim"), "id"))
         beam = checkpointed(beam.withColumn("now", ~F.col("done") & (waiting <= EXPAND)))
+        if beam.where("now").isEmpty():
+            return beam.select("qid", "id")
         step = beam.where("now").join(graph, F.col("id") == F.col("at")).select("qid", F.explode("nbrs").alias("id")).distinct()
         fresh = step.join(beam.select("qid", "id"), ["qid", "id"], "left_anti").join(units, "id").join(asked, "qid")
         fresh = map_columns(fresh, run, ["q_unit", "unit"], [("sim", T.DoubleType())], keep=["qid", "id"]).withColumn("done", F.lit(False))
         beam = (beam.select("qid", "id", "sim", (F.col("done") | F.col("now")).alias("done")).unionByName(fresh)
                 .withColumn("rank", rank).where(F.col("rank") <= max(BEAM, k)).drop("rank"))
-    return beam.select("qid", "id")
 
 
 def nearest(table: DataFrame, is_query, k: int = 5, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:

@@ -63,6 +63,28 @@ def test_recall_among_thousands_of_near_equal_vectors(spark):
     assert recall(spark, centre + 0.003 * rng.standard_normal((3000, 64))) >= 0.9
 
 
+def test_rounds_and_hops_go_on_until_nothing_changes(spark, monkeypatch):
+    angle = lambda i: [float(np.cos(i / 10)), float(np.sin(i / 10))]
+    table = spark.createDataFrame([(i, angle(i)) for i in range(6)], "vec_id long, embedding array<double>")
+    nodes = nn_descent.checkpointed(nn_descent.nodes_of(nn_descent.vectors(table), 6).coalesce(1))
+    units = nn_descent.checkpointed(nn_descent.unit_vectors(nodes))
+    # the nearest nodes stand at the end of a path: 0, 5, 4, 3, 2, 1
+    path = spark.createDataFrame([(i, [i - 1 if i else 5]) for i in range(6)], "id long, nbrs array<long>")
+    found = nn_descent.search(units, path, spark.createDataFrame([(0,)], "qid long").coalesce(1), 6)
+    assert sorted(r.id for r in found.collect()) == list(range(6))
+
+    calls = []
+
+    def offers(lists, units):  # a better edge in each of six rounds
+        calls.append(1)
+        n = len(calls)
+        return spark.createDataFrame([(0, 100 + n, -0.001 / n, True)] if n <= 6 else [], nn_descent._EDGE)
+
+    monkeypatch.setattr(nn_descent, "improved", offers)
+    graph = nn_descent.neighbour_graph(nodes, units)
+    assert len(calls) == 7 and {100 + n for n in range(1, 7)} <= set(graph.where("id = 0").first().nbrs)
+
+
 def test_copies_ties_and_odd_vectors(spark):
     rng = np.random.default_rng(0)
     rows = [(i, [1.0, 2.0, 3.0]) for i in range(0, 300)]  # copies
