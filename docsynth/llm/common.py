@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -84,6 +85,20 @@ def map_columns(df: DataFrame, fn: Callable[[dict, int], Iterator[dict]], inputs
     return out.select(*[F.col(f"_k{i}").alias(c) for i, c in enumerate(keep)], *names)
 
 
+def slices(batch: pa.RecordBatch, column: int, limit: int) -> Iterator[pa.RecordBatch]:
+    """Consecutive whole rows of a batch, without copies: each piece holds at most
+    ``limit`` bytes of the text column (a row counting 64 more), or one row."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    start = held = 0
+    for i, size in enumerate(sizes.tolist()):
+        if i > start and held + size + 64 > limit:
+            yield batch.slice(start, i - start)
+            start, held = i, 0
+        held += size + 64
+    if start < len(sizes):
+        yield batch.slice(start)
+
+
 def list_array(values: np.ndarray, lengths: np.ndarray, kind: pa.DataType) -> pa.Array:
     """Arrow list column from flat values and per-row lengths."""
     offsets = np.zeros(len(lengths) + 1, np.int32)
