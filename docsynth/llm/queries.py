@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chain_dedup, collocations, fm_decontam, html_extract, license_scan, max_sketch, nn_descent, pii, setsketch, sp_codec, suffix_dedup, toxicity
+from . import chain_dedup, collocations, crf_langid, fm_decontam, html_extract, license_scan, max_sketch, nn_descent, pii, setsketch, sp_codec, suffix_dedup, toxicity
 from .common import table
 
 
@@ -57,6 +57,11 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_nearest_neighbours, op2_decontaminate, op3_suffix_dedup, op4_repeated_passages, op5_sentencepiece, op6_license_scan, op7_html_extraction, op8_toxicity, op9_pii, op10_near_duplicates, op11_ranked_search, op12_collocations)}
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return crf_langid.digest(crf_langid.predicted(docs.select("doc_id", "text"), crf_langid.train(docs)))
+
+
+QUERIES = {f.__name__: f for f in (op1_nearest_neighbours, op2_decontaminate, op3_suffix_dedup, op4_repeated_passages, op5_sentencepiece, op6_license_scan, op7_html_extraction, op8_toxicity, op9_pii, op10_near_duplicates, op11_ranked_search, op12_collocations, op13_language_id)}
 
 ORACLE_SQL: dict[str, str] = {"op11_ranked_search": max_sketch.ORACLE, "op12_collocations": collocations.ORACLE}
