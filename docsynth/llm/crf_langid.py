@@ -43,7 +43,7 @@ CHAIN = 128
 #: Rows of the weight table for hashed n-grams, the longest n-gram, and shares that part the lexicon's bins.
 NGRAMS, LONGEST = 1 << 16, 4
 SHARES = (0.0, 0.6, 0.9)
-ROUNDS, RATE, DECAY = 60, 0.25, 1e-5
+ROUNDS, RATE, DECAY = 40, 0.25, 1e-5
 SLICE_BYTES = 2 << 20
 
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -68,14 +68,29 @@ def ngrams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         at = np.flatnonzero(left[:len(h)] >= n)
         mixed = (h[at] ^ (h[at] >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
         owners.append(owner[at])
-        grams.append((mixed >> np.uint64(40)).astype(np.int64) % NGRAMS)
+        grams.append((mixed >> np.uint64(40)).astype(np.int64) & (NGRAMS - 1))
     return np.concatenate(owners), np.concatenate(grams)
 
 
-def forward_backward(emit: np.ndarray, lengths: np.ndarray, start: np.ndarray, trans: np.ndarray):
+class _Numbers(dict):
+    """Numbers the words that it is asked for, from 0."""
+
+    def __missing__(self, word):
+        self[word] = number = len(self)
+        return number
+
+
+def numbered(texts) -> tuple[list[str], np.ndarray]:
+    """(distinct words, number of each word of the texts in a row)."""
+    number = _Numbers()
+    ids = np.concatenate([np.fromiter(map(number.__getitem__, t), np.int64, len(t)) for t in texts])
+    return list(number), ids
+
+
+def forward_backward(emit: np.ndarray, lengths: np.ndarray, start: np.ndarray, trans: np.ndarray, with_pairs: bool = True):
     """Chains' marginals. ``emit``: steps x chains x labels of log potentials, chains by falling
     length; ``trans`` [from, to] and ``start`` are logs too. Returns (marginals of the words,
-    sum of the marginals of pairs of neighbours, log partition functions' sum)."""
+    sum of the marginals of pairs of neighbours if asked for, log partition functions' sum)."""
     steps, chains, labels = emit.shape
     top = emit.max(axis=2, keepdims=True)
     e, a, first = np.exp(emit - top), np.exp(trans), np.exp(start)
@@ -95,8 +110,9 @@ def forward_backward(emit: np.ndarray, lengths: np.ndarray, start: np.ndarray, t
             continue
         right = e[t + 1, :n] * beta[t + 1, :n]
         back = right @ a.T
-        both = alpha[t, :n, :, None] * a * right[:, None, :]
-        pairs += (both / both.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
+        if with_pairs:
+            both = alpha[t, :n, :, None] * a * right[:, None, :]
+            pairs += (both / both.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
         beta[t, :n] = back / back.sum(axis=1, keepdims=True)
     marginals = alpha * beta
     marginals /= np.maximum(marginals.sum(axis=2, keepdims=True), 1e-300)
@@ -138,13 +154,12 @@ class Model:
 
     def marginals(self, texts: list[list[str]]) -> np.ndarray:
         """Words (of all texts in a row) x languages."""
-        number: dict[str, int] = {}
-        ids = np.array([number.setdefault(w, len(number)) for t in texts for w in t], np.int64)
-        table = self.emissions(list(number))
+        distinct, ids = numbered(texts)
+        table = self.emissions(distinct)
         step, chain, lengths = laid_out(np.array([len(t) for t in texts]))
         emit = np.zeros((int(step.max()) + 1, len(lengths), len(self.languages)))
         emit[step, chain] = table[ids]
-        return forward_backward(emit, lengths, self.start, self.trans)[0][step, chain]
+        return forward_backward(emit, lengths, self.start, self.trans, False)[0][step, chain]
 
 
 def lexicon(samples: list[tuple[str, list[str]]], languages: list[str]) -> dict[str, int]:
@@ -190,10 +205,9 @@ def fitted(samples: list[tuple[str, list[str]]], rounds: int = ROUNDS) -> Model
             words, labels = [], []
     if words:
         chains.append((words, labels))
-    number: dict[str, int] = {}
-    ids = np.array([number.setdefault(w, len(number)) for words, _ in chains for w in words], np.int64)
+    distinct, ids = numbered([words for words, _ in chains])
     truth = np.array([k for _, labels in chains for k in labels])
-    owner, row = model.features(list(number))
+    owner, row = model.features(distinct)
     step, chain, lengths = laid_out(np.array([len(w) for w, _ in chains]))
     k, n = len(languages), len(ids)
     gold = np.zeros((n, k))
@@ -205,12 +219,12 @@ def fitted(samples: list[tuple[str, list[str]]], rounds: int = ROUNDS) -> Model
     np.add.at(gold_pairs, (truth[after - 1], truth[after]), 1.0)
     moments = [[np.zeros_like(x), np.zeros_like(x)] for x in (model.weights, model.start, model.trans)]
     for r in range(1, rounds + 1):
-        table = np.stack([np.bincount(owner, model.weights[row, j], len(number)) for j in range(k)], axis=1)
+        table = np.stack([np.bincount(owner, model.weights[row, j], len(distinct)) for j in range(k)], axis=1)
         emit = np.zeros((int(step.max()) + 1, len(lengths), k))
         emit[step, chain] = table[ids]
         marginals, pairs, _ = forward_backward(emit, lengths, model.start, model.trans)
         found = marginals[step, chain]
-        by_word = np.stack([np.bincount(ids, (gold - found)[:, j], len(number)) for j in range(k)], axis=1)
+        by_word = np.stack([np.bincount(ids, (gold - found)[:, j], len(distinct)) for j in range(k)], axis=1)
         slope = np.stack([np.bincount(row, by_word[owner, j], len(model.weights)) for j in range(k)], axis=1)
         slopes = (slope, gold_start - found[first].sum(axis=0), gold_pairs - pairs)
         # Adam
