@@ -1,26 +1,23 @@
 """Collocations by SON partitioning.
 
 Texts are cut into pieces and words; a phrase is two to five words running within a
-piece. A shard is the rows of a task, up to ``SHARD_BYTES`` of text. In the first pass
-each shard is mined completely, language by language, at the language's support lowered
-in proportion: a phrase that stands ``min_count`` times in all its language's text stands
-at least ``min_count`` x (shard's bytes / language's bytes) times in one shard at least.
-The locally frequent phrases are united as bits of a filter (of at most ``FILTER_BITS``;
-two phrases on one bit only make more candidates). In the second pass every shard counts
-the phrases that the filter lets through, by their words, and the counts are summed: these
-are exact, and phrases below ``min_count`` go.
-
-Both passes go level by level: a phrase is looked at only where the phrases without its
-last and without its first word were kept, for they stand wherever it does. A shard
-numbers its words and phrases, so its counts never rest on hashes.
-
-Shards are more the larger the corpus is. From ``min_count`` shards of a language on, the
-lowered support is one: the first pass keeps everything and the filter bounds what is
-sent. Results are the same at any size.
+piece. The table's partitions are dealt to ``SHARDS`` shards, whatever its size, and each
+shard is mined completely at a support lowered in proportion: a phrase that stands
+``min_count`` times stands ``min_count / SHARDS`` times in one of them at least, wherever
+its rows lie. A shard may be larger than any task: its tasks count phrases slice by slice
+(``SLICE_BYTES`` of text) and the counts of a shard are summed by its phrases' hashes (two
+phrases of one hash only make more candidates). The locally frequent phrases of all shards
+are united as bits of a filter of at most ``FILTER_BITS``. Mining goes length by length: a
+phrase is looked at only where the phrases without its last and without its first word are
+in the filter, for they stand wherever it does.
+
+Then all candidates are counted globally and exactly: every slice counts the phrases that
+the filter lets through, numbering words and phrases (nothing rests on hashes), the counts
+are summed by the phrases themselves, and phrases below ``min_count`` go.
 
 Rules for odd rows: null texts and null languages count as empty texts and ``und``; each
 row counts, repeated or not; doc_id and further columns are ignored; an empty table gives
-no rows. A text is never cut: a task holds a shard or one text. Ranks are unique: equal
+no rows. A text is never cut: a task holds a slice or one text. Ranks are unique: equal
 score and count go by the phrase's bytes.
 """
 
@@ -31,6 +28,7 @@ import math
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,12 +37,11 @@ from .common import checkpointed, slices
 MIN_COUNT, LONGEST, TOP = 100, 5, 2000
 #: A phrase goes if a longer one around it stands at least this share (in percent) of its times.
 ABSORBED = 100
-SHARD_BYTES = 32 << 20
+SHARDS = 8
+SLICE_BYTES = 32 << 20
 #: Most bits of the candidates' filter (2**30: 128 MB), and bytes of text for each bit below that.
-FILTER_BITS, BYTES_A_BIT = 30, 4
-#: Languages (those of most bytes) whose support is lowered; shards of others are mined at support one.
-LANGUAGES = 10_000
-#: Salts that spread a language's candidates over the join with its number of words.
+FILTER_BITS, BYTES_A_BIT = 30, 16
+#: Salts that spread a language's candidates.
 SALTS = 64
 
 #: Piece ends become line feeds, tabs blanks, A-Z lower case.
@@ -60,12 +57,14 @@ class _Numbers(dict):
         return number
 
 
-def _mixed(h: np.ndarray) -> np.ndarray:
+def _joined(phrase: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """Hash of a phrase followed by a word."""
+    h = phrase + np.uint64(0x9E3779B97F4A7C15) * word
     h = (h ^ (h >> np.uint64(31))) * np.uint64(0x9FB21C651E98DF25)
     return h ^ (h >> np.uint64(28))
 
 
-class Shard:
+class Slice:
     """The words of some texts of one language as numbers; 0 stands between pieces."""
 
     def __init__(self, lang: str, texts: list[str]):
@@ -80,109 +79,131 @@ class Shard:
         seed = xxhash.xxh64_intdigest(lang.encode("utf-8", "surrogatepass"))
         self.hashes = np.array([xxhash.xxh64_intdigest(w, seed) for w in self.words], np.uint64)
 
-    def levels(self, keep, longest: int):
-        """Per length: (phrase's number at its beginning, last word, hash, count) of the phrases
-        that ``keep(hashes, counts)`` lets through; numbers are places in the level before."""
+    def mined(self, length: int, kept) -> tuple[np.ndarray, np.ndarray]:
+        """(hash, count) of all phrases of this length whose parts shorter by one ``kept(hashes)`` lets through."""
+        if length == 1:
+            return self.hashes[1:], np.bincount(self.ids, minlength=len(self.words))[1:]
+        at = np.flatnonzero(self.ids)  # where phrases of the shorter length begin
+        of_word = self.hashes[self.ids]
+        hashes = of_word[at]
+        for n in range(2, length):
+            inside = at + n - 1 < len(self.ids)
+            at, hashes = at[inside], hashes[inside]
+            inside = self.ids[at + n - 1] != 0
+            at, hashes = at[inside], hashes[inside]
+            hashes = _joined(hashes, of_word[at + n - 1])
+        ok = kept(hashes)
+        at, hashes = at[ok], hashes[ok]
+        pair = np.flatnonzero(np.diff(at) == 1)  # kept here and one word on
+        return np.unique(_joined(hashes[pair], of_word[at[pair] + length - 1]), return_counts=True)
+
+    def levels(self, kept, longest: int):
+        """Per length: (phrase's number without its last word, last word, count) of the phrases
+        that ``kept(hashes)`` lets through; numbers are places in the length before."""
         ids, n_words = self.ids, len(self.words)
         counts = np.bincount(ids, minlength=n_words)
-        ok = keep(self.hashes, counts)
+        ok = kept(self.hashes)
         ok[0] = False
         place = np.cumsum(ok) - 1
         alive, phrase = ok[ids], place[ids]
         last = np.flatnonzero(ok)
-        hashes, counts = self.hashes[ok], counts[ok]
-        yield np.full(len(last), -1), last, hashes, counts
+        hashes = self.hashes[ok]
+        yield np.full(len(last), -1), last, counts[ok]
         for length in range(2, longest + 1):
             at = np.flatnonzero(alive[:-1] & alive[1:])
             if not len(at):
                 return
             key, inverse, counts = np.unique(phrase[at] * n_words + ids[at + length - 1], return_inverse=True, return_counts=True)
             head, last = key // n_words, key % n_words
-            hashes = _mixed(hashes[head] + np.uint64(0x9E3779B97F4A7C15) * self.hashes[last])
-            ok = keep(hashes, counts)
+            hashes = _joined(hashes[head], self.hashes[last])
+            ok = kept(hashes)
             place = np.cumsum(ok) - 1
             there = ok[inverse]
             # a phrase ends before the array does: the last ``length - 1`` words begin none
             alive, phrase = np.zeros(len(alive) - 1, bool), np.zeros(len(alive) - 1, np.int64)
             alive[at[there]] = True
             phrase[at[there]] = place[inverse[there]]
-            hashes, counts = hashes[ok], counts[ok]
-            yield head[ok], last[ok], hashes, counts
+            hashes = hashes[ok]
+            yield head[ok], last[ok], counts[ok]
 
 
-def _shards(batches, limit: int):
-    """(language, bytes, texts) of every shard; the shards of a task follow each other."""
+def _slices(batches, limit: int):
+    """(language, texts) of every slice of a task's rows."""
     texts, held = {}, 0
-
-    def flush():
-        for lang, (size, some) in texts.items():
-            yield lang, size, some
-
     for batch in batches:
         for piece in slices(batch, 1, max(1, limit // 8)):
+            held += 64 * piece.num_rows + piece.column(1).nbytes
             for lang, text in zip(piece.column(0).to_pylist(), piece.column(1).to_pylist()):
-                entry = texts.setdefault(lang, [0, []])
-                size = len(text.encode("utf-8", "surrogatepass"))
-                entry[0] += size
-                entry[1].append(text)
-                held += size + 64
+                texts.setdefault(lang, []).append(text)
             if held >= limit:
-                yield from flush()
+                yield from texts.items()
                 texts, held = {}, 0
-    yield from flush()
+    yield from texts.items()
+
 
+class Filter:
+    """Candidates as bits of their hashes, at most 2 ** ``FILTER_BITS`` of them."""
 
-def _local_support(size: int, total: int | None, min_count: int) -> int:
-    return 1 if total is None else max(1, -(-min_count * size // total))
+    def __init__(self, bits: int):
+        self.bits, self.table = bits, np.zeros((1 << bits) // 8, np.uint8)
 
+    def add(self, found: DataFrame):
+        """Set the bits of the hashes in column ``hash``."""
+        # a Spark bitmap holds 32,768 bits, lowest bit of a byte first; bucket 1 begins with number 1
+        number = F.shiftrightunsigned("hash", 64 - self.bits) + 1
+        found = found.select(F.bitmap_bucket_number(number).alias("bucket"), F.bitmap_bit_position(number).alias("bit"))
+        maps = found.repartition("bucket").groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("map"))
+        for r in maps.toLocalIterator():
+            self.table[(r.bucket - 1) * 4096:r.bucket * 4096] |= np.frombuffer(r["map"], np.uint8)
+
+    def shared(self, spark):
+        """A function for tasks that tells which hashes are in."""
+        sent, bits = spark.sparkContext.broadcast(self.table.tobytes()), self.bits
+
+        def kept(hashes):
+            table, bit = np.frombuffer(sent.value, np.uint8), hashes >> np.uint64(64 - bits)
+            return (table[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
-def candidate_filter(rows: DataFrame, min_count: int, longest: int, shard_bytes: int) -> tuple[int, bytes]:
-    """(bits, filter) of all phrases that are locally frequent in a shard."""
-    sizes = rows.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("size"))
-    largest = {r.lang: r["size"] for r in sizes.orderBy(F.desc("size"), "lang").limit(LANGUAGES).collect()}
-    total = sum(largest.values())
-    bits = min(FILTER_BITS, max(18, math.ceil(math.log2(total / BYTES_A_BIT + 1))))
+        return kept
 
-    def mine(batches):
-        for lang, size, texts in _shards(batches, shard_bytes):
-            support = _local_support(size, largest.get(lang), min_count)
-            found = [h for _, _, h, _ in Shard(lang, texts).levels(lambda h, n: n >= support, longest)]
-            found = np.unique(np.concatenate(found) >> np.uint64(64 - bits)).astype(np.int64)
-            for i in range(0, len(found), 1 << 20):
-                yield pa.RecordBatch.from_arrays([pa.array(found[i:i + (1 << 20)])], names=["bit"])
 
-    found = rows.mapInArrow(mine, "bit long")
-    # a Spark bitmap holds 32,768 bits, lowest bit of a byte first; bucket 1 begins with number 1
-    found = found.select(F.bitmap_bucket_number(F.col("bit") + 1).alias("bucket"), F.bitmap_bit_position(F.col("bit") + 1).alias("bit"))
-    maps = found.repartition("bucket").groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("map"))
-    table = np.zeros((1 << bits) // 8, np.uint8)
-    for r in maps.toLocalIterator():  # at most the filter's bits
-        table[(r.bucket - 1) * 4096:r.bucket * 4096] = np.frombuffer(r["map"], np.uint8)
-    return bits, table.tobytes()
+def candidates(rows: DataFrame, min_count: int, longest: int, shards: int, slice_bytes: int) -> Filter:
+    """A filter of all phrases that are locally frequent in a shard."""
+    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    found = Filter(min(FILTER_BITS, max(18, math.ceil(math.log2(total / BYTES_A_BIT + 1)))))
+    for length in range(1, longest + 1):
+        kept = found.shared(rows.sparkSession)
+
+        def mine(batches, length=length, kept=kept):
+            shard = TaskContext.get().partitionId() % shards
+            for lang, texts in _slices(batches, slice_bytes):
+                hashes, counts = Slice(lang, texts).mined(length, kept)
+                for i in range(0, len(hashes), 1 << 18):
+                    some = hashes[i:i + (1 << 18)].view(np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), shard, np.int32)), pa.array(some), pa.array(counts[i:i + (1 << 18)])],
+                                                     names=["shard", "hash", "n"])
+
+        # any shares of the support that add up to it will do, whatever the shards hold: equal ones
+        local = rows.mapInArrow(mine, "shard int, hash long, n long").groupBy("shard", "hash").agg(F.sum("n").alias("n"))
+        found.add(local.where(F.col("n") * shards >= min_count).select("hash"))
+    return found
 
 
 def frequent_phrases(docs: DataFrame, min_count: int = MIN_COUNT, longest: int = LONGEST,
-                     shard_bytes: int = SHARD_BYTES) -> DataFrame:
+                     shards: int = SHARDS, slice_bytes: int = SLICE_BYTES) -> DataFrame:
     """Exact counts: lang, words (1 to ``longest``), phrase, f of every phrase that stands
     ``min_count`` times, and one row per lang with words 0, whose f is its number of words."""
     rows = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
-    bits, bitmap = candidate_filter(rows, min_count, longest, shard_bytes)
-    shared = rows.sparkSession.sparkContext.broadcast(bitmap)  # at most 2 ** FILTER_BITS bits
+    kept = candidates(rows, min_count, longest, shards, slice_bytes).shared(rows.sparkSession)
     schema = "lang string, words int, phrase string, f long"
 
     def count(batches):
-        table = np.frombuffer(shared.value, np.uint8)
-
-        def kept(h, _):
-            bit = h >> np.uint64(64 - bits)
-            return (table[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
-
-        for lang, _, texts in _shards(batches, shard_bytes):
-            shard = Shard(lang, texts)
-            yield _rows(lang, 0, [""], [shard.n_words])
+        for lang, texts in _slices(batches, slice_bytes):
+            held = Slice(lang, texts)
+            yield _rows(lang, 0, [""], [held.n_words])
             before = []
-            for length, (head, last, _, counts) in enumerate(shard.levels(kept, longest), 1):
-                word = shard.words
+            for length, (head, last, counts) in enumerate(held.levels(kept, longest), 1):
+                word = held.words
                 if length == 1:
                     before = [word[i] for i in last.tolist()]
                 else:
@@ -201,9 +222,9 @@ def _rows(lang, length, phrases, counts) -> pa.RecordBatch:
 
 
 def collocations(docs: DataFrame, min_count: int = MIN_COUNT, longest: int = LONGEST, top: int = TOP,
-                 absorbed: int = ABSORBED, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+                 absorbed: int = ABSORBED, shards: int = SHARDS, slice_bytes: int = SLICE_BYTES) -> DataFrame:
     """The ``top`` phrases of each language: lang, rank, phrase, a, l, r, n, score."""
-    frequent = checkpointed(frequent_phrases(docs, min_count, longest, shard_bytes))
+    frequent = checkpointed(frequent_phrases(docs, min_count, longest, shards, slice_bytes))
     counts = frequent.where("words > 0").select("lang", "phrase", "f")
     phrases = frequent.where("words > 1").select("lang", "phrase", "words", F.col("f").alias("a"))
 
@@ -224,8 +245,11 @@ def collocations(docs: DataFrame, min_count: int = MIN_COUNT, longest: int = LON
     exact = "CAST(1000 AS DECIMAL(4,0)) * CAST(a AS DECIMAL(15,0)) * CAST(n AS DECIMAL(15,0)) div (CAST(l AS DECIMAL(15,0)) * CAST(r AS DECIMAL(15,0)))"
     cuts = cuts.withColumn("score", F.expr(exact).cast("long"))
     lowest = cuts.groupBy("lang", "phrase", "a", "n").agg(F.min(F.struct("score", "k", "l", "r")).alias("cut"))
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    best = lowest.select("lang", "phrase", "a", "cut.l", "cut.r", "n", "cut.score").withColumn("rank", F.row_number().over(order).cast("long"))
+    best = lowest.select("lang", "phrase", "a", "cut.l", "cut.r", "n", "cut.score", salt)
+    order = [F.desc("score"), F.desc("a"), "phrase"]
+    # the first of a language are among the first of its salts, which no task holds all of
+    best = best.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "_salt").orderBy(*order))).where(F.col("rank") <= top)
+    best = best.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long"))
     return best.where(F.col("rank") <= top).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
 
 
