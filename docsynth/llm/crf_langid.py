@@ -38,7 +38,7 @@ from pyspark.sql import types as T
 from .common import slices
 
 FOLDS, HELD_OUT = 3, 1
-SAMPLE_DOCS, WINDOW = 1200, 256
+SAMPLE_DOCS, WINDOW = 1000, 256
 CHAIN = 128
 #: Rows of the weight table for hashed n-grams, the longest n-gram, and shares that part the lexicon's bins.
 NGRAMS, LONGEST = 1 << 16, 4
