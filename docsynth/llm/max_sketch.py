@@ -129,10 +129,9 @@ class Sketches:
         self.offset = offset
 
     def bounds(self, queries: "Queries"):
-        """Per some documents: (their numbers, documents x items upper bounds)."""
+        """Per some documents: (their numbers, documents x items upper bounds; 0 without terms)."""
         step = max(1, LOOKUPS // max(1, len(queries.term)))
         for width, docs in self.groups:
-            docs = docs[self.length[docs] > 0]
             for i in range(0, len(docs), step):
                 some = docs[i:i + step]
                 first = int(self.offset[some[0]])
