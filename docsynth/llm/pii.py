@@ -101,7 +101,7 @@ def spans_of(text: str | None, auto: ahocorasick.Automaton) -> list[tuple[str, i
                 keep("card", at, m.end(), 16 <= len(digits) <= 19 and luhn(digits))
             if at >= done["ip"]:
                 if m := _IP.match(text, at):
-                    keep("ip", at, m.end(), all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split(".")))
+                    keep("ip", at, m.end(), all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or "0") <= 255 for p in m[0].split(".")))
                 else:  # no other digit of this run can start one
                     done["ip"] = _DIGITS.match(text, at).end()
         elif sign == "@":

@@ -229,6 +229,15 @@ def test_base_spans_equal_the_patterns_on_random_texts():
         assert [s for s in pii.spans_of(text, auto) if s[0] in pii.BASE_KINDS] == base_spans(text), text
 
 
+def test_address_parts_with_thousands_of_zeros():
+    zeros = "0" * 10_000
+    for part in range(4):
+        for last, kept in ((zeros, True), (zeros + "1", True), (zeros + "256", False)):
+            text = ".".join(last if i == part else "1" for i in range(4))
+            found = [s for s in pii.spans_of(text, pii.anchors()) if s[0] == "ip"]
+            assert found == ([("ip", 0, len(text))] if kept else [])
+
+
 def test_pii_query_equals_the_patterns(spark, sf, texts):
     for r in queries.op9_pii(spark, sf).collect():
         spans = base_spans(texts[r.doc_id])
