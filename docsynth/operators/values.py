@@ -56,12 +56,18 @@ def generate_values(documents: DataFrame, fields: DataFrame, seed: int, first_na
     Output: doc_id, template_id, pos, field_name, kind, value, error. The
     field table is the template dimension: it is broadcast after a size check,
     so the document side streams without a shuffle. A field breaking a rule
-    gets ``value`` null and the rule in ``error`` instead of ending the job.
+    gets ``value`` null and the rule in ``error`` instead of ending the job; a
+    document whose template is not in ``fields`` gets one row at ``pos`` -1 with
+    the error ``unknown_template`` (a template without text fields gives no rows).
     """
     tf = text_fields(fields)
     n_fields = fields.count()  # upper bound of the text-field rows
-    spec = checked_broadcast(tf, n_fields, max_broadcast_fields)
-    rows = documents.select("doc_id", "template_id").join(spec, "template_id")
+    known = fields.select("template_id").distinct().join(tf, "template_id", "left").withColumn("_ds_known", F.lit(True))
+    spec = checked_broadcast(known, n_fields, max_broadcast_fields)
+    rows = documents.select("doc_id", "template_id").join(spec, "template_id", "left")
+    rows = rows.filter(F.col("kind").isNotNull() | F.col("_ds_known").isNull())
+    rows = rows.withColumn("pos", F.coalesce("pos", F.lit(-1)))
+    rows = rows.withColumn("error", F.when(F.col("_ds_known").isNull(), F.lit("unknown_template")).otherwise(F.col("error")))
     key = [F.col("doc_id"), F.col("pos")]
     rows = gen_name(rows, ["doc_id", "pos"], seed, first_names, last_names, indian_names,
                     only_where=(F.col("kind") == "name") & F.col("error").isNull(), out_col="_ds_name",

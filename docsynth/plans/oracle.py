@@ -335,6 +335,40 @@ SELECT {tid}, 1, 'checkbox', -1, 0, 10, 10, 'chk_' || CAST(p_partkey AS VARCHAR)
   p_size * 20, p_size * 25 FROM part"""
 
 
+def nested_annotations() -> str:
+    return """WITH p AS (SELECT 'part_' || CAST(p_partkey AS VARCHAR) AS template_id, p_partkey, p_brand, p_type, p_size, p_size % 3 <> 0 AS nested FROM part),
+o AS (
+  SELECT template_id, 0 AS pos, 'textbox' AS type, p_size AS xmin, 10 AS ymin, p_size + 100 AS xmax, 30 AS ymax,
+    CASE WHEN nested AND p_size % 2 = 0 THEN 'in & <' || CAST(p_partkey AS VARCHAR) ELSE p_brand END AS field_name,
+    CAST(p_size AS VARCHAR) AS max_length, CASE WHEN nested THEN 'True' END AS is_alphanum FROM p
+  UNION ALL SELECT template_id, 1, 'checkbox', 1, 2, 3, 4, 'in & <' || CAST(p_partkey AS VARCHAR), NULL, 'True' FROM p WHERE nested
+  UNION ALL SELECT template_id, CASE WHEN nested THEN 2 ELSE 1 END, 'textbox', 5, 6, 7, 8, p_type || ' ü', NULL, NULL FROM p)
+SELECT template_id, CAST(pos AS INTEGER) AS pos, type, CAST(xmin AS INTEGER) AS xmin, CAST(ymin AS INTEGER) AS ymin, CAST(xmax AS INTEGER) AS xmax,
+  CAST(ymax AS INTEGER) AS ymax, field_name, max_length, is_alphanum FROM o"""
+
+
+def xml_records() -> str:
+    joins, name, _ = _name_sql("r", ("doc_id", "pos"), "name_type", "name_gender", "name_indian", "name_suffix", "TRUE")
+    return f"""WITH {_name_dict_ctes()},
+good AS (SELECT 'cust_' || CAST(c_custkey AS VARCHAR) AS template_id, c_nationkey FROM customer
+  WHERE c_acctbal >= 0 AND c_nationkey NOT IN (3, 5, 7, 9, 13, 17) AND c_mktsegment NOT IN ('BUILDING', 'FURNITURE')),
+docs AS (SELECT template_id || '_' || CAST(i AS VARCHAR) AS doc_id, template_id, c_nationkey FROM good, (SELECT unnest(range(0, 2)) AS i)),
+rows AS (SELECT *, 1 AS pos, 'full' AS name_type, NULL AS name_indian, NULL AS name_suffix, {S.gender("NULL", SEED, 'doc_id', '1')} AS g FROM docs),
+v AS (SELECT r.doc_id, r.template_id, r.c_nationkey, {S.alphanum_literal('nnnn', SEED, 'r.doc_id', '0')} AS acct, {name} AS holder FROM rows r {joins})
+SELECT doc_id, template_id, CAST(CASE WHEN c_nationkey = 11 THEN 1 ELSE 2 END AS INTEGER) AS n_fields,
+  CASE WHEN c_nationkey = 11 THEN 'acct=' || holder ELSE 'acct=' || acct || ';holder=' || holder END AS record_kv FROM v"""
+
+
+def document_records() -> str:
+    ctes = _records_cte().replace(_docs_cte(), """alldocs AS (SELECT 'cust_' || CAST(c_custkey AS VARCHAR) AS doc_id, c_nationkey,
+    CASE WHEN c_mktsegment IN ('HOUSEHOLD', 'MACHINERY') THEN 'invoice' ELSE 'w2' END AS form FROM customer),
+docs AS (SELECT doc_id, CASE c_nationkey WHEN 4 THEN 'blank' WHEN 6 THEN 'lost_' || form ELSE form END AS template_id FROM alldocs)""")
+    return f"""WITH {ctes},
+rec AS (SELECT doc_id, COUNT(*) AS n, string_agg(field_name || '=' || value, ';' ORDER BY first_pos) AS kv FROM win GROUP BY doc_id)
+SELECT d.doc_id, d.template_id, CAST(coalesce(n, 0) AS INTEGER) AS n_fields, coalesce(kv, '') AS record_kv,
+  CASE WHEN d.template_id LIKE 'lost\\_%' ESCAPE '\\' THEN 'unknown_template' END AS error FROM docs d LEFT JOIN rec USING (doc_id)"""
+
+
 def validate_templates() -> str:
     tid = "'cust_' || CAST(c_custkey AS VARCHAR)"
     ok = "c_nationkey <> 7"
@@ -608,6 +642,9 @@ ORACLES = {
     "assemble_records": assemble_records,
     "record_json": record_json,
     "parse_annotations": parse_annotations,
+    "nested_annotations": nested_annotations,
+    "xml_records": xml_records,
+    "document_records": document_records,
     "validate_templates": validate_templates,
     "expand_documents": expand_documents,
     "manifest": manifest,

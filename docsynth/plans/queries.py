@@ -28,7 +28,9 @@ from ..operators.layout import layout_glyphs, layout_words, widgets
 from ..operators.words import combine_boxes, glyphs_from_text, words_from_glyphs
 from ..functions.geometry import DEFAULT_RENDER_FACTOR
 from ..functions.strftime import to_spark_pattern
-from .fixtures import (SEED, TEMPLATE_SIZES, customer_documents, first_names_any, font_metrics,
+from ..session import ensure_checkpoint_dir
+from .dataset import WARNING_RULES
+from .fixtures import (FIELD_SCHEMA, SEED, TEMPLATE_SIZES, customer_documents, first_names_any, font_metrics, literal_frame,
                        name_dictionaries, read, template_fields, template_sizes)
 
 # Fixed values used by the queries (masks and formats exercised per row).
@@ -334,6 +336,72 @@ def customer_annotation_xml(spark, sf_dir) -> DataFrame:
                     xml.alias("xml"))
 
 
+def nested_annotation_xml(spark, sf_dir) -> DataFrame:
+    """One annotation per part with objects at several depths: a text box in a
+    group (p_size not divisible by 3: with a check box inside it, before or after
+    its own attributes), and a text box at the root, its name as CDATA."""
+    p = spread(read(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type", "p_size"), "p_partkey")
+    s = F.col("p_size")
+    inner = _tag("object", F.concat(
+        _tag("bndbox", F.lit("<xmin>1.5</xmin><ymin>2</ymin><xmax>3</xmax><ymax>4</ymax>")), _tag("name", F.lit("checkbox")),
+        _attr("1_field_name", F.concat(F.lit("in & <"), F.col("p_partkey").cast("string"))), _attr("3_is_alphanum", F.lit("True"))))
+    inner = F.when(s % 3 == 0, F.lit("<!-- <object> -->")).otherwise(inner)
+    own = _tag("attributes", F.concat(_attr("1_field_name", F.col("p_brand")), _attr("2_max_length", s.cast("string"))))
+    outer = _tag("object", F.concat(
+        _tag("name", F.lit("textbox")), F.when(s % 2 == 0, F.concat(own, inner)).otherwise(F.concat(inner, own)),
+        _box(s.cast("string"), F.lit("10"), (s + 100).cast("string"), F.lit("30.7"))))
+    last = F.concat(F.lit("<object kind='a>b'><name><![CDATA[text]]>box</name>"), _box(F.lit("5"), F.lit("6"), F.lit("7"), F.lit("8")),
+                    _tag("extra", _tag("deep", _attr("1_field_name", F.concat(F.col("p_type"), F.lit(" ü"))))), F.lit("<attribute/></object>"))
+    xml = F.concat(F.lit('<?xml version="1.0"?>\n'), _tag("annotation", F.concat(
+        F.lit("<size><width>100</width><height>200</height></size>\n<!-- note -->"), _tag("group", _tag("page", outer)), last)))
+    return p.select(F.concat(F.lit("part_"), F.col("p_partkey").cast("string")).alias("template_id"), xml.alias("xml"))
+
+
+def q_nested_annotations(spark, sf_dir):
+    return typed_fields(parse_annotations(nested_annotation_xml(spark, sf_dir))).select(
+        "template_id", "pos", "type", "xmin", "ymin", "xmax", "ymax", "field_name", "max_length", "is_alphanum")
+
+
+XML_DOCS = 2
+
+
+def _accepted(parsed: DataFrame) -> DataFrame:
+    """Templates that break no rule that stops a document from being filled."""
+    blocking = validate_templates(parsed).filter(~F.col("rule").isin(*WARNING_RULES)).select("template_id").distinct()
+    return parsed.join(blocking, "template_id", "left_anti")
+
+
+def q_xml_records(spark, sf_dir):
+    """From annotation XML to records: parse, validate, reject, expand, fill, assemble."""
+    ensure_checkpoint_dir(spark)
+    good = _accepted(parse_annotations(customer_annotation_xml(spark, sf_dir))).drop("xml").checkpoint()  # read by every later step
+    docs = expand_documents(templates(good).select("template_id"), XML_DOCS)
+    first, last, indian = name_dictionaries(spark, sf_dir)
+    values = generate_values(docs, typed_fields(good).drop("attributes", "bndbox"), SEED, first, last, indian)
+    rec = assemble_records(values, documents=docs)
+    return rec.select("doc_id", "template_id", F.size("textbox").cast("int").alias("n_fields"), record_kv(F.col("textbox")).alias("record_kv"))
+
+
+# A template without text fields.
+BLANK_FIELD = ("blank", 0, "checkbox", 10, 10, 20, 20, "tick", "1", "False", "False", "False", None, None, "n/a", "False", None, "False", None)
+
+
+def q_document_records(spark, sf_dir):
+    """One record per document, of known templates, of one without text fields
+    (an empty record) and of unknown ones (an empty record and the error)."""
+    c = read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    form = F.when(F.col("c_mktsegment").isin("HOUSEHOLD", "MACHINERY"), F.lit("invoice")).otherwise(F.lit("w2"))
+    template = F.when(F.col("c_nationkey") == 4, F.lit("blank")).when(F.col("c_nationkey") == 6, F.concat(F.lit("lost_"), form)).otherwise(form)
+    docs = spread(c, "c_custkey").select(F.concat(F.lit("cust_"), F.col("c_custkey").cast("string")).alias("doc_id"), template.alias("template_id"))
+    first, last, indian = name_dictionaries(spark, sf_dir)
+    fields = template_fields(spark).unionByName(literal_frame(spark, [BLANK_FIELD], FIELD_SCHEMA))
+    values, rejected = split_errors(generate_values(docs, fields, SEED, first, last, indian))
+    rec = assemble_records(values, documents=docs)
+    lost = rejected.filter(F.col("error") == "unknown_template").select("doc_id", "error")
+    return rec.join(lost, "doc_id", "left").select("doc_id", "template_id", F.size("textbox").cast("int").alias("n_fields"),
+                                                   record_kv(F.col("textbox")).alias("record_kv"), "error")
+
+
 def q_validate_templates(spark, sf_dir):
     return validate_templates(parse_annotations(customer_annotation_xml(spark, sf_dir)))
 
@@ -490,6 +558,9 @@ QUERIES = {
     "assemble_records": q_assemble_records,
     "record_json": q_record_json,
     "parse_annotations": q_parse_annotations,
+    "nested_annotations": q_nested_annotations,
+    "xml_records": q_xml_records,
+    "document_records": q_document_records,
     "validate_templates": q_validate_templates,
     "expand_documents": q_expand_documents,
     "manifest": q_manifest,

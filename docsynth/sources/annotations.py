@@ -1,16 +1,17 @@
 """Pascal-VOC-like annotation XML as tables.
 
-``read_annotations`` scans files with Spark's XML source (one row per
-``<annotation>``, file path from ``_metadata``); ``parse_annotations`` parses a
-string column with ``from_xml``. ``templates`` and ``typed_fields`` project the
-parsed struct into the two relations the operators use.
+``read_annotations`` reads whole files (one row each, path from ``_metadata``);
+``parse_annotations`` parses a string column: ``from_xml`` judges the text and gives
+the size, ``xml_tree.objects`` the objects at any depth with all attributes inside
+them. ``templates`` and ``typed_fields`` project the parsed struct into the two
+relations the operators use.
 
 Reference parsing rules kept: ``<value></value>`` is None (Spark gives '', so
 ``nullif``), surrounding spaces are kept, only the exact texts True/False are
 booleans (kept as text here; see ``truthy``), a later attribute with the same
 name wins, box coordinates are ``int(float(text))`` (truncation), sizes are
-``int(text)`` (so '800.0' is invalid). Attributes are accepted both under
-``object/attributes/attribute`` and directly as ``object/attribute``.
+``int(text)`` (so '800.0' is invalid). Objects count wherever they stand below the
+root, in document order; an object holds every ``attribute`` element inside it.
 """
 
 from __future__ import annotations
@@ -18,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .xml_tree import objects
+
 _ATTR = "array<struct<name:string,value:string>>"
 ANNOTATION_SCHEMA = (
     "size struct<width:string,height:string>, "
@@ -38,20 +41,27 @@ ATTRIBUTE_KEYS = {
 
 def parse_annotations(df: DataFrame, xml_col: str = "xml", out_col: str = "annotation") -> DataFrame:
     """Parse an XML string column into the annotation struct (null leaves on
-    broken XML, with the raw text in ``annotation._corrupt_record``)."""
-    return df.withColumn(out_col, F.from_xml(F.col(xml_col), ANNOTATION_SCHEMA, XML_OPTIONS))
+    broken XML, with the raw text in ``annotation._corrupt_record``).
+
+    Equal texts are walked once: objects are found per distinct text (by its
+    128-bit hash) and joined back, so rows may repeat and need no key."""
+    key = F.md5(F.col(xml_col).cast("binary"))
+    found = objects(df.select(key.alias("_ds_key"), F.col(xml_col).alias("_ds_xml")).dropDuplicates(["_ds_key"]), "_ds_key", "_ds_xml")
+    parsed = df.withColumn(out_col, F.from_xml(F.col(xml_col), ANNOTATION_SCHEMA, XML_OPTIONS)).withColumn("_ds_key", key)
+    joined = parsed.join(found.withColumnRenamed("objects", "_ds_objects"), "_ds_key", "left")
+    whole = F.col(out_col)["_corrupt_record"].isNull()
+    filled = F.col(out_col).withField("object", F.when(whole, F.col("_ds_objects")))
+    return joined.select(*[filled.alias(c) if c == out_col else F.col(f"`{c}`") for c in parsed.columns if c != "_ds_key"])
 
 
 def read_annotations(spark: SparkSession, path: str) -> DataFrame:
-    """Scan ``path`` (a folder or glob of .xml files): one row per annotation
-    with ``annotation_path`` and the struct in ``annotation``."""
-    raw = (spark.read.format("xml").option("rowTag", "annotation").options(**XML_OPTIONS)
-           .schema(ANNOTATION_SCHEMA).load(path))
-    cols = [c for c in raw.columns]
+    """Scan ``path`` (a folder or glob of .xml files): one row per file with
+    ``annotation_path`` and the struct in ``annotation``."""
+    raw = spark.read.text(path, wholetext=True)
     # the metadata path is URI-escaped; files pair in the order of plain paths
     plain = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-    return raw.select(plain.alias("annotation_path"),
-                      F.struct(*[F.col(c) for c in cols]).alias("annotation"))
+    parsed = parse_annotations(raw.select(plain.alias("annotation_path"), F.col("value").alias("_ds_text")), "_ds_text")
+    return parsed.select("annotation_path", "annotation")
 
 
 def list_images(spark: SparkSession, path: str) -> DataFrame:
