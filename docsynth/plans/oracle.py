@@ -404,8 +404,8 @@ def expand_documents() -> str:
 
 
 def expand_hot_template() -> str:
-    return """WITH t AS (SELECT 'w2' AS template_id, (SELECT COUNT(*) FROM lineitem) AS n
-  UNION ALL SELECT 'invoice', (SELECT COUNT(*) FROM orders))
+    return """WITH t AS (SELECT 'part_' || CAST(p_partkey AS VARCHAR) AS template_id,
+    CASE WHEN p_partkey % 997 = 1 THEN p_size * 1000 ELSE p_size % 2 END AS n FROM part)
 SELECT t.template_id || '_' || CAST(r.i AS VARCHAR) AS doc_id, t.template_id, r.i AS doc_index
 FROM t, LATERAL (SELECT range AS i FROM range(t.n)) r"""
 

@@ -422,22 +422,18 @@ def q_expand_documents(spark, sf_dir):
 
 
 def q_expand_hot_template(spark, sf_dir):
-    """Skewed expansion: the W-2 template gets one document per lineitem row and
-    the invoice template one per order, so one template holds most documents;
-    its index chunks are spread over tasks."""
-    n_li = read(spark, sf_dir, "lineitem").select("l_orderkey").count()
-    n_or = read(spark, sf_dir, "orders").select("o_orderkey").count()
-    t = template_sizes(spark).select("template_id", F.when(F.col("template_id") == "w2", F.lit(n_li))
-                                     .otherwise(F.lit(n_or)).alias("n_docs"))
-    d = expand_documents(t, "n_docs", docs_per_chunk=50_000)
-    return d.select("doc_id", "template_id", "doc_index")
+    """Skewed expansion: a few parts hold nearly all documents, of the others
+    half have one and half none; the tasks hold equal shares."""
+    hot = F.when(F.col("p_partkey") % 997 == 1, F.col("p_size") * 1000).otherwise(F.col("p_size") % 2)
+    t = read(spark, sf_dir, "part").select(F.concat(F.lit("part_"), F.col("p_partkey").cast("string")).alias("template_id"), hot.alias("n_docs"))
+    return expand_documents(t, "n_docs").select("doc_id", "template_id", "doc_index")
 
 
 def q_expand_parts(spark, sf_dir):
     """Expansion of template rows with their own counts: p_size documents per part."""
     t = read(spark, sf_dir, "part").select(F.concat(F.lit("part_"), F.col("p_partkey").cast("string")).alias("template_id"),
                                            "p_size")
-    return expand_documents(t, "p_size", docs_per_chunk=1000).select("doc_id", "template_id", "doc_index")
+    return expand_documents(t, "p_size", docs_per_chunk=10_000).select("doc_id", "template_id", "doc_index")
 
 
 def q_manifest(spark, sf_dir):

@@ -209,13 +209,30 @@ def test_line_offsets_equal_a_running_sum_at_any_block_size(spark, monkeypatch):
         assert {tuple(r) for r in W.line_offsets(per_line).collect()} == want
 
 
-def test_expansion_spreads_chunks_and_never_shuffles_documents(spark):
-    t = spark.createDataFrame([(f"t{i}",) for i in range(40)], "template_id string")
-    d = expand_documents(t, 2500, docs_per_chunk=2500)
-    plan = d._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange") == 1 and plan.index("Generate") < plan.index("Exchange")  # documents above the exchange
-    sizes = [r["count"] for r in d.groupBy(F.spark_partition_id().alias("p")).count().collect()]
-    assert sum(sizes) == 100_000 and len(sizes) >= 20 and max(sizes) <= 10_000
+def partition_sizes(df):
+    return [r["count"] for r in df.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+
+
+def test_expansion_balances_documents_and_never_shuffles_them(spark):
+    # one template of 400,000 documents and 20,000 of one
+    t = spark.range(20_001).select(F.concat(F.lit("t"), F.col("id").cast("string")).alias("template_id"),
+                                   F.when(F.col("id") == 7, 400_000).otherwise(1).alias("n"))
+    for options, chunk in (({"docs_per_chunk": 20_000}, 20_000), ({}, -(-420_000 // int(spark.conf.get("spark.sql.shuffle.partitions"))))):
+        d = expand_documents(t, "n", **options)
+        plan = d._jdf.queryExecution().executedPlan().toString()
+        assert plan.index("Generate") < plan.index("Exchange")  # documents above every exchange
+        sizes = partition_sizes(d)
+        assert sum(sizes) == 420_000 and max(sizes) <= chunk and len(sizes) == -(-420_000 // chunk)
+        assert d.select("doc_id").distinct().count() == 420_000
+        assert d.filter("template_id = 't7'").agg(F.min("doc_index"), F.max("doc_index"), F.count_distinct("doc_index")).first() == (0, 399_999, 400_000)
+
+
+def test_expansion_of_repeated_null_and_negative_rows(spark):
+    t = spark.createDataFrame([("a", 3, {"k": 1}), ("a", 3, {"k": 1}), ("a", 2, None), ("b", None, None), ("c", -5, None), ("d", 0, None)],
+                              "template_id string, n int, m map<string,int>")
+    got = sorted((r.template_id, r.doc_index) for r in expand_documents(t, "n").collect())
+    assert got == sorted([("a", i) for i in range(3)] * 2 + [("a", i) for i in range(2)])
+    assert expand_documents(t.limit(0), "n", docs_per_chunk=5).count() == 0
 
 
 def test_records_keep_documents_without_values_and_skip_nameless_fields(spark):
