@@ -73,6 +73,40 @@ def strftime_error(fmt: Column) -> Column:
     return F.exists(_tokens(fmt), lambda t: t.startswith("%") & ~F.array_contains(allowed, t))
 
 
+# What Python's strptime reads for a directive (names in English, any case).
+_MONTHS = ["january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december"]
+_DAYS = ["monday", "tuesday", "wednesday", "thursday", "friday", "saturday", "sunday"]
+PARSED = {
+    "d": r"(?:3[0-1]|[1-2]\d|0[1-9]|[1-9]| [1-9])", "m": r"(?:1[0-2]|0[1-9]|[1-9])", "Y": r"\d\d\d\d", "y": r"\d\d",
+    "H": r"(?:2[0-3]|[0-1]\d|\d)", "I": r"(?:1[0-2]|0[1-9]|[1-9]| [1-9])", "M": r"(?:[0-5]\d|\d)", "S": r"(?:6[0-1]|[0-5]\d|\d)",
+    "j": r"(?:36[0-6]|3[0-5]\d|[1-2]\d\d|0[1-9]\d|00[1-9]|[1-9]\d|0[1-9]|[1-9])", "p": "(?:am|pm)",
+    "B": f"(?:{'|'.join(_MONTHS)})", "b": f"(?:{'|'.join(m[:3] for m in _MONTHS)})",
+    "A": f"(?:{'|'.join(_DAYS)})", "a": f"(?:{'|'.join(d[:3] for d in _DAYS)})",
+}
+
+
+def strptime_accepts(fmt: Column, text: str) -> Column:
+    """Whether Python's ``strptime`` reads ``text`` by the format (for texts whose day and
+    month fit together in any order).
+
+    The format becomes a regular expression: a directive reads the first of its
+    alternatives that fits, white space any white space, other characters
+    themselves; the text has to be used up without trying again. A directive that is unknown
+    or stands twice reads nothing."""
+    def read(t: Column) -> Column:
+        out = F.when(t == "%%", F.lit("%"))
+        for key, pattern in PARSED.items():
+            out = out.when(t == "%" + key, F.lit(pattern))
+        literal = F.regexp_replace(F.regexp_replace(t, r"([\\.^$*+?(){}\[\]|])", r"\\$1"), r"\s+", r"\\s+")
+        return out.when(t.startswith("%"), F.lit("(?!)")).otherwise(literal)
+
+    tokens = _tokens(fmt)
+    directives = F.filter(tokens, lambda t: t.startswith("%") & (t != "%%"))
+    pattern = F.concat(F.lit("^(?i)"), F.array_join(F.transform(tokens, read), ""))
+    used = F.call_function("regexp_extract", F.lit(text), pattern, F.lit(0))
+    return (F.size(directives) == F.size(F.array_distinct(directives))) & (used == text)
+
+
 SUPPORTED_REGEX = "^(%[" + "".join(DIRECTIVES) + "%]|[^%])*$"
 
 

@@ -24,12 +24,20 @@ MAX_METRIC_ENTRIES = 65_536
 def widgets(templates: DataFrame, fields: DataFrame, resolution: float = DEFAULT_RESOLUTION,
             axes: str = "swapped", font: str = DEFAULT_FONT) -> DataFrame:
     """One widget per text box: name, page 1, x/y/w/h in points (bottom-left
-    origin), ``max_length`` as a number, font size ``int(h - 4)``, no border."""
-    t = templates.select("template_id", "width", "height")
+    origin), ``max_length`` as a number, font size ``int(h - 4)``, no border.
+
+    The page is the template's image at ``resolution``: its pixel size in
+    ``image_width`` and ``image_height`` (see ``sources.images``) where the
+    templates have it, else the size the annotation gives. Boxes are scaled
+    from the annotation's size to the page's; with ``axes="swapped"`` (the
+    reference's rule) x by the height's scale and y by the width's."""
+    pixels = [F.coalesce(*[F.col(c) for c in (f"image_{side}", side) if c in templates.columns]).alias(f"_ds_{side}")
+              for side in ("width", "height")]
+    t = templates.select("template_id", "width", "height", *pixels)
     f = fields.filter(F.col("type") == "textbox").select("template_id", "pos", "field_name", "max_length",
                                                           "xmin", "ymin", "xmax", "ymax")
     j = f.join(t, "template_id")  # both sides are template dimensions; Spark picks the join by their sizes
-    pw, ph = page_points(F.col("width"), resolution), page_points(F.col("height"), resolution)
+    pw, ph = page_points(F.col("_ds_width"), resolution), page_points(F.col("_ds_height"), resolution)
     scale_w, scale_h = (F.try_divide(pw, F.col("width").cast("double")),
                         F.try_divide(ph, F.col("height").cast("double")))
     x1, y1, x2, y2 = scale_to_page(F.col("xmin").cast("double"), F.col("ymin").cast("double"),

@@ -12,10 +12,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.generators import truthy
-from ..functions.strftime import date_part_of, strftime_error
+from ..functions.strftime import date_part_of, strftime_error, strptime_accepts
 from ..sources.annotations import size_int, strip, typed_object_columns
 from .values import field_kind
 
+# The bounds of drawn dates as the reference writes them. It reads them with
+# a field's own format, so a format that does not read both ends its run; here dates are
+# drawn without them, so this rule (V7) only warns.
+DATE_BOUNDS = ("01-01-2021", "01-01-2024")
+
+
 def _rules(*pairs: tuple[Column, str]) -> Column:
     return F.filter(F.array(*[F.when(c, F.lit(name)) for c, name in pairs]), lambda x: x.isNotNull())
 
@@ -65,7 +71,10 @@ def _field_rule_list(resolution: float) -> list[tuple[Column, str]]:
         (text & (kind == "alphanum") & (F.col("mask") == ""), "V4_empty_mask"),
         (text & kind.isNotNull() & F.col("static_value").isin("True", "False"), "V6_static_is_boolean"),
         (text & (kind == "date") & F.col("date_format").isNotNull()
-         & strftime_error(date_part_of(F.col("date_format"))), "V7_unsupported_date_format"),
+         & strftime_error(date_part_of(F.col("date_format"))), "V18_unsupported_date_format"),
+        (text & (kind == "date") & F.col("date_format").isNotNull()
+         & ~(strptime_accepts(date_part_of(F.col("date_format")), DATE_BOUNDS[0])
+             & strptime_accepts(date_part_of(F.col("date_format")), DATE_BOUNDS[1])), "V7_date_format_rejects_bounds"),
         (text & (~_has("2_max_length") | F.col("max_length").isNull() | ~_is_number(F.col("max_length"))),
          "V8_max_length_not_number"),
         (text & kind.isNotNull() & F.col("field_name").isNotNull() & (F.col("pos") > F.col("_ds_first")),

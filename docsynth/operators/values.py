@@ -34,7 +34,7 @@ def field_error(kind: Column, mask: Column, date_format: Column, name_type: Colu
             .when((kind == "name") & (name_type == "n/a"), F.lit("V3_name_type_na"))
             .when((kind == "alphanum") & (mask == ""), F.lit("V4_empty_mask"))
             .when(kind.isNotNull() & static_value.isin("True", "False"), F.lit("V6_static_is_boolean"))
-            .when((kind == "date") & date_format_error(date_format), F.lit("V7_unsupported_date_format")))
+            .when((kind == "date") & date_format_error(date_format), F.lit("V18_unsupported_date_format")))
 
 
 def text_fields(fields: DataFrame) -> DataFrame:

@@ -31,11 +31,12 @@ from ..operators.pairing import pair_by_position, pairing_rules
 from ..operators.records import assemble_records
 from ..operators.validate import validate_templates
 from ..operators.values import generate_values
-from ..sources.annotations import list_images, read_annotations, stem, templates, typed_fields
+from ..sources.annotations import read_annotations, stem, templates, typed_fields
+from ..sources.images import read_image_sizes
 from ..sources.writers import write_labels, write_records, write_table
 
 # Rules that only warn (the document can still be generated).
-WARNING_RULES = ("V12_duplicate_field_name", "V13_font_size_not_positive")
+WARNING_RULES = ("V7_date_format_rejects_bounds", "V12_duplicate_field_name", "V13_font_size_not_positive")
 
 
 @dataclass
@@ -48,7 +49,8 @@ class Dictionaries:
 
 def load_templates(spark: SparkSession, base: str) -> DataFrame:
     """Annotations paired with images by sorted position (the reference rule);
-    ``template_id`` is the image file name without its last extension."""
+    ``template_id`` is the image file name without its last extension. The page
+    of a template is its image, so the image's pixel size comes along."""
     ann, img = _listings(spark, base)
     paired = pair_by_position(ann, img, ["annotation_path"], ["image_path"])
     return paired.withColumn("template_id", stem(F.col("image_path")))
@@ -56,7 +58,7 @@ def load_templates(spark: SparkSession, base: str) -> DataFrame:
 
 def _listings(spark: SparkSession, base: str):
     return (read_annotations(spark, f"{base.rstrip('/')}/Annotations/*.xml"),
-            list_images(spark, f"{base.rstrip('/')}/JPEGImages/*"))
+            read_image_sizes(spark, f"{base.rstrip('/')}/JPEGImages/*"))
 
 
 def unpaired_rules(spark: SparkSession, base: str) -> DataFrame:
@@ -100,7 +102,7 @@ def build_dataset(spark: SparkSession, base: str, out: str, num_files: int, dict
     rules = spark.read.parquet(f"{out}/rejected_templates")
     blocking = rules.filter(~F.col("rule").isin(*WARNING_RULES)).select("template_id").distinct()
     good = parsed.join(blocking, "template_id", "left_anti")
-    tpl = templates(good).select("template_id", "width", "height")
+    tpl = templates(good).select("template_id", "width", "height", "image_width", "image_height")
     fields = typed_fields(good).drop("attributes", "bndbox")
 
     docs = expand_documents(tpl, num_files)

@@ -91,7 +91,7 @@ def _values_ctes() -> str:
            "WHEN kind = 'name' AND name_type = 'n/a' THEN 'V3_name_type_na' "
            "WHEN kind = 'alphanum' AND mask = '' THEN 'V4_empty_mask' "
            "WHEN static_value IN ('True', 'False') THEN 'V6_static_is_boolean' "
-           f"WHEN kind = 'date' AND {bad_fmt} THEN 'V7_unsupported_date_format' END")
+           f"WHEN kind = 'date' AND {bad_fmt} THEN 'V18_unsupported_date_format' END")
     joins, name, name_err = _name_sql("r", ("doc_id", "pos"), "name_type", "name_gender", "name_indian",
                                       "name_suffix", "r.kind = 'name' AND r.error IS NULL")
     gen = (f"CASE WHEN r.kind = 'alphanum' THEN {S.alphanum('r.mask', SEED, 'r.doc_id', 'r.pos')} "
@@ -150,7 +150,7 @@ FROM orders o, {_explode(DATETIME_FORMATS, 'fmt_no', 'fmt').replace('AS lit', 'A
 def split_errors() -> str:
     ok = "regexp_full_match(split_part(f.fmt, ' ', 1), '(%[dmYyHMSIpBbAaj%]|[^%])*')"
     return f"""SELECT o.o_orderkey, f.fmt_no, f.fmt, {S.date_value('f.fmt', SEED, 'o.o_orderkey', 'f.fmt_no')} AS value,
-  CASE WHEN NOT {ok} THEN 'V7_unsupported_date_format' END AS error,
+  CASE WHEN NOT {ok} THEN 'V18_unsupported_date_format' END AS error,
   CASE WHEN {ok} THEN 'good' ELSE 'rejected' END AS side
 FROM orders o, {_explode(BAD_FORMATS, 'fmt_no', 'fmt').replace('AS lit', 'AS f')}"""
 
@@ -393,6 +393,25 @@ def validate_templates() -> str:
     return "\nUNION ALL\n".join(parts)
 
 
+def date_templates() -> str:
+    # formats by number, as text of this query; (reads both bounds, can be rendered), worked out by hand
+    verdicts = [(True, True), (False, True), (True, True), (False, True), (True, True), (False, True), (False, True), (False, False), None, (True, True),
+                (True, True), (False, True), (False, True), (False, False), (True, True)]
+    bad = [i for i, v in enumerate(verdicts) if v and not v[0]]
+    odd = [i for i, v in enumerate(verdicts) if v and not v[1]]
+    n, empty = len(verdicts), verdicts.index(None)
+    rules = [("V17_size_not_positive", "-1", "NULL", "p_size % 11 = 0"), ("V9_box_missing", "0", "name", "p_size % 13 = 0"),
+             ("V16_field_name_empty", "0", "name", "p_size % 10 = 0"), ("V2_date_without_format", "0", "name", f"p_partkey % {n} = {empty}"),
+             ("V7_date_format_rejects_bounds", "0", "name", f"p_partkey % {n} IN ({', '.join(map(str, bad))})"),
+             ("V18_unsupported_date_format", "0", "name", f"p_partkey % {n} IN ({', '.join(map(str, odd))})"),
+             ("V15_duplicate_template_id", "-1", "NULL", "p_partkey % 50 = 0")]
+    parts = [f"SELECT template_id, CAST({pos} AS INTEGER) AS pos, CAST({name} AS VARCHAR) AS field_name, '{rule}' AS rule FROM p WHERE {where}"
+             for rule, pos, name, where in rules]
+    # a field repeats its name in its template only if it comes later; each of the copies of one id has one field
+    return ("WITH p AS (SELECT *, CASE WHEN p_partkey % 50 = 0 THEN 'twice' ELSE 'part_' || CAST(p_partkey AS VARCHAR) END AS template_id, "
+            "CASE WHEN p_size % 10 <> 0 THEN 'day' END AS name FROM part)\n" + "\nUNION ALL\n".join(parts))
+
+
 def _part_templates_cte() -> str:
     return ("t AS (SELECT 'part_' || CAST(p_partkey AS VARCHAR) AS template_id, "
             "replace(p_name, ' ', '_') || '.' || CAST(p_partkey AS VARCHAR) AS stem FROM part),"
@@ -501,6 +520,24 @@ SELECT template_id, pos, name, 1 AS page_number, {w['x']} AS x, {w['y']} AS y, {
 FROM f"""
 
 
+def widgets_of_images() -> str:
+    def cols(axes: str) -> str:
+        pw, ph = "(iw * 72.0::DOUBLE / 100.0::DOUBLE)", "(ih * 72.0::DOUBLE / 100.0::DOUBLE)"
+        sw, sh = f"({pw} / (p_size * 20)::DOUBLE)", f"({ph} / (p_size * 25)::DOUBLE)"
+        sx, sy = (sh, sw) if axes == "swapped" else (sw, sh)
+        low, high = f"({ph} - ymax * {sy} - 1.0::DOUBLE)", f"({ph} - ymin * {sy} - 1.0::DOUBLE)"
+        return f"""SELECT template_id, '{axes}' AS axes, format, image_width, image_height, 0 AS pos, xmin * {sx} AS x, {low} AS y,
+    xmax * {sx} - xmin * {sx} AS w, {high} - {low} AS h, CAST(trunc({high} - {low} - 4.0::DOUBLE) AS INTEGER) AS font_size FROM f"""
+
+    return f"""WITH s AS (SELECT *, p_size * 20 + p_partkey % 7 * 10 AS w, p_size * 25 + p_partkey % 5 * 30 AS h,
+    p_partkey % 3 <> 0 AND p_partkey % 11 = 0 AS cut FROM part),
+f AS (SELECT 'part_' || CAST(p_partkey AS VARCHAR) AS template_id, p_size, CASE WHEN cut THEN NULL WHEN p_partkey % 3 = 0 THEN 'png' ELSE 'jpeg' END AS format,
+    CAST(CASE WHEN NOT cut THEN w END AS BIGINT) AS image_width, CAST(CASE WHEN NOT cut THEN h END AS BIGINT) AS image_height,
+    CAST(CASE WHEN cut THEN p_size * 20 ELSE w END AS DOUBLE) AS iw, CAST(CASE WHEN cut THEN p_size * 25 ELSE h END AS DOUBLE) AS ih,
+    trunc(p_retailprice)::DOUBLE AS xmin, p_size::DOUBLE AS ymin, trunc(p_retailprice + 100.0)::DOUBLE AS xmax, (p_size + 20)::DOUBLE AS ymax FROM s)
+{cols('swapped')} UNION ALL {cols('straight')}"""
+
+
 def _glyph_ctes() -> str:
     sizes = S.values_clause(TEMPLATE_SIZES, ["template_id", "width", "height"], ["VARCHAR", "INTEGER", "INTEGER"])
     metrics = S.values_clause([(chr(32 + i), w) for i, w in enumerate(HELVETICA_WIDTHS)], ["ch", "advance"],
@@ -646,6 +683,7 @@ ORACLES = {
     "xml_records": xml_records,
     "document_records": document_records,
     "validate_templates": validate_templates,
+    "date_templates": date_templates,
     "expand_documents": expand_documents,
     "manifest": manifest,
     "expand_hot_template": expand_hot_template,
@@ -655,6 +693,7 @@ ORACLES = {
     "combine_boxes": combine_boxes,
     "words_from_glyphs": words_from_glyphs,
     "widgets": widgets,
+    "widgets_of_images": widgets_of_images,
     "layout_glyphs": layout_glyphs,
     "form_words": form_words,
     "form_words_from_glyphs": form_words,

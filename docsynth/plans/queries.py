@@ -22,6 +22,7 @@ from ..operators.sampling import sample_uniform, sample_weighted
 from ..operators.validate import validate_templates
 from ..operators.values import generate_values, split_errors, text_fields
 from ..sources.annotations import parse_annotations, stem, templates, typed_fields
+from ..sources.images import image_size
 from ..operators.augplan import augmentation_plan, plan_audit
 from ..operators.labels import QUAD_COLS, label_boxes, label_lines
 from ..operators.layout import layout_glyphs, layout_words, widgets
@@ -95,7 +96,7 @@ def q_split_errors(spark, sf_dir):
     o = _with_literal(read(spark, sf_dir, "orders").select("o_orderkey"), BAD_FORMATS, "fmt_no", "fmt")
     o = o.select("o_orderkey", "fmt_no", "fmt",
                  gen_date(F.col("fmt"), SEED, F.col("o_orderkey"), F.col("fmt_no")).alias("value"),
-                 F.when(date_format_error(F.col("fmt")), F.lit("V7_unsupported_date_format")).alias("error"))
+                 F.when(date_format_error(F.col("fmt")), F.lit("V18_unsupported_date_format")).alias("error"))
     good, bad = split_errors(o)
     return good.withColumn("side", F.lit("good")).unionByName(bad.withColumn("side", F.lit("rejected")))
 
@@ -406,6 +407,31 @@ def q_validate_templates(spark, sf_dir):
     return validate_templates(parse_annotations(customer_annotation_xml(spark, sf_dir)))
 
 
+# Date formats of the templates of ``date_templates``: some read the bounds 01-01-2021 and
+# 01-01-2024, some do not, two cannot be rendered, one is empty.
+TEMPLATE_DATE_FORMATS = ["%d-%m-%Y", "%m/%d/%Y", "%m-%d-%Y %H", "%Y-%m-%d", "%d-%m-20%y", "%d-%m-%y", "%d-%d-%Y", "%Q-%m", "", "%j-%m-%Y",
+                         "%H-%M-%Y", "%d-%b-%Y", "(%d)-%m-%Y", "%d-%m-%Y%", "01-%m-%Y"]
+
+
+def date_annotation_xml(spark, sf_dir) -> DataFrame:
+    """One annotation per part with a date field, and defects by its columns."""
+    p = spread(read(spark, sf_dir, "part").select("p_partkey", "p_size"), "p_partkey")
+    k, s = F.col("p_partkey"), F.col("p_size")
+    fmt = F.element_at(F.array(*[F.lit(f) for f in TEMPLATE_DATE_FORMATS]), (k % len(TEMPLATE_DATE_FORMATS)).cast("int") + 1)
+    box = F.when(s % 13 == 0, F.lit("")).otherwise(_box(F.lit("1"), F.lit("1"), F.lit("90"), F.lit("40")))
+    xml = _tag("annotation", F.concat(
+        _tag("size", F.concat(_tag("width", F.when(s % 11 == 0, F.lit("0")).otherwise(F.lit("100"))), _tag("height", F.lit("100")))),
+        _tag("object", F.concat(
+            _tag("name", F.lit("textbox")), box, _attr("1_field_name", F.when(s % 10 == 0, F.lit("")).otherwise(F.lit("day"))),
+            _attr("2_max_length", F.lit("9")), _attr("3_is_alphanum", F.lit("False")), _attr("4_is_date", F.lit("True")),
+            _attr("date_format", fmt), _attr("static_value", F.lit(""))))))
+    return p.select(F.when(k % 50 == 0, F.lit("twice")).otherwise(F.concat(F.lit("part_"), k.cast("string"))).alias("template_id"), xml.alias("xml"))
+
+
+def q_date_templates(spark, sf_dir):
+    return validate_templates(parse_annotations(date_annotation_xml(spark, sf_dir)))
+
+
 # ---- documents ----
 
 def part_templates(spark, sf_dir) -> DataFrame:
@@ -477,6 +503,35 @@ def q_widgets(spark, sf_dir):
     return widgets(templates(parsed), typed_fields(parsed))
 
 
+def _hex(value: Column, width: int) -> Column:
+    return F.lpad(F.hex(value.cast("bigint")), 2 * width, "0")
+
+
+def part_image_bytes(spark, sf_dir) -> DataFrame:
+    """The header of one template image per part, wider and higher than its
+    annotation says: PNG, JPEG with segments before its frame, or cut off."""
+    p = spread(read(spark, sf_dir, "part").select("p_partkey", "p_size"), "p_partkey")
+    k = F.col("p_partkey")
+    w, h = F.col("p_size") * 20 + k % 7 * 10, F.col("p_size") * 25 + k % 5 * 30
+    png = F.concat(F.lit("89504E470D0A1A0A0000000D49484452"), _hex(w, 4), _hex(h, 4), F.lit("0802000000"))
+    segment = F.concat(F.lit("FFE1"), _hex(k % 50 + 2, 2), F.repeat(F.lit("C0"), (k % 50).cast("int")))
+    frame = F.concat(F.lit("FFFFC2001108"), _hex(h, 2), _hex(w, 2), F.lit("03"))
+    jpeg = F.concat(F.lit("FFD8FFE000104A46494600010100000100010000"), segment, segment, frame)
+    content = F.when(k % 3 == 0, png).when(k % 11 == 0, F.lit("FFD8FFE0001000FFD9")).otherwise(jpeg)
+    return p.select(F.concat(F.lit("part_"), k.cast("string")).alias("template_id"), F.unhex(content).alias("content"))
+
+
+def q_widgets_of_images(spark, sf_dir):
+    """Widgets on pages whose scales differ, where both axis rules matter."""
+    parsed = parse_annotations(part_annotation_xml(spark, sf_dir))
+    sizes = part_image_bytes(spark, sf_dir).select("template_id", image_size(F.col("content")).alias("size"))
+    sizes = sizes.select("template_id", F.col("size.format").alias("format"), F.col("size.width").alias("image_width"), F.col("size.height").alias("image_height"))
+    t = templates(parsed).join(sizes, "template_id")
+    both = [widgets(t, typed_fields(parsed), axes=axes).withColumn("axes", F.lit(axes)) for axes in ("swapped", "straight")]
+    return (both[0].unionByName(both[1]).join(sizes, "template_id")
+            .select("template_id", "axes", "format", "image_width", "image_height", "pos", "x", "y", "w", "h", "font_size"))
+
+
 def _template_widgets(spark) -> DataFrame:
     return widgets(template_sizes(spark), template_fields(spark))
 
@@ -558,6 +613,7 @@ QUERIES = {
     "xml_records": q_xml_records,
     "document_records": q_document_records,
     "validate_templates": q_validate_templates,
+    "date_templates": q_date_templates,
     "expand_documents": q_expand_documents,
     "manifest": q_manifest,
     "expand_hot_template": q_expand_hot_template,
@@ -567,6 +623,7 @@ QUERIES = {
     "combine_boxes": q_combine_boxes,
     "words_from_glyphs": q_words_from_glyphs,
     "widgets": q_widgets,
+    "widgets_of_images": q_widgets_of_images,
     "layout_glyphs": q_layout_glyphs,
     "form_words": q_form_words,
     "form_words_from_glyphs": q_form_words_from_glyphs,

@@ -99,13 +99,15 @@ def coord_int(v: Column) -> Column:
 
 
 def templates(df: DataFrame, id_col: str = "template_id", ann: str = "annotation") -> DataFrame:
-    """Template table: id, width, height (null when not a plain integer), raw texts."""
+    """Template table: id, width, height (null when not a plain integer), raw texts, and the
+    pixel size of the template's image if ``df`` has it."""
     a = F.col(ann)
     return df.select(F.col(id_col).alias("template_id"),
                      size_int(a["size"]["width"]).alias("width"),
                      size_int(a["size"]["height"]).alias("height"),
                      a["size"]["width"].alias("width_text"), a["size"]["height"].alias("height_text"),
-                     a["_corrupt_record"].isNotNull().alias("xml_broken"))
+                     a["_corrupt_record"].isNotNull().alias("xml_broken"),
+                     *[c for c in ("image_width", "image_height") if c in df.columns])
 
 
 def _dedup_last(attrs: Column) -> Column:
