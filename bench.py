@@ -26,6 +26,8 @@ HEADLINE = [
     "words_from_glyphs",
     "sample_weighted",
     "sample_weighted_range",
+    "sample_weighted_grouped",
+    "xml_records",
     "augmentation_plan",
     "gen_date",
     "gen_alphanum",

@@ -3,10 +3,9 @@
 * ``sample_uniform``: uniform pick of a dictionary row (``random.choice``): the
   dictionary gets a dense 0-based index per group and each row joins on
   ``floor(u * n)``.
-* ``sample_weighted``: inverse-CDF pick with integer weights. The plain form is a
-  range join ``lo <= u < hi`` (a nested-loop join); the binned form explodes each
-  interval over the bins it meets and equi-joins on ``floor(u * B)`` before the
-  same range filter, so it plans as a hash join and gives the same rows.
+* ``sample_weighted``: inverse-CDF pick with integer weights: the range join
+  ``lo <= u < hi`` with each interval exploded over the bins it meets, an equi-join
+  on ``floor(u * B)`` and the range as a filter, so it plans as a hash join.
 
 The dictionary side is broadcast only after its row count is checked against
 ``max_broadcast_rows``; above that the join is a shuffle join on uniformly
@@ -130,14 +129,12 @@ def weighted_intervals(dictionary: DataFrame, order_cols: Sequence[str], weight_
 
 def sample_weighted(df: DataFrame, dictionary: DataFrame, u: Column, order_cols: Sequence[str],
                     weight_col: str, by: Sequence[str] | None = None, bins: int | None = None,
-                    how: str = "left", max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                    method: str = "binned") -> DataFrame:
+                    how: str = "left", max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """Attach one dictionary row drawn with probability proportional to weight.
 
-    ``method='binned'`` (default) is an equi-join on (group, bin) plus the range
-    filter: a hash join (broadcast when the exploded intervals are within the
-    bound, else a shuffle join on uniformly spread bins). ``method='range'`` is
-    the plain range join, a nested-loop join kept only for comparison.
+    An equi-join on (group, bin) plus the range filter: a hash join (broadcast when
+    the exploded intervals are within the bound, else a shuffle join on uniformly
+    spread bins), never a nested loop over the dictionary.
     """
     by = _group_cols(by)
     n_int = dictionary.count()
@@ -145,14 +142,6 @@ def sample_weighted(df: DataFrame, dictionary: DataFrame, u: Column, order_cols:
     if weight_col not in order_cols:
         intervals = intervals.drop(weight_col)
     rows = df.withColumn("_ds_u", u)
-    if method == "range":
-        right = checked_broadcast(intervals.withColumnsRenamed({c: f"_ds_by_{c}" for c in by}), n_int,
-                                  max_broadcast_rows)
-        cond = (F.col("_ds_u") >= F.col("lo")) & (F.col("_ds_u") < F.col("hi"))
-        for c in by:
-            cond = cond & (rows[c] == right[f"_ds_by_{c}"])
-        out = rows.join(right, cond, how)
-        return out.drop("_ds_u", "lo", "hi", *[f"_ds_by_{c}" for c in by])
     # as many bins as the group has words (unless given): n intervals that cover
     # [0, 1) once meet at most n + b bins, so the exploded side has at most 2 n rows
     if bins:

@@ -218,6 +218,17 @@ def sample_weighted() -> str:
 SELECT e.event_id, d.word FROM events e LEFT JOIN d ON {u} >= d.lo AND {u} < d.hi"""
 
 
+def sample_weighted_grouped() -> str:
+    u = S.sql_u01(SEED, "e.event_id", "'grouped'")
+    cum = "SUM(weight) OVER (PARTITION BY grp ORDER BY word ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    return f"""WITH w AS (SELECT grp, word, COUNT(*) AS weight FROM (SELECT unnest(string_split(p_name, ' ')) AS word,
+    CAST(least(floor(p_size / 10), 2) AS INTEGER) AS grp FROM part) WHERE word <> '' GROUP BY 1, 2),
+d AS (SELECT *, CAST({cum} - weight AS DOUBLE) / CAST(SUM(weight) OVER (PARTITION BY grp) AS DOUBLE) AS lo,
+    CAST({cum} AS DOUBLE) / CAST(SUM(weight) OVER (PARTITION BY grp) AS DOUBLE) AS hi FROM w),
+e AS (SELECT event_id, CAST(event_id % 4 AS INTEGER) AS grp FROM events)
+SELECT e.event_id, e.grp, d.word FROM e LEFT JOIN d ON d.grp = e.grp AND {u} >= d.lo AND {u} < d.hi"""
+
+
 def _customer_params_cte() -> str:
     return """cp AS (SELECT c_custkey, c_name, c_nationkey,
     CASE c_mktsegment WHEN 'HOUSEHOLD' THEN 'first_name' WHEN 'MACHINERY' THEN 'last_name' ELSE 'full' END AS name_type,
@@ -452,7 +463,7 @@ def pair_by_stem_report() -> str:
     return """SELECT coalesce(d.doc_id, l.doc_id) AS doc_id,
   CASE WHEN d.doc_id IS NOT NULL AND l.doc_id IS NOT NULL THEN 'matched'
        WHEN d.doc_id IS NOT NULL THEN 'left_only' ELSE 'right_only' END AS status
-FROM documents d FULL OUTER JOIN labels l ON d.doc_id = l.doc_id"""
+FROM documents d FULL OUTER JOIN (SELECT doc_id + 3 AS doc_id FROM labels) l ON d.doc_id = l.doc_id"""
 
 
 
@@ -671,6 +682,7 @@ ORACLES = {
     "sample_uniform": sample_uniform,
     "sample_weighted": sample_weighted,
     "sample_weighted_range": sample_weighted,
+    "sample_weighted_grouped": sample_weighted_grouped,
     "gen_name": gen_name,
     "gen_address": gen_address,
     "gen_address_text": gen_address_text,

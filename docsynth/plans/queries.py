@@ -175,7 +175,15 @@ def q_sample_weighted(spark, sf_dir):
 def q_sample_weighted_range(spark, sf_dir):
     e = read(spark, sf_dir, "events").select("event_id")
     return sample_weighted(e, _part_words(spark, sf_dir), u01(SEED, F.col("event_id"), "word"), ["word"],
-                           "weight", method="range").select("event_id", "word")
+                           "weight", bins=64).select("event_id", "word")
+
+
+def q_sample_weighted_grouped(spark, sf_dir):
+    """A word of the event's own type's dictionary: the groups' sizes are unequal, one has no words."""
+    e = read(spark, sf_dir, "events").select("event_id", F.pmod("event_id", F.lit(4)).cast("int").alias("grp"))
+    p = read(spark, sf_dir, "part").select(F.explode(F.split("p_name", " ")).alias("word"), F.least(F.floor(F.col("p_size") / 10), F.lit(2)).cast("int").alias("grp"))
+    words = p.filter(F.col("word") != "").groupBy("grp", "word").agg(F.count(F.lit(1)).cast("bigint").alias("weight"))
+    return sample_weighted(e, words, u01(SEED, F.col("event_id"), "grouped"), ["word"], "weight", by=["grp"]).select("event_id", "grp", "word")
 
 
 def _customer_name_params(spark, sf_dir) -> DataFrame:
@@ -477,7 +485,7 @@ def q_pair_by_position(spark, sf_dir):
 
 def q_pair_by_stem_report(spark, sf_dir):
     d = read(spark, sf_dir, "documents").select("doc_id")
-    lab = read(spark, sf_dir, "labels").select("doc_id")
+    lab = read(spark, sf_dir, "labels").select((F.col("doc_id") + 3).alias("doc_id"))  # the last ones have no document
     return pair_by_stem(d, lab, "doc_id")
 
 
@@ -601,6 +609,7 @@ QUERIES = {
     "sample_uniform": q_sample_uniform,
     "sample_weighted": q_sample_weighted,
     "sample_weighted_range": q_sample_weighted_range,
+    "sample_weighted_grouped": q_sample_weighted_grouped,
     "gen_name": q_gen_name,
     "gen_address": q_gen_address,
     "gen_address_text": q_gen_address_text,

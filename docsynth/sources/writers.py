@@ -13,13 +13,21 @@ from pyspark.sql import functions as F
 from ..operators.labels import label_line
 
 
+# Tasks, and so files, over which a template's documents are spread.
+FILE_BUCKETS = 64
+
+
+def _file_bucket():
+    """Bucket of a document in its template: its lines lie in few files, those of a hot
+    template in many tasks, and nothing has to be sampled (computed twice) to find ranges."""
+    return F.pmod(F.xxhash64("doc_id"), F.lit(FILE_BUCKETS))
+
+
 def write_records(records: DataFrame, path: str, mode: str = "overwrite", record_col: str = "textbox") -> None:
     """One JSON line per document, ``{"doc_id": .., "textbox": {..}}``,
     partitioned by ``template_id``."""
     line = F.to_json(F.struct(F.col("doc_id"), F.col(record_col).alias("textbox")))
-    # ranges of (template, document): a template's lines lie in few files, a hot
-    # template in many tasks
-    (records.select("template_id", "doc_id", line.alias("value")).repartitionByRange("template_id", "doc_id")
+    (records.select("template_id", "doc_id", line.alias("value")).repartition("template_id", _file_bucket())
      .select("template_id", "value").write.mode(mode).partitionBy("template_id").text(path))
 
 
@@ -38,7 +46,7 @@ def write_labels(labels: DataFrame, path: str, mode: str = "overwrite", per_docu
          .write.mode(mode).partitionBy("doc_id").text(path))
     else:
         by_template = "template_id" in lines.columns
-        w = (lines.repartitionByRange("template_id", "doc_id") if by_template else lines).write.mode(mode)
+        w = (lines.repartition("template_id", _file_bucket()) if by_template else lines).write.mode(mode)
         if by_template:
             w = w.partitionBy("template_id")
         w.parquet(path)

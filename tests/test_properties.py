@@ -39,7 +39,9 @@ def test_binned_equals_plain_range_join(spark, sf_small):
              .withColumnRenamed("count", "weight"))
     u = u01(9, F.col("event_id"))
     binned = {tuple(r) for r in sample_weighted(e, words, u, ["word"], "weight", bins=7).collect()}
-    plain = {tuple(r) for r in sample_weighted(e, words, u, ["word"], "weight", method="range").collect()}
+    intervals = S.weighted_intervals(words, ["word"], "weight")
+    plain = {tuple(r) for r in e.withColumn("u", u).join(intervals, F.expr("u >= lo and u < hi"), "left").select(*sample_weighted(
+        e, words, u, ["word"], "weight").columns).collect()}
     assert binned == plain and len(binned) == e.count()
 
 
