@@ -25,7 +25,7 @@ def op4_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sp_codec.digest(sp_codec.decode(sp_codec.encode(table(spark, sf_dir, "documents"))))
+    return sp_codec.digest(sp_codec.coded(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

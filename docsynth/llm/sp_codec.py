@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import list_array, map_columns, sha_of
+from .common import list_array, map_columns, sha_of, slices
 
 #: Place of the public model; a parameter of every function here.
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
@@ -233,6 +233,61 @@ def decode(tokens: DataFrame, model_path: str = MODEL_PATH, ids: str = "ids", ou
     return map_columns(tokens, run, [ids], [(out, T.StringType())])
 
 
+class Surfaces:
+    """Texts of flat piece ids, as bytes, without a Python object for each id."""
+
+    def __init__(self, surface: list[bytes]):
+        self.size = np.array([len(b) for b in surface], np.int64)
+        self.start = np.cumsum(self.size) - self.size
+        self.data = np.frombuffer(b"".join(surface), np.uint8)
+
+    def texts(self, flat: np.ndarray, counts: np.ndarray) -> pa.Array:
+        """The text of each row's ids, without the blank it begins with."""
+        sizes = self.size[flat]
+        ends = np.cumsum(sizes)
+        total = int(ends[-1]) if len(ends) else 0
+        data = self.data[np.repeat(self.start[flat] - (ends - sizes), sizes) + np.arange(total)]
+        upto = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
+        some = np.diff(upto) > 0
+        drop = upto[:-1][some]
+        drop = drop[data[drop] == 0x20]
+        kept = np.ones(total, bool)
+        kept[drop] = False
+        offsets = upto - np.searchsorted(drop, upto)
+        out = pa.StringArray.from_buffers(len(counts), pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(data[kept].tobytes()))
+        try:
+            out.validate(full=True)
+            return out
+        except pa.ArrowInvalid:  # ids that are no encoding of a text may hold broken characters
+            whole = data[kept].tobytes()
+            return pa.array([whole[a:b].decode("utf-8", "replace") for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())], pa.string())
+
+
+#: Bytes of text encoded and decoded at a time.
+SLICE_BYTES = 1 << 20
+
+
+def coded(docs: DataFrame, model_path: str = MODEL_PATH, text: str = "text") -> DataFrame:
+    """Documents with ``ids``, the piece ids of the whole text, and ``decoded``, the text of those
+    ids: ``decode(encode(docs))`` in one pass, slice by slice, with the ids as flat arrays."""
+    table = Pieces.load(model_path)
+    keep = [c for c in docs.columns if c not in ("ids", "decoded")]
+    at = keep.index(text)
+    frame = docs.select(*[F.col(f"`{c}`").alias(f"_k{i}") for i, c in enumerate(keep)])
+    schema = T.StructType([T.StructField(f"_k{i}", docs.schema[c].dataType) for i, c in enumerate(keep)]
+                          + [T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.StringType())])
+
+    def run(batches):
+        encoder, surfaces = Encoder(table), Surfaces(table.surface)
+        for batch in batches:
+            for piece in slices(batch, at, SLICE_BYTES):
+                flat, counts = encoder.batch(piece.column(at).to_pylist())
+                yield pa.RecordBatch.from_arrays(piece.columns + [list_array(flat, counts, pa.int32()), surfaces.texts(flat, counts)],
+                                                 names=schema.names)
+
+    return frame.mapInArrow(run, schema).select(*[F.col(f"_k{i}").alias(c) for i, c in enumerate(keep)], "ids", "decoded")
+
+
 def digest(tokens: DataFrame) -> DataFrame:
     """Per document its ids, their number, and whether decoding gives the text back (the meta symbol as a space)."""
     text = F.regexp_replace(F.coalesce("text", F.lit("")), META, " ")

@@ -188,3 +188,24 @@ def test_code_switched_words_and_odd_rows(spark, sf):
     empty = docs.limit(0)
     assert crf_langid.train(empty) is None and crf_langid.predicted(empty, model).count() == 0
     assert [r.lang_pred for r in crf_langid.predicted(odd.limit(1), None).collect()] == ["und"]
+
+
+# ---- encoding and decoding in one pass ----
+
+def test_coded_is_decode_of_encode(spark, sf, odd):
+    from docsynth.llm import sp_codec
+    for frame in (spark.read.parquet(f"{sf}/documents.parquet"), odd, odd.limit(0)):
+        want = sorted(((r.doc_id, r.text, r.ids, r.decoded) for r in sp_codec.decode(sp_codec.encode(frame)).collect()), key=str)
+        assert sorted(((r.doc_id, r.text, r.ids, r.decoded) for r in sp_codec.coded(frame).collect()), key=str) == want
+
+
+def test_texts_of_flat_ids():
+    from docsynth.llm import sp_codec
+    rng, surface = np.random.default_rng(4), sp_codec.Pieces.load().surface
+    surfaces = sp_codec.Surfaces(surface)
+    counts = np.array([0, 3, 0, 40, 1, 7, 0])
+    for top in (len(surface), 300):  # the first ids are single bytes: broken characters
+        flat = rng.integers(0, top, counts.sum())
+        ends = np.cumsum(counts)
+        want = [sp_codec.decode_ids(flat[e - n:e].tolist(), surface) for e, n in zip(ends, counts)]
+        assert surfaces.texts(flat, counts).to_pylist() == want
