@@ -5,7 +5,7 @@ import math
 from pyspark.sql import functions as F
 
 from docsynth.operators.augplan import CATALOG, augmentation_plan, expected_rate, plan_audit
-from docsynth.operators.sampling import sample_uniform, sample_weighted
+from docsynth.operators.sampling import sample_uniform, sample_weighted, weighted_intervals
 from docsynth.functions.draws import u01
 from docsynth.plans.queries import QUERIES
 
@@ -39,7 +39,7 @@ def test_binned_equals_plain_range_join(spark, sf_small):
              .withColumnRenamed("count", "weight"))
     u = u01(9, F.col("event_id"))
     binned = {tuple(r) for r in sample_weighted(e, words, u, ["word"], "weight", bins=7).collect()}
-    intervals = S.weighted_intervals(words, ["word"], "weight")
+    intervals = weighted_intervals(words, ["word"], "weight")
     plain = {tuple(r) for r in e.withColumn("u", u).join(intervals, F.expr("u >= lo and u < hi"), "left").select(*sample_weighted(
         e, words, u, ["word"], "weight").columns).collect()}
     assert binned == plain and len(binned) == e.count()
