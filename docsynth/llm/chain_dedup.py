@@ -6,8 +6,10 @@ tied to its first place in the corpus (smallest doc_id, then position), which
 keeps links linear in the seeds: a passage of n documents gives n - 1 links.
 Per document and partner, seeds are chained in order of both texts with gap
 costs through a Fenwick tree of prefix maxima; chains are aligned on the words
-(between seeds, and outward past both ends) and kept from an identity of 0.75;
-one below that is cut at its worst gap until its pieces reach it.
+(seeds whose words differ are dropped; between seeds, and outward past both ends)
+and kept from an identity of 0.75; one below that is cut at its worst gap until its
+pieces reach it. The words around a document's chains travel to the partner; an
+extension that comes to the end of them is made anew on the whole texts.
 A document's aligned spans that touch or overlap form regions; those of at
 least ``MIN_WORDS`` words are repeated passages.
 
@@ -17,8 +19,9 @@ identity; first occurrences have no row, and documents without repeats none.
 
 Defined results: null, empty and short texts have no seeds and no rows; rows
 without doc_id are left out; rows of equal doc_id are one document's texts, each
-chained on its own against other documents, the first text (by hash) being the
-partner; extra columns are ignored; an empty table gives an empty result.
+chained on its own against other documents and, as a partner, aligned with the
+seeds whose words it holds; extra columns are ignored; an empty table gives an
+empty result.
 """
 
 from __future__ import annotations
@@ -32,14 +35,18 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import list_array, map_columns, words
+from .common import checkpointed, slices, words
 
 #: Words of a seed, consecutive seeds that share a minimiser, words of a passage, least identity.
 K, WINDOW, MIN_WORDS, IDENTITY = 6, 12, 50, 0.75
 #: Score of a seed in a chain and cost of each skipped word on either side.
 SEED_SCORE, GAP_COST = 6.0, 0.1
-#: Words kept beside a chain for its extension; an exact stretch of that size has a seed of its own.
+#: Words sent along beside a chain; longer extensions are made on the whole texts.
 BESIDE = 2 * (K + WINDOW)
+#: Bytes of texts that a task holds as Python objects at a time.
+SLICE_BYTES = 2 << 20
+#: Ids of documents with long extensions that are broadcast at most (8 bytes each); more are joined by a shuffle.
+MAX_BROADCAST_IDS = 1_000_000
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _M1 = np.uint64(0xBF58476D1CE4E5B9)
@@ -133,8 +140,9 @@ def common_words(a: np.ndarray, b: np.ndarray) -> int:
     return int(row[-1])
 
 
-def extend(a: np.ndarray, b: np.ndarray) -> tuple[int, int, int]:
-    """Words of both rows and equal words of the best-scoring extension from their start (equal 1, other -2, drop 6)."""
+def extend(a: np.ndarray, b: np.ndarray) -> tuple[int, int, int, int]:
+    """Words of both rows and equal words of the best-scoring extension from their start (equal 1, other -2, drop 6),
+    and the words of ``a`` that were looked at."""
     i = j = equal = score = 0
     best = (0, 0, 0, 0)
     while i < len(a) and j < len(b) and score > best[0] - 6:
@@ -151,14 +159,23 @@ def extend(a: np.ndarray, b: np.ndarray) -> tuple[int, int, int]:
         else:
             i, j = i + 1, j + 1
         score -= 2
-    return best[1:]
+    return *best[1:], min(len(a), i + 3) if j < len(b) else 0
 
 
-def align(xw: np.ndarray, yw: np.ndarray, x: np.ndarray, y: np.ndarray, k: int = K) -> list[tuple[int, int, int, int, int]]:
+def align(xw: np.ndarray, yw: np.ndarray, x: np.ndarray, y: np.ndarray, k: int = K,
+          goes_on: tuple[bool, bool] = (False, False)) -> list[tuple[int, int, int, int, int]] | None:
     """Spans in both word rows and equal words of the pieces of a chain of seeds at x and y that reach the identity.
 
-    A chain that does not reach it, with or without its extensions, is cut at its
-    worst gap, and both parts are judged anew, extended past their own ends."""
+    Seeds whose words differ are left out. A chain that does not reach the identity,
+    with or without its extensions, is cut at its worst gap, and both parts are judged
+    anew, extended past their own ends. ``goes_on`` tells on which sides ``xw`` is cut
+    out of a longer row; None, if an extension came to such an end."""
+    same = (x + k <= len(xw)) & (y + k <= len(yw))
+    for j in range(k):
+        same[same] = xw[x[same] + j] == yw[y[same] + j]
+    x, y = x[same], y[same]
+    if not len(x):
+        return []
     runs: list[list[int]] = []  # start and end in both rows of equal stretches
     for sx, sy in zip(x.tolist(), y.tolist()):
         if not runs or (sx >= runs[-1][1] and sy >= runs[-1][3]):
@@ -174,7 +191,9 @@ def align(xw: np.ndarray, yw: np.ndarray, x: np.ndarray, y: np.ndarray, k: int =
         lo, hi = waiting.pop()
         (ax, _, ay, _), (_, px, _, py) = runs[lo], runs[hi - 1]
         equal = int(upto[hi] - upto[lo] + between[hi - 1] - between[lo])
-        left, right, none = extend(xw[:ax][::-1], yw[:ay][::-1]), extend(xw[px:], yw[py:]), (0, 0, 0)
+        left, right, none = extend(xw[:ax][::-1], yw[:ay][::-1]), extend(xw[px:], yw[py:]), (0, 0, 0, 0)
+        if (goes_on[0] and left[3] >= ax) or (goes_on[1] and right[3] >= len(xw) - px):
+            return None
         tried = [(ax - a[0], px + b[0], ay - a[1], py + b[1], equal + a[2] + b[2]) for a in (left, none) for b in (right, none)]
         good = [t for t in tried if t[4] >= IDENTITY * max(t[1] - t[0], t[3] - t[2])]
         if good:
@@ -185,82 +204,136 @@ def align(xw: np.ndarray, yw: np.ndarray, x: np.ndarray, y: np.ndarray, k: int =
     return out
 
 
-_CHAINS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("partner_id", T.LongType()),
-                        T.StructField("x", T.ArrayType(T.LongType())), T.StructField("y", T.ArrayType(T.LongType())),
-                        T.StructField("from_", T.LongType()), T.StructField("near", T.BinaryType())])
-_SPANS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("start", T.LongType()), T.StructField("end_", T.LongType()),
-                       T.StructField("partner_id", T.LongType()), T.StructField("partner_start", T.LongType()),
-                       T.StructField("partner_end", T.LongType()), T.StructField("n_equal", T.LongType())])
+_SEEDS = T.StructType([T.StructField("seed", T.LongType()), T.StructField("doc_id", T.LongType()), T.StructField("place", T.IntegerType())])
+_PLACES = T.ArrayType(T.ArrayType(T.IntegerType()))
+_CHAINS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("partner_id", T.LongType()), T.StructField("x", _PLACES), T.StructField("y", _PLACES),
+                        T.StructField("cuts", T.ArrayType(T.IntegerType())), T.StructField("near", T.BinaryType()), T.StructField("n_words", T.IntegerType())])
+_SPANS = T.StructType([T.StructField(n, T.LongType()) for n in ("doc_id", "start", "end_", "partner_id", "partner_start", "partner_end", "n_equal")]
+                      + [T.StructField("x", T.ArrayType(T.IntegerType())), T.StructField("y", T.ArrayType(T.IntegerType()))])
 
 
-def seed_rows(docs: DataFrame) -> DataFrame:
-    """seed, doc_id and place of every document's minimisers (docs: doc_id, text).
+def _batch(rows: list[tuple], schema: T.StructType) -> pa.RecordBatch:
+    from pyspark.sql.pandas.types import to_arrow_type
+    cols = list(zip(*rows)) or [()] * len(schema)
+    return pa.RecordBatch.from_arrays([pa.array(list(c), to_arrow_type(f.dataType)) for c, f in zip(cols, schema)], names=schema.names)
 
-    Seeds keep so many bits of their hash that few of different words meet (at
-    most one seed in 64); alignment tells those apart."""
-    n_bytes = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    shift = np.uint64(64 - min(63, max(16, int(n_bytes).bit_length() + 2)))
 
-    def run(batches):
-        for batch in batches:
-            found = [seeds(word_hashes(t)) for t in batch["text"]]
-            sizes = np.array([len(p) for _, p in found], np.int64)
-            none = np.zeros(0, np.int64)
-            yield {"seed": list_array(np.concatenate([none, *[(h >> shift).astype(np.int64) for h, _ in found]]), sizes, pa.int64()),
-                   "place": list_array(np.concatenate([none, *[p for _, p in found]]), sizes, pa.int32())}
+def seed_rows(docs: DataFrame, bits: int) -> DataFrame:
+    """seed (its upper ``bits`` bits), doc_id and place of every document's minimisers (docs: doc_id, text)."""
+    shift = np.uint64(64 - bits)
 
-    rows = map_columns(docs, run, ["text"], [("seed", T.ArrayType(T.LongType())), ("place", T.ArrayType(T.IntegerType()))], keep=["doc_id"])
-    return rows.select("doc_id", F.explode(F.arrays_zip("seed", "place")).alias("s")).select(F.col("s.seed").alias("seed"), "doc_id", F.col("s.place").alias("place"))
+    def run(batches: Iterator[pa.RecordBatch]):
+        for b in (part for whole in batches for part in slices(whole, 1, SLICE_BYTES)):
+            found = [seeds(word_hashes(t)) for t in b.column(1).to_pylist()]
+            value, place = (np.concatenate(c) for c in zip(*found))
+            ids = np.repeat(b.column(0).to_numpy(), [len(p) for _, p in found])
+            yield pa.RecordBatch.from_arrays([pa.array((value >> shift).astype(np.int64)), pa.array(ids), pa.array(place.astype(np.int32))], names=_SEEDS.names)
 
+    return docs.mapInArrow(run, _SEEDS)
 
-def _chained(batches: Iterator[pa.RecordBatch]):
-    """Chains of each document (doc_id, text, links) with the words around them."""
-    for b in batches:
-        out = []
-        for doc, text, links in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
-            parts = links.values
-            place, partner, at = (parts.field(i).to_numpy() for i in range(3))
-            hashes = word_hashes(text)
-            for p in np.unique(partner):
-                own = np.flatnonzero(partner == p) if partner.min() != partner.max() else np.arange(len(partner))
-                x, y = place[own].astype(np.int64), at[own].astype(np.int64)
-                for chain in chains(x, y):
-                    cx, cy = x[chain], y[chain]
-                    a, e = max(0, int(cx[0]) - BESIDE), int(cx[-1]) + K + BESIDE
-                    out.append((doc, int(p), cx.tolist(), cy.tolist(), a, hashes[a:e].tobytes()))
-        cols = list(zip(*out)) or [()] * 6
-        yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int64(), pa.binary()))], names=_CHAINS.names)
+
+def _windows(found: list[np.ndarray], n: int) -> list[tuple[int, int]]:
+    """Disjoint stretches of a text of n words around its chains (their places, each)."""
+    out: list[tuple[int, int]] = []
+    for a, e in sorted((max(0, int(c[0]) - BESIDE), min(n, int(c[-1]) + K + BESIDE)) for c in found):
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(e, out[-1][1]))
+        else:
+            out.append((a, e))
+    return out
+
+
+def _chained(bits: int):
+    """Chains of each document and partner with the words around them (input: doc_id, text, links, twice)."""
+
+    def run(batches: Iterator[pa.RecordBatch]):
+        for b in (part for whole in batches for part in slices(whole, 1, SLICE_BYTES)):
+            out, held = [], 0
+            for doc, text, links, twice in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), b.column(3).to_pylist()):
+                place, partner, at, seed = (links.values.field(i).to_numpy() for i in range(4))
+                hashes = word_hashes(text)
+                if twice:  # the seeds of this text only
+                    value, where = seeds(hashes)
+                    own = np.zeros(max(len(hashes), int(place.max()) + 1), np.int64) - 1
+                    own[where] = (value >> np.uint64(64 - bits)).astype(np.int64)
+                    mine = own[place] == seed
+                    place, partner, at = place[mine], partner[mine], at[mine]
+                order = np.argsort(partner, kind="stable")
+                ids, starts = np.unique(partner[order], return_index=True)
+                for p, which in zip(ids.tolist(), np.split(order, starts[1:])):
+                    x, y = place[which].astype(np.int64), at[which].astype(np.int64)
+                    found = chains(x, y)
+                    cuts = _windows([x[c] for c in found], len(hashes))
+                    near = b"".join(hashes[a:e].tobytes() for a, e in cuts)
+                    out.append((doc, p, [x[c].tolist() for c in found], [y[c].tolist() for c in found], [v for cut in cuts for v in cut], near, len(hashes)))
+                    held += len(near)
+                    if held > SLICE_BYTES:
+                        yield _batch(out, _CHAINS)
+                        out, held = [], 0
+            yield _batch(out, _CHAINS)
+
+    return run
 
 
 def _aligned(batches: Iterator[pa.RecordBatch]):
-    """Spans of the pieces of chains (joined with their partner's text) that reach the identity."""
-    for b in batches:
-        out, known = [], {}
-        for doc, partner, x, y, a, near, text in zip(*[b.column(i).to_pylist() for i in range(7)]):
-            if partner not in known:
-                known = {partner: word_hashes(text)}
-            xw, x, y = np.frombuffer(near, np.uint64), np.array(x) - a, np.array(y)
-            c = max(0, int(y[0]) - BESIDE)
-            yw = known[partner][c:int(y[-1]) + K + BESIDE]
-            if y[-1] + K - c > len(yw):
-                continue  # another text of a repeated id
-            out += [(doc, a + x0, a + x1, partner, c + y0, c + y1, equal) for x0, x1, y0, y1, equal in align(xw, yw, x, y - c)]
-        cols = list(zip(*out)) or [()] * 7
-        yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in cols], names=_SPANS.names)
+    """Spans of the pieces of chains (joined with their partner's text) that reach the identity;
+    chains whose extension comes to the end of the words sent along keep their places instead."""
+    for b in (part for whole in batches for part in slices(whole, 7, SLICE_BYTES)):
+        out, known = [], (None, None)
+        for doc, partner, xs, ys, cuts, near, n, text in zip(*[c.to_pylist() for c in b.columns]):
+            if known[0] != text:
+                known = (text, word_hashes(text))
+            words_, edges = np.frombuffer(near, np.uint64), np.array(cuts).reshape(-1, 2)
+            upto = np.cumsum([0, *(edges[:, 1] - edges[:, 0])])
+            for x, y in zip(xs, ys):
+                w = int(np.searchsorted(edges[:, 0], x[0], "right")) - 1
+                a, e = edges[w].tolist()
+                found = align(words_[upto[w]:upto[w + 1]], known[1], np.array(x, np.int64) - a, np.array(y, np.int64), goes_on=(a > 0, e < n))
+                if found is None:
+                    out.append((doc, None, None, partner, None, None, None, x, y))
+                else:
+                    out += [(doc, a + x0, a + x1, partner, y0, y1, equal, None, None) for x0, x1, y0, y1, equal in found]
+        yield _batch(out, _SPANS)
+
+
+def _aligned_whole(batches: Iterator[pa.RecordBatch]):
+    """The same for chains joined with both whole texts (input: doc_id, partner_id, x, y, own, text)."""
+    for b in (part for whole in batches for piece in slices(whole, 4, SLICE_BYTES) for part in slices(piece, 5, SLICE_BYTES)):
+        out = []
+        for doc, partner, x, y, own, text in zip(*[c.to_pylist() for c in b.columns]):
+            found = align(word_hashes(own), word_hashes(text), np.array(x, np.int64), np.array(y, np.int64))
+            out += [(doc, x0, x1, partner, y0, y1, equal, None, None) for x0, x1, y0, y1, equal in found]
+        yield _batch(out, _SPANS)
+
+
+def _long_extensions(whole: DataFrame, open_: DataFrame) -> DataFrame:
+    """Spans of the chains that need the whole texts (a small part of the documents' texts moves)."""
+    ids = open_.select("doc_id").union(open_.select("partner_id")).distinct()
+    texts = whole.join(F.broadcast(ids) if ids.count() <= MAX_BROADCAST_IDS else ids, "doc_id", "left_semi")
+    own = texts.select("doc_id", F.col("text").alias("own"))
+    other = texts.select(F.col("doc_id").alias("partner_id"), "text")
+    met = open_.join(own, "doc_id").join(other, "partner_id")
+    return met.select("doc_id", "partner_id", "x", "y", "own", "text").mapInArrow(_aligned_whole, _SPANS)
 
 
 def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """Passages of at least ``min_words`` words that stand in a document of smaller doc_id, too."""
     whole = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).where("doc_id is not null and text is not null")
-    placed = seed_rows(whole)
+    # so many bits that one seed in some thousands meets another's by chance; alignment drops it
+    n_bytes = whole.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    bits = min(63, max(16, int(n_bytes).bit_length() + 8))
+    placed = seed_rows(whole, bits)
     first = (placed.groupBy("seed").agg(F.min(F.struct("doc_id", "place")).alias("first"), F.max("doc_id").alias("last"))
              .where("first.doc_id < last").select("seed", F.col("first.doc_id").alias("partner_id"), F.col("first.place").alias("at")))
     links = placed.join(first, "seed").where("doc_id > partner_id")
-    gathered = links.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("place", "partner_id", "at"))).alias("links"))  # a document's own seeds
-    chained = whole.join(gathered, "doc_id").select("doc_id", "text", "links").mapInArrow(_chained, _CHAINS)
+    gathered = links.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("place", "partner_id", "at", "seed"))).alias("links"))  # a document's own seeds
+    twice = whole.groupBy("doc_id").agg((F.min(F.xxhash64("text")) < F.max(F.xxhash64("text"))).alias("twice"))
+    chained = whole.join(gathered.join(twice, "doc_id"), "doc_id").select("doc_id", "text", "links", "twice").mapInArrow(_chained(bits), _CHAINS)
     # the partners' texts come by doc_id, too: both joins read one shuffle of the texts
     asked = chained.withColumnsRenamed({"doc_id": "asker", "partner_id": "doc_id"})
-    spans = asked.join(whole, "doc_id").select("asker", "doc_id", "x", "y", "from_", "near", "text").mapInArrow(_aligned, _SPANS)
+    found = checkpointed(asked.join(whole, "doc_id").select("asker", "doc_id", "x", "y", "cuts", "near", "n_words", "text").mapInArrow(_aligned, _SPANS))
+    done, open_ = found.where("x is null").drop("x", "y"), found.where("x is not null").select("doc_id", "partner_id", "x", "y")
+    spans = done if open_.isEmpty() else done.union(_long_extensions(whole, open_).drop("x", "y"))
     # a span inside another one with the same partner says nothing more
     longer = F.max("end_").over(Window.partitionBy("doc_id", "partner_id").orderBy("start", F.desc("end_"), "partner_start").rowsBetween(Window.unboundedPreceding, -1))
     spans = spans.distinct().withColumn("longer", longer).where("longer is null or longer < end_").drop("longer")

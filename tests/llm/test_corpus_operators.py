@@ -209,6 +209,37 @@ def test_passages_far_apart_and_blocks_between_are_pieces_of_their_own(spark):
     assert got == [(2, 30, 90, 1, 20, 80, 1.0), (2, 190, 250, 1, 180, 240, 1.0), (4, 10, 70, 3, 20, 80, 1.0), (4, 170, 230, 3, 80, 140, 1.0)]
 
 
+def test_seeds_count_only_with_equal_words():
+    rng = np.random.default_rng(3)
+    a, b = (rng.integers(0, 1 << 60, 100).astype(np.uint64) for _ in range(2))
+    at = np.arange(0, 90, 10)
+    assert chain_dedup.align(a, b, at, at) == []
+    b[20:75] = a[20:75]
+    assert chain_dedup.align(a, b, at, at) == [(20, 75, 20, 75, 55)]
+
+
+def test_texts_of_one_id_are_chained_on_their_own(spark):
+    rng = np.random.default_rng(9)
+    word = lambda n: ["".join(rng.choice(list("abcdefghij"), 6)) for _ in range(n)]
+    a, b, c = word(150), word(150), word(150)
+    rows = [(1, a), (1, b), (2, word(30) + a[20:120] + word(30)), (3, c), (4, word(5) + c[:70]), (4, word(20) + b[:80] + word(9))]
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")
+    got = sorted((r.doc_id, r.start, r.end_, r.partner_id, r.partner_start, r.partner_end, r.identity) for r in chain_dedup.repeated_passages(df).collect())
+    assert got == [(2, 30, 130, 1, 20, 120, 1.0), (4, 5, 75, 3, 0, 70, 1.0), (4, 20, 100, 1, 0, 80, 1.0)]
+
+
+def test_extension_goes_on_past_the_words_sent_along(spark):
+    rng = np.random.default_rng(21)
+    word = lambda n: ["".join(rng.choice(list("abcdefghij"), 6)) for _ in range(n)]
+    passage = word(200)
+    edited = [w if i < 20 or i % 6 else "new" + w for i, w in enumerate(passage)]  # seeds at its start only
+    docs = {1: word(60) + passage + word(60), 2: word(60) + edited + word(60), 3: word(300)}
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in docs.items()], "doc_id long, text string")
+    (r,) = chain_dedup.repeated_passages(df).collect()
+    assert (r.doc_id, r.start, r.partner_id, r.partner_start) == (2, 60, 1, 60)
+    assert r.end_ >= 258 and r.end_ == r.partner_end and r.identity >= 0.8
+
+
 def test_passage_query_covers_repeats_of_fifty_words(spark, sf, texts):
     found = {}
     for r in queries.op4_repeated_passages(spark, sf).collect():
