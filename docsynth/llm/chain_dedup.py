@@ -27,6 +27,7 @@ empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +36,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import checkpointed, slices, words
+from .common import checkpointed, list_array, slices, words
 
 #: Words of a seed, consecutive seeds that share a minimiser, words of a passage, least identity.
 K, WINDOW, MIN_WORDS, IDENTITY = 6, 12, 50, 0.75
@@ -50,6 +51,7 @@ MAX_BROADCAST_IDS = 1_000_000
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _M1 = np.uint64(0xBF58476D1CE4E5B9)
+_STEPS = np.arange(K)
 
 
 def word_hashes(text: str | None) -> np.ndarray:
@@ -92,6 +94,8 @@ def chains(x: np.ndarray, y: np.ndarray, score: float = SEED_SCORE, gap: float =
     f(j) = score + max(0, max f(i) - gap * skipped words) over i before j in both
     texts; with c = gap * (x + y) the inner maximum is a prefix maximum of
     f(i) + c(i) over y, kept in a Fenwick tree."""
+    if len(x) == 1:
+        return [[0]]
     order = np.lexsort((-y, x))
     rank = np.searchsorted(np.unique(y), y) + 1
     size = int(rank.max(initial=0))
@@ -133,6 +137,11 @@ def common_words(a: np.ndarray, b: np.ndarray) -> int:
     """Length of the longest common subsequence of two short word rows."""
     if len(a) == len(b) and (a == b).all():
         return len(a)
+    x, y = a.tolist(), b.tolist()
+    both = set(x) & set(y)  # other words are in no common subsequence
+    if len(both) < 2:
+        return len(both) and min(x.count(v := both.pop()), y.count(v))
+    a, b = np.array([v for v in x if v in both], np.uint64), np.array([v for v in y if v in both], np.uint64)
     row = np.zeros(len(b) + 1, np.int32)
     for v in a:
         step = np.where(b == v, row[:-1] + 1, row[1:])
@@ -145,21 +154,55 @@ def extend(a: np.ndarray, b: np.ndarray) -> tuple[int, int, int, int]:
     and the words of ``a`` that were looked at."""
     i = j = equal = score = 0
     best = (0, 0, 0, 0)
-    while i < len(a) and j < len(b) and score > best[0] - 6:
-        if a[i] == b[j]:
+    n, m, size = len(a), len(b), 16
+    x, y = a[:size].tolist(), b[:size].tolist()
+    while i < n and j < m and score > best[0] - 6:
+        if max(i, j) + 3 > size:  # the look-ahead needs three words
+            size *= 4
+            x, y = a[:size].tolist(), b[:size].tolist()
+        if x[i] == y[j]:
             i, j, equal, score = i + 1, j + 1, equal + 1, score + 1
             if score > best[0]:
                 best = (score, i, j, equal)
             continue
         for di, dj in ((1, 1), (1, 0), (0, 1)):
-            p, q = a[i + di:i + di + 2], b[j + dj:j + dj + 2]
-            if len(p) == 2 and len(q) == 2 and (p == q).all():
+            p = x[i + di:i + di + 2]
+            if len(p) == 2 and p == y[j + dj:j + dj + 2]:
                 i, j = i + di, j + dj
                 break
         else:
             i, j = i + 1, j + 1
         score -= 2
-    return *best[1:], min(len(a), i + 3) if j < len(b) else 0
+    return *best[1:], min(n, i + 3) if j < m else 0
+
+
+def equal_stretches(xw: np.ndarray, yw: np.ndarray, x: np.ndarray, y: np.ndarray, k: int) -> list[list[int]]:
+    """Start and end in both rows of the stretches of equal words that a chain of seeds spans, in order.
+
+    Seeds of one diagonal without an unequal word between them are one stretch; a
+    seed that overlaps the stretch before it on another diagonal is left out."""
+    runs: list[list[int]] = []
+    turns = [0, *(np.flatnonzero(np.diff(y - x)) + 1).tolist(), len(x)]
+    for a, e in zip(turns, turns[1:]):
+        lo, hi, shift = int(x[a]), int(x[e - 1]) + k, int(y[a] - x[a])
+        bad = np.flatnonzero(xw[lo:hi] != yw[lo + shift:hi + shift])
+        parts = [a, e]
+        if len(bad):
+            parts = [a, *(a + 1 + np.flatnonzero(np.diff(np.searchsorted(bad, x[a:e] - lo)))).tolist(), e]
+        for f, g in zip(parts, parts[1:]):
+            start, end = int(x[f]), int(x[g - 1]) + k
+            if runs:
+                _, px, _, py = runs[-1]
+                if start < px and py - px == shift:
+                    runs[-1][1], runs[-1][3] = max(px, end), max(py, end + shift)
+                    continue
+                if start < px or start + shift < py:
+                    f += int(np.searchsorted(x[f:g], max(px, py - shift)))
+                    if f == g:
+                        continue
+                    start = int(x[f])
+            runs.append([start, end, start + shift, end + shift])
+    return runs
 
 
 def align(xw: np.ndarray, yw: np.ndarray, x: np.ndarray, y: np.ndarray, k: int = K,
@@ -170,27 +213,22 @@ def align(xw: np.ndarray, yw: np.ndarray, x: np.ndarray, y: np.ndarray, k: int =
     with or without its extensions, is cut at its worst gap, and both parts are judged
     anew, extended past their own ends. ``goes_on`` tells on which sides ``xw`` is cut
     out of a longer row; None, if an extension came to such an end."""
-    same = (x + k <= len(xw)) & (y + k <= len(yw))
-    for j in range(k):
-        same[same] = xw[x[same] + j] == yw[y[same] + j]
+    inside = (x + k <= len(xw)) & (y + k <= len(yw))
+    x, y = x[inside], y[inside]
+    same = (xw[x[:, None] + _STEPS[:k]] == yw[y[:, None] + _STEPS[:k]]).all(1)
     x, y = x[same], y[same]
     if not len(x):
         return []
-    runs: list[list[int]] = []  # start and end in both rows of equal stretches
-    for sx, sy in zip(x.tolist(), y.tolist()):
-        if not runs or (sx >= runs[-1][1] and sy >= runs[-1][3]):
-            runs.append([sx, sx + k, sy, sy + k])
-        elif sx - runs[-1][1] == sy - runs[-1][3]:  # overlaps the last seed on the same diagonal
-            runs[-1][1], runs[-1][3] = sx + k, sy + k
+    runs = equal_stretches(xw, yw, x, y, k)
     gaps = [(common_words(xw[a[1]:b[0]], yw[a[3]:b[2]]), max(b[0] - a[1], b[2] - a[3])) for a, b in zip(runs, runs[1:])]
-    loss = np.array([IDENTITY * size - equal for equal, size in gaps])
-    upto = np.cumsum([0, *(r[1] - r[0] for r in runs)])
-    between = np.cumsum([0, *(equal for equal, _ in gaps)])
+    loss = [IDENTITY * size - equal for equal, size in gaps]
+    upto = list(accumulate((r[1] - r[0] for r in runs), initial=0))
+    between = list(accumulate((equal for equal, _ in gaps), initial=0))
     out, waiting = [], [(0, len(runs))]
     while waiting:
         lo, hi = waiting.pop()
         (ax, _, ay, _), (_, px, _, py) = runs[lo], runs[hi - 1]
-        equal = int(upto[hi] - upto[lo] + between[hi - 1] - between[lo])
+        equal = upto[hi] - upto[lo] + between[hi - 1] - between[lo]
         left, right, none = extend(xw[:ax][::-1], yw[:ay][::-1]), extend(xw[px:], yw[py:]), (0, 0, 0, 0)
         if (goes_on[0] and left[3] >= ax) or (goes_on[1] and right[3] >= len(xw) - px):
             return None
@@ -199,12 +237,12 @@ def align(xw: np.ndarray, yw: np.ndarray, x: np.ndarray, y: np.ndarray, k: int =
         if good:
             out.append(max(good, key=lambda t: t[1] - t[0]))
         elif hi - lo > 1:
-            cut = lo + 1 + int(loss[lo:hi - 1].argmax())
+            cut = 1 + max(range(lo, hi - 1), key=loss.__getitem__)
             waiting += [(cut, hi), (lo, cut)]
     return out
 
 
-_SEEDS = T.StructType([T.StructField("seed", T.LongType()), T.StructField("doc_id", T.LongType()), T.StructField("place", T.IntegerType())])
+_SEEDS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("seed", T.ArrayType(T.LongType())), T.StructField("place", T.ArrayType(T.IntegerType()))])
 _PLACES = T.ArrayType(T.ArrayType(T.IntegerType()))
 _CHAINS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("partner_id", T.LongType()), T.StructField("x", _PLACES), T.StructField("y", _PLACES),
                         T.StructField("cuts", T.ArrayType(T.IntegerType())), T.StructField("near", T.BinaryType()), T.StructField("n_words", T.IntegerType())])
@@ -219,17 +257,22 @@ def _batch(rows: list[tuple], schema: T.StructType) -> pa.RecordBatch:
 
 
 def seed_rows(docs: DataFrame, bits: int) -> DataFrame:
-    """seed (its upper ``bits`` bits), doc_id and place of every document's minimisers (docs: doc_id, text)."""
+    """seed (its upper ``bits`` bits), doc_id and place of every document's minimisers (docs: doc_id, text).
+
+    They are found once and kept in the shared folder, as two uses shuffle them: minima of seeds, added up before
+    their shuffle, and the join, whose large partitions can be split."""
     shift = np.uint64(64 - bits)
 
     def run(batches: Iterator[pa.RecordBatch]):
         for b in (part for whole in batches for part in slices(whole, 1, SLICE_BYTES)):
             found = [seeds(word_hashes(t)) for t in b.column(1).to_pylist()]
             value, place = (np.concatenate(c) for c in zip(*found))
-            ids = np.repeat(b.column(0).to_numpy(), [len(p) for _, p in found])
-            yield pa.RecordBatch.from_arrays([pa.array((value >> shift).astype(np.int64)), pa.array(ids), pa.array(place.astype(np.int32))], names=_SEEDS.names)
+            sizes = np.array([len(p) for _, p in found], np.int64)
+            yield pa.RecordBatch.from_arrays([b.column(0), list_array((value >> shift).astype(np.int64), sizes, pa.int64()),
+                                              list_array(place.astype(np.int32), sizes, pa.int32())], names=_SEEDS.names)
 
-    return docs.mapInArrow(run, _SEEDS)
+    kept = checkpointed(docs.mapInArrow(run, _SEEDS))
+    return kept.select("doc_id", F.explode(F.arrays_zip("seed", "place")).alias("s")).select("s.seed", "doc_id", "s.place")
 
 
 def _windows(found: list[np.ndarray], n: int) -> list[tuple[int, int]]:
