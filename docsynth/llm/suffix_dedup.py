@@ -268,8 +268,8 @@ def removed_spans(whole: DataFrame) -> DataFrame:
     rows = map_columns(whole, grams, ["data"], [("gram", T.ArrayType(T.LongType()))], keep=["doc_id"]).select(F.explode("gram").alias("gram"), "doc_id")
     rows = rows.repartition("gram")  # counted and joined where they lie: (minimiser, id) rows are shuffled once
     several = rows.groupBy("gram").agg(F.count(F.lit(1)).alias("docs")).where("docs > 1")
-    first = whole.groupBy(F.xxhash64("data").alias("a"), F.xxhash64("data", F.lit(1)).alias("b")).agg(F.min("doc_id").alias("first"))
-    copies = (whole.select("doc_id", _part("data").alias("part"), F.xxhash64("data").alias("a"), F.xxhash64("data", F.lit(1)).alias("b"), F.octet_length("data").cast("long").alias("to"))
+    first = whole.groupBy(F.xxhash64("data").alias("a"), F.xxhash64(F.lit(1), "data").alias("b")).agg(F.min("doc_id").alias("first"))
+    copies = (whole.select("doc_id", _part("data").alias("part"), F.xxhash64("data").alias("a"), F.xxhash64(F.lit(1), "data").alias("b"), F.octet_length("data").cast("long").alias("to"))
               .join(first, ["a", "b"]).where((F.col("doc_id") > F.col("first")) & (F.col("to") >= LENGTH)).select("doc_id", "part", F.lit(0).cast("long").alias("from_"), "to"))
 
     def runs(wanted: DataFrame, single: bool) -> DataFrame:
@@ -280,7 +280,7 @@ def removed_spans(whole: DataFrame) -> DataFrame:
         return met.where(~F.array_contains(F.coalesce("copied", F.array().cast("array<int>")), F.col("part"))).select("doc_id", "part", "data", "grams").mapInArrow(_cut(bits, single), _RUNS)
 
     met = runs(several.where(F.col("docs") <= HOT_DOCS), False).repartition("gram").sortWithinPartitions("gram").mapInArrow(_repeated, _SPANS)
-    single = runs(several.where(F.col("docs") > HOT_DOCS), True).select(F.xxhash64("run").alias("a"), F.xxhash64("run", F.lit(1)).alias("b"), "doc_id", "part", "start")
+    single = runs(several.where(F.col("docs") > HOT_DOCS), True).select(F.xxhash64("run").alias("a"), F.xxhash64(F.lit(1), "run").alias("b"), "doc_id", "part", "start")
     least = single.groupBy("a", "b").agg(F.min("doc_id").alias("first"))
     start = F.col("start").cast("long")
     alone = single.join(least, ["a", "b"]).where("doc_id > first").select("doc_id", "part", start.alias("from_"), (start + LENGTH).alias("to"))
