@@ -317,3 +317,19 @@ def _full_sets(docs: DataFrame, ids: DataFrame, doc_id: str, text: str) -> DataF
 
     frame = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")).where("text is not null").join(ids, "id", "left_semi")
     return map_columns(frame, run, ["text"], [("elements", T.BinaryType())], keep=["id"])
+
+
+#: The same rows in DuckDB: all pairs of full sets that share a shingle, and what is reachable over them.
+ORACLE = """WITH RECURSIVE d AS (SELECT row_number() OVER () AS rn, doc_id,
+    COALESCE(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+'), []) AS w FROM documents),
+g AS (SELECT DISTINCT rn, doc_id, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS sh FROM d),
+n AS (SELECT rn, COUNT(*) AS n FROM g GROUP BY rn),
+p AS (SELECT a.rn AS ra, b.rn AS rb, any_value(a.doc_id) AS x, any_value(b.doc_id) AS y, COUNT(*) AS common
+  FROM g a JOIN g b ON a.sh = b.sh AND a.rn < b.rn GROUP BY ALL),
+l AS (SELECT x, y FROM p JOIN n na ON na.rn = ra JOIN n nb ON nb.rn = rb WHERE 100 * common >= 75 * (na.n + nb.n - common)),
+e AS (SELECT x, y FROM l UNION SELECT y, x FROM l),
+r AS (SELECT doc_id AS id, doc_id AS c FROM documents UNION SELECT e.y, r.c FROM r JOIN e ON r.id = e.x WHERE r.c < e.y),
+m AS (SELECT id, MIN(c) AS component_id FROM r GROUP BY id)
+SELECT d.doc_id, COALESCE(n.n, 0) AS n_shingles, m.component_id, d.doc_id = m.component_id AS kept
+FROM d LEFT JOIN n USING (rn) JOIN m ON m.id = d.doc_id"""
