@@ -327,6 +327,42 @@ def test_main_text_of_a_page_without_article_tags():
         "Title & more", "First paragraph with enough words to count as text of its own.", "Second one, with a link, as long as the first one.", "one"]
 
 
+_PARTS = ["The first paragraph of the story is long enough to be taken for text of its own kind.",
+          "Another paragraph follows here, and it says about as much as the one before it did.",
+          "A third one closes this half of the story with a few more words than were needed."]
+_STORY, _HTML = "\n".join(_PARTS), "".join(f"<p>{x}</p>" for x in _PARTS)
+_NAV, _FOOT = "<div id=menu><a href=a>Home</a> <a href=b>News</a></div>", "<div class=footer>Copyright 2024</div>"
+_READER = "<p>Reader comment that is rather long as well, long enough to mislead.</p>"
+
+
+@pytest.mark.parametrize("inside, text", [
+    (f"<div class='content-area widget-ready'>{_HTML}</div>", _STORY),
+    (f"<article>{_HTML}<div class='related-work'><p>{_PARTS[0]}</p></div><div id='search-results'><p>{_PARTS[1]}</p></div><div class='alert-box'>"
+     f"{_PARTS[2]}</div><div class=related><ul><li><a href=x>Another story of some length</a><li><a href=y>And one more of them here</a></ul></div></article>",
+     f"{_STORY}\n{_STORY}"),
+    (f"<div id=c><div>{_HTML}</div><div>{_HTML}</div></div>", f"{_STORY}\n{_STORY}"),
+    (f"<div>{_HTML}</div><div class=ad>Buy now or never, this is a big sale.</div><blockquote>Quoted.</blockquote><div>{_HTML}</div>", f"{_STORY}\nQuoted.\n{_STORY}"),
+    (f"<div><h1>The title</h1><div class=text>{_HTML}</div></div>", f"The title\n{_STORY}"),
+    (f"<div class=t><h1>The title</h1></div><div class=text>{_HTML}</div>", f"The title\n{_STORY}"),
+    (f"<article>{_HTML}</article><article class=reader>{_READER}</article>", _STORY),
+    (f"<article><h1>T</h1>{_HTML}<div class=comments><article>{_READER}</article>{_READER}{_READER}</div></article>", f"T\n{_STORY}"),
+    (f"<div><p>{_PARTS[0]}</p><ul><li>one</li><li>two</li></ul><table><tr><td>a<td>b</table></div>", f"{_PARTS[0]}\none\ntwo\na\nb")])
+def test_main_text_is_told_by_density(inside, text):
+    assert html_extract.main_text(f"<body class='sidebar widget-ready'>{_NAV}{inside}{_FOOT}</body>") == text
+
+
+def test_the_article_element_decides_nothing_on_the_pages(spark, sf):
+    for r in spark.read.parquet(f"{sf}/pages.parquet").where("html is not null").collect():
+        assert html_extract.main_text(re.sub(r"(</?)article>", r"\1div>", r.html)) == html_extract.main_text(r.html)
+
+
+def test_pages_of_unmatched_tags_and_long_pages_take_linear_time():
+    n = 40000
+    for html in ("<div>" * n + "</i>" * n, "<div>" * n + "<tr>" * n + "<b>" * n + "<hr>" * n):
+        assert html_extract.main_text(html + "end") == "end"
+    assert html_extract.main_text("<p>word " * 300000).count("\n") == 299999
+
+
 def test_odd_pages(spark):
     rows = [(1, "u", None), (2, "u", ""), (3, "u", "plain text only"), (4, "u", "<p>cut off &am"), (5, "u", "<div>" * 3000 + "deep" + "</p></b>"),
             (6, None, "<table><tr><td>a<td>b<tr><td>c</table>"), (6, None, "<!-- x --><nav>menu</nav>"), (None, "u", "<article>x<article>y</article></article>")]
