@@ -6,7 +6,7 @@ return the columns of ``documents``:
 
 1. toxicity: documents scored 0.5 or more go;
 2. near duplicates: one document of each group of near copies stays (the smallest
-   doc_id; of several rows with it, one);
+   doc_id; of equal rows, one). Unlike texts under one doc_id are documents of their own;
 3. decontamination: documents in which a twentieth of the words lies in benchmark
    phrases go;
 4. personal data: every span is replaced by its kind in brackets;
@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docsynth.llm import fm_decontam, pii, setsketch, sp_codec, toxicity
-from docsynth.llm.common import table
+from docsynth.llm.common import checkpointed, table
 from docsynth.session import ensure_checkpoint_dir
 
 
@@ -33,10 +33,31 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.scored(docs, model).where("score < 0.5").select(*docs.columns)
 
 
+#: Repeated doc_ids of unlike texts are broadcast up to this many (about 100 bytes each).
+BROADCAST_IDS = 200_000
+#: Surrogate ids of the further texts of a repeated doc_id start here, so that a plain doc_id of their group stays before them.
+SURROGATES = 1 << 62
+
+
+def with_row_ids(docs: DataFrame) -> DataFrame:
+    """Adds ``_stage_id``: the doc_id, and for all but the first text (by hash) of a repeated one a surrogate."""
+    key = F.md5(F.coalesce(F.col("text"), F.lit("")))
+    repeated = checkpointed(docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("_stage_doc"), key.alias("_stage_key"))
+                            .groupBy("_stage_doc").agg(F.min("_stage_key").alias("_stage_first"), F.max("_stage_key").alias("_stage_last"))
+                            .where("_stage_first < _stage_last").drop("_stage_last"))
+    side = F.broadcast(repeated) if repeated.count() <= BROADCAST_IDS else repeated
+    joined = docs.join(side, F.col("doc_id").cast("long") == F.col("_stage_doc"), "left")
+    surrogate = F.lit(SURROGATES) + F.pmod(F.xxhash64(F.col("doc_id"), key), F.lit(SURROGATES))
+    own = F.when(F.col("doc_id").isNotNull(), F.when(F.col("_stage_first") < key, surrogate).otherwise(F.col("doc_id").cast("long")))
+    return joined.withColumn("_stage_id", own).drop("_stage_doc", "_stage_first")
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    kept = setsketch.near_duplicates(docs).where("kept and doc_id is not null").select("doc_id").distinct()
-    first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    once = docs.join(kept, "doc_id", "left_semi").withColumn("_row", F.row_number().over(first)).where("_row = 1")
+    rows = with_row_ids(docs)
+    kept = setsketch.near_duplicates(rows.select("_stage_id", "text"), "_stage_id").where("kept and doc_id is not null")
+    first = Window.partitionBy("_stage_id").orderBy(F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))
+    once = (rows.join(kept.select(F.col("doc_id").alias("_stage_id")).distinct(), "_stage_id", "left_semi")
+            .withColumn("_stage_row", F.row_number().over(first)).where("_stage_row = 1"))
     return once.select(*docs.columns).unionByName(docs.where("doc_id is null"))
 
 
