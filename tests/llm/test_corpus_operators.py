@@ -371,3 +371,15 @@ def test_pipeline_stages_take_odd_rows_and_empty_tables(spark, sf, odd, empty, t
             stage(spark, docs, sf).write.parquet(str(tmp_path / f"{name}{i}"))
             docs = spark.read.parquet(str(tmp_path / f"{name}{i}"))
         assert docs.count() == (0 if name == "empty" else 10)  # one of the two equal rows goes
+
+
+def test_unlike_texts_of_one_doc_id_are_documents_of_their_own(spark, sf):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    rows = [(1, a), (2, a + " more"), (2, b), (2, b), (3, b), (2, None), (4, c), (4, c + " end"), (5, c), (6, None), (7, ""), (None, a)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, sf).collect()
+    assert corpus_pipeline.drop_near_duplicates(spark, docs, sf).columns == docs.columns
+    by_text = {x: [r.doc_id for r in kept if r.text and r.text.startswith(f"{x}0") and r.doc_id is not None] for x in "abc"}
+    assert by_text["a"] == [1] and by_text["c"] == [4] and len(by_text["b"]) == 1
+    assert sorted(r.doc_id for r in kept if not r.text) == [2, 6, 7]  # empty ones are linked with nothing
+    assert sum(r.doc_id is None for r in kept) == 1
