@@ -270,5 +270,25 @@ def with_verdict(found: DataFrame) -> DataFrame:
 
 def digest(found: DataFrame) -> DataFrame:
     """The contract's columns of ``contamination``."""
+    spans = F.array_join(F.transform("hit_spans", lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string"))), ",")
     return with_verdict(found).select("doc_id", "n_words", "n_hit", F.size("hit_items").cast("long").alias("n_items"),
-                                      sha_of(F.concat_ws(",", F.array_sort("hit_items"))).alias("items_sha256"), "contaminated", "hit_spans")
+                                      sha_of(F.concat_ws(",", F.array_sort("hit_items"))).alias("items_sha256"), "contaminated", spans.alias("hit_spans"))
+
+
+#: The same rows in DuckDB: word windows of documents joined with those of the items.
+ORACLE = r"""WITH d AS (SELECT row_number() OVER () AS rn, doc_id,
+    COALESCE(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item,
+    regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark WHERE text IS NOT NULL),
+bk AS (SELECT item, w, LEAST(13, len(w)) AS k FROM b WHERE len(w) > 0),
+bw AS (SELECT DISTINCT item, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS g FROM bk),
+ks AS (SELECT DISTINCT k FROM bw),
+pl AS (SELECT rn, k, unnest(range(1, len(w) - k + 2)) AS i, w FROM d, ks WHERE len(w) >= k),
+hit AS (SELECT DISTINCT pl.rn, pl.i, pl.k, bw.item FROM pl JOIN bw ON pl.k = bw.k AND array_to_string(pl.w[pl.i:pl.i + pl.k - 1], ' ') = bw.g),
+its AS (SELECT rn, COUNT(*) AS n, string_agg(item, ',' ORDER BY item) AS s FROM (SELECT DISTINCT rn, item FROM hit) GROUP BY rn),
+pos AS (SELECT DISTINCT rn, unnest(range(i - 1, i + k - 1)) AS p FROM (SELECT DISTINCT rn, i, k FROM hit)),
+runs AS (SELECT rn, MIN(p) AS a, MAX(p) + 1 AS e FROM (SELECT rn, p, p - row_number() OVER (PARTITION BY rn ORDER BY p) AS island FROM pos) GROUP BY rn, island),
+sp AS (SELECT rn, SUM(e - a) AS n_hit, string_agg(a || ':' || e, ',' ORDER BY a) AS s FROM runs GROUP BY rn)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(COALESCE(n_hit, 0) AS BIGINT) AS n_hit, COALESCE(its.n, 0) AS n_items,
+    sha256(COALESCE(its.s, '')) AS items_sha256, COALESCE(n_hit, 0) > 0 AND 20 * COALESCE(n_hit, 0) >= len(w) AS contaminated, COALESCE(sp.s, '') AS hit_spans
+FROM d LEFT JOIN sp USING (rn) LEFT JOIN its USING (rn)"""

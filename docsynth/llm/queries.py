@@ -64,4 +64,4 @@ def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_nearest_neighbours, op2_decontaminate, op3_suffix_dedup, op4_repeated_passages, op5_sentencepiece, op6_license_scan, op7_html_extraction, op8_toxicity, op9_pii, op10_near_duplicates, op11_ranked_search, op12_collocations, op13_language_id)}
 
-ORACLE_SQL: dict[str, str] = {"op10_near_duplicates": setsketch.ORACLE, "op11_ranked_search": max_sketch.ORACLE, "op12_collocations": collocations.ORACLE}
+ORACLE_SQL: dict[str, str] = {"op2_decontaminate": fm_decontam.ORACLE, "op3_suffix_dedup": suffix_dedup.ORACLE, "op10_near_duplicates": setsketch.ORACLE, "op11_ranked_search": max_sketch.ORACLE, "op12_collocations": collocations.ORACLE}

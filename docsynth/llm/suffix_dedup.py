@@ -318,3 +318,21 @@ def digest(found: DataFrame) -> DataFrame:
     """The contract's columns of ``deduplicated``."""
     n_removed = F.aggregate("removed", F.lit(0).cast("long"), lambda s, x: s + x["end"] - x["start"])
     return found.select("doc_id", "n_bytes", n_removed.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+#: The same rows in DuckDB: every 50-byte string (as hex) with the first document it starts in.
+ORACLE = """WITH d AS (SELECT row_number() OVER () AS rn, doc_id, hex(encode(COALESCE(text, ''))) AS h FROM documents),
+b AS (SELECT rn, doc_id, unnest(range(0, (len(h) // 2 - 50) // 256 + 1)) AS b, h FROM d WHERE len(h) >= 100),
+p AS (SELECT rn, doc_id, b, substr(h, 512 * b + 1, 610) AS p FROM b),
+s AS (SELECT rn, doc_id, b, p, unnest(range(0, LEAST(256, len(p) // 2 - 49))) AS j FROM p),
+g AS (SELECT rn, doc_id, 256 * b + j AS i, md5_number(substr(p, 2 * j + 1, 100)) AS g FROM s),
+f AS (SELECT g, MIN(doc_id) AS m FROM g GROUP BY g HAVING MIN(doc_id) < MAX(doc_id)),
+c AS (SELECT rn, i, lag(i) OVER (PARTITION BY rn ORDER BY i) AS before FROM g JOIN f USING (g) WHERE doc_id > m),
+k AS (SELECT rn, i, SUM(CASE WHEN before IS NULL OR i > before + 50 THEN 1 ELSE 0 END) OVER (PARTITION BY rn ORDER BY i) AS island FROM c),
+r AS (SELECT rn, MIN(i) AS a, MAX(i) + 50 AS e FROM k GROUP BY rn, island),
+o AS (SELECT rn, a, e, COALESCE(lag(e) OVER (PARTITION BY rn ORDER BY a), 0) AS gap FROM r),
+t AS (SELECT rn, COUNT(*) AS n_spans, SUM(e - a) AS n_removed, MAX(e) AS last, string_agg(substr(h, 2 * gap + 1, 2 * (a - gap)), '' ORDER BY a) AS head
+  FROM o JOIN d USING (rn) GROUP BY rn)
+SELECT doc_id, len(h) // 2 AS n_bytes, CAST(COALESCE(n_removed, 0) AS BIGINT) AS n_removed, COALESCE(n_spans, 0) AS n_spans,
+    sha256(unhex(COALESCE(head, '') || substr(h, 2 * COALESCE(last, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN t USING (rn)"""
