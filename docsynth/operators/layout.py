@@ -14,11 +14,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.geometry import DEFAULT_RESOLUTION, page_points, scale_to_page, to_bottom_left
-from .sampling import DEFAULT_MAX_BROADCAST_ROWS, checked_broadcast
+from .sampling import DEFAULT_MAX_BROADCAST_ROWS, checked_broadcast, measured
 
 DEFAULT_FONT = "Helvetica"
 DEFAULT_ADVANCE = 556
-MAX_METRIC_ENTRIES = 65_536
 
 
 def widgets(templates: DataFrame, fields: DataFrame, resolution: float = DEFAULT_RESOLUTION,
@@ -51,14 +50,35 @@ def widgets(templates: DataFrame, fields: DataFrame, resolution: float = DEFAULT
                     (h - F.lit(4.0)).try_cast("int").alias("font_size"), F.lit(-1).alias("border_width"))
 
 
-def _advance_map(metrics: DataFrame):
-    n = metrics.count()
-    if n > MAX_METRIC_ENTRIES:
-        raise ValueError(f"font metrics table has {n} rows; expected a character set (<= {MAX_METRIC_ENTRIES})")
-    rows = metrics.select("ch", "advance").collect()
-    if not rows:
-        return F.create_map().cast("map<string,int>")
-    return F.create_map(*[x for r in rows for x in (F.lit(r["ch"]), F.lit(int(r["advance"])))])
+# Code points a page of the advance table.
+PAGE = 256
+
+
+def _advances(metrics: DataFrame, default_advance: int):
+    """The advance of a character as an expression: two arrays searched by code point.
+
+    The table has at most one entry a code point (of several the least advance, of
+    none or null the default), so what the plan carries is bounded by Unicode; entries
+    of more than one character match nothing. Pages without an entry are not stored."""
+    one = metrics.where("ch is not null and char_length(ch) = 1 and advance is not null")
+    found = {r["code"]: r["advance"] for r in one.groupBy(F.ascii("ch").alias("code")).agg(
+        F.min("advance").cast("int").alias("advance")).collect()}
+    pages = sorted({code // PAGE for code in found})
+    number = {page: i for i, page in enumerate(pages)}
+    places = [number.get(page, -1) for page in range(pages[-1] + 1)] if pages else [-1]
+    values = [found.get(page * PAGE + low, default_advance) for page in pages for low in range(PAGE)] or [default_advance]
+
+    def constant(numbers):  # one literal, folded to an array when the plan is made
+        return F.split(F.lit(",".join(map(str, numbers))), ",").cast("array<int>")
+
+    at, of = constant(places), constant(values)
+
+    def advance(c):  # a page that is not stored gives a place outside the array
+        code = F.ascii(c)
+        place = F.get(at, F.shiftright(code, PAGE.bit_length() - 1)) * PAGE + code % PAGE
+        return F.coalesce(F.get(of, place), F.lit(default_advance))
+
+    return advance
 
 
 # Elements summed together before the sums of such blocks are added up.
@@ -95,16 +115,16 @@ def layout_glyphs(values: DataFrame, widget_spec: DataFrame, metrics: DataFrame,
     size above ``y``. A ``'\\n'`` glyph with an empty box closes the line.
     The per-character prefix sums are array expressions on the value row, so
     the layout adds no shuffle; widgets (the template dimension) are
-    broadcast after a size check, the metrics are a character-set map.
+    broadcast after a size check, the metrics are arrays searched by code point.
     """
-    n_w = widget_spec.count()
-    w = checked_broadcast(widget_spec.select("template_id", "pos", "x", "y", "font_size"), n_w, max_broadcast_rows)
+    w = widget_spec.select("template_id", "pos", "x", "y", "font_size")
+    w = checked_broadcast(w, *measured(w), max_rows=max_broadcast_rows)
     v = values.filter(F.col("value").isNotNull()).select("doc_id", "template_id", "pos", "value").join(
         w, ["template_id", "pos"])
-    adv_map = _advance_map(metrics)
+    advance = _advances(metrics, default_advance)
     chars = F.filter(F.split(F.col("value"), ""), lambda c: c != "")
     v = v.withColumn("_ds_chars", chars)
-    v = v.withColumn("_ds_adv", F.transform("_ds_chars", lambda c: F.coalesce(adv_map[c], F.lit(default_advance))))
+    v = v.withColumn("_ds_adv", F.transform("_ds_chars", advance))
     v = v.withColumn("_ds_cum", _prefix_sums(F.col("_ds_adv")))
     glyph = F.arrays_zip(F.concat(F.col("_ds_chars"), F.array(F.lit("\n"))).alias("ch"),
                          F.col("_ds_cum").alias("b"),
@@ -132,14 +152,14 @@ def layout_words(values: DataFrame, widget_spec: DataFrame, metrics: DataFrame,
     count, so no group grows with the data.
     Output: doc_id, template_id, page, line, word_no, text, x0, y0, x1, y1.
     """
-    n_w = widget_spec.count()
-    w = checked_broadcast(widget_spec.select("template_id", "pos", "x", "y", "font_size"), n_w, max_broadcast_rows)
+    w = widget_spec.select("template_id", "pos", "x", "y", "font_size")
+    w = checked_broadcast(w, *measured(w), max_rows=max_broadcast_rows)
     v = values.filter(F.col("value").isNotNull()).select("doc_id", "template_id", "pos", "value").join(
         w, ["template_id", "pos"])
-    adv_map = _advance_map(metrics)
+    advance = _advances(metrics, default_advance)
     chars = F.filter(F.split(F.col("value"), ""), lambda c: c != "")
     v = v.withColumn("_ds_chars", chars)
-    adv = F.transform("_ds_chars", lambda c: F.coalesce(adv_map[c], F.lit(default_advance)).cast("bigint"))
+    adv = F.transform("_ds_chars", lambda c: advance(c).cast("bigint"))
     v = v.withColumn("_ds_adv", adv)
     # cum[i] = advance before glyph i, for i = 0..n (cum[n] = whole value)
     v = v.withColumn("_ds_cum", _prefix_sums(F.col("_ds_adv")))

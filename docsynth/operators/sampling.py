@@ -7,8 +7,8 @@
   ``lo <= u < hi`` with each interval exploded over the bins it meets, an equi-join
   on ``floor(u * B)`` and the range as a filter, so it plans as a hash join.
 
-The dictionary side is broadcast only after its row count is checked against
-``max_broadcast_rows``; above that the join is a shuffle join on uniformly
+The dictionary side is broadcast only after its rows and bytes are checked against
+``max_broadcast_rows`` and ``DEFAULT_MAX_BROADCAST_BYTES``; above these the join is a shuffle join on uniformly
 spread keys (draws are uniform, so there is no hot key on the probe side).
 """
 
@@ -27,9 +27,29 @@ DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
 SMALL_DICTIONARY_ROWS = 200_000
 
 
-def checked_broadcast(df: DataFrame, n_rows: int, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only for a side whose counted size is within the bound."""
-    return F.broadcast(df) if n_rows <= max_rows else df
+#: Bound of the bytes of a broadcast side; a row counts its strings and ``ROW_BYTES``.
+DEFAULT_MAX_BROADCAST_BYTES = 256 << 20
+ROW_BYTES = 64
+
+
+def measured(df: DataFrame) -> tuple[int, int]:
+    """Rows and bytes of a table (its strings, and ``ROW_BYTES`` a row), in one job."""
+    strings = [F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)).cast("bigint")
+               for f in df.schema.fields if f.dataType.typeName() in ("string", "binary")]
+    size = F.lit(0).cast("bigint")
+    for s in strings:
+        size = size + s
+    n, held = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first()
+    return int(n), int(held) + ROW_BYTES * int(n)
+
+
+def within_bounds(n_rows: int, n_bytes: int, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> bool:
+    return n_rows <= max_rows and n_bytes <= DEFAULT_MAX_BROADCAST_BYTES
+
+
+def checked_broadcast(df: DataFrame, n_rows: int, n_bytes: int, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast hint only for a side whose measured rows and bytes are within the bounds."""
+    return F.broadcast(df) if within_bounds(n_rows, n_bytes, max_rows) else df
 
 
 def _group_cols(by: Sequence[str] | None) -> list[str]:
@@ -50,10 +70,12 @@ def _spread_null_key(key: Column, row_cols: Sequence[str], broadcast: bool) -> C
 
 
 def index_dictionary(dictionary: DataFrame, order_cols: Sequence[str], by: Sequence[str] | None = None,
-                     idx_col: str = "_ds_idx", n_col: str = "_ds_n", n_rows: int | None = None) -> DataFrame:
-    """Dense 0-based index of each row inside its group, plus the group size."""
+                     idx_col: str = "_ds_idx", n_col: str = "_ds_n", size: tuple[int, int] | None = None) -> DataFrame:
+    """Dense 0-based index of each row inside its group, plus the group size.
+
+    ``size`` is what ``measured`` gives for the dictionary, where it is known."""
     by = _group_cols(by)
-    n_rows = dictionary.count() if n_rows is None else n_rows
+    n_rows, n_bytes = size or measured(dictionary)
     if n_rows <= SMALL_DICTIONARY_ROWS:
         w = Window.partitionBy(*by).orderBy(*order_cols)
         return (dictionary.withColumn(idx_col, (F.row_number().over(w) - 1).cast("bigint"))
@@ -63,7 +85,7 @@ def index_dictionary(dictionary: DataFrame, order_cols: Sequence[str], by: Seque
         return ranked.withColumnRenamed("_ds_g", idx_col).withColumn(n_col, F.lit(n_rows).cast("bigint"))
     # one row per group, groups <= dictionary rows (checked bound)
     groups = ranked.groupBy(*by).agg(F.min("_ds_g").alias("_ds_start"), F.count(F.lit(1)).alias(n_col))
-    joined = ranked.join(checked_broadcast(groups, n_rows), by)
+    joined = ranked.join(checked_broadcast(groups, n_rows, n_bytes), by)
     return joined.withColumn(idx_col, (F.col("_ds_g") - F.col("_ds_start")).cast("bigint")).drop("_ds_g", "_ds_start")
 
 
@@ -77,24 +99,24 @@ def sample_uniform(df: DataFrame, dictionary: DataFrame, u: Column, order_cols:
     (e.g. gender). ``u`` is a keyed draw in [0, 1).
     """
     by = _group_cols(by)
-    n_dict = dictionary.count()
-    indexed = index_dictionary(dictionary, order_cols, by, n_rows=n_dict)
+    size = n_dict, n_bytes = measured(dictionary)
+    indexed = index_dictionary(dictionary, order_cols, by, size=size)
     rows = df.withColumn("_ds_u", u)
     if by:
         # at most one row per group, and groups <= dictionary rows
         sizes = indexed.select(*by, "_ds_n").distinct()
-        rows = rows.join(checked_broadcast(sizes, n_dict, max_broadcast_rows), by, "left")
+        rows = rows.join(checked_broadcast(sizes, n_dict, n_bytes, max_broadcast_rows), by, "left")
     else:
         rows = rows.withColumn("_ds_n", F.lit(n_dict).cast("bigint"))
-    is_bc = n_dict <= max_broadcast_rows
+    is_bc = within_bounds(n_dict, n_bytes, max_broadcast_rows)
     idx = F.floor(F.col("_ds_u") * F.col("_ds_n")).cast("bigint")
     rows = rows.withColumn("_ds_idx", _spread_null_key(idx, df.columns, is_bc)).drop("_ds_n")
-    right = checked_broadcast(indexed.drop("_ds_n"), n_dict, max_broadcast_rows)
+    right = checked_broadcast(indexed.drop("_ds_n"), n_dict, n_bytes, max_broadcast_rows)
     return rows.join(right, [*by, "_ds_idx"], how).drop("_ds_idx", "_ds_u")
 
 
 def weighted_intervals(dictionary: DataFrame, order_cols: Sequence[str], weight_col: str,
-                       by: Sequence[str] | None = None, n_rows: int | None = None) -> DataFrame:
+                       by: Sequence[str] | None = None, size: tuple[int, int] | None = None) -> DataFrame:
     """CDF interval [lo, hi) of each dictionary row inside its group.
 
     Weights are integers; cumulative weights are summed exactly as integers and
@@ -102,7 +124,7 @@ def weighted_intervals(dictionary: DataFrame, order_cols: Sequence[str], weight_
     """
     by = _group_cols(by)
     d = dictionary.filter(F.col(weight_col) > 0)
-    n_rows = d.count() if n_rows is None else n_rows
+    n_rows, n_bytes = size or measured(d)
     if n_rows <= SMALL_DICTIONARY_ROWS:
         w = F.col(weight_col).cast("bigint")
         run = Window.partitionBy(*by).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
@@ -116,7 +138,7 @@ def weighted_intervals(dictionary: DataFrame, order_cols: Sequence[str], weight_
     cum = cum.withColumn("_ds_lo", F.col("_ds_hi") - F.col(weight_col).cast("bigint"))
     agg = [F.min("_ds_lo").alias("_ds_start"), F.sum(F.col(weight_col).cast("bigint")).alias("_ds_total")]
     if by:  # one row per group, groups <= dictionary rows (checked bound)
-        cum = cum.join(checked_broadcast(cum.groupBy(*by).agg(*agg), n_rows), by)
+        cum = cum.join(checked_broadcast(cum.groupBy(*by).agg(*agg), n_rows, n_bytes), by)
     else:  # one group: its start and total are two scalars
         tot = cum.agg(*agg).first()
         cum = cum.withColumn("_ds_start", F.lit(int(tot["_ds_start"] or 0)).cast("bigint")) \
@@ -137,8 +159,8 @@ def sample_weighted(df: DataFrame, dictionary: DataFrame, u: Column, order_cols:
     spread bins), never a nested loop over the dictionary.
     """
     by = _group_cols(by)
-    n_int = dictionary.count()
-    intervals = weighted_intervals(dictionary, order_cols, weight_col, by, n_rows=n_int)
+    size = n_int, n_bytes = measured(dictionary)
+    intervals = weighted_intervals(dictionary, order_cols, weight_col, by, size=size)
     if weight_col not in order_cols:
         intervals = intervals.drop(weight_col)
     rows = df.withColumn("_ds_u", u)
@@ -152,16 +174,17 @@ def sample_weighted(df: DataFrame, dictionary: DataFrame, u: Column, order_cols:
         intervals = intervals.withColumn("_ds_b", F.lit(max(1, n_int)).cast("bigint"))
     if by:
         sizes = intervals.select(*by, "_ds_b").distinct()  # at most one row per dictionary row
-        rows = rows.join(checked_broadcast(sizes, n_int, max_broadcast_rows), by, "left")
+        rows = rows.join(checked_broadcast(sizes, n_int, n_bytes, max_broadcast_rows), by, "left")
     else:
         rows = rows.withColumn("_ds_b", F.lit(int(bins) if bins else max(1, n_int)).cast("bigint"))
     bl = F.floor(F.col("lo") * F.col("_ds_b").cast("double")).cast("bigint")
     bh = F.least(F.floor(F.col("hi") * F.col("_ds_b").cast("double")).cast("bigint"), F.col("_ds_b") - 1)
     exploded = intervals.withColumn("_ds_bin", F.explode(F.sequence(bl, F.greatest(bl, bh)))).drop("_ds_b")
-    n_exploded = 2 * n_int if not bins else n_int * (1 + int(bins))
-    right = checked_broadcast(exploded, n_exploded, max_broadcast_rows)
+    times = 2 if not bins else 1 + int(bins)
+    is_bc = within_bounds(times * n_int, times * n_bytes, max_broadcast_rows)
+    right = F.broadcast(exploded) if is_bc else exploded
     bin_ = F.floor(F.col("_ds_u") * F.col("_ds_b").cast("double")).cast("bigint")
-    rows = rows.withColumn("_ds_bin", _spread_null_key(bin_, df.columns, n_exploded <= max_broadcast_rows)).drop("_ds_b")
+    rows = rows.withColumn("_ds_bin", _spread_null_key(bin_, df.columns, is_bc)).drop("_ds_b")
     keyed = rows.join(right, [*by, "_ds_bin"], "left")
     hit = (F.col("_ds_u") >= F.col("lo")) & (F.col("_ds_u") < F.col("hi"))
     if how == "inner":

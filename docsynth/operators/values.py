@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.generators import alphanum, date_format_error, date_pattern, gen_date, static_override, truthy
 from .persona import gen_name
-from .sampling import DEFAULT_MAX_BROADCAST_ROWS, checked_broadcast
+from .sampling import DEFAULT_MAX_BROADCAST_ROWS, checked_broadcast, measured
 
 KINDS = ("alphanum", "date", "name")
 
@@ -61,9 +61,9 @@ def generate_values(documents: DataFrame, fields: DataFrame, seed: int, first_na
     the error ``unknown_template`` (a template without text fields gives no rows).
     """
     tf = text_fields(fields)
-    n_fields = fields.count()  # upper bound of the text-field rows
+    size = measured(fields)  # upper bound of the text-field rows
     known = fields.select("template_id").distinct().join(tf, "template_id", "left").withColumn("_ds_known", F.lit(True))
-    spec = checked_broadcast(known, n_fields, max_broadcast_fields)
+    spec = checked_broadcast(known, *size, max_rows=max_broadcast_fields)
     rows = documents.select("doc_id", "template_id").join(spec, "template_id", "left")
     rows = rows.filter(F.col("kind").isNotNull() | F.col("_ds_known").isNull())
     rows = rows.withColumn("pos", F.coalesce("pos", F.lit(-1)))

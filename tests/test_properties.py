@@ -127,3 +127,34 @@ def test_rows_without_lookup_are_spread_in_shuffle_joins(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Exchange hashpartitioning(_ds_bin" in plan  # a shuffle join (AQE may still broadcast at run time)
     assert "coalesce(FLOOR" in plan and "xxhash64" in plan   # null keys get a spread salt
+
+
+def test_long_rows_are_not_broadcast_however_few(spark, monkeypatch):
+    import docsynth.operators.sampling as S
+    monkeypatch.setattr(S, "DEFAULT_MAX_BROADCAST_BYTES", 1 << 20)
+    rows = spark.range(100).withColumnRenamed("id", "k")
+    u = u01(5, F.col("k"))
+    long, short = (spark.range(30).select(F.col("id").alias("w"), F.lit(1).alias("weight"), F.repeat(F.lit("é"), n).alias("text"))
+                   for n in (20000, 3))
+    assert S.measured(short) == (30, 30 * (6 + S.ROW_BYTES)) and S.measured(short.limit(0)) == (0, 0)
+    for sample in (lambda d: S.sample_uniform(rows, d, u, ["w"]), lambda d: S.sample_weighted(rows, d, u, ["w"], "weight")):
+        assert "strategy=broadcast" in sample(short)._jdf.queryExecution().optimizedPlan().toString()
+        assert "strategy=broadcast" not in sample(long)._jdf.queryExecution().optimizedPlan().toString()
+        assert {(r.k, r.w) for r in sample(long).collect()} == {(r.k, r.w) for r in sample(short).collect()}
+
+
+def test_advances_of_a_large_character_set(spark):
+    from docsynth.operators.layout import layout_glyphs, layout_words
+    codes = [c for c in range(1, 0x11000) if not 0xD800 <= c < 0xE000] + [0x1F600, 0x10FFFF]  # more than 65,536
+    metrics = spark.createDataFrame([(chr(c), 100 + c % 900) for c in codes] + [("A", 9999), ("fi", 1), (None, 5), ("\U0001F601", None)],
+                                    "ch string, advance int")
+    value = "A中\U0001F600\U0001F601\U0010FFFFz"
+    values = spark.createDataFrame([(1, "t", 0, value), (2, "t", 0, "")], "doc_id long, template_id string, pos int, value string")
+    spec = spark.createDataFrame([("t", 0, 0.0, 0.0, 1000)], "template_id string, pos int, x double, y double, font_size int")
+    glyphs = layout_glyphs(values, spec, metrics, default_advance=7).where("doc_id = 1").orderBy("pos").collect()
+    widths = [g.x1 - g.x0 for g in glyphs]
+    assert widths == [7.0 if c == "\U0001F601" else 100.0 + ord(c) % 900 for c in value] + [0.0]
+    (word,) = layout_words(values, spec, metrics, default_advance=7).collect()
+    assert word.text == value and word.x1 == sum(widths)
+    none = layout_glyphs(values, spec, metrics.limit(0), default_advance=7).where("doc_id = 1").collect()
+    assert [g.x1 - g.x0 for g in sorted(none, key=lambda g: g.pos)] == [7.0] * len(value) + [0.0]
