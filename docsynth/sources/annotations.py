@@ -2,7 +2,7 @@
 
 ``read_annotations`` reads whole files (one row each, path from ``_metadata``);
 ``parse_annotations`` parses a string column: ``from_xml`` judges the text and gives
-the size, ``xml_tree.objects`` the objects at any depth with all attributes inside
+the size, ``xml_tree.object_list`` the objects at any depth with all attributes inside
 them. ``templates`` and ``typed_fields`` project the parsed struct into the two
 relations the operators use.
 
@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .xml_tree import objects
+from .xml_tree import object_list
 
 _ATTR = "array<struct<name:string,value:string>>"
 ANNOTATION_SCHEMA = (
@@ -43,15 +43,11 @@ def parse_annotations(df: DataFrame, xml_col: str = "xml", out_col: str = "annot
     """Parse an XML string column into the annotation struct (null leaves on
     broken XML, with the raw text in ``annotation._corrupt_record``).
 
-    Equal texts are walked once: objects are found per distinct text (by its
-    128-bit hash) and joined back, so rows may repeat and need no key."""
-    key = F.md5(F.col(xml_col).cast("binary"))
-    found = objects(df.select(key.alias("_ds_key"), F.col(xml_col).alias("_ds_xml")).dropDuplicates(["_ds_key"]), "_ds_key", "_ds_xml")
-    parsed = df.withColumn(out_col, F.from_xml(F.col(xml_col), ANNOTATION_SCHEMA, XML_OPTIONS)).withColumn("_ds_key", key)
-    joined = parsed.join(found.withColumnRenamed("objects", "_ds_objects"), "_ds_key", "left")
+    Each text is walked where its row lies (see ``xml_tree``): rows may repeat, need no key
+    and are not shuffled."""
+    parsed = df.withColumn(out_col, F.from_xml(F.col(xml_col), ANNOTATION_SCHEMA, XML_OPTIONS))
     whole = F.col(out_col)["_corrupt_record"].isNull()
-    filled = F.col(out_col).withField("object", F.when(whole, F.col("_ds_objects")))
-    return joined.select(*[filled.alias(c) if c == out_col else F.col(f"`{c}`") for c in parsed.columns if c != "_ds_key"])
+    return parsed.withColumn(out_col, F.col(out_col).withField("object", F.when(whole, object_list(F.col(xml_col)))))
 
 
 def read_annotations(spark: SparkSession, path: str) -> DataFrame:

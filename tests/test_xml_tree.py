@@ -86,3 +86,19 @@ def test_documents_of_unknown_templates_are_error_rows(spark, sf_small):
     assert [(r.doc_id, r.pos, r.field_name, r.value) for r in lost] == [("b", -1, None, None), ("c", -1, None, None)]
     sizes = {r.doc_id: r.n for r in assemble_records(values, ["doc_id"], documents=docs).select("doc_id", F.size("textbox").alias("n")).collect()}
     assert sizes["b"] == sizes["c"] == 0 < sizes["a"]
+
+
+def test_texts_are_walked_where_they_lie(spark):
+    xml = "<annotation><size><width>3</width><height>4</height></size><object><name>o&#233;&bad;</name><object/></object></annotation>"
+    df = spark.createDataFrame([(None, xml.replace("&bad;", "")), (1, xml), (None, xml.replace("&bad;", "")), (2, None)], "id long, xml string")
+    parsed = parse_annotations(df)
+    plan = parsed._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Window" not in plan and "Sort" not in plan  # no task holds more than a batch of texts
+    found = [(r.id, r.annotation and r.annotation.object and [o.name for o in r.annotation.object]) for r in parsed.collect()]
+    assert sorted(found, key=str) == sorted([(None, ["oé", None])] * 2 + [(1, None), (2, None)], key=str)
+
+
+def test_the_walk_is_not_repeated_below_a_repartition(spark):
+    df = spark.createDataFrame([("t", "<annotation><object><name>n</name></object></annotation>")], "template_id string, xml string").repartition(3, "template_id")
+    plan = typed_fields(parse_annotations(df))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
