@@ -7,7 +7,7 @@ shard is mined completely at a support lowered in proportion: a phrase that stan
 its rows lie. A shard may be larger than any task: its tasks count phrases slice by slice
 (``SLICE_BYTES`` of text) and the counts of a shard are summed by its phrases' hashes (two
 phrases of one hash only make more candidates). The locally frequent phrases of all shards
-are united as bits of a filter of at most ``FILTER_BITS``. Mining goes length by length: a
+whose counts over all shards reach the support are united as bits of a filter of at most ``FILTER_BITS``. Mining goes length by length: a
 phrase is looked at only where the phrases without its last and without its first word are
 in the filter, for they stand wherever it does.
 
@@ -184,8 +184,11 @@ def candidates(rows: DataFrame, min_count: int, longest: int, shards: int, slice
                                                      names=["shard", "hash", "n"])
 
         # any shares of the support that add up to it will do, whatever the shards hold: equal ones
-        local = rows.mapInArrow(mine, "shard int, hash long, n long").groupBy("shard", "hash").agg(F.sum("n").alias("n"))
-        found.add(local.where(F.col("n") * shards >= min_count).select("hash"))
+        mined = rows.mapInArrow(mine, "shard int, hash long, n long").repartition("hash")
+        local = mined.groupBy("shard", "hash").agg(F.sum("n").alias("n"))
+        # a hash's shards lie together, so what all of them hold is known here too: no phrase stands oftener than its hash
+        both = local.groupBy("hash").agg(F.max("n").alias("local"), F.sum("n").alias("total"))
+        found.add(both.where((F.col("local") * shards >= min_count) & (F.col("total") >= min_count)).select("hash"))
     return found
 
 

@@ -209,3 +209,13 @@ def test_texts_of_flat_ids():
         ends = np.cumsum(counts)
         want = [sp_codec.decode_ids(flat[e - n:e].tolist(), surface) for e, n in zip(ends, counts)]
         assert surfaces.texts(flat, counts).to_pylist() == want
+
+
+def test_candidates_of_one_shard_need_the_support_of_all(spark):
+    from docsynth.llm import collocations as C
+    rows = spark.createDataFrame([("en", "often here. seldom there")] * 4 + [("en", "often here")] * 4, "lang string, text string").coalesce(1)
+    kept = C.candidates(rows, 8, 5, 2, 1 << 20)
+    held = C.Slice("en", ["often here. seldom there"])
+    bit = held.hashes[1:] >> np.uint64(64 - kept.bits)
+    there = (kept.table[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1
+    assert dict(zip(held.words[1:], there.tolist())) == {b"often": 1, b"here": 1, b"seldom": 0, b"there": 0}
