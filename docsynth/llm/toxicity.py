@@ -24,7 +24,9 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Iterable
 from dataclasses import dataclass, field
+from itertools import islice
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -48,7 +50,7 @@ KEPT_TOKENS = 400_000
 #: Rows of an Arrow batch cut into tokens at a time.
 SLICE_ROWS = 1000
 #: Words whose kernel rows are held at a time.
-BLOCK_WORDS = 20_000
+BLOCK_WORDS, FIT_WORDS = 20_000, 4_000
 FOLDS = 5
 
 _EDGE = " .,;:!?|*#&%$\"'()[]{}<>/\\-_=+~`"
@@ -231,7 +233,15 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
     return theta
 
 
-def choose_landmarks(docs: list[set], y: np.ndarray, n: int) -> list[str]:
+class Numbered(dict):
+    """Numbers what it is asked for, from 0."""
+
+    def __missing__(self, key):
+        self[key] = number = len(self)
+        return number
+
+
+def choose_landmarks(docs: Iterable[Iterable[str]], y: np.ndarray, n: int) -> list[str]:
     """Words whose document frequencies speak most for label 1 (smoothed log odds, several documents each)."""
     count = {1: Counter(), 0: Counter()}
     for words, label in zip(docs, y):
@@ -259,32 +269,33 @@ def fit(texts: list[str | None], labels: list[int], n_landmarks: int = LANDMARKS
     y = np.array(labels, float)
     if not len(y) or y.min() == y.max():
         return Model(constant=float(y.mean()) if len(y) else 0.0)
-    tokens = [tokens_of(t) for t in texts]
-    plain: dict[str, str] = {}
-    for ts in tokens:
-        for t in ts:
-            if t not in plain:
-                plain[t] = plain_token(t)
-    docs = [{plain[t] for t in ts} for ts in tokens]
-    marks = choose_landmarks(docs, y, n_landmarks)
+    number = Numbered()  # a text is held as its tokens' numbers, each token and word once
+    tokens = [np.fromiter((number[t] for t in tokens_of(text)), np.int32) for text in texts]
+    word_number = Numbered()
+    word_of = np.array([word_number[plain_token(t)] for t in number], np.int32)
+    words = list(word_number)
+    docs = [np.unique(word_of[ts]) for ts in tokens]
+    marks = choose_landmarks(([words[i] for i in d.tolist()] for d in docs), y, n_landmarks)
     if not marks:
         return Model(constant=float(y.mean()))
-    vocabulary = sorted({w for d in docs for w in d if ORDER <= len(w) <= TOKEN_CHARS})
-    at: dict[str, int] = {}  # words that are near any landmark; the others' rows are zero
-    blocks = []
-    for a in range(0, len(vocabulary), BLOCK_WORDS):
-        part = kernel_rows(vocabulary[a:a + BLOCK_WORDS], marks)
-        for i in np.flatnonzero(part.any(1)).tolist():
-            at[vocabulary[a + i]] = len(at)
-        blocks.append(part[part.any(1)])
-    rows = np.concatenate(blocks)
     # Nystroem: the landmark matrix's inverse root, small eigenvalues left out
     value, vector = np.linalg.eigh(kernel_rows(marks, marks))
     good = value > 1e-6
     root = vector[:, good] / np.sqrt(value[good])
-    x = rows @ root
-    inside = [np.array(sorted(at[w] for w in d if w in at), int) for d in docs]
-    margin = rows.max(1)  # at first: nearness to any landmark
+    vocabulary = sorted(w for w in words if ORDER <= len(w) <= TOKEN_CHARS)
+    at = np.full(len(words), -1)  # features of words that are near any landmark; the others' are zero
+    n_near, blocks, near = 0, [], []
+    for a in range(0, len(vocabulary), FIT_WORDS):
+        part = kernel_rows(vocabulary[a:a + FIT_WORDS], marks)
+        met = np.flatnonzero(part.any(1))
+        at[[word_number[vocabulary[a + i]] for i in met.tolist()]] = n_near + np.arange(len(met))
+        n_near += len(met)
+        near.append(part[met].max(1))
+        blocks.append(part[met] @ root)
+    x = np.concatenate(blocks)
+    del blocks
+    inside = [np.sort(at[d][at[d] >= 0]) for d in docs]
+    margin = np.concatenate(near)  # at first: nearness to any landmark
     for _ in range(5):
         use, sign, weight = [], [], []
         for idx, label in zip(inside, y):
@@ -300,9 +311,10 @@ def fit(texts: list[str | None], labels: list[int], n_landmarks: int = LANDMARKS
         pick, sign, weight = np.concatenate(use), np.array(sign), np.array(weight)
         theta = squared_hinge(x[pick], sign, weight)
         margin = x @ theta[:-1] + theta[-1]
+    del x, docs, inside
     model = Model(marks, root @ theta[:-1], float(theta[-1]))
-    near = dict(zip(plain, model.margins(list(plain)).tolist()))
-    flat = np.array([near[t] for ts in tokens for t in ts])
+    near = np.concatenate([model.margins(list(islice(number, a, a + BLOCK_WORDS))) for a in range(0, len(number), BLOCK_WORDS)] or [np.zeros(0)])
+    flat = np.concatenate([near[ts] for ts in tokens])
     features = document_features(flat, np.array([len(ts) for ts in tokens]), model.bias)
     model.curve = logistic(design(features), y)
     return model

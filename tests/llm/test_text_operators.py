@@ -3,6 +3,7 @@
 import hashlib
 import itertools
 import re
+import tracemalloc
 from collections import defaultdict
 
 import numpy as np
@@ -288,6 +289,15 @@ def test_toxic_texts_are_told_from_clean_ones_held_out(spark):
     assert len(held) > 50 and sum(got[i].predicted == (i % 5 == 0) for i in held) >= 0.95 * len(held)
 
 
+def test_fitting_holds_each_token_once():
+    texts = [" ".join(f"{'idiot' if i % 4 == 0 and j == 7 else 'plain'}{j % 50}" for j in range(2000)) for i in range(200)]
+    tracemalloc.start()
+    model = toxicity.fit(texts, [int(i % 4 == 0) for i in range(200)])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert model.landmarks == ["idiot7"] and peak < 20 << 20, peak  # 400,000 tokens
+
+
 def test_toxicity_of_odd_rows_one_label_and_empty_tables(spark, odd, empty):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     one = spark.createDataFrame([(i, 0, None if i == 3 else 0) for i in range(1, 10)], "doc_id long, quality int, toxic int")
