@@ -13,7 +13,10 @@ in the filter, for they stand wherever it does.
 
 Then all candidates are counted globally and exactly: every slice counts the phrases that
 the filter lets through, numbering words and phrases (nothing rests on hashes), the counts
-are summed by the phrases themselves, and phrases below ``min_count`` go.
+are summed by the phrases themselves, in the task (``KEPT_PHRASES`` of them at a time) and then
+over all tasks, and phrases below ``min_count`` go. A frequent phrase stands in nearly every task, so each
+of them sends nearly all candidates; that pass runs in tasks by the cluster's cores, not by the
+table's partitions, or its rows would grow with the product of partitions and candidates.
 
 Rules for odd rows: null texts and null languages count as empty texts and ``und``; each
 row counts, repeated or not; doc_id and further columns are ignored; an empty table gives
@@ -39,6 +42,8 @@ MIN_COUNT, LONGEST, TOP = 100, 5, 2000
 ABSORBED = 100
 SHARDS = 8
 SLICE_BYTES = 32 << 20
+#: Phrases whose counts a task of the exact pass holds, and tasks of that pass for each core.
+KEPT_PHRASES, CORE_TASKS = 300_000, 2
 #: Most bits of the candidates' filter (2**30: 128 MB), and bytes of text for each bit below that.
 FILTER_BITS, BYTES_A_BIT = 30, 16
 #: Salts that spread a language's candidates.
@@ -198,12 +203,19 @@ def frequent_phrases(docs: DataFrame, min_count: int = MIN_COUNT, longest: int =
     ``min_count`` times, and one row per lang with words 0, whose f is its number of words."""
     rows = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
     kept = candidates(rows, min_count, longest, shards, slice_bytes).shared(rows.sparkSession)
-    schema = "lang string, words int, phrase string, f long"
+    tasks = max(shards, CORE_TASKS * rows.sparkSession.sparkContext.defaultParallelism)
+    counted = task_counts(rows, kept, longest, slice_bytes, tasks).groupBy("lang", "words", "phrase").agg(F.sum("f").alias("f"))
+    return counted.where((F.col("words") == 0) | (F.col("f") >= min_count))
+
+
+def task_counts(rows: DataFrame, kept, longest: int, slice_bytes: int, tasks: int) -> DataFrame:
+    """lang, words, phrase, f of the phrases that ``kept(hashes)`` lets through, counted by at most ``tasks`` tasks."""
 
     def count(batches):
+        totals: dict = {}  # (lang, length): phrase: count
         for lang, texts in _slices(batches, slice_bytes):
             held = Slice(lang, texts)
-            yield _rows(lang, 0, [""], [held.n_words])
+            _add(totals.setdefault((lang, 0), {}), [b""], [held.n_words])
             before = []
             for length, (head, last, counts) in enumerate(held.levels(kept, longest), 1):
                 word = held.words
@@ -211,17 +223,27 @@ def frequent_phrases(docs: DataFrame, min_count: int = MIN_COUNT, longest: int =
                     before = [word[i] for i in last.tolist()]
                 else:
                     before = [before[p] + b" " + word[i] for p, i in zip(head.tolist(), last.tolist())]
-                for i in range(0, len(before), 1 << 16):
-                    yield _rows(lang, length, [p.decode("utf-8", "surrogatepass") for p in before[i:i + (1 << 16)]], counts[i:i + (1 << 16)])
+                _add(totals.setdefault((lang, length), {}), before, counts.tolist())
+                if sum(map(len, totals.values())) > KEPT_PHRASES:
+                    yield from _rows(totals)
+                    totals = {}
+        yield from _rows(totals)
 
-    counted = rows.mapInArrow(count, schema).groupBy("lang", "words", "phrase").agg(F.sum("f").alias("f"))
-    return counted.where((F.col("words") == 0) | (F.col("f") >= min_count))
+    return rows.coalesce(tasks).mapInArrow(count, "lang string, words int, phrase string, f long")
+
+
+def _add(total: dict, phrases: list[bytes], counts: list[int]) -> None:
+    for phrase, n in zip(phrases, counts):
+        total[phrase] = total.get(phrase, 0) + n
 
 
-def _rows(lang, length, phrases, counts) -> pa.RecordBatch:
-    n = len(phrases)
-    return pa.RecordBatch.from_arrays([pa.array([lang] * n, pa.string()), pa.array(np.full(n, length, np.int32)), pa.array(phrases, pa.string()),
-                                       pa.array(counts, pa.int64())], names=["lang", "words", "phrase", "f"])
+def _rows(totals: dict):
+    for (lang, length), total in totals.items():
+        phrases, counts = [p.decode("utf-8", "surrogatepass") for p in total], list(total.values())
+        for i in range(0, len(phrases), 1 << 16):
+            n = len(phrases[i:i + (1 << 16)])
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * n, pa.string()), pa.array(np.full(n, length, np.int32)), pa.array(phrases[i:i + (1 << 16)], pa.string()),
+                                              pa.array(counts[i:i + (1 << 16)], pa.int64())], names=["lang", "words", "phrase", "f"])
 
 
 def collocations(docs: DataFrame, min_count: int = MIN_COUNT, longest: int = LONGEST, top: int = TOP,

@@ -8,6 +8,7 @@ from itertools import product
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from docsynth.llm import collocations, crf_langid, max_sketch, queries
 
@@ -130,6 +131,17 @@ def test_collocations_are_brute_force(spark, shards, slice_bytes, parts):
     assert collocations.collocations(frame.limit(0)).count() == 0
 
 
+def test_a_counting_task_sends_each_phrase_once(spark):
+    rows = spark.createDataFrame([("en", f"one two three w{i}") for i in range(240)], "lang string, text string").repartition(60)
+    counted = collocations.task_counts(rows, lambda hashes: np.ones(len(hashes), bool), 3, 400, 4)
+    sent = counted.select("*", F.spark_partition_id().alias("task")).collect()
+    assert len({r.task for r in sent}) <= 4 and len({(r.task, r.lang, r.words, r.phrase) for r in sent}) == len(sent)
+    total = Counter()
+    for r in sent:
+        total[r.words, r.phrase] += r.f
+    assert total[0, ""] == 960 and total[2, "two three"] == 240 and total[3, "two three w7"] == 1 and len(total) == 1 + 243 + 242 + 241
+
+
 def test_exact_scores_beyond_64_bits(spark):
     assert spark.sql("SELECT CAST(1000 AS DECIMAL(4,0)) * CAST(900000000000000 AS DECIMAL(15,0)) * CAST(900000000000001 AS DECIMAL(15,0)) div "
                      "(CAST(900000000000000 AS DECIMAL(15,0)) * CAST(999999999 AS DECIMAL(15,0))) AS s").first().s == 1000 * 900000000000001 // 999999999
