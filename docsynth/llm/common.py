@@ -49,30 +49,32 @@ def fold(doc_id, folds: int = 5) -> int:
 
 
 def map_columns(df: DataFrame, fn: Callable[[dict, int], Iterator[dict]], inputs: list[str],
-                outputs: list[tuple[str, T.DataType]], keep: list[str] | None = None) -> DataFrame:
+                outputs: list[tuple[str, T.DataType]], keep: list[str] | None = None, slice_bytes: int | None = None) -> DataFrame:
     """Add ``outputs`` to every row, computed batch by batch from ``inputs`` inside tasks.
 
     ``fn`` gets an iterator of ``{input: python list}`` and yields, per batch and in
     order, ``{output: list or Arrow array}``. ``keep`` names the columns carried
     along (default: all); a kept column of an output's name is replaced. No shuffle.
+    ``slice_bytes`` cuts batches into whole rows of so many bytes of the first input, a text column.
     """
     keep = [c for c in (df.columns if keep is None else keep) if c not in {n for n, _ in outputs}]
-    src = {f"_in{i}": F.col(f"`{c}`") for i, c in enumerate(inputs)}
-    frame = df.select(*[F.col(f"`{c}`").alias(f"_k{i}") for i, c in enumerate(keep)],
-                      *[c.alias(n) for n, c in src.items()])
+    sent = keep + [c for c in inputs if c not in keep]  # each column once
+    at = [sent.index(c) for c in inputs]
+    frame = df.select(*[F.col(f"`{c}`").alias(f"_k{i}") for i, c in enumerate(sent)])
     kept = T.StructType([T.StructField(f"_k{i}", df.schema[c].dataType) for i, c in enumerate(keep)])
     schema = T.StructType(kept.fields + [T.StructField(n, t) for n, t in outputs])
     from pyspark.sql.pandas.types import to_arrow_type
     arrow = [to_arrow_type(t) for _, t in outputs]
-    n_keep, n_in, names = len(keep), len(inputs), [n for n, _ in outputs]
+    n_keep, names = len(keep), [n for n, _ in outputs]
 
     def run(batches):
         held = []
 
         def feed():
-            for b in batches:
-                held.append(b)
-                yield {c: b.column(n_keep + i).to_pylist() for i, c in zip(range(n_in), inputs)}
+            for batch in batches:
+                for b in [batch] if slice_bytes is None else slices(batch, at[0], slice_bytes):
+                    held.append(b)
+                    yield {c: b.column(i).to_pylist() for i, c in zip(at, inputs)}
 
         for out in fn(feed()):
             b = held.pop(0)
@@ -99,6 +101,10 @@ def slices(batch: pa.RecordBatch, column: int, limit: int) -> Iterator[pa.Record
         yield batch.slice(start)
 
 
+#: Bytes of text that a task's Python works on at a time.
+SLICE_BYTES = 1 << 20
+
+
 def list_array(values: np.ndarray, lengths: np.ndarray, kind: pa.DataType) -> pa.Array:
     """Arrow list column from flat values and per-row lengths."""
     offsets = np.zeros(len(lengths) + 1, np.int32)

@@ -2,16 +2,16 @@
 
 A string of ``LENGTH`` bytes holds ``LENGTH - GRAM + 1`` byte grams; the least
 gram hash, its minimiser, is the same wherever the string stands. A document is
-cut into runs of string starts of equal minimiser. Minimisers that stand in one
-document only are left out first (their strings cannot repeat), and so are copies
-of a whole text (all their bytes go); the remaining runs meet by minimiser, and each task builds the suffix array of its runs'
+cut into runs of string starts of equal minimiser. Copies of a whole text are left
+out first (all their bytes go, and what they hold stands in the first one too), then minimisers that stand in one
+document only (their strings cannot repeat); the remaining runs meet by minimiser, and each task builds the suffix array of its runs'
 distinct texts with the difference-cover algorithm: sampled triples are sorted
 and named, names are sorted recursively, the other suffixes are sorted by the
 sample's ranks and merged. Adjacent prefixes of ``LENGTH`` bytes are compared;
 each group of equal ones has a smallest doc_id, and the starts of larger
 doc_ids in it are removed. Minimisers of more than ``HOT_DOCS`` documents take
-an exact way of their own: their strings are grouped one by one by a 128-bit
-hash, with minima aggregated before the shuffle and a join that can be split.
+an exact way of their own: equal runs are grouped by a 128-bit hash and the strings
+of unlike ones one by one, with minima aggregated before the shuffle and joins that can be split.
 
 Defined results: null texts are empty, shorter ones than ``LENGTH`` lose
 nothing; rows without doc_id lose nothing and remove nothing; rows of equal
@@ -25,11 +25,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import list_array, map_columns
+from .common import SLICE_BYTES, list_array, map_columns
 
 #: Bytes of a repeated string, and of a gram.
 LENGTH, GRAM = 50, 20
@@ -37,6 +37,8 @@ LENGTH, GRAM = 50, 20
 HOT_DOCS = 20_000
 #: Bytes of runs in one suffix array (whole minimisers).
 BLOCK_BYTES = 4 << 20
+#: Runs whose removed spans are told at a time.
+SPAN_ROWS = 8192
 
 _C1, _C2, _C3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xBF58476D1CE4E5B9)
 
@@ -79,7 +81,7 @@ def _short(hashes: np.ndarray, bits: int) -> np.ndarray:
 
 def _named(key: np.ndarray) -> tuple[np.ndarray, int]:
     """Ranks (from 1) of the keys among the distinct ones, and their number."""
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key)
     new = np.ones(len(key), bool)
     new[1:] = key[order[1:]] != key[order[:-1]]
     name = np.empty(len(key), np.int64)
@@ -102,7 +104,7 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
     else:
         pair, _ = _named(p[sample] * top + p[sample + 1]) if top < 1 << 31 else _named(p[sample])
         name, kinds = _named(pair * (int(p.max()) + 1) + p[sample + 2])
-    order = np.argsort(name, kind="stable") if kinds == len(sample) else suffix_array(name)
+    order = np.argsort(name) if kinds == len(sample) else suffix_array(name)
     sorted_sample = sample[order]
     rank = np.zeros(n + 4, np.int64)
     rank[sorted_sample] = np.arange(1, len(sample) + 1)
@@ -110,7 +112,7 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
     zero = np.arange(0, n, 3)
     scale = n + 4
     key0 = p[zero] * scale + rank[zero + 1]
-    by = np.argsort(key0, kind="stable")
+    by = np.argsort(key0)
     zero, key0 = zero[by], key0[by]
     # the others are counted before each: those at 1 by (value, rank), those at 2 by (two values, rank)
     at1, at2 = sorted_sample[sorted_sample % 3 == 1], sorted_sample[sorted_sample % 3 == 2]
@@ -151,9 +153,18 @@ def smallest_owners(strings: list[bytes], owner: np.ndarray) -> list[np.ndarray]
     return [least[a:a + n - LENGTH + 1] for a, n in zip(starts.tolist(), sizes.tolist())]
 
 
-def _runs(mask: np.ndarray) -> list[tuple[int, int]]:
-    edge = np.diff(np.concatenate([[0], mask.astype(np.int8), [0]]))
-    return list(zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist()))
+def removed_runs(least: np.ndarray, first: np.ndarray, size: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, begin, end) of the maximal runs below a row's doc_id; row i has ``size[i]`` values of ``least`` from ``first[i]`` on."""
+    end = np.cumsum(size + 1)  # a place that is never removed stands behind each row
+    begin = end - size - 1
+    row = np.repeat(np.arange(len(size)), size + 1)
+    place = np.arange(len(row)) - begin[row]
+    inside = place < size[row]
+    mask = np.zeros(len(row) + 1, np.int8)  # and before the first one
+    mask[1:][inside] = least[first[row[inside]] + place[inside]] < docs[row[inside]]
+    edge = np.diff(mask)
+    a, e = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    return row[a], place[a], e - begin[row[a]]
 
 
 _RUNS = T.StructType([T.StructField("gram", T.LongType()), T.StructField("doc_id", T.LongType()), T.StructField("part", T.IntegerType()),
@@ -161,8 +172,8 @@ _RUNS = T.StructType([T.StructField("gram", T.LongType()), T.StructField("doc_id
 _SPANS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("part", T.IntegerType()), T.StructField("from_", T.LongType()), T.StructField("to", T.LongType())])
 
 
-def _cut(bits: int, single: bool):
-    """Runs of starts of equal, wanted minimisers (input: doc_id, part, data, grams); ``single``: each start on its own."""
+def _cut(bits: int):
+    """Runs of starts of equal, wanted minimisers (input: doc_id, part, data, grams)."""
 
     def run(batches: Iterator[pa.RecordBatch]):
         for b in batches:
@@ -174,8 +185,7 @@ def _cut(bits: int, single: bool):
                     edge = np.flatnonzero(np.concatenate([[True], value[1:] != value[:-1]])) if len(value) else np.zeros(0, int)
                     ends = np.append(edge[1:], len(value))
                     for a, e in zip(edge[good[edge]].tolist(), ends[good[edge]].tolist()):
-                        for x, y in ([(i, i + 1) for i in range(a, e)] if single else [(a, e)]):
-                            out.append((int(value[a]), doc, part, x, data[x:y - 1 + LENGTH]))
+                        out.append((int(value[a]), doc, part, a, data[a:e - 1 + LENGTH]))
                 cols = list(zip(*out)) or [()] * 5
                 yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()))], names=_RUNS.names)
 
@@ -185,7 +195,7 @@ def _cut(bits: int, single: bool):
 def _repeated(batches: Iterator[pa.RecordBatch]):
     """Removed byte spans of runs that come sorted by minimiser."""
 
-    def solved(rows: list[list]) -> pa.RecordBatch:
+    def solved(rows: list[list]) -> Iterator[pa.RecordBatch]:
         grams, docs, parts, starts, runs = rows
         index = {r: i for i, r in enumerate(dict.fromkeys(zip(grams, runs)))}
         at = np.fromiter((index[r] for r in zip(grams, runs)), np.int64, len(runs))
@@ -195,17 +205,14 @@ def _repeated(batches: Iterator[pa.RecordBatch]):
         of_gram = np.unique([g for g, _ in index], return_inverse=True)[1]
         sole = np.bincount(of_gram)[of_gram] == 1
         strings = [r for _, r in index]
-        least: list = [np.full(len(r) - LENGTH + 1, o) if one else None for r, o, one in zip(strings, owner.tolist(), sole.tolist())]
+        n_starts = np.array([len(r) for r in strings]) - LENGTH + 1
+        first = np.cumsum(n_starts) - n_starts
+        least = np.repeat(owner, n_starts)  # the texts' starts one after the other
         several = np.flatnonzero(~sole)
         if len(several):
             for i, found in zip(several.tolist(), smallest_owners([strings[i] for i in several], owner[several])):
-                least[i] = found
-        out = []
-        for i, doc, part, start in zip(at.tolist(), docs, parts, starts):
-            for a, e in _runs(least[i] < doc):
-                out.append((doc, part, start + a, start + e - 1 + LENGTH))
-        cols = list(zip(*out)) or [()] * 4
-        return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int64(), pa.int64()))], names=_SPANS.names)
+                least[first[i]:first[i] + len(found)] = found
+        yield from _spans(least, first[at], n_starts[at], np.array(docs), np.array(parts, np.int32), np.array(starts, np.int64))
 
     held: list[list] = [[], [], [], [], []]
     size = 0
@@ -213,13 +220,42 @@ def _repeated(batches: Iterator[pa.RecordBatch]):
         cols = [b.column(i).to_pylist() for i in range(5)]
         for row in zip(*cols):
             if size >= BLOCK_BYTES and row[0] != held[0][-1]:
-                yield solved(held)
+                yield from solved(held)
                 held, size = [[], [], [], [], []], 0
             for c, v in zip(held, row):
                 c.append(v)
             size += len(row[4])
     if held[0]:
-        yield solved(held)
+        yield from solved(held)
+
+
+def _spans(least: np.ndarray, first: np.ndarray, size: np.ndarray, docs: np.ndarray, parts: np.ndarray, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Removed byte spans of runs with the smallest doc_ids of their starts, some rows at a time."""
+    for i in range(0, len(docs), SPAN_ROWS):
+        at = slice(i, i + SPAN_ROWS)
+        row, a, e = removed_runs(least, first[at], size[at], docs[at])
+        start = starts[at][row]
+        cols = docs[at][row], parts[at][row], start + a, start + e - 1 + LENGTH
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int64(), pa.int64()))], names=_SPANS.names)
+
+
+def _strings(batches: Iterator[pa.RecordBatch]):
+    """Each string of the runs (input: a, b, first, run) with its place ``i``."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, 256):
+            rows = list(zip(*[batch.column(i).slice(at, 256).to_pylist() for i in range(4)]))
+            out = [(a, b, first, i, run[i:i + LENGTH]) for a, b, first, run in rows for i in range(len(run) - LENGTH + 1)]
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()))],
+                                             names=["a", "b", "first", "i", "string"])
+
+
+def _lost(batches: Iterator[pa.RecordBatch]):
+    """Removed byte spans (input: doc_id, part, start, least)."""
+    for batch in batches:
+        docs, parts, starts = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+        lists = batch.column(3)
+        ends = np.cumsum(size := lists.value_lengths().to_numpy(zero_copy_only=False))
+        yield from _spans(lists.flatten().to_numpy(zero_copy_only=False), ends - size, size, docs, parts, starts.astype(np.int64))
 
 
 def _merged_spans(spans: DataFrame) -> DataFrame:
@@ -265,25 +301,35 @@ def removed_spans(whole: DataFrame) -> DataFrame:
             found = [np.unique(_short(minimisers(d), bits)) for d in batch["data"]]
             yield {"gram": list_array(np.concatenate([np.zeros(0, np.int64), *found]), np.array([len(f) for f in found], np.int64), pa.int64())}
 
-    rows = map_columns(whole, grams, ["data"], [("gram", T.ArrayType(T.LongType()))], keep=["doc_id"]).select(F.explode("gram").alias("gram"), "doc_id")
-    rows = rows.repartition("gram")  # counted and joined where they lie: (minimiser, id) rows are shuffled once
-    several = rows.groupBy("gram").agg(F.count(F.lit(1)).alias("docs")).where("docs > 1")
     first = whole.groupBy(F.xxhash64("data").alias("a"), F.xxhash64(F.lit(1), "data").alias("b")).agg(F.min("doc_id").alias("first"))
     copies = (whole.select("doc_id", _part("data").alias("part"), F.xxhash64("data").alias("a"), F.xxhash64(F.lit(1), "data").alias("b"), F.octet_length("data").cast("long").alias("to"))
               .join(first, ["a", "b"]).where((F.col("doc_id") > F.col("first")) & (F.col("to") >= LENGTH)).select("doc_id", "part", F.lit(0).cast("long").alias("from_"), "to"))
 
-    def runs(wanted: DataFrame, single: bool) -> DataFrame:
-        """Runs of the documents' wanted minimisers; copies of a whole text lose all of it and send none."""
-        listed = rows.join(wanted.select("gram"), "gram").groupBy("doc_id").agg(F.collect_list("gram").alias("grams"))  # one document's
-        copied = copies.groupBy("doc_id").agg(F.collect_set("part").alias("copied"))  # more than one only for repeated ids
-        met = whole.join(listed.join(copied, "doc_id", "left"), "doc_id").withColumn("part", _part("data"))
-        return met.where(~F.array_contains(F.coalesce("copied", F.array().cast("array<int>")), F.col("part"))).select("doc_id", "part", "data", "grams").mapInArrow(_cut(bits, single), _RUNS)
-
-    met = runs(several.where(F.col("docs") <= HOT_DOCS), False).repartition("gram").sortWithinPartitions("gram").mapInArrow(_repeated, _SPANS)
-    single = runs(several.where(F.col("docs") > HOT_DOCS), True).select(F.xxhash64("run").alias("a"), F.xxhash64(F.lit(1), "run").alias("b"), "doc_id", "part", "start")
-    least = single.groupBy("a", "b").agg(F.min("doc_id").alias("first"))
-    start = F.col("start").cast("long")
-    alone = single.join(least, ["a", "b"]).where("doc_id > first").select("doc_id", "part", start.alias("from_"), (start + LENGTH).alias("to"))
+    copied = copies.groupBy("doc_id").agg(F.collect_set("part").alias("copied"))  # more than one only for repeated ids
+    own = whole.join(copied, "doc_id", "left").withColumn("part", _part("data"))
+    own = own.where(~F.array_contains(F.coalesce("copied", F.array().cast("array<int>")), F.col("part"))).select("doc_id", "part", "data")
+
+    rows = map_columns(own, grams, ["data"], [("gram", T.ArrayType(T.LongType()))], keep=["doc_id"], slice_bytes=SLICE_BYTES).select(F.explode("gram").alias("gram"), "doc_id")
+    # counted where they lie: (minimiser, id) rows are shuffled once, and those of several documents once more, to their documents
+    several = rows.withColumn("docs", F.count(F.lit(1)).over(Window.partitionBy("gram"))).where("docs > 1")
+    wanted = several.select("doc_id", "gram", (F.col("docs") > HOT_DOCS).alias("hot")).repartition("doc_id")
+
+    def runs(hot: bool) -> DataFrame:
+        """Runs of the documents' wanted minimisers, hot or not."""
+        # no filter on ``hot``: it would be pushed down and the rows made and shuffled for each
+        mine = F.when(F.col("hot") if hot else ~F.col("hot"), F.col("gram"))
+        listed = wanted.groupBy("doc_id").agg(F.collect_list(mine).alias("grams")).where(F.size("grams") > 0)  # one document's
+        return own.join(listed, "doc_id").select("doc_id", "part", "data", "grams").mapInArrow(_cut(bits), _RUNS)
+
+    met = runs(False).repartition("gram").sortWithinPartitions("gram").mapInArrow(_repeated, _SPANS)
+    hot = runs(True).withColumn("a", F.xxhash64("run")).withColumn("b", F.xxhash64(F.lit(1), "run"))
+    unlike = hot.groupBy("a", "b").agg(F.min("doc_id").alias("first"), F.first("run").alias("run"))
+    strings = unlike.mapInArrow(_strings, "a long, b long, first long, i int, string binary")
+    strings = strings.select("a", "b", "first", "i", F.xxhash64("string").alias("sa"), F.xxhash64(F.lit(1), "string").alias("sb"))
+    low = strings.groupBy("sa", "sb").agg(F.min("first").alias("low"))
+    least = (strings.join(low, ["sa", "sb"]).groupBy("a", "b").agg(F.sort_array(F.collect_list(F.struct("i", "low"))).alias("least"))  # one run's
+             .select("a", "b", F.transform("least", lambda x: x["low"]).alias("least")))
+    alone = hot.join(least, ["a", "b"]).select("doc_id", "part", "start", "least").mapInArrow(_lost, _SPANS)
     return _merged_spans(met.unionByName(alone).unionByName(copies))
 
 
@@ -310,7 +356,7 @@ def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
                 out.append(b"".join(kept) + d[at:])
             yield {"kept": out, "removed": [s or [] for s in batch["removed"]], "n_bytes": [len(d) for d in batch["data"]]}
 
-    done = map_columns(met, run, ["data", "removed"], [("removed", _REMOVED), ("kept", T.BinaryType()), ("n_bytes", T.LongType())], keep=["doc_id", "data", *extra])
+    done = map_columns(met, run, ["data", "removed"], [("removed", _REMOVED), ("kept", T.BinaryType()), ("n_bytes", T.LongType())], keep=["doc_id", "data", *extra], slice_bytes=SLICE_BYTES)
     return done.select(F.col("doc_id").alias(doc_id), F.col("data").cast("string").alias(text), *[F.col(x).alias(c) for x, c in extra.items()], "n_bytes", "removed", "kept")
 
 

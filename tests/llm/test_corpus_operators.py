@@ -162,6 +162,26 @@ def test_suffix_dedup_of_odd_rows(spark, odd, empty, hot, monkeypatch):
     assert suffix_dedup.deduplicated(empty).count() == 0
 
 
+def test_suffix_minimisers_are_shuffled_once(spark):
+    docs = spark.createDataFrame([(i, f"{i} " + "a passage that comes again in every document of this table " * 2) for i in range(9)], "doc_id long, text string")
+    plan = suffix_dedup.deduplicated(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RepartitionByExpression [gram") == 1  # the runs'; (minimiser, id) rows lie by minimiser for the count alone
+
+
+def test_removed_runs_equal_a_loop():
+    rng = np.random.default_rng(6)
+    for _ in range(50):
+        least = rng.integers(0, 4, 60)
+        n = int(rng.integers(1, 20))
+        size = rng.integers(1, 9, n)
+        first, docs = rng.integers(0, 50, n), rng.integers(0, 5, n)
+        want = []
+        for r in range(n):
+            mask = [*(least[first[r]:first[r] + size[r]] < docs[r]), False]
+            want += [(r, i, i + mask[i:].index(False)) for i in range(size[r]) if mask[i] and not (i and mask[i - 1])]
+        assert list(zip(*[x.tolist() for x in suffix_dedup.removed_runs(least, first, size, docs)])) == want
+
+
 # ---- passages ----
 
 def test_chain_scores_equal_a_quadratic_search():
