@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import map_columns, sha_of
+from .common import SLICE_BYTES, map_columns, sha_of
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = BASE_KINDS + ("account", "address", "url")
@@ -143,7 +143,7 @@ def pii_spans(docs: DataFrame, text: str = "text") -> DataFrame:
         for batch in batches:
             yield {"spans": [[{"kind": k, "start": a, "end": b} for k, a, b in spans_of(t, auto)] for t in batch[text]]}
 
-    return map_columns(docs, run, [text], [("spans", SPANS)])
+    return map_columns(docs, run, [text], [("spans", SPANS)], slice_bytes=SLICE_BYTES)
 
 
 def redact_text(value: str | None, spans: list[tuple[str, int, int]]) -> str | None:
@@ -167,7 +167,7 @@ def redacted(docs: DataFrame, text: str = "text") -> DataFrame:
             spans = [spans_of(t, auto) for t in batch[text]]
             yield {text: [redact_text(t, s) for t, s in zip(batch[text], spans)], "n_pii": [len(s) for s in spans]}
 
-    return map_columns(docs, run, [text], [(text, T.StringType()), ("n_pii", T.LongType())])
+    return map_columns(docs, run, [text], [(text, T.StringType()), ("n_pii", T.LongType())], slice_bytes=SLICE_BYTES)
 
 
 def digest(found: DataFrame) -> DataFrame:

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import checkpointed, list_array, map_columns, tokens
+from .common import SLICE_BYTES, checkpointed, list_array, map_columns, tokens
 
 SHINGLE = 5
 #: Registers, registers of a band, base and shift of the grid (values fit 16 bits).
@@ -163,7 +163,7 @@ def sketches(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
             yield {c: [x for part in parts for x in part[c]] for c in ("n", "set_key", "sketch")}
 
     frame = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return map_columns(frame, run, ["text"], [("n", T.LongType()), ("set_key", T.BinaryType()), ("sketch", T.BinaryType())], keep=["doc_id"])
+    return map_columns(frame, run, ["text"], [("n", T.LongType()), ("set_key", T.BinaryType()), ("sketch", T.BinaryType())], keep=["doc_id"], slice_bytes=SLICE_BYTES)
 
 
 def _close_sizes(a, b) -> F.Column:
@@ -316,7 +316,7 @@ def _full_sets(docs: DataFrame, ids: DataFrame, doc_id: str, text: str) -> DataF
             yield {"elements": [shingles(t).tobytes() for t in batch["text"]]}
 
     frame = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")).where("text is not null").join(ids, "id", "left_semi")
-    return map_columns(frame, run, ["text"], [("elements", T.BinaryType())], keep=["id"])
+    return map_columns(frame, run, ["text"], [("elements", T.BinaryType())], keep=["id"], slice_bytes=SLICE_BYTES)
 
 
 #: The same rows in DuckDB: all pairs of full sets that share a shingle, and what is reachable over them.

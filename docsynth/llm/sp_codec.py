@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import list_array, map_columns, sha_of, slices
+from .common import SLICE_BYTES, list_array, map_columns, sha_of, slices
 
 #: Place of the public model; a parameter of every function here.
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
@@ -199,10 +199,6 @@ class Encoder:
         return flat, np.diff(upto)
 
 
-#: Rows whose texts are cut into words at a time.
-SLICE_ROWS = 500
-
-
 def encode(docs: DataFrame, model_path: str = MODEL_PATH, text: str = "text") -> DataFrame:
     """Documents with ``ids``, the piece ids of the whole text."""
     table = Pieces.load(model_path)
@@ -210,11 +206,10 @@ def encode(docs: DataFrame, model_path: str = MODEL_PATH, text: str = "text") ->
     def run(batches):
         encoder = Encoder(table)
         for batch in batches:
-            texts = batch[text]
-            done = [encoder.batch(texts[i:i + SLICE_ROWS]) for i in range(0, len(texts), SLICE_ROWS)] or [(np.zeros(0, np.int32), np.zeros(0, np.int64))]
-            yield {"ids": list_array(np.concatenate([f for f, _ in done]), np.concatenate([n for _, n in done]), pa.int32())}
+            flat, counts = encoder.batch(batch[text])
+            yield {"ids": list_array(flat, counts, pa.int32())}
 
-    return map_columns(docs, run, [text], [("ids", T.ArrayType(T.IntegerType()))])
+    return map_columns(docs, run, [text], [("ids", T.ArrayType(T.IntegerType()))], slice_bytes=SLICE_BYTES)
 
 
 def decode_ids(ids: list[int] | None, surface: list[bytes]) -> str:
@@ -263,10 +258,6 @@ class Surfaces:
             return pa.array([whole[a:b].decode("utf-8", "replace") for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())], pa.string())
 
 
-#: Bytes of text encoded and decoded at a time.
-SLICE_BYTES = 1 << 20
-
-
 def coded(docs: DataFrame, model_path: str = MODEL_PATH, text: str = "text") -> DataFrame:
     """Documents with ``ids``, the piece ids of the whole text, and ``decoded``, the text of those
     ids: ``decode(encode(docs))`` in one pass, slice by slice, with the ids as flat arrays."""

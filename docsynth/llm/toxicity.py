@@ -47,8 +47,8 @@ SHARED = 0.8
 #: A longer token is read in overlapping windows of this many characters.
 TOKEN_CHARS = 48
 KEPT_TOKENS = 400_000
-#: Rows of an Arrow batch cut into tokens at a time.
-SLICE_ROWS = 1000
+#: Rows, and bytes of text, cut into tokens at a time.
+SLICE_ROWS, SLICE_BYTES = 1000, 4 << 20
 #: Words whose kernel rows are held at a time.
 BLOCK_WORDS, FIT_WORDS = 20_000, 4_000
 FOLDS = 5
@@ -361,7 +361,7 @@ def scored(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
                 out.append(model.score(document_features(flat, lengths, model.bias)))
             yield {"score": np.concatenate(out).tolist() if out else []}
 
-    return map_columns(docs, run, [text], [("score", T.DoubleType())])
+    return map_columns(docs, run, [text], [("score", T.DoubleType())], slice_bytes=SLICE_BYTES)
 
 
 def digest(found: DataFrame) -> DataFrame:

@@ -8,9 +8,10 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import types as T
 
 from docsynth.llm import fm_decontam, html_extract, license_scan, pii, queries, sp_codec, toxicity
-from docsynth.llm.common import fold
+from docsynth.llm.common import fold, map_columns
 
 LOWER = str.maketrans({chr(65 + i): chr(97 + i) for i in range(26)})
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -151,6 +152,19 @@ def test_encoding_query_round_trips(spark, sf, texts):
     assert all(r.round_trip and r.n_tokens == len(r.ids) for r in queries.op5_sentencepiece(spark, sf).collect())
 
 
+def test_sliced_columns_hold_bounded_texts_and_are_sent_once(spark, odd):
+    def run(batches):
+        for b in batches:
+            held = sum(len((t or "").encode()) + 64 for t in b["text"])
+            yield {"rows": [len(b["text"])] * len(b["text"]), "held": [held] * len(b["text"])}
+
+    out = map_columns(odd, run, ["text"], [("rows", T.LongType()), ("held", T.LongType())], slice_bytes=1000)
+    got = out.coalesce(1).collect()
+    assert sorted(map(str, (r.text for r in got))) == sorted(str(r.text) for r in odd.collect())
+    assert all(r.rows == 1 or r.held <= 1000 for r in got)
+    assert "_in0" not in out._jdf.queryExecution().analyzed().toString()
+
+
 def test_encoding_of_odd_rows_and_empty_tables(spark, odd, empty):
     out = sp_codec.decode(sp_codec.encode(odd)).collect()
     assert len(out) == odd.count() and all(r.decoded == (r.text or "") for r in out)
