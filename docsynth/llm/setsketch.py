@@ -44,6 +44,10 @@ THRESHOLD = (100, 75)
 MARGIN = 0.2
 #: Shingles sketched at a time in a task.
 SKETCH_ELEMENTS = 400_000
+#: Edges of a task in the rounds of ``components``.
+EDGE_ROWS = 100_000
+#: Ids up to which they are sent to the texts (16 bytes each); more are joined by a shuffle of the texts.
+SENT_IDS = 1_000_000
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -214,7 +218,8 @@ def components(edges: DataFrame) -> DataFrame:
 
     Alternates large-star and small-star rounds until the edges no longer change:
     every end is then tied to its component's smallest id. Minima are aggregated
-    before the shuffle; only counts and a checksum reach the driver."""
+    before the shuffle; only counts and a checksum reach the driver. What is
+    shuffled lies in tasks of ``EDGE_ROWS`` edges, so that few edges make few files."""
 
     def state(e):
         return tuple(e.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first())
@@ -224,13 +229,15 @@ def components(edges: DataFrame) -> DataFrame:
 
     edges = checkpointed(edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     before = state(edges)
+    tasks = before[0] // EDGE_ROWS + 1
+    edges = edges.coalesce(tasks)
     while before[0]:
-        both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        large = (both.join(minima(both), "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b").distinct())
-        large = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-        joined = large.join(minima(large), "a")
-        small = joined.select(F.col("b").alias("a"), F.col("m").alias("b")).union(joined.select("a", F.col("m").alias("b")))
-        edges = checkpointed(small.where("a != b").distinct())
+        both = edges.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("x")).select("x.*")
+        large = both.join(minima(both), "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))  # m <= a < b
+        large = large.coalesce(tasks).distinct().coalesce(tasks)
+        joined = large.join(minima(large), "a").coalesce(tasks)
+        small = joined.select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct("a", F.col("m").alias("b")))).alias("x")).select("x.*")
+        edges = checkpointed(small.where("a != b").distinct().coalesce(tasks))
         now = state(edges)
         if now == before:
             break
@@ -249,8 +256,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     bands = REGISTERS // BAND
     key = F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda i: F.xxhash64(F.substring("sketch", i * 2 * BAND + 1, F.lit(2 * BAND)), i))
     rows = classes.select(F.explode(key).alias("band"), "id", "n")
-    shared_bands = rows.groupBy("band").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.count(F.lit(1)).alias("size")).where("lo < hi")
-    mates = checkpointed(rows.join(shared_bands.select("band", "size"), "band"))  # members of buckets of two and more classes
+    shared_bands = rows.groupBy("band").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    mates = checkpointed(rows.join(shared_bands, "band"))  # members of buckets of two and more classes
     popular = mates.groupBy("id").agg(F.sum("size").alias("fame"))  # the most central of a group meets the most mates
     sets = checkpointed(_full_sets(docs, popular.select("id"), doc_id, text))
     close = checkpointed(classes.join(popular, "id"))
@@ -315,6 +322,8 @@ def _full_sets(docs: DataFrame, ids: DataFrame, doc_id: str, text: str) -> DataF
         for batch in batches:
             yield {"elements": [shingles(t).tobytes() for t in batch["text"]]}
 
+    ids = checkpointed(ids.distinct())
+    ids = F.broadcast(ids) if ids.count() <= SENT_IDS else ids  # else every text is shuffled to pick these
     frame = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")).where("text is not null").join(ids, "id", "left_semi")
     return map_columns(frame, run, ["text"], [("elements", T.BinaryType())], keep=["id"], slice_bytes=SLICE_BYTES)
 

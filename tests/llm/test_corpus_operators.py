@@ -353,6 +353,29 @@ def test_components_of_paths_and_stars(spark):
     assert got == {**{i: 0 for i in range(21)}, **{100 + i: 100 for i in range(30)}}
 
 
+def test_few_edges_lie_in_few_tasks(spark, monkeypatch):
+    parts, keep = [], setsketch.checkpointed
+    monkeypatch.setattr(setsketch, "checkpointed", lambda df: parts.append((out := keep(df)).rdd.getNumPartitions()) or out)
+    monkeypatch.setattr(setsketch, "EDGE_ROWS", 20)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = {r.id: r.component for r in setsketch.components(spark.createDataFrame([(i, i + 1) for i in range(50)], "a long, b long")).collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert got == {i: 0 for i in range(51)}
+    assert len(parts) > 2 and set(parts[1:]) == {3}
+
+
+def test_texts_are_not_shuffled_for_few_ids(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"a b c d e {i}") for i in range(20)], "doc_id long, text string")
+    ids = spark.createDataFrame([(i % 7,) for i in range(14)], "id long")
+    sent = setsketch._full_sets(docs, ids, "doc_id", "text")
+    assert "ResolvedHint (strategy=broadcast)" in (plan := sent._jdf.queryExecution().toString()) or "rightHint=(strategy=broadcast)" in plan
+    monkeypatch.setattr(setsketch, "SENT_IDS", 0)
+    shuffled = setsketch._full_sets(docs, ids, "doc_id", "text")
+    assert sorted(map(tuple, sent.collect())) == sorted(map(tuple, shuffled.collect())) and sent.count() == 7
+
+
 # ---- pipeline ----
 
 def test_pipeline_stages_equal_brute_force(spark, sf, texts, tmp_path):
