@@ -25,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,6 +40,8 @@ HOT_DOCS = 20_000
 BLOCK_BYTES = 4 << 20
 #: Runs whose removed spans are told at a time.
 SPAN_ROWS = 8192
+#: Every string has, around its minimiser, at least one of these numbers of bytes before and after.
+_AROUND = [(l, LENGTH - GRAM - min(l + 7, LENGTH - GRAM)) for l in range(0, LENGTH - GRAM + 1, 8)]
 
 _C1, _C2, _C3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xBF58476D1CE4E5B9)
 
@@ -53,13 +56,19 @@ def _slide(values: np.ndarray, width: int, pick) -> np.ndarray:
     return values
 
 
-def gram_hashes(data: bytes) -> np.ndarray:
-    """Hash of the gram at every byte."""
+def _eights(data: bytes) -> np.ndarray:
+    """The eight bytes at every byte, as a number."""
     n = len(data) - 7
     eight = np.empty(n, np.uint64)
     for o in range(min(8, n)):
         part = np.frombuffer(data, "<u8", (len(data) - o) // 8, o)
         eight[o::8] = part[:len(eight[o::8])]
+    return eight
+
+
+def gram_hashes(data: bytes) -> np.ndarray:
+    """Hash of the gram at every byte."""
+    eight = _eights(data)
     a, b, c = eight[:-(GRAM - 8)], eight[8:len(eight) - (GRAM - 16)], eight[GRAM - 8:]  # the last eight bytes overlap
     h = (a * _C1) ^ (b * _C2 + (c >> np.uint64(31))) ^ (c * _C3)
     h ^= h >> np.uint64(32)
@@ -129,6 +138,35 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
     return out
 
 
+def may_meet(strings: list[bytes], grams: np.ndarray, bits: int) -> np.ndarray:
+    """Which of the distinct strings may share ``LENGTH`` bytes with another one of their minimiser.
+
+    Shared bytes hold the minimiser at the same place, so they hold one of ``_AROUND`` (bytes
+    before and after it), whole, in both. Strings whose minimiser stands in one of
+    them more than once all may meet."""
+    sizes = np.array([len(x) for x in strings])
+    starts = np.cumsum(sizes + 1) - sizes - 1
+    ends = starts + sizes
+    body = b"\0".join(strings) + b"\0"
+    eight, found = _eights(body), _short(gram_hashes(body), bits)
+    which = np.repeat(np.arange(len(strings)), sizes + 1)[:len(found)]
+    at = np.flatnonzero(found == grams[which])
+    at = at[at + GRAM <= ends[which[at]]]
+    place = np.zeros(len(strings), np.int64)
+    place[which[at]] = at
+    out = np.isin(grams, grams[np.bincount(which[at], minlength=len(strings)) != 1])
+    for before, after in _AROUND:
+        has = np.flatnonzero((place - before >= starts) & (place + GRAM + after <= ends))
+        first, end = place[has] - before, place[has] + GRAM + after
+        hashed = np.zeros(len(has), np.uint64)
+        for j in range(0, before + GRAM + after, 8):
+            hashed = (hashed ^ eight[np.minimum(first + j, end - 8)]) * _C3
+            hashed ^= hashed >> np.uint64(29)
+        _, back, count = np.unique(hashed, return_inverse=True, return_counts=True)
+        out[has[count[back] > 1]] = True
+    return out
+
+
 def smallest_owners(strings: list[bytes], owner: np.ndarray) -> list[np.ndarray]:
     """For each string (with its smallest doc_id) the smallest doc_id at every start of ``LENGTH`` bytes."""
     sizes = np.array([len(x) for x in strings])
@@ -142,8 +180,9 @@ def smallest_owners(strings: list[bytes], owner: np.ndarray) -> list[np.ndarray]
     sa = suffix_array(text)
     sa = sa[room[sa] >= LENGTH]
     same = np.arange(1, len(sa))
-    for j in range(LENGTH):
-        same = same[text[sa[same] + j] == text[sa[same - 1] + j]]
+    eight = _eights(body.tobytes())
+    for j in [*range(0, LENGTH - 8, 8), LENGTH - 8]:  # the last eight bytes overlap
+        same = same[eight[sa[same] + j] == eight[sa[same - 1] + j]]
     new = np.ones(len(sa), bool)
     new[same] = False
     group = np.cumsum(new) - 1
@@ -169,64 +208,89 @@ def removed_runs(least: np.ndarray, first: np.ndarray, size: np.ndarray, docs: n
 
 _RUNS = T.StructType([T.StructField("gram", T.LongType()), T.StructField("doc_id", T.LongType()), T.StructField("part", T.IntegerType()),
                       T.StructField("start", T.IntegerType()), T.StructField("run", T.BinaryType())])
+#: Of a packed run: its place, then the bytes (fewer bytes in a shuffle than columns; zeros side by side).
+_PACKED = T.StructType([T.StructField("gram", T.LongType()), T.StructField("packed", T.BinaryType())])
+_PLACE = np.dtype([("doc", "<i8"), ("start", ">i4"), ("part", "<i4")])
 _SPANS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("part", T.IntegerType()), T.StructField("from_", T.LongType()), T.StructField("to", T.LongType())])
 
 
-def _cut(bits: int):
-    """Runs of starts of equal, wanted minimisers (input: doc_id, part, data, grams)."""
+def _cut(bits: int, packed: bool):
+    """Runs of starts of equal, wanted minimisers (input: doc_id, part, data, grams), ``_PACKED`` or ``_RUNS``."""
 
     def run(batches: Iterator[pa.RecordBatch]):
         for b in batches:
             for at in range(0, b.num_rows, 256):
-                out = []
+                values, places, texts = [], [], []
                 for doc, part, data, grams in zip(*[b.column(i).slice(at, 256).to_pylist() for i in range(4)]):
                     value = _short(minimisers(data), bits)
                     good = np.isin(value, np.array(grams, np.int64))
                     edge = np.flatnonzero(np.concatenate([[True], value[1:] != value[:-1]])) if len(value) else np.zeros(0, int)
-                    ends = np.append(edge[1:], len(value))
-                    for a, e in zip(edge[good[edge]].tolist(), ends[good[edge]].tolist()):
-                        out.append((int(value[a]), doc, part, a, data[a:e - 1 + LENGTH]))
-                cols = list(zip(*out)) or [()] * 5
-                yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()))], names=_RUNS.names)
+                    ends = np.append(edge[1:], len(value))[good[edge]]
+                    edge = edge[good[edge]]
+                    values.append(value[edge])
+                    place = np.zeros(len(edge), _PLACE)
+                    place["doc"], place["start"], place["part"] = doc, edge, part
+                    places.append(place)
+                    texts += [data[a:e - 1 + LENGTH] for a, e in zip(edge.tolist(), ends.tolist())]
+                gram, place = np.concatenate([np.zeros(0, np.int64), *values]), np.concatenate([np.zeros(0, _PLACE), *places]).astype(_PLACE)  # which turns bytes round
+                if packed:
+                    head, n = place.tobytes(), _PLACE.itemsize
+                    cols = [gram, [head[i * n:i * n + n] + x for i, x in enumerate(texts)]]
+                else:
+                    cols = [gram, *(place[c].astype(f"i{place[c].itemsize}") for c in ("doc", "part", "start")), texts]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.binary()) if packed else (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()))],
+                                                 names=(_PACKED if packed else _RUNS).names)
 
     return run
 
 
-def _repeated(batches: Iterator[pa.RecordBatch]):
-    """Removed byte spans of runs that come sorted by minimiser."""
-
-    def solved(rows: list[list]) -> Iterator[pa.RecordBatch]:
-        grams, docs, parts, starts, runs = rows
-        index = {r: i for i, r in enumerate(dict.fromkeys(zip(grams, runs)))}
-        at = np.fromiter((index[r] for r in zip(grams, runs)), np.int64, len(runs))
-        owner = np.full(len(index), np.iinfo(np.int64).max)
-        np.minimum.at(owner, at, np.array(docs))
-        # texts that meet no other under their minimiser repeat as a whole; the others are sorted
-        of_gram = np.unique([g for g, _ in index], return_inverse=True)[1]
-        sole = np.bincount(of_gram)[of_gram] == 1
-        strings = [r for _, r in index]
-        n_starts = np.array([len(r) for r in strings]) - LENGTH + 1
-        first = np.cumsum(n_starts) - n_starts
-        least = np.repeat(owner, n_starts)  # the texts' starts one after the other
-        several = np.flatnonzero(~sole)
-        if len(several):
-            for i, found in zip(several.tolist(), smallest_owners([strings[i] for i in several], owner[several])):
-                least[first[i]:first[i] + len(found)] = found
-        yield from _spans(least, first[at], n_starts[at], np.array(docs), np.array(parts, np.int32), np.array(starts, np.int64))
-
-    held: list[list] = [[], [], [], [], []]
-    size = 0
-    for b in batches:
-        cols = [b.column(i).to_pylist() for i in range(5)]
-        for row in zip(*cols):
-            if size >= BLOCK_BYTES and row[0] != held[0][-1]:
-                yield from solved(held)
-                held, size = [[], [], [], [], []], 0
-            for c, v in zip(held, row):
-                c.append(v)
-            size += len(row[4])
-    if held[0]:
-        yield from solved(held)
+def _solved(batches: list[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
+    """Removed byte spans of packed runs (whole minimisers)."""
+    rows = pa.Table.from_batches(batches)
+    packed, grams = rows["packed"].to_pylist(), rows["gram"].to_numpy()
+    place = np.frombuffer(b"".join([x[:_PLACE.itemsize] for x in packed]), _PLACE)
+    docs = place["doc"].astype(np.int64)
+    coded = pa.array([x[_PLACE.itemsize:] for x in packed], pa.binary()).dictionary_encode()  # equal texts have equal minimisers
+    strings, at = coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
+    owner = np.full(len(strings), np.iinfo(np.int64).max)
+    np.minimum.at(owner, at, docs)
+    gram = np.empty(len(strings), np.int64)
+    gram[at] = grams
+    # texts that meet no other under their minimiser repeat as a whole; the others are sorted
+    of_gram = np.unique(gram, return_inverse=True)[1]
+    n_starts = np.array([len(r) for r in strings]) - LENGTH + 1
+    first = np.cumsum(n_starts) - n_starts
+    least = np.repeat(owner, n_starts)  # the texts' starts one after the other
+    several = np.flatnonzero(np.bincount(of_gram)[of_gram] > 1)
+    if len(several):
+        several = several[may_meet([strings[i] for i in several], gram[several], bits)]
+    if len(several):
+        for i, found in zip(several.tolist(), smallest_owners([strings[i] for i in several], owner[several])):
+            least[first[i]:first[i] + len(found)] = found
+    yield from _spans(least, first[at], n_starts[at], docs, place["part"].astype(np.int32), place["start"].astype(np.int64))
+
+
+def _repeated(bits: int):
+    """Removed byte spans of packed runs that come sorted by minimiser."""
+
+    def run(batches: Iterator[pa.RecordBatch]):
+        held: list[pa.RecordBatch] = []
+        size, last = 0, None
+        for b in batches:
+            if not b.num_rows:
+                continue
+            grams = b.column(0).to_numpy()
+            cut = int(np.searchsorted(grams, grams[-1]))  # the batch's last minimiser may go on
+            if size >= BLOCK_BYTES and (cut or last != grams[0]):
+                yield from _solved(held + [b.slice(0, cut)], bits)
+                held, size, b = [], 0, b.slice(cut)
+            held.append(b)
+            size += pc.sum(pc.binary_length(b.column(1))).as_py() or 0
+            last = grams[-1]
+        if held:
+            yield from _solved(held, bits)
+
+    return run
 
 
 def _spans(least: np.ndarray, first: np.ndarray, size: np.ndarray, docs: np.ndarray, parts: np.ndarray, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -312,16 +376,17 @@ def removed_spans(whole: DataFrame) -> DataFrame:
     rows = map_columns(own, grams, ["data"], [("gram", T.ArrayType(T.LongType()))], keep=["doc_id"], slice_bytes=SLICE_BYTES).select(F.explode("gram").alias("gram"), "doc_id")
     # counted where they lie: (minimiser, id) rows are shuffled once, and those of several documents once more, to their documents
     several = rows.withColumn("docs", F.count(F.lit(1)).over(Window.partitionBy("gram"))).where("docs > 1")
-    wanted = several.select("doc_id", "gram", (F.col("docs") > HOT_DOCS).alias("hot")).repartition("doc_id")
+    # the hot ones are told by the sign
+    wanted = several.select("doc_id", F.when(F.col("docs") > HOT_DOCS, -1 - F.col("gram")).otherwise(F.col("gram")).alias("gram")).repartition("doc_id")
 
     def runs(hot: bool) -> DataFrame:
         """Runs of the documents' wanted minimisers, hot or not."""
-        # no filter on ``hot``: it would be pushed down and the rows made and shuffled for each
-        mine = F.when(F.col("hot") if hot else ~F.col("hot"), F.col("gram"))
+        # no filter on the sign: it would be pushed down and the rows made and shuffled for each
+        mine = F.when(F.col("gram") < 0, -1 - F.col("gram")) if hot else F.when(F.col("gram") >= 0, F.col("gram"))
         listed = wanted.groupBy("doc_id").agg(F.collect_list(mine).alias("grams")).where(F.size("grams") > 0)  # one document's
-        return own.join(listed, "doc_id").select("doc_id", "part", "data", "grams").mapInArrow(_cut(bits), _RUNS)
+        return own.join(listed, "doc_id").select("doc_id", "part", "data", "grams").mapInArrow(_cut(bits, not hot), _RUNS if hot else _PACKED)
 
-    met = runs(False).repartition("gram").sortWithinPartitions("gram").mapInArrow(_repeated, _SPANS)
+    met = runs(False).repartition("gram").sortWithinPartitions("gram").mapInArrow(_repeated(bits), _SPANS)
     hot = runs(True).withColumn("a", F.xxhash64("run")).withColumn("b", F.xxhash64(F.lit(1), "run"))
     unlike = hot.groupBy("a", "b").agg(F.min("doc_id").alias("first"), F.first("run").alias("run"))
     strings = unlike.mapInArrow(_strings, "a long, b long, first long, i int, string binary")

@@ -4,6 +4,7 @@ import hashlib
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -182,6 +183,47 @@ def test_removed_runs_equal_a_loop():
         assert list(zip(*[x.tolist() for x in suffix_dedup.removed_runs(least, first, size, docs)])) == want
 
 
+def runs_of(texts, bits=40):
+    """(minimiser, run) rows of the texts, by minimiser."""
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "part": [0] * len(texts), "data": texts,
+                                        "grams": [sorted(set(suffix_dedup._short(suffix_dedup.minimisers(t), bits).tolist())) for t in texts]})
+    return pa.Table.from_batches(suffix_dedup._cut(bits, True)(iter([batch]))).sort_by("gram")
+
+
+def test_only_texts_that_may_meet_are_sorted(monkeypatch):
+    rng = np.random.default_rng(7)
+    noise = lambda n: bytes(rng.integers(97, 123, n, dtype=np.uint8))
+    shared, short = noise(400), noise(30)
+    # a passage of 30 bytes stands in all (no string of 50 does), one of 400 in five, a periodic one in three
+    texts = [noise(300) + short + noise(300) + shared * (i < 5) + b"ab" * 90 * (i in (1, 6, 7)) + noise(60) for i in range(40)]
+    rows, bits = runs_of(texts), 40
+    sent, keep = [], suffix_dedup.smallest_owners
+    monkeypatch.setattr(suffix_dedup, "smallest_owners", lambda strings, owner: sent.extend(strings) or keep(strings, owner))
+    found = pa.Table.from_batches(list(suffix_dedup._solved(rows.to_batches(), bits)))
+    lost = [np.zeros(len(t), bool) for t in texts]
+    for doc, start, end in zip(*[found[c].to_pylist() for c in ("doc_id", "from_", "to")]):
+        lost[doc][start:end] = True
+    want = expected_digest(list(enumerate(texts)))
+    assert [int(x.sum()) for x in lost] == [w[2] for w in want] and sum(w[2] for w in want) > 1600
+    assert len(sent) < 40 and not any(short in x for x in sent)  # the 40 texts around the short passage are told apart before
+    whole = [x.slice(i, 7) for x in rows.to_batches() for i in range(0, x.num_rows, 7)]
+    monkeypatch.setattr(suffix_dedup, "BLOCK_BYTES", 900)
+    blocks = pa.Table.from_batches(list(suffix_dedup._repeated(bits)(iter(whole))))
+    assert sorted(zip(*[c.to_pylist() for c in blocks.columns])) == sorted(zip(*[c.to_pylist() for c in found.columns]))
+
+
+def test_strings_that_share_fifty_bytes_may_meet():
+    rng = np.random.default_rng(9)
+    rows = runs_of([bytes(rng.integers(97, 97 + int(rng.integers(2, 4)), 120, dtype=np.uint8)) for _ in range(60)] + [b"abc" * 50, b"ab" * 70, b"ab" * 60])
+    kinds = sorted({(g, x[suffix_dedup._PLACE.itemsize:]) for g, x in zip(rows["gram"].to_pylist(), rows["packed"].to_pylist())})
+    got = suffix_dedup.may_meet([x for _, x in kinds], np.array([g for g, _ in kinds]), 40)
+    of = {}
+    for i, (_, x) in enumerate(kinds):
+        for j in range(len(x) - 49):
+            of.setdefault(x[j:j + 50], set()).add(i)
+    assert all(got[list(v)].all() for v in of.values() if len(v) > 1)
+
+
 # ---- passages ----
 
 def test_chain_scores_equal_a_quadratic_search():
