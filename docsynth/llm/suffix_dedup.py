@@ -4,8 +4,8 @@ A string of ``LENGTH`` bytes holds ``LENGTH - GRAM + 1`` byte grams; the least
 gram hash, its minimiser, is the same wherever the string stands. A document is
 cut into runs of string starts of equal minimiser. Copies of a whole text are left
 out first (all their bytes go, and what they hold stands in the first one too), then minimisers that stand in one
-document only (their strings cannot repeat); the remaining runs meet by minimiser, and each task builds the suffix array of its runs'
-distinct texts with the difference-cover algorithm: sampled triples are sorted
+document only (their strings cannot repeat); the remaining runs meet by minimiser; texts that share too few bytes around it are told apart,
+and each task builds the suffix array of its runs' other distinct texts with the difference-cover algorithm: sampled triples are sorted
 and named, names are sorted recursively, the other suffixes are sorted by the
 sample's ranks and merged. Adjacent prefixes of ``LENGTH`` bytes are compared;
 each group of equal ones has a smallest doc_id, and the starts of larger
